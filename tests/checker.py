@@ -62,8 +62,8 @@ def compare(spark, con, name, query, sql, sf_dir):
         return False, f"types differ: { {n: (mine[n], theirs[n]) for n in mine if mine[n] != theirs[n]} }"
     a, b = rows_of(df.columns, got), rows_of(relation.columns, want)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        in_a, in_b = set(a), set(b)
+        only_a, only_b = [r for r in a if r not in in_b][:3], [r for r in b if r not in in_a][:3]
         return False, f"rows {len(a)} vs {len(b)}; columns {sorted(df.columns)}; spark only {only_a}; sql only {only_b}"
     return True, f"{len(a)} rows"
 
