@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from crawlweave.functions import html as H, urls
-from crawlweave.operators import text
+from crawlweave.operators import extract, text
 from crawlweave.plans.page_queries import PAGE_LINKS
 from crawlweave.plans.registry import query, view
 from crawlweave.session import table
@@ -110,11 +110,11 @@ def prices_in_text(spark, sf):
 @query(
     "formatted_links",
     PAGE_LINKS
-    + """ SELECT source_url AS url, COUNT(DISTINCT upper(target_url)) AS links, MIN(upper(target_url)) AS first_link FROM absolute_links GROUP BY source_url""",
+    + """ SELECT source_url AS url, COUNT(DISTINCT lower(target_url)) AS links, MIN(lower(target_url)) AS first_link FROM absolute_links GROUP BY source_url""",
 )
 def formatted_links(spark, sf):
     pages = view(spark, sf, "crawl_pages").withColumn("v", F.regexp_extract_all("content", F.lit(text.ANCHOR), 1))
-    specs = [{"name": "absolute_url"}, {"name": "uppercase"}, {"name": "unique"}]
+    specs = [{"name": "absolute_url"}, {"name": "lowercase"}, {"name": "unique"}]
     values = text.apply_formatters(F.col("v"), specs, base_url=F.col("url"))
     return (
         pages.select("url", values.alias("v"))
@@ -193,3 +193,56 @@ def site_text_sections(spark, sf):
     pages = view(spark, sf, "crawl_pages").select("url", "status_code", "content")
     made = text.convert_html(pages, ["markdown"]).withColumn("site", F.regexp_extract("url", urls.ORIGIN, 1))
     return page_sinks.build_llms_txt(made, "Site", "All pages").select("site", "part", "url", F.md5("section").alias("digest"))
+
+
+TEMPLATE = {
+    "source": "html",
+    "selectors": [
+        {"name": "heading", "type": "css", "query": "article > h1::text", "formatters": [{"name": "lowercase"}]},
+        {"name": "links", "type": "xpath", "query": "//nav//a/@href", "multiple": True, "formatters": [{"name": "absolute_url"}]},
+        {"name": "items", "type": "css", "query": "nav ul li", "nested": [
+            {"name": "label", "type": "css", "query": "a::text"},
+            {"name": "target", "type": "xpath", "query": "//a/@href"},
+            {"name": "anchors", "type": "xpath", "query": "count(//a)", "cast": "float"},
+        ]},
+    ],
+}
+
+
+@query(
+    "extracted_fields",
+    """, t AS (SELECT url, regexp_extract(content, '<article><h1>([^<]*)</h1>', 1) AS h, regexp_extract(content, '(<nav>.*?</nav>)', 1) AS nav FROM crawl_pages),
+       v AS (SELECT url, h, regexp_extract_all(nav, 'href="([^"]*)"', 1) AS hrefs, regexp_extract_all(nav, 'href="[^"]*">([^<]*)<', 1) AS labels FROM t)
+       SELECT url, CASE WHEN h <> '' THEN lower(replace(h, '&amp;', '&')) END AS heading, len(hrefs) AS links,
+              CASE WHEN len(hrefs) > 0 THEN regexp_extract(url, '^([a-z]+://[^/]+)', 1) || hrefs[len(hrefs)] END AS last_link,
+              len(labels) AS items, CASE WHEN len(labels) > 0 THEN labels[1] END AS first_label, CASE WHEN len(hrefs) > 0 THEN hrefs[1] END AS first_target,
+              CASE WHEN len(hrefs) > 0 THEN 1.0::DOUBLE END AS first_anchors FROM v""",
+)
+def extracted_fields(spark, sf):
+    out = extract.extract_fields(view(spark, sf, "crawl_pages").select("url", "content"), TEMPLATE)
+    get = lambda path, kind: F.try_variant_get("data", path, kind)
+    rows = out.select("url", get("$.heading", "string").alias("heading"), get("$.links", "array<string>").alias("l"),
+                      get("$.items", "array<struct<label:string,target:string,anchors:double>>").alias("i"))
+    count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    first = F.get("i", F.lit(0))
+    return rows.select(
+        "url", "heading", F.when(F.col("l").isNotNull(), count("l")).otherwise(F.lit(0)).alias("links"), F.when(F.size("l") > 0, F.element_at("l", -1)).alias("last_link"),
+        F.when(F.col("i").isNotNull(), count("i")).otherwise(F.lit(0)).alias("items"),
+        first["label"].alias("first_label"), first["target"].alias("first_target"), first["anchors"].alias("first_anchors"),
+    )
+
+
+@query(
+    "extracted_by_regex",
+    """SELECT url, NULLIF(lower(regexp_extract(content, '<title>([^<]*)', 1)), '') AS title, len(regexp_extract_all(content, '(?i)<P[ >]')) AS paragraphs FROM crawl_pages""",
+)
+def extracted_by_regex(spark, sf):
+    template = {
+        "selectors": [
+            {"name": "title", "type": "regex", "query": "<title>([^<]*)", "formatters": [{"name": "lowercase"}]},
+            {"name": "paragraphs", "type": "regex", "query": "<P[ >]", "multiple": True, "options": {"ignorecase": True}},
+        ]
+    }
+    out = extract.extract_fields(view(spark, sf, "crawl_pages").select("url", "content"), template)
+    count = F.size(F.try_variant_get("data", "$.paragraphs", "array<string>"))
+    return out.select("url", F.try_variant_get("data", "$.title", "string").alias("title"), F.greatest(count, F.lit(0)).cast("bigint").alias("paragraphs"))

@@ -14,6 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from crawlweave.functions import http
 from crawlweave.schemas import HAR_ENTRY
 from crawlweave.sources import files
+from crawlweave.sources.payloads import parsed_once
 from crawlweave.sources.warc import FileGroup
 
 CHUNK = 1 << 20
@@ -126,7 +127,7 @@ def har_objects(spark: SparkSession, path: str) -> DataFrame:
 def read_har(spark: SparkSession, path: str) -> DataFrame:
     """Entries of all HAR files below ``path``."""
     raw = har_objects(spark, path).filter(~F.col("is_log"))
-    parsed = raw.withColumn("e", F.from_json("raw", HAR_ENTRY))
+    parsed = parsed_once(raw, F.from_json("raw", HAR_ENTRY))
     return parsed.select("path", F.col("entry_seq").alias("record_seq"), *entry_columns(F.col("e")))
 
 

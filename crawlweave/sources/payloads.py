@@ -15,6 +15,15 @@ def json_lines(spark: SparkSession, path: str, whole_files: bool = False) -> Dat
     return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "raw").filter(F.trim("raw") != "")
 
 
+def parsed_once(raw: DataFrame, expression: Column, name: str = "e") -> DataFrame:
+    """Add a parsed column behind a generator.
+
+    Without it the optimizer copies ``from_json`` into every field access and
+    pushed filter, and the text is parsed once per field.
+    """
+    return raw.select("*", F.explode(F.array(expression)).alias(name))
+
+
 # --- URL lists -------------------------------------------------------------------------------
 
 
@@ -48,7 +57,7 @@ def parse_scrape_results(raw: DataFrame) -> DataFrame:
     Header names become lower case, binary content is decoded, and content
     that is only a reference (clob, blob) moves to ``content_ref``.
     """
-    parsed = raw.withColumn("e", F.from_json("raw", S.SCRAPE_ENVELOPE))
+    parsed = parsed_once(raw, F.from_json("raw", S.SCRAPE_ENVELOPE))
     e, r = F.col("e"), F.col("e.result")
     content, form = r["content"], r["format"]
     is_ref = form.isin("clob", "blob")
@@ -155,7 +164,7 @@ def missing_fields(e: Column) -> Column:
 
 def parse_events(raw: DataFrame) -> DataFrame:
     """Typed events plus ``reject_reason``; works on batch and streaming DataFrames."""
-    parsed = raw.withColumn("e", F.from_json("raw", S.EVENT_ENVELOPE))
+    parsed = parsed_once(raw, F.from_json("raw", S.EVENT_ENVELOPE))
     return parsed.withColumn("reject_reason", missing_fields(F.col("e"))).select(
         *[c for c in raw.columns], F.col("e.event").alias("event"), "e.payload.*", "reject_reason"
     )
@@ -182,8 +191,7 @@ def read_crawl_events(spark: SparkSession, path: str, strict: bool = True) -> tu
 
 
 def parse_crawl_status(raw: DataFrame) -> DataFrame:
-    e = F.from_json("raw", S.CRAWL_STATUS)
-    parsed = raw.withColumn("e", e)
+    parsed = parsed_once(raw, F.from_json("raw", S.CRAWL_STATUS))
     e = F.col("e")
     uuid = F.coalesce(e["crawler_uuid"], e["uuid"])
     need = lambda col, name: F.when(col.isNull(), F.lit(name))
@@ -219,7 +227,7 @@ def read_crawl_status(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 def parse_extractions(raw: DataFrame) -> DataFrame:
     """Extraction results; ``data`` stays a VARIANT, an empty result has none."""
-    parsed = raw.withColumn("e", F.from_json("raw", S.EXTRACTION_ENVELOPE))
+    parsed = parsed_once(raw, F.from_json("raw", S.EXTRACTION_ENVELOPE))
     data = F.when(~F.is_variant_null(F.col("e.data")), F.col("e.data"))
     return parsed.select(
         data.alias("data"),
