@@ -242,7 +242,7 @@ COST_ROWS = """SELECT crawler_uuid, url, CAST(ts AS DATE) AS day, CAST(date_trun
     "credit_costs",
     f""", costed AS (SELECT *, CASE WHEN cached THEN 0 ELSE base_credits + CASE extraction WHEN 'model' THEN 5 WHEN 'prompt' THEN 10 WHEN 'template' THEN 1 ELSE 0 END END AS credits
         FROM ({COST_ROWS}) AS c)
-        SELECT crawler_uuid, url, CAST(day AS VARCHAR) AS day, CAST(month AS VARCHAR) AS month, COUNT(*) AS pages, CAST(SUM(credits) AS BIGINT) AS credits, ROUND(AVG(credits), 6) AS avg_credits
+        SELECT crawler_uuid, url, CAST(day AS VARCHAR) AS day, CAST(month AS VARCHAR) AS month, COUNT(*) AS pages, CAST(SUM(credits) AS BIGINT) AS credits, ROUND(AVG(credits), 9) AS avg_credits
         FROM costed GROUP BY GROUPING SETS ((crawler_uuid), (url), (day), (month))""",
 )
 def credit_costs(spark, sf):
@@ -250,7 +250,7 @@ def credit_costs(spark, sf):
     out = stats.credit_costs(spark.sql(COST_ROWS), [["crawler_uuid"], ["url"], ["day"], ["month"]])
     return out.select(
         "crawler_uuid", "url", F.col("day").cast("string").alias("day"), F.col("month").cast("string").alias("month"),
-        "pages", "credits", F.round("avg_credits", 6).alias("avg_credits"),
+        "pages", "credits", F.round("avg_credits", 9).alias("avg_credits"),
     )
 
 
@@ -269,11 +269,11 @@ def trap_report(spark, sf):
 
 METRICS = """CAST(COUNT(*) AS BIGINT) AS requests, CAST(COUNT(CASE WHEN success THEN 1 END) AS BIGINT) AS successes,
     CAST(COUNT(CASE WHEN NOT success THEN 1 END) AS BIGINT) AS failures, CAST(SUM(api_credit) AS BIGINT) AS credits,
-    ROUND(AVG(ROUND(duration * 1000)) / 1000, 6) AS avg_duration, ROUND(quantile_cont(ROUND(duration * 1000), 0.95) / 1000, 6) AS p95_duration"""
+    ROUND(AVG(ROUND(duration * 1000)) / 1000, 9) AS avg_duration, ROUND(quantile_cont(ROUND(duration * 1000), 0.95) / 1000, 9) AS p95_duration"""
 
 
 def rounded(df):
-    return df.withColumns({"avg_duration": F.round("avg_duration", 6), "p95_duration": F.round("p95_duration", 6)})
+    return df.withColumns({"avg_duration": F.round("avg_duration", 9), "p95_duration": F.round("p95_duration", 9)})
 
 
 @query(

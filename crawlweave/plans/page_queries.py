@@ -11,13 +11,13 @@ from crawlweave.plans.registry import query, view
 
 @query(
     "stats_by_country",
-    """SELECT country, COUNT(*) AS total_requests, ROUND(AVG(duration), 6) AS avg_duration,
+    """SELECT country, COUNT(*) AS total_requests, ROUND(AVG(duration), 9) AS avg_duration,
               COUNT(CASE WHEN status_code = 200 THEN 1 END) AS success_count
        FROM crawl_pages GROUP BY country""",
 )
 def stats_by_country(spark, sf):
     out = stats.stats_by(view(spark, sf, "crawl_pages"), "country")
-    return out.withColumn("avg_duration", F.round("avg_duration", 6))
+    return out.withColumn("avg_duration", F.round("avg_duration", 9))
 
 
 @query("pages_with_status", "SELECT page_id, url FROM crawl_pages WHERE status_code = 404")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlweave.functions import errors as E, signing
 from crawlweave.operators import filters, joins
@@ -14,15 +14,30 @@ from crawlweave.sinks.reports import report_stream
 from crawlweave.streaming import events as EV, state as ST
 
 SECRET = "feed-secret"
+FILES = 4
 
 
-def log_stream(spark, sf, name: str, files_per_batch: int = 2) -> DataFrame:
+def in_time_order(rows: DataFrame, write, slices: int = 3) -> None:
+    """Hand over consecutive time slices one after the other.
+
+    A file source reads files by their age, so the feed arrives in time order,
+    one slice per micro-batch of ``FILES`` files.
+    """
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    span = F.unix_micros("ts") - int(low.timestamp() * 1_000_000)
+    width = max(int((high - low).total_seconds() * 1_000_000) // slices, 1)
+    number = F.least(F.greatest(F.floor(span / width), F.lit(0)), F.lit(slices - 1))
+    for i in range(slices):
+        write(rows.filter(number == i).repartition(FILES))
+
+
+def log_stream(spark, sf, name: str) -> DataFrame:
     """The request log as a stream of Parquet files in time order."""
     path = fresh_dir(spark, name)
     log = view(spark, sf, "crawl_log").withColumn("ts", F.col("ts").cast("timestamp"))
-    log.repartitionByRange(6, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    in_time_order(log, lambda part: part.write.mode("append").parquet(path))
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -76,7 +91,7 @@ def streamed_failure_guard(spark, sf):
 @query(
     "streamed_window_metrics",
     """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, proxy_pool, COUNT(*) AS requests, COUNT(CASE WHEN success THEN 1 END) AS successes,
-              CAST(SUM(api_credit) AS BIGINT) AS credits, ROUND(AVG(duration), 6) AS avg_duration
+              CAST(SUM(api_credit) AS BIGINT) AS credits, ROUND(AVG(duration), 9) AS avg_duration
        FROM crawl_log WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', MAX(ts)) - INTERVAL 10 MINUTE FROM crawl_log)
        GROUP BY date_trunc('hour', ts), proxy_pool""",
 )
@@ -84,16 +99,14 @@ def streamed_window_metrics(spark, sf):
     out = drain(EV.windowed_metrics(log_stream(spark, sf, "log")), "windows")
     return out.select(
         F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "proxy_pool", "requests", "successes", "credits",
-        F.round("avg_duration", 6).alias("avg_duration"),
+        F.round("avg_duration", 9).alias("avg_duration"),
     )
 
 
 def landing_folder(spark, sf) -> str:
     """Deliveries of the event envelopes: every fourth is sent twice, some are pings, some have a wrong signature."""
     log = view(spark, sf, "crawl_log").withColumn("ts", F.col("ts").cast("timestamp"))
-    bodies = log.select("event_id", "k", "ts", "event").join(
-        view(spark, sf, "crawl_log").transform(lambda d: fixtures_with_id(d)), "event_id"
-    )
+    bodies = log.select("event_id", "k", "ts", "event", envelope().alias("body"))
     inner, outer = signing.pads(SECRET)
     digest = signing.hmac_hex(F.col("body").cast("binary"), F.lit(inner), F.lit(outer))
     signed = bodies.withColumn("signature", F.when(F.col("k") % 10 == 3, F.lower(digest)).when(F.col("k") % 10 != 4, digest))
@@ -110,17 +123,17 @@ def landing_folder(spark, sf) -> str:
         )
     )
     path = fresh_dir(spark, "landing")
-    copies.repartitionByRange(6, "ts").select(line.alias("value")).write.text(path)
+    in_time_order(copies, lambda part: part.select(line.alias("value")).write.mode("append").text(path))
     return path
 
 
-def fixtures_with_id(log: DataFrame) -> DataFrame:
-    """Event envelopes with the id of their event kept in the body."""
+def envelope() -> Column:
+    """Event envelope with the id of its event as ``action``."""
     payload = f"""named_struct('crawler_uuid', crawler_uuid, 'project', project, 'env', env, 'action', CAST(event_id AS STRING), 'state', {fixtures.STATE_JSON},
         'url', url, 'scrape', named_struct('status_code', 200, 'country', country, 'log_uuid', CAST(event_id AS STRING), 'log_url', url, 'content', map('html', concat('<p>', url, '</p>'), 'text', url)),
         'urls', map(url, 'page_limit'), 'origin', 'navigation', 'discovered_urls', array(url), 'error', coalesce(error_code, 'none'), 'scrape_config', named_struct('url', url),
-        'links', named_struct('scrape', url))"""
-    return log.selectExpr("event_id", f"to_json(named_struct('event', event, 'payload', {payload})) AS body")
+        'links', named_struct('scrape', url, 'status', url), 'seed_url', url)"""
+    return F.expr(f"to_json(named_struct('event', event, 'payload', {payload}))")
 
 
 @query(
@@ -128,7 +141,7 @@ def fixtures_with_id(log: DataFrame) -> DataFrame:
     """SELECT event, CAST(event_id AS VARCHAR) AS action, CASE WHEN k % 10 = 3 THEN 'signature mismatch' END AS reject_reason FROM crawl_log WHERE k % 10 <> 5""",
 )
 def streamed_crawl_events(spark, sf):
-    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=["old-secret", SECRET], max_files=3)
+    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=["old-secret", SECRET], max_files=FILES)
     unique = EV.dedupe_events(stream, "10 minutes")
     return drain(unique.select("event", "action", "reject_reason"), "events").drop("batch_id")
 
@@ -139,7 +152,7 @@ def streamed_crawl_events(spark, sf):
        WHERE event = 'crawler_url_visited' AND k % 10 NOT IN (3, 5) GROUP BY ALL""",
 )
 def streamed_visited_contents(spark, sf):
-    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=[SECRET], event_names=["crawler_url_visited"])
+    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=[SECRET], event_names=["crawler_url_visited"], max_files=FILES)
     accepted = EV.dedupe_events(stream.filter(F.col("reject_reason").isNull()))
     rows = drain(EV.visited_contents(accepted), "contents")
     return rows.groupBy("crawler_uuid", "url", "format").agg(F.count(F.lit(1)).alias("n"))

@@ -57,7 +57,7 @@ class CrawlStateProcessor(StatefulProcessor):
             finished = finished or bool(events.isin(TERMINAL).any())
         self.totals.update((visited, failed, skipped, extracted, credits, first, last, stop_us, reason))
         if finished:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
+            self.handle.registerTimer(last // 1000 + self.keep_ms)
         yield pd.DataFrame(
             {
                 "crawler_uuid": [key[0]], "urls_visited": [visited], "urls_extracted": [extracted], "urls_failed": [failed],
@@ -75,17 +75,18 @@ class CrawlStateProcessor(StatefulProcessor):
         pass
 
 
-def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000) -> DataFrame:
+def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "10 minutes") -> DataFrame:
     """Running URL counters per crawl, one row per crawl and micro-batch (update mode).
 
-    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. Batch
-    twin: ``operators.stats.crawl_state``.
+    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. The state
+    of a crawl is cleared once the watermark is ``keep_ms`` past its terminal
+    event. Batch twin: ``operators.stats.crawl_state``.
     """
-    slim = events.select(
-        "crawler_uuid", "event", "url", "api_credit", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "stop_reason"
+    slim = events.withWatermark("ts", delay).select(
+        "crawler_uuid", "event", "url", "api_credit", "ts", F.unix_micros("ts").alias("ts_us"), "stop_reason"
     )
     return slim.groupBy("crawler_uuid").transformWithStateInPandas(
-        CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Update", timeMode="ProcessingTime"
+        CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Update", timeMode="EventTime"
     )
 
 
