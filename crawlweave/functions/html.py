@@ -6,33 +6,35 @@ text; patterns without nested quantifiers, so none can overflow the stack.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 Rule = tuple[str, str]
 
+# an element that is never closed reaches to the end of the page, as in a browser; this also keeps each rule linear
 HIDDEN: list[Rule] = [
     (
-        r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>"
-        r"|<template\b.*?</template\s*>|<iframe\b.*?</iframe\s*>|<svg\b.*?</svg\s*>",
+        r"<(?is:!--.*?(?:-->|\z)|script\b.*?(?:</script\s*>|\z)|style\b.*?(?:</style\s*>|\z)|noscript\b.*?(?:</noscript\s*>|\z)"
+        r"|template\b.*?(?:</template\s*>|\z)|iframe\b.*?(?:</iframe\s*>|\z)|svg\b.*?(?:</svg\s*>|\z))",
         " ",
     ),
 ]
-HEAD: Rule = (r"(?is)<head\b.*?</head\s*>", " ")
+HEAD: Rule = (r"<(?is:head\b.*?</head\s*>)", " ")
 BOILERPLATE: Rule = (
-    r"(?is)<nav\b.*?</nav\s*>|<header\b.*?</header\s*>|<footer\b.*?</footer\s*>|<aside\b.*?</aside\s*>|<form\b.*?</form\s*>",
+    r"<(?is:nav\b.*?</nav\s*>|header\b.*?</header\s*>|footer\b.*?</footer\s*>|aside\b.*?</aside\s*>|form\b.*?</form\s*>)",
     " ",
 )
 ATTRIBUTES: list[Rule] = [
-    (r"""(?is)\s(?:on[a-z]+|style)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)""", ""),
+    (r"""\s(?i:on[a-z]+|style)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)""", ""),
 ]
 BLOCK_TAGS: Rule = (
-    r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main"
+    r"</?(?i:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main"
     r"|nav|ol|p|pre|section|table|tbody|td|th|thead|tr|ul|title|html|body)\b[^>]*>",
     "\n",
 )
-ANY_TAG: Rule = (r"(?s)<[!/?A-Za-z][^>]*>", "")
+ANY_TAG: Rule = (r"<[!/?A-Za-z][^>]*>", "")
+OTHER_TAGS: Rule = (r"</?(?:[B-Zb-z]|[Aa][A-Za-z0-9])[^>]*>|<[!?][^>]*>", "")
 SPACES: list[Rule] = [
     (r"[ \t\r\f\x0B]+", " "),
     (r" ?\n ?", "\n"),
@@ -40,28 +42,29 @@ SPACES: list[Rule] = [
 ]
 TEXT_LINES: Rule = (r"\n{2,}", "\n")
 
-IMAGE_ALT_FIRST: Rule = (r"""(?is)<img\b[^>]*?\balt="([^"]*)"[^>]*?\bsrc="([^"]*)"[^>]*>""", r"![$1]($2)")
-IMAGE_SRC_FIRST: Rule = (r"""(?is)<img\b[^>]*?\bsrc="([^"]*)"[^>]*?\balt="([^"]*)"[^>]*>""", r"![$2]($1)")
-IMAGE_BARE: Rule = (r"""(?is)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>""", r"![]($1)")
-LINK: Rule = (r"""(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a\s*>""", r"[$2]($1)")
+IMAGE_ALT_FIRST: Rule = (r"""<(?i:img)\b[^>]*?\b(?i:alt)="([^"]*)"[^>]*?\b(?i:src)="([^"]*)"[^>]*>""", r"![$1]($2)")
+IMAGE_SRC_FIRST: Rule = (r"""<(?i:img)\b[^>]*?\b(?i:src)="([^"]*)"[^>]*?\b(?i:alt)="([^"]*)"[^>]*>""", r"![$2]($1)")
+IMAGE_BARE: Rule = (r"""<(?i:img)\b[^>]*?\b(?i:src)="([^"]*)"[^>]*>""", r"![]($1)")
+# start and end tags are replaced on their own, so an unclosed tag costs nothing
 MARKDOWN_MARKS: list[Rule] = [
-    (r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", "\n\n# $1\n\n"),
-    (r"(?is)<h2\b[^>]*>(.*?)</h2\s*>", "\n\n## $1\n\n"),
-    (r"(?is)<h3\b[^>]*>(.*?)</h3\s*>", "\n\n### $1\n\n"),
-    (r"(?is)<h4\b[^>]*>(.*?)</h4\s*>", "\n\n#### $1\n\n"),
-    (r"(?is)<h5\b[^>]*>(.*?)</h5\s*>", "\n\n##### $1\n\n"),
-    (r"(?is)<h6\b[^>]*>(.*?)</h6\s*>", "\n\n###### $1\n\n"),
-    (r"(?is)<(?:b|strong)>(.*?)</(?:b|strong)\s*>", "**$1**"),
-    (r"(?is)<(?:i|em)>(.*?)</(?:i|em)\s*>", "*$1*"),
-    (r"(?is)<pre\b[^>]*>(.*?)</pre\s*>", "\n\n```\n$1\n```\n\n"),
-    (r"(?is)<code\b[^>]*>(.*?)</code\s*>", "`$1`"),
-    (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (r"(?i)</?(?:p|div|section|article|main|ul|ol|table|blockquote|dl|figure)\b[^>]*>", "\n\n"),
-    (r"(?i)</?(?:tr|dt|dd)\b[^>]*>", "\n"),
-    (r"(?i)</?(?:td|th)\b[^>]*>", " "),
+    (r"<(?i:h1)\b[^>]*>", "\n\n# "),
+    (r"<(?i:h2)\b[^>]*>", "\n\n## "),
+    (r"<(?i:h3)\b[^>]*>", "\n\n### "),
+    (r"<(?i:h4)\b[^>]*>", "\n\n#### "),
+    (r"<(?i:h5)\b[^>]*>", "\n\n##### "),
+    (r"<(?i:h6)\b[^>]*>", "\n\n###### "),
+    (r"</?(?i:b|strong)\s*>", "**"),
+    (r"</?(?i:i|em)\s*>", "*"),
+    (r"</?(?i:pre)\b[^>]*>", "\n\n```\n"),
+    (r"</?(?i:code)\b[^>]*>", "`"),
+    (r"<(?i:li)\b[^>]*>", "\n- "),
+    (r"<(?i:hr)\b[^>]*>", "\n\n---\n\n"),
+    (r"</(?i:h[1-6])\s*>|</?(?i:p|div|section|article|main|ul|ol|table|blockquote|dl|figure)\b[^>]*>", "\n\n"),
+    (r"<(?i:br)\b[^>]*>|</?(?i:tr|dt|dd)\b[^>]*>", "\n"),
+    (r"</?(?i:td|th)\b[^>]*>", " "),
 ]
+# by now anchors hold text only
+LINK: Rule = (r"""<[Aa]\b[^>]*?\b(?i:href)="([^"]*)"[^>]*>([^<]*)</[Aa]\s*>""", r"[$2]($1)")
 
 # fixed values: named character references decoded in text; &amp; must come last
 ENTITIES: list[tuple[str, str]] = [
@@ -85,6 +88,11 @@ def apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
     return text
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def code_point(number: Column) -> Column:
     """Character of a Unicode code point."""
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
@@ -92,6 +100,13 @@ def code_point(number: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named references and decimal or hexadecimal code points."""
+    out = bind(text, decode_numbers)
+    for name, char in ENTITIES:
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
+
+
+def decode_numbers(text: Column) -> Column:
     decimal = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7});"), 1))
     hexadecimal = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#[xX]([0-9a-fA-F]{1,6});"), 1))
     valid = lambda n: n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
@@ -111,53 +126,42 @@ def decode_entities(text: Column) -> Column:
             F.conv(n, 16, 10).cast("bigint"),
         ),
     )
-    out = F.when(F.contains(text, F.lit("&#")), with_both).otherwise(text)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(F.contains(text, F.lit("&#")), with_both).otherwise(text)
 
 
 def main_content(html: Column) -> Column:
     """Inside of ``main``, else of ``article``, else the page without navigation."""
-    main = F.regexp_extract(html, r"(?is)<main\b[^>]*>(.*)</main\s*>", 1)
-    article = F.regexp_extract(html, r"(?is)<article\b[^>]*>(.*)</article\s*>", 1)
-    return (
-        F.when(main != "", main)
-        .when(article != "", article)
-        .otherwise(apply_rules(html, [BOILERPLATE]))
-    )
+    inside = lambda tag: lambda h: F.nullif(F.regexp_extract(h, rf"<(?is:{tag}\b[^>]*>(.*)</{tag}\s*>)", 1), F.lit(""))
+    return bind(html, lambda h: F.coalesce(inside("main")(h), inside("article")(h), apply_rules(h, [BOILERPLATE])))
+
+
+def visible(html: Column, only_content: bool = False) -> Column:
+    """HTML without scripts, styles and comments; the common first step of the formats."""
+    shown = apply_rules(html, HIDDEN)
+    return main_content(shown) if only_content else shown
 
 
-def clean_html(html: Column, only_content: bool = False) -> Column:
-    """HTML without scripts, styles, comments and inline handlers."""
-    visible = apply_rules(html, HIDDEN)
-    if only_content:
-        visible = main_content(visible)
-    return apply_rules(visible, ATTRIBUTES)
+def clean_html(shown: Column) -> Column:
+    """Visible HTML without inline handlers and styles."""
+    return apply_rules(shown, ATTRIBUTES)
 
 
-def html_text(html: Column, only_content: bool = False) -> Column:
-    """Readable text, one line per block."""
-    visible = apply_rules(html, HIDDEN)
-    if only_content:
-        visible = main_content(visible)
-    bare = apply_rules(visible, [HEAD, BLOCK_TAGS, ANY_TAG])
-    return F.trim(trim_lines(apply_rules(decode_entities(bare), SPACES + [TEXT_LINES])))
+def html_text(shown: Column) -> Column:
+    """Readable text of visible HTML, one line per block."""
+    bare = apply_rules(shown, [HEAD, BLOCK_TAGS, ANY_TAG])
+    return trim_lines(apply_rules(decode_entities(bare), SPACES + [TEXT_LINES]))
 
 
 def markdown_rules(no_images: bool = False, no_links: bool = False) -> list[Rule]:
-    rules: list[Rule] = [] if no_images else [IMAGE_ALT_FIRST, IMAGE_SRC_FIRST, IMAGE_BARE]
-    if not no_links:
-        rules.append(LINK)
-    return rules + MARKDOWN_MARKS + [ANY_TAG]
+    images: list[Rule] = [] if no_images else [IMAGE_ALT_FIRST, IMAGE_SRC_FIRST, IMAGE_BARE]
+    links: list[Rule] = [] if no_links else [LINK]
+    return images + MARKDOWN_MARKS + [OTHER_TAGS] + links + [ANY_TAG]
 
 
-def markdown(html: Column, no_images: bool = False, no_links: bool = False, only_content: bool = False) -> Column:
-    visible = apply_rules(html, HIDDEN)
-    if only_content:
-        visible = main_content(visible)
-    marked = apply_rules(apply_rules(visible, [HEAD]), markdown_rules(no_images, no_links))
-    return F.trim(trim_lines(apply_rules(decode_entities(marked), SPACES)))
+def markdown(shown: Column, no_images: bool = False, no_links: bool = False) -> Column:
+    """Markdown of visible HTML."""
+    marked = apply_rules(shown, [HEAD] + markdown_rules(no_images, no_links))
+    return trim_lines(apply_rules(decode_entities(marked), SPACES))
 
 
 def trim_lines(text: Column) -> Column:
@@ -172,12 +176,12 @@ def meta_tag(html: Column, name: str) -> Column:
     before = F.regexp_extract(
         html, rf"""(?is)<meta\b[^>]*\bcontent\s*=\s*["']([^"']*)["'][^>]*\b(?:name|property)\s*=\s*["']{name}["']""", 1
     )
-    return F.when(after != "", after).when(before != "", before)
+    return F.coalesce(F.nullif(after, F.lit("")), F.nullif(before, F.lit("")))
 
 
 def page_metadata(html: Column) -> Column:
     """Struct of title, description and the other usual metadata; missing ones are null."""
-    blank_null = lambda c: F.when(c != "", c)
+    blank_null = lambda c: F.nullif(c, F.lit(""))
     inner = lambda tag: blank_null(
         F.trim(decode_entities(apply_rules(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1), [ANY_TAG])))
     )

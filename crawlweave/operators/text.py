@@ -52,23 +52,24 @@ def convert_html(pages: DataFrame, formats: Sequence[str], options: Sequence[str
     unknown = (set(formats) - set(CONVERTIBLE)) | (set(options) - set(FORMAT_OPTIONS))
     if unknown:
         raise ValueError(f"unknown formats or options {sorted(unknown)}")
-    page = F.col(content)
-    only = "only_content" in options
+    page, shown = F.col(content), F.col("_shown")
     made: dict[str, Column] = {}
     for name in formats:
         if name == "html":
             made[name] = page
         elif name == "clean_html":
-            made[name] = H.clean_html(page, only)
+            made[name] = H.clean_html(shown)
         elif name == "text":
-            made[name] = H.html_text(page, only)
+            made[name] = H.html_text(shown)
         elif name == "markdown":
-            made[name] = H.markdown(page, "no_images" in options, "no_links" in options, only)
+            made[name] = H.markdown(shown, "no_images" in options, "no_links" in options)
         else:
             made[name] = F.to_json(H.page_metadata(page))
     others = [c for c in pages.columns if c != content]
     rows = F.array(*[F.struct(F.lit(n).alias("format"), c.alias("content")) for n, c in made.items()])
-    return pages.select(*others, F.inline(rows))
+    # the visible part is worked out once, in a projection of its own
+    shared = pages.withColumn("_shown", H.visible(page, "only_content" in options))
+    return shared.select(*others, F.inline(rows))
 
 
 def page_metadata(pages: DataFrame, content: str = "content") -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlweave.session import table
+from crawlweave.session import spread_scan, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,10 +126,11 @@ def needed_views(name: str) -> list[str]:
     return out
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the given tables as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A view over the given tables as a DataFrame; ``spread`` for work that is heavy on the CPU."""
     for raw in ("pages", "events"):
-        table(spark, sf_dir, raw).createOrReplaceTempView(raw)
+        rows = table(spark, sf_dir, raw)
+        (spread_scan(rows) if spread else rows).createOrReplaceTempView(raw)
     ctes = ", ".join(f"{v} AS ({VIEWS[v]})" for v in needed_views(name))
     return spark.sql(f"WITH {ctes} SELECT * FROM {name}")
 

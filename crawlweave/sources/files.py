@@ -10,7 +10,8 @@ from typing import BinaryIO
 
 from pyarrow import fs
 
-PACK_BYTES = 64 * 1024 * 1024
+PACK_BYTES = 128 * 1024 * 1024
+OPEN_COST = 4 * 1024 * 1024
 
 
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
@@ -34,16 +35,18 @@ def list_files(path: str) -> list[tuple[str, int]]:
     return sorted((p, s) for p, s in found if not p.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
-def pack(files: list[tuple[str, int]], target: int = PACK_BYTES) -> Iterator[list[str]]:
-    """Small files share a task, a large one has its own."""
+def pack(files: list[tuple[str, int]], parallelism: int = 1) -> Iterator[list[str]]:
+    """Small files share a task, a large one has its own; sized like Spark's own file splits."""
+    total = sum(size + OPEN_COST for _, size in files)
+    target = min(PACK_BYTES, max(OPEN_COST, total // max(parallelism, 1)))
     group: list[str] = []
     held = 0
     for path, size in files:
-        if group and held + size > target:
+        if group and held + size + OPEN_COST > target:
             yield group
             group, held = [], 0
         group.append(path)
-        held += size
+        held += size + OPEN_COST
     if group:
         yield group
 

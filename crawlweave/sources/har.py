@@ -76,11 +76,12 @@ def iter_objects(stream: BinaryIO) -> Iterator[tuple[bool, bytes]]:
 
 
 class HarReader(DataSourceReader):
-    def __init__(self, path: str):
+    def __init__(self, path: str, parallelism: int):
         self.path = path
+        self.parallelism = parallelism
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path))]
+        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path), self.parallelism)]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -116,12 +117,12 @@ class HarSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return HarReader(self.options["path"])
+        return HarReader(self.options["path"], int(self.options.get("parallelism", 1)))
 
 
 def har_objects(spark: SparkSession, path: str) -> DataFrame:
     spark.dataSource.register(HarSource)
-    return spark.read.format("har").load(path)
+    return spark.read.format("har").option("parallelism", spark.sparkContext.defaultParallelism).load(path)
 
 
 def read_har(spark: SparkSession, path: str) -> DataFrame:

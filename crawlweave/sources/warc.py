@@ -101,9 +101,10 @@ class FileGroup(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, types: frozenset[str]):
+    def __init__(self, path: str, types: frozenset[str], parallelism: int):
         self.path = path
         self.types = types
+        self.parallelism = parallelism
         self.urls: frozenset[str] | None = None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -118,7 +119,7 @@ class WarcReader(DataSourceReader):
             yield item
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path))]
+        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path), self.parallelism)]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -149,8 +150,9 @@ class WarcSource(DataSource):
         return WARC_RECORD
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        types = self.options.get("recordtypes") or self.options.get("recordTypes")
-        return WarcReader(self.options["path"], frozenset(types.split(",") if types else KEPT_TYPES))
+        types = self.options.get("recordTypes")
+        kept = frozenset(types.split(",") if types else KEPT_TYPES)
+        return WarcReader(self.options["path"], kept, int(self.options.get("parallelism", 1)))
 
 
 def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None = None) -> DataFrame:
@@ -160,7 +162,7 @@ def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None
     read when asked for by name.
     """
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc")
+    reader = spark.read.format("warc").option("parallelism", spark.sparkContext.defaultParallelism)
     if record_types:
         reader = reader.option("recordTypes", ",".join(record_types))
     return reader.load(path)
