@@ -135,8 +135,13 @@ def media_requests(spark, sf):
     return joins.explode_media_requests(items)
 
 
-ROBOTS = """SELECT host, rule, path FROM (SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host FROM crawl_pages) AS h
-    CROSS JOIN (VALUES ('Disallow', '/en/'), ('Allow', '/en/1'), ('Disallow', '/*?page='), ('Disallow', '/fr/*.html$'), ('Disallow', '')) AS r(rule, path)"""
+ROBOTS = [("Disallow", "/en/"), ("Allow", "/en/1"), ("Disallow", "/*?page="), ("Disallow", "/fr/*.html$"), ("Disallow", "")]
+
+
+def robots_of_hosts(pages):
+    """The same rules for every host of the pages."""
+    rules = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(path).alias("path")) for rule, path in ROBOTS])
+    return pages.select(urls.host(F.col("url")).alias("host")).distinct().select("host", F.inline(rules))
 
 
 @query(
@@ -147,9 +152,8 @@ ROBOTS = """SELECT host, rule, path FROM (SELECT DISTINCT regexp_extract(url, '^
               regexp_matches(target, '^/fr/.*\\.html$') OR contains(target, '?page=') OR (target LIKE '/en/%' AND target NOT LIKE '/en/1%') AS disallowed FROM t""",
 )
 def robots_audit(spark, sf):
-    pages = view(spark, sf, "crawl_pages")
-    pages.createOrReplaceTempView("crawl_pages")
-    return audits.robots_audit(pages.select("page_id", "url"), spark.sql(ROBOTS)).select("page_id", "matched_path", "disallowed")
+    pages = view(spark, sf, "crawl_pages").select("page_id", "url")
+    return audits.robots_audit(pages, robots_of_hosts(pages)).select("page_id", "matched_path", "disallowed")
 
 
 @query(

@@ -30,11 +30,12 @@ VIEWS: dict[str, str] = {
     # two records per page, as an archive with retries has
     "archive_records": """
         SELECT CASE WHEN page_id % 3 = 0 THEN url || '&gone=1' ELSE url END AS url, page_id,
-               'a.warc' AS path, page_id * 2 + t.k AS record_seq,
-               CAST(CASE WHEN t.k = 0 AND page_id % 5 = 0 THEN 503 ELSE status_code END AS INT) AS status_code,
-               'log-' || CAST(page_id * 2 + t.k AS VARCHAR(20)) AS log_id, country,
-               CASE WHEN page_id % 11 = 0 THEN NULL ELSE CAST((page_id + t.k) % 50 AS VARCHAR(20)) END AS duration_text
-        FROM crawl_pages CROSS JOIN (VALUES (0), (1)) AS t(k)""",
+               'a.warc' AS path, page_id * 2 + k AS record_seq,
+               CAST(CASE WHEN k = 0 AND page_id % 5 = 0 THEN 503 ELSE status_code END AS INT) AS status_code,
+               'log-' || CAST(page_id * 2 + k AS VARCHAR(20)) AS log_id, country,
+               CASE WHEN page_id % 11 = 0 THEN NULL ELSE CAST((page_id + k) % 50 AS VARCHAR(20)) END AS duration_text
+        FROM (SELECT 0 AS k, url, page_id, status_code, country FROM crawl_pages
+              UNION ALL SELECT 1, url, page_id, status_code, country FROM crawl_pages) AS c""",
     # a request log of crawls: one row per event
     "crawl_log": """
         SELECT event_id, ts, k,
@@ -94,8 +95,9 @@ VIEWS: dict[str, str] = {
     "page_graph": """
         SELECT a.crawler_uuid, a.url AS source_url, b.url AS target_url
         FROM (SELECT CAST(page_id % 5 AS VARCHAR(10)) AS crawler_uuid, url,
-                     CAST(page_id % 5 + 5 * (CAST(FLOOR(page_id / 5) AS BIGINT) * 2 + t.k) AS BIGINT) AS next_id
-              FROM pages CROSS JOIN (VALUES (1), (2), (4)) AS t(k)) AS a
+                     CAST(page_id % 5 + 5 * (CAST(FLOOR(page_id / 5) AS BIGINT) * 2 + k) AS BIGINT) AS next_id
+              FROM (SELECT 1 AS k, page_id, url FROM pages UNION ALL SELECT 2, page_id, url FROM pages
+                    UNION ALL SELECT 4, page_id, url FROM pages) AS c) AS a
         JOIN pages AS b ON b.page_id = a.next_id""",
     "page_seeds": "SELECT CAST(page_id % 5 AS VARCHAR(10)) AS crawler_uuid, url FROM pages WHERE page_id < 5",
     # redirects between pages: chains of up to seven hops, some of them loops

@@ -107,17 +107,6 @@ class WarcReader(DataSourceReader):
         self.parallelism = parallelism
         self.urls: frozenset[str] | None = None
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Note what allows to skip bodies; Spark still applies every filter."""
-        for item in filters:
-            if isinstance(item, (EqualTo, In)) and len(item.attribute) == 1:
-                values = frozenset(item.value if isinstance(item, In) else [item.value])
-                if item.attribute[0] == "record_type":
-                    self.types = self.types & values
-                elif item.attribute[0] == "url":
-                    self.urls = values if self.urls is None else self.urls & values
-            yield item
-
     def partitions(self) -> Sequence[InputPartition]:
         return [FileGroup(paths) for paths in files.pack(files.list_files(self.path), self.parallelism)]
 
@@ -141,6 +130,21 @@ class WarcReader(DataSourceReader):
         return pa.RecordBatch.from_arrays(columns, schema=ARROW_SCHEMA)
 
 
+class FilteringWarcReader(WarcReader):
+    """Reader for sessions with filter pushdown into Python sources; others refuse a reader that has it."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Note what allows to skip bodies; Spark still applies every filter."""
+        for item in filters:
+            if isinstance(item, (EqualTo, In)) and len(item.attribute) == 1:
+                values = frozenset(item.value if isinstance(item, In) else [item.value])
+                if item.attribute[0] == "record_type":
+                    self.types = self.types & values
+                elif item.attribute[0] == "url":
+                    self.urls = values if self.urls is None else self.urls & values
+            yield item
+
+
 class WarcSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -152,7 +156,9 @@ class WarcSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         types = self.options.get("recordTypes")
         kept = frozenset(types.split(",") if types else KEPT_TYPES)
-        return WarcReader(self.options["path"], kept, int(self.options.get("parallelism", 1)))
+        pushdown = self.options.get("pushdown", "false") == "true"
+        reader = FilteringWarcReader if pushdown else WarcReader
+        return reader(self.options["path"], kept, int(self.options.get("parallelism", 1)))
 
 
 def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None = None) -> DataFrame:
@@ -162,7 +168,11 @@ def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None
     read when asked for by name.
     """
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc").option("parallelism", spark.sparkContext.defaultParallelism)
+    reader = (
+        spark.read.format("warc")
+        .option("parallelism", spark.sparkContext.defaultParallelism)
+        .option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+    )
     if record_types:
         reader = reader.option("recordTypes", ",".join(record_types))
     return reader.load(path)
