@@ -55,6 +55,25 @@ def read_url(pages: DataFrame, url: str, seq: str = "record_seq") -> DataFrame:
     return pages.filter(F.col("url") == url).orderBy(seq).limit(1)
 
 
+def page_contents(records: DataFrame) -> DataFrame:
+    """Responses as readable content with the metadata of their archive headers.
+
+    The body is decoded as UTF-8, invalid bytes become U+FFFD.
+    """
+    w = F.col("warc_headers")
+    return records.select(
+        "url",
+        http.utf8_text(F.col("content")).alias("content"),
+        "status_code",
+        "headers",
+        w["WARC-Scrape-Duration"].try_cast("double").alias("duration"),
+        w["WARC-Scrape-Log-Id"].alias("log_id"),
+        w["WARC-Scrape-Country"].alias("country"),
+        "path",
+        "record_seq",
+    )
+
+
 def filter_url_pattern(pages: DataFrame, pattern: str, column: str = "url") -> DataFrame:
     """Glob over the whole URL."""
     return pages.filter(patterns.matches_glob(F.col(column), pattern))
@@ -305,6 +324,11 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     return out
 
 
+def parse_api_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``<column>_ts`` for each named string column; text of another form gives null and stays as it is."""
+    return df.withColumns({f"{c}_ts": http.api_timestamp(F.col(c)) for c in columns})
+
+
 def content_kind(results: DataFrame, column: str = "content_type") -> DataFrame:
     return results.withColumn("kind", http.content_kind(F.col(column)))
 

@@ -42,10 +42,15 @@ def warc_record_types(spark, sf):
     return records.groupBy("record_type").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("url").alias("urls"))
 
 
-@query("warc_one_url", "SELECT url, status_code FROM crawl_pages WHERE url = (SELECT MAX(url) FROM crawl_pages)")
+@query(
+    "warc_one_url",
+    f"""SELECT url, status_code, md5({BODY}) AS digest, 'log-' || page_id AS log_id, country, CASE WHEN page_id % 11 <> 0 THEN duration END AS duration
+        FROM crawl_pages WHERE url = (SELECT MAX(url) FROM crawl_pages)""",
+)
 def warc_one_url(spark, sf):
     wanted = view(spark, sf, "crawl_pages").agg(F.max("url")).first()[0]
-    return filters.read_url(filters.responses(warc_records(spark, sf)), wanted).select("url", "status_code")
+    page = filters.page_contents(filters.read_url(filters.responses(warc_records(spark, sf)), wanted))
+    return page.select("url", "status_code", F.md5("content").alias("digest"), "log_id", "country", "duration")
 
 
 @query(
@@ -239,5 +244,5 @@ def text_only_results(spark, sf):
 def warc_page_titles(spark, sf):
     """The read, filter and project path of a crawl: archive, responses, URL pattern, page fields."""
     records = filters.responses(warc_records(spark, sf))
-    pages = filters.filter_url_pattern(filters.filter_status(records, 200), "*/en/*")
-    return pages.select("url", H.page_metadata(F.make_valid_utf8(F.col("content").cast("string")))["lang"].alias("lang"))
+    pages = filters.page_contents(filters.filter_url_pattern(filters.filter_status(records, 200), "*/en/*"))
+    return pages.select("url", H.page_metadata(F.col("content"))["lang"].alias("lang"))

@@ -404,7 +404,7 @@ TIMES = "CASE k % 4 WHEN 0 THEN substr(CAST(ts AS VARCHAR(30)), 1, 19) WHEN 1 TH
 )
 def parsed_api_timestamps(spark, sf):
     log = view(spark, sf, "crawl_log").withColumn("text", F.expr(TIMES))
-    return log.select("event_id", F.unix_seconds(http.api_timestamp(F.col("text"))).alias("seconds"))
+    return filters.parse_api_timestamps(log, ["text"]).select("event_id", F.unix_seconds("text_ts").alias("seconds"))
 
 
 @query(

@@ -35,41 +35,59 @@ def list_files(path: str) -> list[tuple[str, int]]:
     return sorted((p, s) for p, s in found if not p.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
-def pack(files: list[tuple[str, int]], parallelism: int = 1) -> Iterator[list[str]]:
-    """Small files share a task, a large one has its own; sized like Spark's own file splits."""
-    total = sum(size + OPEN_COST for _, size in files)
+def pack(pieces: list[tuple], parallelism: int = 1) -> Iterator[list[tuple]]:
+    """Small pieces share a task, a large one has its own; sized like Spark's own file splits.
+
+    The last item of a piece is its size in bytes.
+    """
+    total = sum(piece[-1] + OPEN_COST for piece in pieces)
     target = min(PACK_BYTES, max(OPEN_COST, total // max(parallelism, 1)))
-    group: list[str] = []
+    group: list[tuple] = []
     held = 0
-    for path, size in files:
-        if group and held + size + OPEN_COST > target:
+    for piece in pieces:
+        cost = piece[-1] + OPEN_COST
+        if group and held + cost > target:
             yield group
             group, held = [], 0
-        group.append(path)
-        held += size + OPEN_COST
+        group.append(piece)
+        held += cost
     if group:
         yield group
 
 
-def open_stream(path: str) -> BinaryIO:
-    """Buffered stream of the decompressed bytes; gzip is recognised by its magic, all members are read."""
+def open_stream(path: str, begin: int = 0) -> BinaryIO:
+    """Buffered stream of the bytes from ``begin`` on; gzip is recognised by its magic, all members are read."""
     filesystem, local = resolve(path)
-    raw = io.BufferedReader(_Readable(filesystem.open_input_stream(local, compression=None)), 1 << 20)
+    if begin:
+        stream = io.BufferedReader(Readable(filesystem.open_input_file(local)), 1 << 20)
+        stream.seek(begin)
+        return stream
+    raw = io.BufferedReader(Readable(filesystem.open_input_stream(local, compression=None)), 1 << 20)
     if raw.peek(2)[:2] == b"\x1f\x8b":
         return io.BufferedReader(gzip.GzipFile(fileobj=raw, mode="rb"), 1 << 20)
     return raw
 
 
-class _Readable(io.RawIOBase):
-    """Arrow input stream as a raw Python stream."""
+class Readable(io.RawIOBase):
+    """Arrow file or stream as a raw Python stream."""
 
-    def __init__(self, stream):
-        self._stream = stream
+    def __init__(self, source):
+        self._source = source
 
     def readable(self) -> bool:
         return True
 
+    def seekable(self) -> bool:
+        return self._source.seekable()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        self._source.seek(offset, whence)
+        return self._source.tell()
+
+    def tell(self) -> int:
+        return self._source.tell()
+
     def readinto(self, buffer) -> int:
-        data = self._stream.read(len(buffer))
+        data = self._source.read(len(buffer))
         buffer[: len(data)] = data
         return len(data)

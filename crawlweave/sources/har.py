@@ -81,12 +81,12 @@ class HarReader(DataSourceReader):
         self.parallelism = parallelism
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path), self.parallelism)]
+        return [FileGroup(group) for group in files.pack(files.list_files(self.path), self.parallelism)]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
-        for path in partition.paths:
+        for path, _ in partition.pieces:
             with files.open_stream(path) as stream:
                 for seq, (is_log, text) in enumerate(iter_objects(stream)):
                     try:

@@ -106,23 +106,25 @@ def text_only(results: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_crawl_contents(raw: DataFrame, default_format: str = "html") -> DataFrame:
     """Contents payloads in long form ``(url, format, content)``.
 
-    Accepts url to {format: text}, url to text, and a list of pages.
+    Accepts url to {format: text}, url to text, and a list of pages; each
+    payload is parsed once.
     """
-    nested = F.from_json("raw", "contents map<string,map<string,string>>, pages array<struct<url:string, content:string>>")
-    flat = F.from_json("raw", "contents map<string,string>")
-    parsed = raw.select(nested.alias("n"), flat.alias("f"))
-    by_format = parsed.select(F.explode("n.contents").alias("url", "formats")).select(
-        "url", F.explode("formats").alias("format", "content")
-    )
-    plain = (
-        parsed.select(F.explode("f.contents").alias("url", "content"))
-        .filter(F.try_parse_json(F.col("content")).isNull() | ~F.ltrim(F.col("content")).startswith("{"))
-        .select("url", F.lit(default_format).alias("format"), "content")
-    )
-    pages = parsed.select(F.explode("n.pages").alias("p")).select(
-        "p.url", F.lit(default_format).alias("format"), "p.content"
-    )
-    return by_format.unionByName(plain).unionByName(pages)
+    schema = "contents map<string,variant>, pages array<struct<url:string, content:string>>"
+    parsed = parsed_once(raw, F.from_json("raw", schema))
+    row = lambda url, form, content: F.struct(url.alias("url"), form.alias("format"), content.alias("content"))
+    plain = F.lit(default_format)
+
+    def of_url(entry: Column) -> Column:
+        value = entry["value"]
+        formats = F.map_entries(F.try_variant_get(value, "$", "map<string,string>"))
+        return F.when(
+            F.schema_of_variant(value).startswith("OBJECT"), F.transform(formats, lambda f: row(entry["key"], f["key"], f["value"]))
+        ).otherwise(F.array(row(entry["key"], plain, F.try_variant_get(value, "$", "string"))))
+
+    listed = F.flatten(F.transform(F.map_entries("e.contents"), of_url))
+    pages = F.transform("e.pages", lambda p: row(p["url"], plain, p["content"]))
+    nothing = F.array().cast("array<struct<url:string,format:string,content:string>>")
+    return parsed.select(F.inline(F.concat(F.coalesce(listed, nothing), F.coalesce(pages, nothing))))
 
 
 def read_crawl_contents(spark: SparkSession, path: str, default_format: str = "html") -> DataFrame:

@@ -1,11 +1,13 @@
 """WARC archives as a Spark data source.
 
-One task streams one archive (small ones are packed together) and holds one
-record at a time; rows leave it as Arrow batches of bounded size.
+A task streams an archive, or a byte range of a large uncompressed one; small
+archives are packed together. It holds one record at a time, and rows leave it
+as Arrow batches of bounded size.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Sequence
 from typing import BinaryIO
@@ -16,7 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from pyspark.sql.types import StructType
 
 from crawlweave.schemas import WARC_RECORD
-from crawlweave.sources import files
+from crawlweave.sources import files, warc_splits
 
 KEPT_TYPES = ("response", "request", "metadata", "warcinfo")
 BATCH_BYTES = 8 * 1024 * 1024
@@ -64,58 +66,68 @@ def skip(stream: BinaryIO, length: int) -> None:
         length -= len(piece)
 
 
-def iter_records(stream: BinaryIO, types: frozenset[str], urls: frozenset[str] | None = None) -> Iterator[tuple]:
-    """Records in file order as (seq, type, url, headers, content, status, warc_headers).
+def iter_records(
+    stream: BinaryIO, types: frozenset[str], urls: frozenset[str] | None = None, at: int = 0, stop: int = 0
+) -> Iterator[tuple]:
+    """Records in file order as (position, type, url, headers, content, status, warc_headers).
 
-    Framing follows Content-Length, so a body may hold anything. Reading ends
-    at the first line that does not start a record. Bodies of unwanted records
-    are skipped.
+    The position counts decompressed bytes from the start of the file, where
+    the stream stands at ``at``; no record that starts at ``stop`` or later is
+    read, unless it is 0. Framing follows Content-Length, so a body may hold
+    anything. Reading ends at the first line that does not start a record.
+    Bodies of unwanted records are skipped.
     """
-    seq = -1
-    while stream.readline().startswith(b"WARC/"):
-        lines = []
-        while line := stream.readline().rstrip(b"\r\n"):
+    while not stop or at < stop:
+        line = stream.readline()
+        if not line.startswith(b"WARC/"):
+            return
+        start, at, lines = at, at + len(line), []
+        while True:
+            line = stream.readline()
+            at += len(line)
+            line = line.rstrip(b"\r\n")
+            if not line:
+                break
             lines.append(line)
         named = header_lines(lines)
         if not named:
             return
-        seq += 1
         kind, url = named.get("WARC-Type", ""), named.get("WARC-Target-URI", "")
         length = int(named.get("Content-Length", 0))
         if kind in types and (urls is None or url in urls):
             block = stream.read(length)
             if kind == "response":
                 status, headers, body = split_http(block)
-                yield seq, kind, url, headers, body, status, named
+                yield start, kind, url, headers, body, status, named
             else:
-                yield seq, kind, url, {}, block, None, named
+                yield start, kind, url, {}, block, None, named
         else:
             skip(stream, length)
-        stream.readline()
-        stream.readline()
+        at += length + len(stream.readline()) + len(stream.readline())
 
 
 class FileGroup(InputPartition):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    def __init__(self, pieces: list[tuple]):
+        self.pieces = pieces
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, types: frozenset[str], parallelism: int):
-        self.path = path
+    def __init__(self, pieces: list[tuple], types: frozenset[str], parallelism: int):
+        self.pieces = pieces
         self.types = types
         self.parallelism = parallelism
         self.urls: frozenset[str] | None = None
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [FileGroup(paths) for paths in files.pack(files.list_files(self.path), self.parallelism)]
+        return [FileGroup(group) for group in files.pack(self.pieces, self.parallelism)]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
-        for path in partition.paths:
-            with files.open_stream(path) as stream:
-                for seq, kind, url, headers, content, status, named in iter_records(stream, self.types, self.urls):
+        for path, begin, stop, _ in partition.pieces:
+            with files.open_stream(path, begin) as stream:
+                found = iter_records(stream, self.types, self.urls, begin, stop)
+                for seq, kind, url, headers, content, status, named in found:
                     rows.append((path, seq, kind, url, list(headers.items()), content, status, list(named.items())))
                     held += len(content)
                     if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -158,14 +170,19 @@ class WarcSource(DataSource):
         kept = frozenset(types.split(",") if types else KEPT_TYPES)
         pushdown = self.options.get("pushdown", "false") == "true"
         reader = FilteringWarcReader if pushdown else WarcReader
-        return reader(self.options["path"], kept, int(self.options.get("parallelism", 1)))
+        splits = self.options.get("splits")
+        pieces = json.loads(splits) if splits else [(p, 0, 0, n) for p, n in files.list_files(self.options["path"])]
+        return reader(pieces, kept, int(self.options.get("parallelism", 1)))
 
 
-def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None = None) -> DataFrame:
+def read_warc(
+    spark: SparkSession, path: str, record_types: Sequence[str] | None = None, split_bytes: int = warc_splits.SPLIT_BYTES
+) -> DataFrame:
     """Records of all archives below ``path``, gzipped or plain.
 
     Other record types than response, request, metadata and warcinfo are only
-    read when asked for by name.
+    read when asked for by name. Uncompressed archives above ``split_bytes``
+    are read by several tasks. ``record_seq`` grows in file order.
     """
     spark.dataSource.register(WarcSource)
     reader = (
@@ -173,6 +190,9 @@ def read_warc(spark: SparkSession, path: str, record_types: Sequence[str] | None
         .option("parallelism", spark.sparkContext.defaultParallelism)
         .option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     )
+    listed = files.list_files(path)
+    if any(size > split_bytes for _, size in listed):
+        reader = reader.option("splits", json.dumps(warc_splits.plan(spark, listed, split_bytes)))
     if record_types:
         reader = reader.option("recordTypes", ",".join(record_types))
     return reader.load(path)

@@ -7,7 +7,7 @@ import json
 import pytest
 
 from crawlweave.operators.filters import responses
-from crawlweave.sources import files, har, warc
+from crawlweave.sources import files, har, warc, warc_splits
 
 
 def record(kind, url, block, **headers):
@@ -76,7 +76,7 @@ def test_filters_reach_the_source_and_stay_right(spark, tmp_path):
 def test_small_files_share_tasks_and_large_ones_do_not():
     mb = 1 << 20
     listed = [("a", 1 * mb), ("b", 1 * mb), ("c", 500 * mb), ("d", 2 * mb)]
-    assert list(files.pack(listed, 1)) == [["a", "b"], ["c"], ["d"]]
+    assert [[name for name, _ in group] for group in files.pack(listed, 1)] == [["a", "b"], ["c"], ["d"]]
 
 
 LOG = {"log": {"version": "1.2", "creator": {"name": "n"}, "pages": [], "entries": []}}
@@ -121,3 +121,21 @@ def test_har_objects_across_chunk_borders(monkeypatch, chunk):
         found = [(is_log, json.loads(raw)) for is_log, raw in har.iter_objects(io.BytesIO(text.encode()))]
         assert [e for is_log, e in found if not is_log] == ENTRIES
         assert [e["log"]["version"] for is_log, e in found if is_log] == ["1.2"]
+
+
+FAKE = b"x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: fake\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
+
+
+@pytest.mark.parametrize("split_bytes", [97, 400, 5000])
+def test_ranges_of_one_file_give_the_same_records(spark, tmp_path, split_bytes):
+    big = [record("response", f"https://e.example/{i}", PAGE + (FAKE * (i % 4) + b"-" * (i * 37 % 900))) for i in range(60)]
+    (tmp_path / "a.warc").write_bytes(b"".join(big))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(b"".join(big[:9])))
+    (tmp_path / "c.warc").write_bytes(b"".join(big[:5]) + b"garbage\r\n" + b"".join(big[5:9]))
+    shape = lambda df: sorted((r["path"], r["record_seq"], r["url"], bytes(r["content"])) for r in df.collect())
+    whole = shape(warc.read_warc(spark, str(tmp_path)))
+    assert len(whole) == 60 + 9 + 5 and "fake" not in {u for _, _, u, _ in whole}
+    split = warc.read_warc(spark, str(tmp_path), split_bytes=split_bytes)
+    assert shape(split) == whole
+    plan = warc_splits.plan(spark, files.list_files(str(tmp_path)), split_bytes)
+    assert len([p for p in plan if p[0].endswith("a.warc")]) > 3

@@ -133,11 +133,11 @@ def test_scrape_results(spark):
 def test_contents_in_all_shapes(spark):
     items = [
         {"contents": {"u1": {"html": "<p>", "markdown": "# x"}}, "links": {}},
-        {"contents": {"u2": "# Home"}},
+        {"contents": {"u2": "# Home", "u4": '{"a": 1}'}},
         {"pages": [{"url": "u3", "status_code": 200, "content": "c"}]},
     ]
     rows = payloads.parse_crawl_contents(frame(spark, items), default_format="markdown").collect()
-    assert sorted(map(tuple, rows)) == [("u1", "html", "<p>"), ("u1", "markdown", "# x"), ("u2", "markdown", "# Home"), ("u3", "markdown", "c")]
+    assert sorted(map(tuple, rows)) == [("u1", "html", "<p>"), ("u1", "markdown", "# x"), ("u2", "markdown", "# Home"), ("u3", "markdown", "c"), ("u4", "markdown", '{"a": 1}')]
 
 
 def test_extractions(spark):
