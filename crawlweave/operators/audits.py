@@ -23,7 +23,7 @@ def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
         robots_rules.filter(F.col("path") != "")
         .groupBy(F.lower("host").alias("host"))
         .agg(
-            F.collect_list(
+            F.collect_set(
                 F.struct(
                     F.length("path").alias("len"),
                     (F.lower("rule") == "allow").alias("allow"),

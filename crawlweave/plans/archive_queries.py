@@ -218,8 +218,8 @@ def extraction_results(spark, sf):
 
 @query(
     "sitemap_urls",
-    """SELECT 'https://maps.example/map-' || CAST(FLOOR(page_id / 100) AS BIGINT) || '.xml' AS sitemap_url, 'https://maps.example/index.xml' AS via_index, url AS loc, FALSE AS is_dead FROM crawl_pages
-       UNION ALL SELECT 'https://maps.example/dead.xml', 'https://maps.example/index.xml', NULL, TRUE""",
+    """SELECT 'https://maps.example/map-' || CAST(FLOOR(page_id / 100) AS BIGINT) || '.xml' AS sitemap_url, 'https://maps.example/index-' || CAST(FLOOR(page_id / 100000) AS BIGINT) || '.xml' AS via_index, url AS loc, FALSE AS is_dead FROM crawl_pages
+       UNION ALL SELECT DISTINCT 'https://maps.example/dead-' || CAST(FLOOR(page_id / 100000) AS BIGINT) || '.xml', 'https://maps.example/index-' || CAST(FLOOR(page_id / 100000) AS BIGINT) || '.xml', NULL, TRUE FROM crawl_pages""",
 )
 def sitemap_urls(spark, sf):
     path = fixtures.sitemap_files(spark, view(spark, sf, "crawl_pages").select("page_id", "url"))

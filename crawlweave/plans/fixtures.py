@@ -168,7 +168,7 @@ def extraction_lines(pages: DataFrame) -> DataFrame:
 
 
 def sitemap_files(spark: SparkSession, pages: DataFrame) -> str:
-    """One sitemap per page group and an index that also names a missing one. Files are written by tasks."""
+    """A sitemap per 100 pages and an index per 1000 sitemaps, each of which also names a missing one. Files are written by tasks."""
     xml_url = lambda c: F.concat(F.lit("<url><loc> "), F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
     group = F.floor(F.col("page_id") / 100)  # a protocol file is bounded; so is this group
     maps = pages.groupBy(group.alias("g")).agg(F.concat_ws("", F.collect_list(xml_url(F.col("url")))).alias("body")).select(
@@ -176,9 +176,10 @@ def sitemap_files(spark: SparkSession, pages: DataFrame) -> str:
         F.concat(F.lit('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), "body", F.lit("</urlset>")).alias("body"),
     )
     entry = lambda name: F.concat(F.lit("<sitemap><loc>https://maps.example/"), name, F.lit("</loc></sitemap>"))
-    index = maps.agg(F.concat_ws("", F.collect_list(entry(F.col("name")))).alias("body")).select(
-        F.lit("index.xml").alias("name"),
-        F.concat(F.lit("<sitemapindex>"), "body", entry(F.lit("dead.xml")), F.lit("</sitemapindex>")).alias("body"),
+    number = F.floor(F.regexp_extract("name", r"([0-9]+)", 1).cast("bigint") / 1000)
+    index = maps.groupBy(number.cast("string").alias("n")).agg(F.concat_ws("", F.collect_list(entry(F.col("name")))).alias("body")).select(
+        F.concat(F.lit("index-"), "n", F.lit(".xml")).alias("name"),
+        F.concat(F.lit("<sitemapindex>"), "body", entry(F.concat(F.lit("dead-"), "n", F.lit(".xml"))), F.lit("</sitemapindex>")).alias("body"),
     )
     path = fresh_dir(spark, "sitemaps")
 

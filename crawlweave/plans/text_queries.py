@@ -173,7 +173,7 @@ def nearest_vectors(spark, sf):
 )
 def page_file_plan(spark, sf):
     pages = view(spark, sf, "crawl_pages").select("page_id", "url", "content_type")
-    return page_sinks.plan_page_files(pages, seq="page_id").select("page_id", "file_name", "collision_rank")
+    return page_sinks.plan_page_files(pages, keys=("page_id",)).select("page_id", "file_name", "collision_rank")
 
 
 SITE = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -21,10 +21,17 @@ def file_name(url: Column, content_type: Column) -> Column:
     return F.when(named == extension, F.concat(flat, extension)).otherwise(named)
 
 
-def plan_page_files(pages: DataFrame, seq: str = "record_seq", bucket: Column | None = None) -> DataFrame:
-    """Add ``file_name`` and ``collision_rank`` (1 for the first page with that name)."""
+def plan_page_files(pages: DataFrame, keys: Sequence[str] = ("path", "record_seq"), width: int = 1_000_000) -> DataFrame:
+    """Add ``file_name`` and ``collision_rank`` (1 for the first page with that name, in key order).
+
+    ``keys`` identify a page; the last one is an integer. Names are ranked
+    without the bodies, and only the later pages of a taken name are joined back.
+    """
     named = pages.withColumn("file_name", file_name(F.col("url"), F.col("content_type")))
-    return ordering.running(named, ["file_name"], [seq], ordering.id_range(seq) if bucket is None else bucket, rank="collision_rank")
+    bucket = F.struct(*keys[:-1], ordering.id_range(keys[-1], width).alias("range"))
+    ranked = ordering.running(named.select(*keys, "file_name"), ["file_name"], list(keys), bucket, rank="collision_rank")
+    later = ranked.filter("collision_rank > 1").drop("file_name")
+    return named.join(later, list(keys), "left").withColumn("collision_rank", F.coalesce("collision_rank", F.lit(1)).cast("bigint"))
 
 
 def write_page_files(planned: DataFrame, path: str, content: str = "content") -> None:

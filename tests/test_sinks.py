@@ -41,7 +41,7 @@ def test_file_names(one, url, content_type, name):
 def test_page_files_do_not_overwrite_each_other(spark, tmp_path):
     rows = [(f"https://e.example/{d}/same", "text/html", i, f"body {i}") for i, d in enumerate("abc")]
     pages = spark.createDataFrame(rows, "url string, content_type string, record_seq bigint, content string").repartition(3)
-    P.write_page_files(P.plan_page_files(pages), str(tmp_path / "out"))
+    P.write_page_files(P.plan_page_files(pages, keys=("record_seq",)), str(tmp_path / "out"))
     found = {f.name: f.read_text() for f in (tmp_path / "out").iterdir()}
     assert found == {"same.html": "body 0", "same-2.html": "body 1", "same-3.html": "body 2"}
 
