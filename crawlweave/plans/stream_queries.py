@@ -70,10 +70,9 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
        FROM crawl_log GROUP BY crawler_uuid""",
 )
 def streamed_crawl_state(spark, sf):
-    updates = drain(ST.crawl_state_stream(log_stream(spark, sf, "log")), "crawl-state", "update")
-    names = ["urls_visited", "urls_extracted", "urls_failed", "urls_skipped", "api_credit_used", "start_us", "stop_us", "stop_reason"]
-    last = updates.groupBy("crawler_uuid").agg(F.max_by(F.struct(*names), "batch_id").alias("s"))
-    return last.select("crawler_uuid", "s.*")
+    stream = ST.crawl_state_stream(log_stream(spark, sf, "log"), shares=4)
+    merged = ST.merge_shares(drain(stream, "crawl-state", "update"))
+    return merged.drop("is_finished", "urls_to_crawl")
 
 
 @query(

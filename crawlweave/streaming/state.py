@@ -12,16 +12,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from crawlweave.functions.errors import MONITORED_CODES
 
 TERMINAL = ("crawler_finished", "crawler_stopped", "crawler_cancelled")
-COUNTERS = "visited bigint, failed bigint, skipped bigint, extracted bigint, credits bigint, first_us bigint, last_us bigint, stop_us bigint, stop_reason string"
+COUNTERS = "visited bigint, failed bigint, skipped bigint, extracted bigint, credits bigint, first_us bigint, last_us bigint, reason_us bigint, stop_reason string"
 STATE_OUT = (
-    "crawler_uuid string, urls_visited bigint, urls_extracted bigint, urls_failed bigint, urls_skipped bigint, "
-    "urls_to_crawl bigint, api_credit_used bigint, start_us bigint, stop_us bigint, stop_reason string, is_finished boolean"
+    "crawler_uuid string, salt int, urls_visited bigint, urls_extracted bigint, urls_failed bigint, urls_skipped bigint, "
+    "api_credit_used bigint, start_us bigint, stop_us bigint, reason_us bigint, stop_reason string, is_finished boolean"
 )
 GUARD_OUT = "crawler_uuid string, stop_rank bigint, event_id bigint, recent_failures bigint"
 
 
 class CrawlStateProcessor(StatefulProcessor):
-    """Counters of one crawl; cleared some time after its terminal event."""
+    """Counters of one share of a crawl; cleared some time after the crawl's terminal event."""
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
@@ -34,9 +34,15 @@ class CrawlStateProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         empty = (0, 0, 0, 0, 0, None, None, None, None)
-        visited, failed, skipped, extracted, credits, first, last, stop_us, reason = self.totals.get() or empty
-        finished = False
-        for batch in rows:
+        visited, failed, skipped, extracted, credits, first, last, reason_us, reason = self.totals.get() or empty
+        ended_us = None
+        for everything in rows:
+            ends = everything.loc[everything["event"].isin(TERMINAL), "ts_us"]
+            if len(ends):
+                ended_us = max(int(ends.max()), ended_us or 0)
+            batch = everything[everything["counted"]]
+            if batch.empty:
+                continue
             events = batch["event"]
             visited += int((events == "crawler_url_visited").sum())
             failed += int((events == "crawler_url_failed").sum())
@@ -52,17 +58,16 @@ class CrawlStateProcessor(StatefulProcessor):
             reasons = batch[batch["stop_reason"].notna()]
             if len(reasons):
                 top = reasons.loc[reasons["ts_us"].idxmax()]
-                if stop_us is None or int(top["ts_us"]) >= stop_us:
-                    stop_us, reason = int(top["ts_us"]), str(top["stop_reason"])
-            finished = finished or bool(events.isin(TERMINAL).any())
-        self.totals.update((visited, failed, skipped, extracted, credits, first, last, stop_us, reason))
-        if finished:
-            self.handle.registerTimer(last // 1000 + self.keep_ms)
+                if reason_us is None or int(top["ts_us"]) >= reason_us:
+                    reason_us, reason = int(top["ts_us"]), str(top["stop_reason"])
+        self.totals.update((visited, failed, skipped, extracted, credits, first, last, reason_us, reason))
+        if ended_us is not None:
+            self.handle.registerTimer(ended_us // 1000 + self.keep_ms)
         yield pd.DataFrame(
             {
-                "crawler_uuid": [key[0]], "urls_visited": [visited], "urls_extracted": [extracted], "urls_failed": [failed],
-                "urls_skipped": [skipped], "urls_to_crawl": [extracted - skipped], "api_credit_used": [credits],
-                "start_us": [first], "stop_us": [last], "stop_reason": [reason], "is_finished": [finished],
+                "crawler_uuid": [key[0]], "salt": [key[1]], "urls_visited": [visited], "urls_extracted": [extracted],
+                "urls_failed": [failed], "urls_skipped": [skipped], "api_credit_used": [credits], "start_us": [first],
+                "stop_us": [last], "reason_us": [reason_us], "stop_reason": [reason], "is_finished": [ended_us is not None],
             }
         )
 
@@ -75,21 +80,50 @@ class CrawlStateProcessor(StatefulProcessor):
         pass
 
 
-def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "10 minutes") -> DataFrame:
-    """Running URL counters per crawl, one row per crawl and micro-batch (update mode).
+def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "10 minutes", shares: int = 16) -> DataFrame:
+    """Running URL counters per crawl and share of its URLs (update mode).
 
-    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. The state
-    of a crawl is cleared once the watermark is ``keep_ms`` past its terminal
-    event. Batch twin: ``operators.stats.crawl_state``.
+    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. The URLs
+    of a crawl are dealt to ``shares`` by hash, so that one hot crawl is worked
+    on by as many tasks; ``merge_shares`` adds the shares up. A terminal event
+    reaches every share, which is cleared once the watermark is ``keep_ms``
+    past it. Batch twin: ``operators.stats.crawl_state``.
     """
-    slim = events.withWatermark("ts", delay).select(
-        "crawler_uuid", "event", "url", "api_credit", "ts", F.unix_micros("ts").alias("ts_us"), "stop_reason"
-    )
-    return slim.groupBy("crawler_uuid").transformWithStateInPandas(
+    own = F.pmod(F.xxhash64("url"), F.lit(shares)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(shares - 1))
+    reached = F.when(F.col("event").isin(*TERMINAL), every).otherwise(F.array(own))
+    slim = (
+        events.withWatermark("ts", delay)
+        .select(
+            "crawler_uuid", "event", "url", "api_credit", "ts", F.unix_micros("ts").alias("ts_us"), "stop_reason",
+            own.alias("own"), F.explode(reached).alias("salt"),
+        )
+        .withColumn("counted", F.col("salt") == F.col("own"))
+        .drop("own")
+    )
+    return slim.groupBy("crawler_uuid", "salt").transformWithStateInPandas(
         CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Update", timeMode="EventTime"
     )
 
 
+def merge_shares(updates: DataFrame, order: str = "batch_id") -> DataFrame:
+    """Latest state per crawl out of the updates written so far; ``order`` tells newer updates from older ones."""
+    rest = [c for c in updates.columns if c not in ("crawler_uuid", "salt", order)]
+    latest = updates.groupBy("crawler_uuid", "salt").agg(F.max_by(F.struct(*rest), order).alias("s")).select("crawler_uuid", "s.*")
+    sums = ["urls_visited", "urls_extracted", "urls_failed", "urls_skipped", "api_credit_used"]
+    return (
+        latest.groupBy("crawler_uuid")
+        .agg(
+            *[F.sum(c).alias(c) for c in sums],
+            F.min("start_us").alias("start_us"),
+            F.max("stop_us").alias("stop_us"),
+            F.max_by("stop_reason", "reason_us").alias("stop_reason"),
+            F.max("is_finished").alias("is_finished"),
+        )
+        .withColumn("urls_to_crawl", F.col("urls_extracted") - F.col("urls_skipped"))
+    )
+
+
 class FailureGuardProcessor(StatefulProcessor):
     """Flags of the last n attempts of one crawl; speaks once, when the guard trips."""
 
