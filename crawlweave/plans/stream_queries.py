@@ -70,7 +70,7 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
        FROM crawl_log GROUP BY crawler_uuid""",
 )
 def streamed_crawl_state(spark, sf):
-    stream = ST.crawl_state_stream(log_stream(spark, sf, "log"), shares=4)
+    stream = ST.crawl_state_stream(log_stream(spark, sf, "log"), shares=2)
     merged = ST.merge_shares(drain(stream, "crawl-state", "update"))
     return merged.drop("is_finished", "urls_to_crawl")
 
