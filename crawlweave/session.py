@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,23 +33,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` when the cluster sets it.
-
-    Only a local-mode session without that setting gets a temporary folder.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder in the warehouse where that is not set."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(root)
-        return root
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        current = tempfile.mkdtemp(prefix="crawlweave-")
-        context.setCheckpointDir(current)
-    return current
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return root
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
