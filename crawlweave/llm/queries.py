@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlweave.llm import bpe
-from crawlweave.session import table
+from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, token_files
+from crawlweave.session import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,49 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    read = token_files.read_token_files(spark, path)
+    return token_files.with_checksum(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_shared_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op4_line_dedup"] = """
+    WITH split AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS lines FROM documents),
+    lines AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines),
+    shared AS (
+        SELECT key, MAX(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING COUNT(DISTINCT doc_id) >= 3),
+    marked AS (
+        SELECT doc_id, line, pos, keeper IS NOT NULL AND doc_id <> keeper AS gone
+        FROM keyed LEFT JOIN shared USING (key))
+    SELECT doc_id, COUNT(*) AS n_lines, CAST(SUM(CAST(gone AS BIGINT)) AS BIGINT) AS n_dropped,
+           sha256(COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id"""
+
+
+@query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
+    taken = mixing.copies(sizes, ["doc_id"])
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
