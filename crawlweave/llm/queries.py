@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, token_files
+from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, quality, token_files
 from crawlweave.session import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.with_quality(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "score")
