@@ -268,20 +268,21 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame | None:
         pairs_left, rows = left.agg(F.coalesce(F.sum("p"), F.lit(0)), F.count(F.lit(1))).first()
         if not pairs_left:
             return labels
-        if turn and (pairs_left <= 8 * rows or not gained):
+        if turn and (pairs_left <= 64 * rows or 2 * pairs_left > pairs_before):
             break
+        pairs_before = pairs_left
         band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
         banded = entries.withColumn("band", band)
-        centre = banded.groupBy("tok", "band").agg(F.min("head").alias("centre"))
-        star = banded.join(centre, ["tok", "band"]).select(F.col("head.sid").alias("x"), F.col("centre.sid").alias("y"))
+        centre = banded.groupBy("tok", "band").agg(F.min(F.struct("head", "label")).alias("centre"))
+        star = banded.join(centre, ["tok", "band"]).where(F.col("label") != F.col("centre.label"))
+        star = star.select(F.col("head.sid").alias("x"), F.col("centre.head.sid").alias("y"))
         if not turn:  # members of a group with its centre
             of_group = classes.groupBy("gkey").agg(F.min("head").alias("centre"))
             star = star.union(classes.join(of_group, "gkey").select("head.sid", "centre.sid"))
         pairs = star.where("x <> y").selectExpr("least(x, y) AS a", "greatest(x, y) AS b").distinct()
         new = written(_verified(pairs, sets, percent), "links")
-        gained = not new.isEmpty()
         found = new if found is None else found.unionByName(new)
-        if gained:
+        if not new.isEmpty():
             labels = written(components(found), "labels")
         turn += 1
     # pairs of groups between different components, by n-gram; then their members

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, quality, token_files
+from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, quality, token_files, warc_salvage
 from crawlweave.session import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.with_quality(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept", "score")
+
+
+@query
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc_salvage.write_archives(table(spark, sf_dir, "pages"))
+    records = warc_salvage.read_archives(files, payload=False).where(F.col("reason").isNull())
+    return records.select(
+        warc_salvage.row_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc_salvage.row_id("refers_to").alias("refers_to"),
+    )
