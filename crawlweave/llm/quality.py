@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlweave.llm.shared import SPACES, WORD, written
+from crawlweave.llm.shared import SPACES, written
 
 FEATURES = 1 << 17
 PRIOR = 0.5
@@ -27,22 +27,21 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words_of(text: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
-def features_of(words: Column, features: int = FEATURES) -> Column:
-    """Feature numbers of the words and of the pairs of neighbours."""
-    n = F.lit(features)
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.pmod(F.xxhash64(a, b), n).cast("int"),
-    )
-    return F.concat(F.transform(words, lambda w: F.pmod(F.xxhash64(w), n).cast("int")), pairs)
+def feature(features: int, *words: Column) -> Column:
+    """Number of a word or of a pair."""
+    return F.pmod(F.xxhash64(*words), F.lit(features)).cast("int")
+
+
+def _next(words: Column) -> Column:
+    """The words without the first."""
+    return F.slice(words, F.lit(2), F.size(words))
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside runs of WINDOW words that occur at least twice."""
+def _repeated(runs: Column) -> Column:
+    """Words inside runs that occur at least twice; ``runs`` has the hash of the run from each word on."""
 
     def covered(places: Column) -> Column:
         nothing = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n"))
@@ -55,27 +54,27 @@ def _repeat_words(words: Column) -> Column:
             lambda acc: acc["n"],
         )
 
-    def repeated(found: Column) -> Column:
-        tagged = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    def places(rows: Column) -> Column:
+        same = lambda x, i, step: F.coalesce(F.get(rows, i + step)["h"] == x["h"], F.lit(False))
+        again = F.filter(rows, lambda x, i: same(x, i, 1) | F.when(i > 0, same(x, i, -1)).otherwise(False))
+        return F.transform(again, lambda x: x["i"])
 
-        def places(rows: Column) -> Column:
-            same = lambda x, i, step: F.coalesce(F.get(rows, i + step)["h"] == x["h"], F.lit(False))
-            return F.transform(
-                F.filter(rows, lambda x, i: same(x, i, 1) | F.when(i > 0, same(x, i, -1)).otherwise(False)), lambda x: x["i"]
-            )
+    tagged = F.sort_array(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return covered(F.sort_array(_let(tagged, places)))
 
-        return covered(F.sort_array(_let(tagged, places)))
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(WINDOW)))
-        )
+def _with_repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
+    """Hashes of runs of 1, 2, 4 and WINDOW words, each made from two of half the length, then what repeats.
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    any_twice = _let(
-        _let(hashes, windows), lambda found: F.when(F.size(F.array_distinct(found)) == F.size(found), F.lit(0)).otherwise(repeated(found))
-    )
-    return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(any_twice)
+    Every step is a column of its own that the next one names twice, so that it is computed once for a row.
+    """
+    out = df.withColumn("_run", F.transform(words, lambda w: F.xxhash64(w)))
+    for step in (1, 2, 4):
+        later = F.slice("_run", F.lit(1 + step), F.greatest(F.size("_run") - step, F.lit(0)))
+        early = F.slice("_run", F.lit(1), F.greatest(F.size("_run") - step, F.lit(0)))
+        out = out.withColumn("_run", F.zip_with(early, later, lambda a, b: F.xxhash64(a, b)))
+    once = F.size(F.array_distinct("_run")) == F.size("_run")
+    return out.withColumn(name, F.when(once, F.lit(0)).otherwise(_repeated(F.col("_run"))).cast("long")).drop("_run")
 
 
 def with_counts(df: DataFrame, text: str = "text", words: str = "_words") -> DataFrame:
@@ -91,8 +90,8 @@ def with_counts(df: DataFrame, text: str = "text", words: str = "_words") -> Dat
         .withColumn("word_chars", F.char_length(F.array_join(words, "")).cast("long"))
         .withColumn("n_symbols", F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("long"))
         .withColumn("n_dup_lines", _let(full, lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-        .withColumn("n_repeat_words", _repeat_words(F.col(words)).cast("long"))
     )
+    counted = _with_repeat_words(counted, words, "n_repeat_words")
     return counted.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
@@ -105,9 +104,15 @@ def feature_weights(
     trusted text all weights are 0.
     """
     ids = trusted.select(F.col(trusted.columns[0]).alias("_trusted")).where(F.col("_trusted").isNotNull()).distinct()
-    rows = df.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).join(ids, F.col("_doc") == F.col("_trusted"), "left")
-    exploded = rows.select(F.col("_trusted").isNotNull().cast("long").alias("_good"), F.explode(features_of(words_of("_text"), features)).alias("feature"))
-    counts = written(exploded.groupBy("feature").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good")), "feature-counts")
+    # one way for every size: a sort-merge join, where a broadcast of the ids would depend on how many there are
+    rows = df.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).join(ids.hint("merge"), F.col("_doc") == F.col("_trusted"), "left")
+    words = words_of("_text")
+    pairs = F.arrays_zip(words.alias("a"), _next(words).alias("b"))
+    exploded = rows.select(F.col("_trusted").isNotNull().cast("long").alias("_good"), F.explode(pairs).alias("_w"))
+    both = feature(features, F.col("_w.a")), F.when(F.col("_w.b").isNotNull(), feature(features, F.col("_w.a"), F.col("_w.b")))
+    hashed = exploded.select("_good", *[c.alias(f"_f{k}") for k, c in enumerate(both)])
+    hashed = hashed.select("_good", F.stack(F.lit(2), "_f0", "_f1").alias("feature")).where(F.col("feature").isNotNull())
+    counts = written(hashed.groupBy("feature").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good")), "feature-counts")
     all_raw, all_good = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
     spark = df.sparkSession
     full = spark.range(features).select(F.col("id").cast("int").alias("feature")).join(counts, "feature", "left")
@@ -135,8 +140,10 @@ def with_quality(
     weights = F.col("_weights")
     one = written(feature_weights(df, trusted, doc, text, features, prior), "feature-weights")
     rows = with_counts(df.withColumn("_words", words_of(text)).withColumn("_weights", one.scalar()), text)
-    total = lambda found: F.aggregate(found, F.lit(0.0), lambda acc, f: acc + F.get(weights, f))
-    mean = _let(features_of(F.col("_words"), features), lambda found: F.when(F.size(found) == 0, F.lit(0.0)).otherwise(total(found) / F.size(found)))
+    of = lambda *words: F.get(weights, feature(features, *words))
+    word, n = F.col("_words"), F.size("_words")
+    parts = F.zip_with(word, _next(word), lambda a, b: of(a) + F.when(b.isNotNull(), of(a, b)).otherwise(0.0))
+    mean = F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x) / (2 * n - 1))
     scored = rows.withColumn("score", mean)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop("_words", "_weights")
 
