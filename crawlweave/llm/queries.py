@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlweave.llm import bpe, jaccard_join, language_id, line_dedup, mixing, quality, token_files, warc_salvage
+from crawlweave.llm import bpe, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, token_files, warc_salvage
 from crawlweave.session import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     named = language_id.with_language(docs)
     return named.select("doc_id", language_id.held_out("doc_id", 5).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.with_scores(table(spark, sf_dir, "documents"))
+    counts = ["n_tokens", "n_known", "train_tokens"]
+    return scored.select("doc_id", language_id.held_out("doc_id", 10).alias("held_out"), *counts, "base_score", "score")
