@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlweave.llm import bpe, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, token_files, warc_salvage
+from crawlweave.llm import bpe, hash_forest, jaccard_join, language_id, line_dedup, lm_score, mixing, quality, token_files, warc_salvage
 from crawlweave.session import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm_score.with_scores(table(spark, sf_dir, "documents"))
     counts = ["n_tokens", "n_known", "train_tokens"]
     return scored.select("doc_id", language_id.held_out("doc_id", 10).alias("held_out"), *counts, "base_score", "score")
+
+
+@query
+def op2_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest(rows, rows.where("vec_id % 20 = 0"))
