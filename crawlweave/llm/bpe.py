@@ -208,7 +208,7 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(tokenizer)
-        for table in batches(rows, text, 6 << 20):
+        for table in batches(rows, text, 4 << 20):
             texts = [t or "" for t in table.column(text).to_pylist()]
             yield from _append(table, ids, pa.array(bpe.encode(texts), pa.binary()))
 
@@ -223,7 +223,7 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(tokenizer)
-        for table in batches(rows, ids, 6 << 20):
+        for table in batches(rows, ids, 4 << 20):
             values = [bpe.decode(x or b"") for x in table.column(ids).to_pylist()]
             yield from _append(table, text, pa.array(values, pa.string()))
 

@@ -18,7 +18,7 @@ class PieceCache:
     pieces that are remembered, not what is encoded. ``special`` maps literal strings to their ids.
     """
 
-    def __init__(self, encode: Encode, split: Callable[[str], list[str]], special: dict[str, int], limit: int = 150_000):
+    def __init__(self, encode: Encode, split: Callable[[str], list[str]], special: dict[str, int], limit: int = 100_000):
         self.encode, self.split, self.special, self.limit = encode, split, special, limit
         self.known: dict[str, bytes] = {}  # pieces that follow a blank, without it
         self.heads: dict[str, bytes] = {}  # pieces as they are

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from crawlweave.llm.components import components
-from crawlweave.llm.shared import batches, list_array, mix, shuffle_partitions, texts_of, word_hashes, word_spans, written
+from crawlweave.llm.shared import batches, list_array, mix, shuffle_partitions, texts_of, unused_prefix, word_hashes, word_spans, written
 
 HOT_LIMIT = 1 << 16
 BUCKET_TOKENS = 2_000_000
@@ -351,4 +351,5 @@ def near_duplicates(
 def one_of_each(df: DataFrame, doc: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """The rows whose document has the smallest id of its component; rows without an id stay."""
     found = near_duplicates(df, doc, text, **options).where(F.col("doc_id") != F.col("component_id"))
-    return df.join(found.select(F.col("doc_id").alias("_gone")), F.col(doc) == F.col("_gone"), "left_anti")
+    gone = unused_prefix(df) + "gone"
+    return df.join(found.select(F.col("doc_id").alias(gone)), F.col(doc) == F.col(gone), "left_anti")

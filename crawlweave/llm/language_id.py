@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.llm.gru import F32, Adam, Gru, softmax
-from crawlweave.llm.shared import batches, texts_of
+from crawlweave.llm.shared import batches, texts_of, unused_prefix
 
 UNKNOWN = "und"
 PAD = 256
@@ -141,23 +141,24 @@ def with_language(
     so is everything if there is nothing to learn from. Whole texts are read; the label is not. Columns of the added
     names are replaced, all others are kept.
     """
-    names, windows, labels = training_windows(df.where(~held_out(doc, folds)), text, label, doc, per_language, languages, 96)
-    marked = df.drop(predicted, score).withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    names, windows, labels = training_windows(df.select(doc, text, label).where(~held_out(doc, folds)), text, label, doc, per_language, languages, 96)
+    letters = unused_prefix(df) + "letters"
+    marked = df.drop(predicted, score).withColumn(letters, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     if not names:
-        return marked.drop("_letters").withColumns({predicted: F.lit(UNKNOWN), score: F.lit(0.0)})
+        return marked.drop(letters).withColumns({predicted: F.lit(UNKNOWN), score: F.lit(0.0)})
     model = BytesTagger(names)
     model.fit(windows, labels)
-    schema = marked.drop("_letters").schema.add(predicted, "string").add(score, "double")
+    schema = marked.drop(letters).schema.add(predicted, "string").add(score, "double")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(rows, text, 4 << 20):
             data, at = texts_of(table[text])
             means = model.document_means(data, at)
             best = means.argmax(axis=1)
-            some = table["_letters"].to_pylist()
+            some = table[letters].to_pylist()
             found = [names[k] if ok else UNKNOWN for k, ok in zip(best, some)]
             p = np.where(some, means[np.arange(len(best)), best], 0.0)
-            out = table.drop_columns(["_letters"]).append_column(predicted, pa.array(found, pa.string()))
+            out = table.drop_columns([letters]).append_column(predicted, pa.array(found, pa.string()))
             yield from out.append_column(score, pa.array(np.clip(p, 0, 1), pa.float64())).to_batches()
 
     return marked.mapInArrow(run, schema)

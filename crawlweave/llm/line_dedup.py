@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlweave.llm.shared import SPACES
+from crawlweave.llm.shared import SPACES, unused_prefix
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,15 +75,20 @@ def drop_shared_lines(
     Columns of the counts' names are replaced, all others are kept. A text that loses nothing stays as it is, null
     included; one that loses all its lines becomes empty.
     """
-    bitmaps = line_keep_bitmaps(df, doc, text, min_chars, min_docs)
-    rows = df.withColumn("_lines", lines_of(text)).drop(n_lines, n_dropped)
-    joined = rows.join(bitmaps, (F.col(doc) == F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_text")), "left")
-    kept = F.expr("filter(_lines, (x, i) -> coalesce(getbit(_keep[cast(i div 64 as int)], i % 64) = 1, true))")
-    out = joined.withColumn("_kept", F.when(F.col("_keep").isNotNull(), kept))
-    lost = F.size("_lines") - F.size("_kept")
+    own = unused_prefix(df)
+    lines, left, keep = own + "lines", own + "left", own + "keep"
+    bitmaps = line_keep_bitmaps(df, doc, text, min_chars, min_docs).select(
+        F.col("_doc").alias(own + "doc"), F.col("_text").alias(own + "text"), F.col("_keep").alias(keep)
+    )
+    rows = df.withColumn(lines, lines_of(text))
+    same = (F.col(doc) == F.col(own + "doc")) & (F.xxhash64(F.col(text)) == F.col(own + "text"))
+    joined = rows.join(bitmaps, same, "left")
+    kept = F.expr(f"filter({lines}, (x, i) -> coalesce(getbit({keep}[cast(i div 64 as int)], i % 64) = 1, true))")
+    loses = F.col(keep).isNotNull()
+    out = joined.withColumn(left, F.when(loses, kept))
     return (
-        out.withColumn(text, F.when(F.col("_keep").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col(text)))
-        .withColumn(n_lines, F.size("_lines").cast("long"))
-        .withColumn(n_dropped, F.when(F.col("_keep").isNotNull(), lost).otherwise(0).cast("long"))
-        .drop("_lines", "_kept", "_keep", "_doc", "_text")
+        out.withColumn(text, F.when(loses, F.array_join(left, "\n")).otherwise(F.col(text)))
+        .withColumn(n_lines, F.size(lines).cast("long"))
+        .withColumn(n_dropped, F.when(loses, F.size(lines) - F.size(left)).otherwise(0).cast("long"))
+        .drop(lines, left, keep, own + "doc", own + "text")
     )

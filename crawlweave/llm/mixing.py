@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from crawlweave.llm.shared import WORD, written
+from crawlweave.llm.shared import WORD, unused_prefix, written
 
 BLOCK_ROWS = 4096
 CERTAIN = 1e-12
@@ -185,22 +185,24 @@ def mixed(df: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
 
     A row is known by its id, source and text's hash; equal rows share out their copies.
     """
+    own = unused_prefix(df)
     identity = [F.col(doc).alias("_doc"), F.xxhash64(text).alias("_text"), F.col(source).alias("source")]
-    sizes = df.select(*identity, word_count(text).alias("size"))
-    taken = copies(sizes, ["_doc", "_text"], **options)
-    taken = taken.groupBy("_doc", "_text", F.col("source").alias("_source")).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    taken = copies(df.select(*identity, word_count(text).alias("size")), ["_doc", "_text"], **options)
+    names = {"_doc": own + "doc", "_text": own + "text", "source": own + "source"}
+    taken = taken.groupBy(*[F.col(a).alias(b) for a, b in names.items()]).agg(F.sort_array(F.collect_list("copies")).alias(own + "copies"))
     same = (
-        F.col(doc).eqNullSafe(F.col("_doc"))
-        & F.col(source).eqNullSafe(F.col("_source"))
-        & (F.xxhash64(F.col(text)) == F.col("_text"))
+        F.col(doc).eqNullSafe(F.col(own + "doc"))
+        & F.col(source).eqNullSafe(F.col(own + "source"))
+        & (F.xxhash64(F.col(text)) == F.col(own + "text"))
     )
     columns = [F.col(f"`{c}`") for c in df.columns]
+    found = own + "copies"
 
     def repeated(rows: DataFrame, times: Column) -> DataFrame:
-        return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*columns)
+        return rows.withColumn(own + "copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*columns)
 
     # only rows that repeat need a number of their own; the exchange of the texts serves both joins
-    single = repeated(df.join(taken.where(F.size("_copies") == 1), same), F.col("_copies")[0])
-    number = F.row_number().over(Window.partitionBy("_doc", "_text", "_source").orderBy(F.lit(1)))
-    several = df.join(taken.where(F.size("_copies") > 1), same).withColumn("_times", F.get("_copies", number - 1))
-    return single.unionByName(repeated(several, F.col("_times")))
+    single = repeated(df.join(taken.where(F.size(found) == 1), same), F.col(found)[0])
+    number = F.row_number().over(Window.partitionBy(*names.values()).orderBy(F.lit(1)))
+    several = df.join(taken.where(F.size(found) > 1), same).withColumn(own + "times", F.get(found, number - 1))
+    return single.unionByName(repeated(several, F.col(own + "times")))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlweave.llm.shared import SPACES, written
+from crawlweave.llm.shared import SPACES, unused_prefix, written
 
 FEATURES = 1 << 17
 PRIOR = 0.5
@@ -68,16 +68,17 @@ def _with_repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
 
     Every step is a column of its own that the next one names twice, so that it is computed once for a row.
     """
-    out = df.withColumn("_run", F.transform(words, lambda w: F.xxhash64(w)))
+    run = unused_prefix(df) + "run"
+    out = df.withColumn(run, F.transform(words, lambda w: F.xxhash64(w)))
     for step in (1, 2, 4):
-        later = F.slice("_run", F.lit(1 + step), F.greatest(F.size("_run") - step, F.lit(0)))
-        early = F.slice("_run", F.lit(1), F.greatest(F.size("_run") - step, F.lit(0)))
-        out = out.withColumn("_run", F.zip_with(early, later, lambda a, b: F.xxhash64(a, b)))
-    once = F.size(F.array_distinct("_run")) == F.size("_run")
-    return out.withColumn(name, F.when(once, F.lit(0)).otherwise(_repeated(F.col("_run"))).cast("long")).drop("_run")
+        length = F.greatest(F.size(run) - step, F.lit(0))
+        early, later = F.slice(run, F.lit(1), length), F.slice(run, F.lit(1 + step), length)
+        out = out.withColumn(run, F.zip_with(early, later, lambda a, b: F.xxhash64(a, b)))
+    once = F.size(F.array_distinct(run)) == F.size(run)
+    return out.withColumn(name, F.when(once, F.lit(0)).otherwise(_repeated(F.col(run))).cast("long")).drop(run)
 
 
-def with_counts(df: DataFrame, text: str = "text", words: str = "_words") -> DataFrame:
+def with_counts(df: DataFrame, text: str, words: str) -> DataFrame:
     """The base columns of a text: ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``.
 
     Null counts as empty, all its counts are 0 and it fails. ``words`` names a column with the text's words.
@@ -137,15 +138,16 @@ def with_quality(
     The score is the mean weight of a text's features, 0 for a text without words. Each row is judged on its own, so
     repeated rows and rows without an id are judged too. Columns of the added names are replaced.
     """
-    weights = F.col("_weights")
+    own = unused_prefix(df)
+    words, weights = own + "words", own + "weights"
     one = written(feature_weights(df, trusted, doc, text, features, prior), "feature-weights")
-    rows = with_counts(df.withColumn("_words", words_of(text)).withColumn("_weights", one.scalar()), text)
-    of = lambda *words: F.get(weights, feature(features, *words))
-    word, n = F.col("_words"), F.size("_words")
+    rows = with_counts(df.withColumn(words, words_of(text)).withColumn(weights, one.scalar()), text, words)
+    of = lambda *parts: F.get(weights, feature(features, *parts))
+    word, n = F.col(words), F.size(words)
     parts = F.zip_with(word, _next(word), lambda a, b: of(a) + F.when(b.isNotNull(), of(a, b)).otherwise(0.0))
     mean = F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x) / (2 * n - 1))
     scored = rows.withColumn("score", mean)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop("_words", "_weights")
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop(words, weights)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
