@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlweave.functions import urls
 from crawlweave.session import checkpointed
@@ -16,9 +16,8 @@ def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
     host are one file of limited size and travel as one array per host, so a
     visit stays one row through the join.
     """
-    regex = F.regexp_replace(F.col("path"), r"([.+?()\[\]{}|^\\])", r"\\$1")
-    regex = F.regexp_replace(regex, r"\*", ".*")
-    regex = F.regexp_replace(regex, r"\$(.)", r"\\\$$1")
+    ends = F.endswith("path", F.lit("$"))
+    pieces = F.split(F.when(ends, F.substr("path", F.lit(1), F.length("path") - 1)).otherwise(F.col("path")), r"\*", -1)
     rules = (
         robots_rules.filter(F.col("path") != "")
         .groupBy(F.lower("host").alias("host"))
@@ -28,8 +27,8 @@ def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
                     F.length("path").alias("len"),
                     (F.lower("rule") == "allow").alias("allow"),
                     F.col("path").alias("path"),
-                    F.concat(F.lit("^"), regex).alias("regex"),
-                    F.col("path").rlike(r"[*$]").alias("wild"),
+                    pieces.alias("pieces"),
+                    ends.alias("ends"),
                 )
             ).alias("rules")
         )
@@ -37,12 +36,24 @@ def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
     target = F.concat(urls.path(F.col("url")), F.regexp_extract(F.col("url"), r"^[^?#]*(\?[^#]*)", 1))
     located = visits.withColumn("_target", target).withColumn("host", urls.host(F.col("url")))
     joined = located.join(rules, "host", "left")
-    hits = F.filter(
-        "rules",
-        lambda r: F.when(r["wild"], F.rlike(F.col("_target"), r["regex"])).otherwise(
-            F.startswith(F.col("_target"), r["path"])
-        ),
-    )
+    url_text = F.col("_target")
+
+    def after(rule: Column) -> Column:
+        """Where the match of all pieces of a rule ends, each piece at its first place after the one before; null without one."""
+        first = F.when(F.startswith(url_text, rule["pieces"][0]), F.length(rule["pieces"][0]))
+        found = lambda piece, at: F.position(piece, url_text, at + 1)
+        step = lambda at, piece: F.when(found(piece, at) > 0, found(piece, at) - 1 + F.length(piece))
+        return F.aggregate(F.slice(rule["pieces"], 2, F.size(rule["pieces"])), first, step)
+
+    def hit(rule: Column) -> Column:
+        last = F.element_at(rule["pieces"], -1)
+        # before a closing $ the last piece stands at the very end, and the others end before it
+        whole = F.when(F.size(rule["pieces"]) == 1, url_text == last).otherwise(
+            F.endswith(url_text, last) & after(rule).isNotNull() & (F.length(url_text) >= after(rule))
+        )
+        return F.when(rule["ends"], whole).otherwise(after(rule).isNotNull())
+
+    hits = F.filter("rules", lambda r: F.coalesce(hit(r), F.lit(False)))
     return (
         joined.withColumn("_best", F.array_max(hits))
         .withColumn("matched_path", F.col("_best.path"))
@@ -82,26 +93,20 @@ def nofollow_audit(flagged: DataFrame, visits: DataFrame) -> DataFrame:
     return only_marked.join(seen, "target_url", "left_semi").drop("open_links")
 
 
-def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0, level_cap: int = 50) -> DataFrame:
+def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0) -> DataFrame:
     """Least number of links from a seed to each URL, per crawl.
 
     ``links``: crawler_uuid, source_url, target_url. ``seeds``: crawler_uuid,
-    url. ``max_depth`` 0 is unlimited and then bounded by ``level_cap``; going
-    beyond the cap raises instead of cutting the result short. One job per
+    url. ``max_depth`` 0 goes on until a level finds nothing new. One job per
     level; each frontier is checkpointed to the shared folder.
     """
-    limit = max_depth or level_cap
     edges = checkpointed(
         links.select("crawler_uuid", F.col("source_url").alias("url"), F.col("target_url").alias("next_url")).distinct()
     )
     frontier = checkpointed(seeds.select("crawler_uuid", "url").distinct())
     reached = frontier.withColumn("depth", F.lit(0))
     depth = 0
-    while not frontier.isEmpty():
-        if depth == limit:
-            if max_depth:
-                break
-            raise ValueError(f"crawl is deeper than level_cap={level_cap}")
+    while depth != (max_depth or -1) and not frontier.isEmpty():
         depth += 1
         found = frontier.join(edges, ["crawler_uuid", "url"]).select("crawler_uuid", F.col("next_url").alias("url")).distinct()
         frontier = checkpointed(found.join(reached, ["crawler_uuid", "url"], "left_anti"))
@@ -109,25 +114,25 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0, level_ca
     return reached
 
 
-def redirect_chains(hops: DataFrame, max_hops: int = 10) -> DataFrame:
+def redirect_chains(hops: DataFrame, order: str | None = None) -> DataFrame:
     """Where each redirecting URL ends, after how many hops, and whether it loops.
 
-    ``hops``: from_url, to_url, one target per URL. Only chains that are still
-    open take part in the next join. Following stops at ``max_hops``; a chain
-    longer than that is marked ``truncated``. Every URL keeps one row.
+    ``hops``: from_url, to_url. A URL that was seen to redirect to several
+    targets keeps the one of its last row by ``order``, without it the smallest.
+    Chains are followed to their end, or to the first URL that they meet again;
+    only those still open take part in the next join. Every URL keeps one row.
     """
-    step = checkpointed(hops.groupBy(F.col("from_url").alias("end_url")).agg(F.min("to_url").alias("_next")))
+    target = F.max_by("to_url", order) if order else F.min("to_url")
+    step = checkpointed(hops.groupBy(F.col("from_url").alias("end_url")).agg(target.alias("_next")))
     chains = step.select(
         F.col("end_url").alias("from_url"), F.col("_next").alias("end_url"), F.array("end_url").alias("seen"), F.lit(1).alias("hops")
     )
     finished = None
-    for length in range(1, max_hops + 1):
+    while True:
         looped = F.array_contains("seen", F.col("end_url"))
         followed = checkpointed(chains.join(step, "end_url", "left").withColumn("is_loop", looped))
-        closed = F.col("is_loop") | F.col("_next").isNull() | F.lit(length == max_hops)
-        done = followed.filter(closed).select(
-            "from_url", "end_url", "hops", "is_loop", (F.col("_next").isNotNull() & ~F.col("is_loop")).alias("truncated")
-        )
+        closed = F.col("is_loop") | F.col("_next").isNull()
+        done = followed.filter(closed).select("from_url", "end_url", "hops", "is_loop")
         finished = done if finished is None else finished.unionByName(done)
         chains = followed.filter(~closed).select(
             "from_url",

@@ -34,7 +34,8 @@ def responses(records: DataFrame) -> DataFrame:
 
 def filter_status(pages: DataFrame, code: int, column: str = "status_code") -> DataFrame:
     """Rows with this status; a missing or non-numeric status counts as 0."""
-    return pages.filter(status_number(pages, column) == code)
+    number = status_number(pages, column)
+    return pages.filter((number == code) | number.isNull() if code == 0 else number == code)
 
 
 def status_number(pages: DataFrame, column: str) -> Column:
@@ -50,9 +51,9 @@ def filter_content_type(pages: DataFrame, text: str, column: str = "content_type
     return pages.filter(F.contains(F.lower(F.col(column)), F.lit(text.lower())))
 
 
-def read_url(pages: DataFrame, url: str, seq: str = "record_seq") -> DataFrame:
-    """First record of exactly this URL; no row when absent."""
-    return pages.filter(F.col("url") == url).orderBy(seq).limit(1)
+def read_url(pages: DataFrame, url: str, order: Sequence[str] = ("path", "record_seq")) -> DataFrame:
+    """First record of exactly this URL, by file and place in it; no row when absent."""
+    return pages.filter(F.col("url") == url).orderBy(*order).limit(1)
 
 
 def page_contents(records: DataFrame) -> DataFrame:
@@ -349,8 +350,6 @@ def detect_blocked(pages: DataFrame, rules: Sequence[BlockRule], cost: int = 1)
     Needs ``url``, ``status_code``, ``headers`` (map with lower-case names) and ``content``.
     Rules are an ordered driver-side list and become one ``when`` chain, not a join.
     """
-    if len(rules) > 1000:
-        raise ValueError("at most 1000 rules")
     vendor = F.lit(None).cast("string")
     for rule in reversed(rules):
         tests = []

@@ -10,7 +10,6 @@ from crawlweave.functions import errors as E
 from crawlweave.operators import ordering
 from crawlweave.session import checkpointed
 
-TOP_ROWS = 100_000
 
 
 def failure_rate(
@@ -105,26 +104,21 @@ def assign_batches(
 def paginate(df: DataFrame, order: Sequence[str], page: int = 1, per_page: int = 100) -> DataFrame:
     """One page of a list; pages start at 1.
 
-    Early pages are a top-k. For deep ones the rows are range-partitioned by
-    the order, and only the partitions that overlap the page are sorted out.
+    The rows are laid out by ranges of the order; row counts of the ranges say
+    which of them the page overlaps, and only those are numbered.
     """
     if page < 1 or not 1 <= per_page <= 1000:
         raise ValueError("page starts at 1, per_page is 1 to 1000")
     offset = (page - 1) * per_page
-    if offset + per_page <= TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(per_page)
     # the layout must not change between the count and the read, hence the checkpoint
     laid_out = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    counts = laid_out.groupBy("_part").count().orderBy("_part").collect()  # one row per partition
-    done, parts, skip = 0, [], 0
-    for part, rows in counts:
-        if done + rows > offset and done < offset + per_page:
-            if not parts:
-                skip = offset - done
-            parts.append(part)
-        done += rows
-    chosen = laid_out.filter(F.col("_part").isin(*parts)) if parts else laid_out.limit(0)
-    return chosen.drop("_part").orderBy(*order).offset(skip).limit(per_page)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = laid_out.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    overlapping = starts.filter((F.col("_start") < offset + per_page) & (F.col("_start") + F.col("_rows") > offset)).drop("_rows")
+    number = F.col("_start") + F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    chosen = laid_out.join(overlapping, "_part").withColumn("_number", number)
+    return chosen.filter((F.col("_number") > offset) & (F.col("_number") <= offset + per_page)).drop("_part", "_start", "_number").orderBy(*order)
 
 
 def url_list_page(entries: DataFrame, status: str | None = None, page: int = 1, per_page: int = 100) -> DataFrame:

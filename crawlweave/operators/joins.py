@@ -13,13 +13,18 @@ FORMATS = ("html", "clean_html", "markdown", "text", "json", "extracted_data", "
 
 
 def dedupe_records(records: DataFrame, keep: str = "last", keys: Sequence[str] = ("url",), order: Sequence[str] = ("path", "record_seq")) -> DataFrame:
-    """First or last record per key. Aggregates on both sides of the shuffle, no sort per key."""
+    """First or last record per key; ``order`` tells the records of a key apart.
+
+    Only keys and order are aggregated, then the chosen records are joined back, so bodies are moved once and not sorted.
+    """
     if keep not in ("first", "last"):
         raise ValueError("keep is first or last")
-    rest = [c for c in records.columns if c not in keys]
-    pick = F.max_by if keep == "last" else F.min_by
-    best = pick(F.struct(*rest), F.struct(*order)).alias("r")
-    return records.groupBy(*keys).agg(best).select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
+    pick = F.max if keep == "last" else F.min
+    chosen = records.groupBy(*keys).agg(pick(F.struct(*order)).alias("_best")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(f"_best.{c}").alias(f"_o_{c}") for c in order]
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in order]
+    return records.join(chosen, same, "left_semi")
 
 
 def content_with_metadata(contents: DataFrame, records: DataFrame, keep: str = "last", keys: Sequence[str] = ("url",)) -> DataFrame:
@@ -74,13 +79,18 @@ def match_batch_results(requests: DataFrame, results: DataFrame, bucket_width: i
     )
 
 
-def lookup_urls(contents: DataFrame, wanted: DataFrame, formats: Sequence[str]) -> DataFrame:
-    """Content of the wanted URLs, one column per format. URLs without content are left out."""
+def lookup_urls(contents: DataFrame, wanted: DataFrame, formats: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Content of the wanted URLs, one column per format. URLs without content are left out.
+
+    Of several contents of a URL in one format the last by ``order`` counts; without an order they must not occur twice.
+    """
     unknown = set(formats) - set(FORMATS)
     if unknown:
         raise ValueError(f"unknown formats {sorted(unknown)}")
     found = contents.filter(F.col("format").isin(*formats) & F.col("content").isNotNull())
     found = found.join(wanted.select("url"), "url", "left_semi")
+    if order:
+        found = dedupe_records(found.select("url", "format", "content", *order), "last", ("url", "format"), order)
     return found.groupBy("url").pivot("format", list(formats)).agg(F.max("content"))
 
 
@@ -127,16 +137,15 @@ def retry_queue(
     """Next-attempt rows of failures worth another try.
 
     ``failures``: request_id, error_code, retryable, retry_after (nullable),
-    never_received. ``requests``: request_id, url, retry_times, priority, cache.
+    never_received (tried again after a second, whatever else the row says). ``requests``: request_id, url, retry_times, priority, cache.
     """
     retry = F.coalesce(F.col("retryable"), F.lit(False))
-    if "never_received" in failures.columns:
-        retry = retry | F.coalesce(F.col("never_received"), F.lit(False))
+    lost = F.coalesce(F.col("never_received"), F.lit(False)) if "never_received" in failures.columns else F.lit(False)
     custom = F.col("error_code").isin(*custom_codes) if custom_codes else F.lit(False)
-    chosen = failures.filter(retry | custom).select(
+    chosen = failures.filter(lost | retry | custom).select(
         "request_id",
         "error_code",
-        F.when(retry, F.coalesce(F.col("retry_after"), F.lit(1))).otherwise(F.lit(1)).alias("delay_s"),
+        F.when(retry & ~lost, F.coalesce(F.col("retry_after"), F.lit(1))).otherwise(F.lit(1)).alias("delay_s"),
     )
     attempt = F.coalesce(F.col("retry_times"), F.lit(0)) + 1
     return (

@@ -66,14 +66,14 @@ def within(
 
 
 def metric_columns() -> list[Column]:
-    """Metrics over rows pre-counted per millisecond of duration."""
+    """Metrics over rows pre-counted per millisecond of duration; the average is exact, the percentile one of milliseconds."""
     n = F.col("n")
     return [
         F.sum(n).alias("requests"),
         F.sum("ok").alias("successes"),
         (F.sum(n) - F.sum("ok")).alias("failures"),
         F.sum("credits").alias("credits"),
-        (F.sum(F.col("ms") * n) / F.sum(n) / 1000).alias("avg_duration"),
+        (F.sum("seconds") / F.sum(n)).alias("avg_duration"),
         (F.percentile("ms", F.lit(0.95), n) / 1000).alias("p95_duration"),
     ]
 
@@ -89,6 +89,7 @@ def pre_count(log: DataFrame, keys: Sequence[Column]) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("success")).alias("ok"),
         F.sum("api_credit").alias("credits"),
+        F.sum("duration").alias("seconds"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.functions import html as H, http, urls
@@ -179,29 +181,34 @@ def chunk_documents(documents: DataFrame, size: int = 1000, overlap: int = 200,
     return documents.filter(length > 0).select(*others, F.inline(pieces))
 
 
-def retrieve_top_k(vectors: DataFrame, queries: DataFrame, k: int = 4, max_queries: int = 1000) -> DataFrame:
-    """The k nearest vectors to each query by cosine similarity.
+def retrieve_top_k(vectors: DataFrame, queries: DataFrame, k: int = 4, block: int = 1024) -> DataFrame:
+    """The k nearest vectors to each query by cosine similarity; exact.
 
-    Exact and brute force: the checked, bounded query set is one array that
-    each vector row is scored against, and every task keeps its own k best per
-    query before the shuffle (Spark's window group limit).
+    Queries travel in blocks of ``block``. A batch of vectors is scored against a
+    block as one matrix product, and only the k best of each query leave it.
     """
-    n = queries.count()
-    if n > max_queries:
-        raise ValueError(f"{n} queries; at most {max_queries} in one call")
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    wanted = queries.agg(F.collect_list(F.struct("query_id", F.col("embedding").alias("q"), norm("embedding").alias("qn"))).alias("a"))
-    dot = lambda a, b: F.aggregate(
-        F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x
-    )
-    scored = (
-        vectors.withColumn("_n", norm("embedding"))
-        .withColumn("_q", F.explode(wanted.scalar()))
-        .select(
-            F.col("_q.query_id").alias("query_id"),
-            "vec_id",
-            F.try_divide(dot(F.col("embedding"), F.col("_q.q")), F.col("_n") * F.col("_q.qn")).alias("score"),
-        )
-    )
+    blocks = max(1, -(-queries.count() // block))
+    asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("_b"))
+    packed = asked.groupBy("_b").agg(F.collect_list(F.struct("query_id", "q")).alias("_q"))
+    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    query_type = queries.schema["query_id"].dataType.simpleString()
+    vec_type = vectors.schema["vec_id"].dataType.simpleString()
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, part in batch.groupby("_b"):
+                asked = part["_q"].iloc[0]
+                q = np.array([x["q"] for x in asked])
+                v = np.stack(part["v"].to_list())
+                length = np.linalg.norm(v, axis=1) * np.linalg.norm(q, axis=1)[:, None]
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    scores = np.where(length > 0, (q @ v.T) / length, np.nan)
+                ids = part["vec_id"].to_numpy()
+                for x, s in zip(asked, scores):
+                    best = np.lexsort((ids, np.where(np.isnan(s), np.inf, -s)))[:k]
+                    yield pd.DataFrame({"query_id": [x["query_id"]] * len(best), "vec_id": ids[best], "score": s[best]})
+
+    scored = rows.join(packed, "_b").mapInPandas(score, f"query_id {query_type}, vec_id {vec_type}, score double")
+    scored = scored.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

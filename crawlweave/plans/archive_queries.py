@@ -188,15 +188,15 @@ def rejected_crawl_events(spark, sf):
 
 @query(
     "crawl_status_payloads",
-    """SELECT crawler_uuid, status, is_success, status IN ('DONE', 'CANCELLED') AS is_finished, urls_visited, urls_extracted, FALSE AS rejected, COUNT(*) AS n
+    """SELECT crawler_uuid, status, is_success, status IN ('DONE', 'CANCELLED') AS is_finished, urls_visited, urls_extracted, CAST(NULL AS VARCHAR) AS reject_reason, COUNT(*) AS n
        FROM status_polls WHERE urls_extracted <> 3 GROUP BY ALL
-       UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, TRUE, COUNT(*) FROM status_polls WHERE urls_extracted = 3 HAVING COUNT(*) > 0""",
+       UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'missing state.urls_skipped', COUNT(*) FROM status_polls WHERE urls_extracted = 3 HAVING COUNT(*) > 0""",
 )
 def crawl_status_payloads(spark, sf):
     path = fixtures.write_lines(spark, fixtures.status_lines(view(spark, sf, "status_polls")), "status")
     accepted, rejected = payloads.read_crawl_status(spark, path)
-    rows = accepted.select("crawler_uuid", "status", "is_success", "is_finished", "urls_visited", "urls_extracted", F.lit(False).alias("rejected"))
-    lost = rejected.filter("reject_reason = 'missing state.urls_skipped'").select(F.lit(True).alias("rejected"))
+    rows = accepted.select("crawler_uuid", "status", "is_success", "is_finished", "urls_visited", "urls_extracted", F.lit(None).cast("string").alias("reject_reason"))
+    lost = rejected.select("reject_reason")
     out = rows.unionByName(lost, allowMissingColumns=True)
     return out.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 

@@ -110,8 +110,8 @@ def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
-STATE_JSON = """named_struct('urls_visited', k, 'urls_extracted', k * 2, 'urls_to_crawl', k, 'urls_failed', 0, 'urls_skipped', k, 'api_credit_used', 5, 'duration', 6.5,
-    'start_time', 1762940028, 'stop_time', 1762940034.25, 'stop_reason', stop_reason)"""
+STATE_JSON = """named_struct('urls_visited', k, 'urls_extracted', k * 2, 'urls_to_crawl', k, 'urls_failed', k % 7, 'urls_skipped', k, 'api_credit_used', k * 3, 'duration', k / 4,
+    'start_time', unix_timestamp(ts), 'stop_time', unix_timestamp(ts) + k / 4, 'stop_reason', stop_reason)"""
 
 
 def event_lines(log: DataFrame) -> DataFrame:

@@ -205,8 +205,8 @@ def crawl_depth_limited(spark, sf):
          SELECT from_url, to_url AS end_url, [from_url] AS seen, 1 AS hops FROM redirect_hops
          UNION ALL
          SELECT c.from_url, h.to_url, list_append(c.seen, c.end_url), c.hops + 1 FROM chain c JOIN redirect_hops h ON h.from_url = c.end_url
-         WHERE NOT list_contains(c.seen, c.end_url) AND c.hops < 10)
-       SELECT from_url, MAX_BY(end_url, hops) AS end_url, MAX(hops) AS hops, MAX_BY(list_contains(seen, end_url), hops) AS is_loop, FALSE AS truncated
+         WHERE NOT list_contains(c.seen, c.end_url))
+       SELECT from_url, MAX_BY(end_url, hops) AS end_url, MAX(hops) AS hops, MAX_BY(list_contains(seen, end_url), hops) AS is_loop
        FROM chain GROUP BY from_url""",
 )
 def redirect_chains(spark, sf):

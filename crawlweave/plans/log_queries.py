@@ -99,7 +99,7 @@ def error_totals(spark, sf):
 @query(
     "retry_queue",
     """SELECT f.request_id, r.url, f.error_code,
-              CASE WHEN f.retryable OR f.never_received THEN COALESCE(f.retry_after, 1) ELSE 1 END AS delay_s,
+              CASE WHEN f.never_received THEN 1 WHEN f.retryable THEN COALESCE(f.retry_after, 1) ELSE 1 END AS delay_s,
               r.retry_times + 1 AS attempt, r.priority + 100 AS priority, r.cache AS cache_clear
        FROM failures f JOIN requests r ON r.request_id = f.request_id
        WHERE (f.retryable OR f.never_received OR f.error_code = 'ERR::SCRAPE::NETWORK_ERROR') AND r.retry_times + 1 < 5""",
@@ -269,7 +269,7 @@ def trap_report(spark, sf):
 
 METRICS = """CAST(COUNT(*) AS BIGINT) AS requests, CAST(COUNT(CASE WHEN success THEN 1 END) AS BIGINT) AS successes,
     CAST(COUNT(CASE WHEN NOT success THEN 1 END) AS BIGINT) AS failures, CAST(SUM(api_credit) AS BIGINT) AS credits,
-    ROUND(AVG(ROUND(duration * 1000)) / 1000, 9) AS avg_duration, ROUND(quantile_cont(ROUND(duration * 1000), 0.95) / 1000, 9) AS p95_duration"""
+    ROUND(AVG(duration), 9) AS avg_duration, ROUND(quantile_cont(ROUND(duration * 1000), 0.95) / 1000, 9) AS p95_duration"""
 
 
 def rounded(df):

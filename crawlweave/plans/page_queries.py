@@ -410,10 +410,10 @@ def parsed_api_timestamps(spark, sf):
 @query(
     "error_code_parts",
     """SELECT event_id, CASE WHEN k % 3 = 0 THEN NULL ELSE split_part(error_code, '::', 2) END AS resource
-       FROM crawl_log WHERE error_code IS NOT NULL""",
+       FROM crawl_log""",
 )
 def error_code_parts(spark, sf):
-    log = view(spark, sf, "crawl_log").filter(F.col("error_code").isNotNull())
+    log = view(spark, sf, "crawl_log")
     code = F.when(F.col("k") % 3 == 0, F.concat("error_code", F.lit("::EXTRA"))).otherwise(F.col("error_code"))
     return log.select("event_id", E.error_resource(code).alias("resource"))
 
@@ -437,7 +437,7 @@ SECRETS = ("first-secret", "k" * 80)
 
 @query(
     "verified_signatures",
-    """, padded AS (SELECT event_id, encode(url || error_code) AS body FROM crawl_log WHERE error_code IS NOT NULL),
+    """, padded AS (SELECT event_id, encode(url || event || event_id) AS body FROM crawl_log),
        pads AS (SELECT unhex(i) AS i, unhex(o) AS o FROM (VALUES (
          '__INNER__', '__OUTER__')) AS t(i, o))
        SELECT event_id, upper(sha256(o || unhex(sha256(i || body)))) AS digest, event_id % 3 <> 2 AS verified FROM padded, pads"""
@@ -445,8 +445,8 @@ SECRETS = ("first-secret", "k" * 80)
     .replace("__OUTER__", signing.pads(SECRETS[0])[1].hex()),
 )
 def verified_signatures(spark, sf):
-    log = view(spark, sf, "crawl_log").filter(F.col("error_code").isNotNull())
-    bodies = log.select("event_id", F.concat("url", "error_code").alias("raw"))
+    log = view(spark, sf, "crawl_log")
+    bodies = log.select("event_id", F.concat("url", "event", "event_id").alias("raw"))
     pairs = [signing.pads(s) for s in SECRETS]
     digest = lambda pair: signing.hmac_hex(F.col("raw").cast("binary"), F.lit(pair[0]), F.lit(pair[1]))
     signed = bodies.withColumn("digest", digest(pairs[0])).withColumn(

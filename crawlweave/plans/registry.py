@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlweave.session import spread_scan, table
+from crawlweave.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,12 +100,13 @@ VIEWS: dict[str, str] = {
                     UNION ALL SELECT 4, page_id, url FROM pages) AS c) AS a
         JOIN pages AS b ON b.page_id = a.next_id""",
     "page_seeds": "SELECT CAST(page_id % 5 AS VARCHAR(10)) AS crawler_uuid, url FROM pages WHERE page_id < 5",
-    # redirects between pages: chains of up to seven hops, some of them loops
+    # every page redirects: chains of up to twenty hops to a target outside, some of them loops
     "redirect_hops": """
-        SELECT a.url AS from_url, b.url AS to_url
-        FROM (SELECT url, CASE WHEN page_id % 40 = 9 THEN page_id - 3 ELSE page_id + 1 END AS next_id
-              FROM pages WHERE page_id % 20 BETWEEN 2 AND 9) AS a
-        JOIN pages AS b ON b.page_id = a.next_id""",
+        SELECT a.from_url, COALESCE('#' || CAST(b.page_id AS VARCHAR(20)) || ' ' || b.url, 'https://gone.example/' || CAST(a.page_id AS VARCHAR(20))) AS to_url
+        FROM (SELECT '#' || CAST(page_id AS VARCHAR(20)) || ' ' || url AS from_url, page_id,
+                     CASE WHEN page_id % 40 = 9 THEN page_id - 3 WHEN page_id % 20 = 15 THEN -1 ELSE page_id + 1 END AS next_id
+              FROM pages) AS a
+        LEFT JOIN pages AS b ON b.page_id = a.next_id""",
 }
 
 
@@ -128,13 +129,12 @@ def needed_views(name: str) -> list[str]:
     return out
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A view over the given tables as a DataFrame; ``spread`` for work that is heavy on the CPU."""
-    for raw in ("pages", "events"):
-        rows = table(spark, sf_dir, raw)
-        (spread_scan(rows) if spread else rows).createOrReplaceTempView(raw)
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view over the given tables as a DataFrame."""
     ctes = ", ".join(f"{v} AS ({VIEWS[v]})" for v in needed_views(name))
-    return spark.sql(f"WITH {ctes} SELECT * FROM {name}")
+    raw = "pages AS (SELECT * FROM {raw_pages}), events AS (SELECT * FROM {raw_events})"
+    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
+    return spark.sql(f"WITH {raw}, {ctes} SELECT * FROM {name}", raw_pages=pages, raw_events=events)
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:

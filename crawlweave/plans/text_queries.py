@@ -46,7 +46,7 @@ SQL_MARKDOWN = sql_trim(sql_rules(sql_entities(sql_rules(VISIBLE, [H.HEAD] + H.m
         UNION ALL SELECT url, 'markdown', md5({SQL_MARKDOWN}), length({SQL_MARKDOWN}) FROM crawl_pages""",
 )
 def converted_pages(spark, sf):
-    pages = view(spark, sf, "crawl_pages", spread=True).select("url", "content")
+    pages = view(spark, sf, "crawl_pages").select("url", "content")
     out = text.convert_html(pages, ["text", "clean_html", "markdown"])
     return out.select("url", "format", F.md5("content").alias("digest"), F.length("content").cast("bigint").alias("chars"))
 
@@ -60,7 +60,7 @@ SQL_MAIN = sql_trim(sql_rules(sql_entities(sql_rules(
 
 @query("main_content_markdown", f"SELECT url, md5({SQL_MAIN}) AS digest, length({SQL_MAIN}) AS chars FROM crawl_pages")
 def main_content_markdown(spark, sf):
-    pages = view(spark, sf, "crawl_pages", spread=True).select("url", "content")
+    pages = view(spark, sf, "crawl_pages").select("url", "content")
     out = text.convert_html(pages, ["markdown"], options=["only_content", "no_links", "no_images"])
     return out.select("url", F.md5("content").alias("digest"), F.length("content").cast("bigint").alias("chars"))
 
@@ -72,7 +72,7 @@ def main_content_markdown(spark, sf):
                CAST(NULL AS VARCHAR) AS description FROM crawl_pages""",
 )
 def page_metadata(spark, sf):
-    return text.page_metadata(view(spark, sf, "crawl_pages", spread=True)).select("url", "title", "h1", "lang", "charset", "description")
+    return text.page_metadata(view(spark, sf, "crawl_pages")).select("url", "title", "h1", "lang", "charset", "description")
 
 
 @query(
@@ -81,7 +81,7 @@ def page_metadata(spark, sf):
         SELECT url, to_json({{'title': trim({sql_entities("regexp_extract(content, '<title>([^<]*)</title>', 1)")}), 'lang': regexp_extract(content, '<html lang="([^"]*)"', 1)}}) AS j FROM crawl_pages) AS t""",
 )
 def page_metadata_json(spark, sf):
-    out = text.convert_html(view(spark, sf, "crawl_pages", spread=True).select("url", "content"), ["json"])
+    out = text.convert_html(view(spark, sf, "crawl_pages").select("url", "content"), ["json"])
     return out.select("url", F.get_json_object("content", "$.title").alias("title"), F.get_json_object("content", "$.lang").alias("lang"))
 
 
@@ -184,13 +184,12 @@ SITE = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
     f""", m AS (SELECT {SITE} AS site, url, {SQL_MARKDOWN} AS md FROM crawl_pages WHERE status_code = 200),
     k AS (SELECT * FROM m WHERE md <> ''), c AS (SELECT site, COUNT(*) AS n FROM k GROUP BY site)
     SELECT site, 1 AS part, url, md5('---' || chr(10) || chr(10) || '### ' || url || chr(10) || chr(10) || md || chr(10)) AS digest FROM k
-    UNION ALL SELECT site, 0, '', md5('# Site' || chr(10) || chr(10) || '> All pages' || chr(10) || chr(10) || '## About' || chr(10) || chr(10) ||
-        'This document contains content crawled from ' || site || chr(10) || chr(10) || '## Content' || chr(10)) FROM c
-    UNION ALL SELECT site, 2, '', md5('---' || chr(10) || chr(10) || '## Metadata' || chr(10) || chr(10) || '- **Total pages**: ' || n || chr(10) ||
-        '- **Source**: ' || site || chr(10) || '- **Format**: llms.txt (https://llmstxt.org)') FROM c""",
+    UNION ALL SELECT site, 0, '', md5('# Site' || chr(10) || chr(10) || '> All pages' || chr(10) || chr(10) || 'Text of the pages of ' || site || chr(10) || chr(10) || '## Pages' || chr(10)) FROM c
+    UNION ALL SELECT site, 2, '', md5('---' || chr(10) || chr(10) || '## Summary' || chr(10) || chr(10) || 'Pages in this file: ' || n || chr(10) ||
+        'Site: ' || site || chr(10)) FROM c""",
 )
 def site_text_sections(spark, sf):
-    pages = view(spark, sf, "crawl_pages", spread=True).select("url", "status_code", "content")
+    pages = view(spark, sf, "crawl_pages").select("url", "status_code", "content")
     made = text.convert_html(pages, ["markdown"]).withColumn("site", F.regexp_extract("url", urls.ORIGIN, 1))
     return page_sinks.build_llms_txt(made, "Site", "All pages").select("site", "part", "url", F.md5("section").alias("digest"))
 
@@ -219,7 +218,7 @@ TEMPLATE = {
               CASE WHEN len(hrefs) > 0 THEN 1.0::DOUBLE END AS first_anchors FROM v""",
 )
 def extracted_fields(spark, sf):
-    out = extract.extract_fields(view(spark, sf, "crawl_pages", spread=True).select("url", "content"), TEMPLATE)
+    out = extract.extract_fields(view(spark, sf, "crawl_pages").select("url", "content"), TEMPLATE)
     get = lambda path, kind: F.try_variant_get("data", path, kind)
     rows = out.select("url", get("$.heading", "string").alias("heading"), get("$.links", "array<string>").alias("l"),
                       get("$.items", "array<struct<label:string,target:string,anchors:double>>").alias("i"))

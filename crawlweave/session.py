@@ -56,13 +56,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """A bare file scan with at least one partition per core.
-
-    Only a scan with fewer splits than the cluster has cores, which is small by
-    that fact, is shuffled; a large one is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -52,4 +52,4 @@ def test_site_text(spark, tmp_path):
     P.write_llms_txt(P.build_llms_txt(pages, "Docs", "All of it"), str(tmp_path / "txt"))
     text = "".join(f.read_text() for f in sorted((tmp_path / "txt" / "site=s").glob("*.txt")))
     assert text.startswith("# Docs\n\n> All of it\n") and text.index("### https://e.example/a") < text.index("### https://e.example/b\n\n# B\n")
-    assert "e.example/c" not in text and "e.example/d" not in text and "- **Total pages**: 2" in text
+    assert "e.example/c" not in text and "e.example/d" not in text and "Pages in this file: 2" in text
