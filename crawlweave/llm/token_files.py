@@ -18,7 +18,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crawlweave.llm.bpe import PRE_TOKENS
+from crawlweave.llm.bpe import PRE_TOKENS, byte_letters
 from crawlweave.llm.chunks import PieceCache
 from crawlweave.llm.shared import batches, list_array
 
@@ -32,15 +32,39 @@ def _loaded(path: str) -> PieceCache:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    letters = dict(enumerate(byte_letters()))
+    tokenize = tokenizer.model.tokenize  # of one pre-token, quicker than a call of the whole tokenizer
+
+    def of_word(word: str) -> bytes:
+        found = tokenize(word.encode().decode("latin-1").translate(letters))
+        return b"".join([t.id.to_bytes(4, "little") for t in found])
+
     def encode(pieces: list[str]) -> list[bytes]:
+        words: dict[str, bytes] = {}
         out: list[bytes] = []
-        for k in range(0, len(pieces), 20_000):
-            coded = tokenizer.encode_batch_fast(pieces[k : k + 20_000], add_special_tokens=False)
-            out += [np.array(x.ids, "<u4").tobytes() for x in coded]
+        other: list[int] = []
+        for piece in pieces:
+            body = piece[1:] if piece[:1] == " " else piece
+            word = piece
+            if not body.isalpha():
+                word = piece[:-1]
+                if body[-1:] not in (",", ".") or not body[:-1].isalpha():
+                    other.append(len(out))
+                    out.append(b"")
+                    continue
+            ids = words.get(word)
+            if ids is None:
+                ids = words[word] = of_word(word)
+            out.append(ids if word is piece else ids + of_mark[piece[-1]])
+        for k in range(0, len(other), 20_000):
+            part = other[k : k + 20_000]
+            for i, x in zip(part, tokenizer.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
+                out[i] = np.array(x.ids, "<u4").tobytes()
         return out
 
+    of_mark = {mark: of_word(mark) for mark in ",."}
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return PieceCache(encode, regex.compile(PRE_TOKENS).findall, special)
+    return PieceCache(encode, regex.compile(PRE_TOKENS).findall, special, limit=250_000)
 
 
 def write_token_files(
@@ -96,17 +120,27 @@ def write_token_files(
     writer.parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
-    """The rows of token files with ``start``, the number of ids of all documents before; without ``ids`` only metadata.
+def read_parts(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The rows of token files as written, or some of their columns; the rest is not read."""
+    rows = spark.read.parquet(path)
+    return rows.select(*columns) if columns else rows
+
+
+def with_starts(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Replace ``part`` and ``offset`` by ``start``, the number of ids of all documents before.
 
     The totals of the parts, one row for each file, are summed up in order; rows find theirs by the part's number.
     """
-    rows = spark.read.parquet(path)
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
+    totals = read_parts(spark, path, ["part", "n_tokens"]).groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    kept = rows if ids else rows.drop("ids")
-    return kept.join(bases, "part").withColumn("start", F.col("_base") + F.col("offset")).drop("_base", "offset", "part")
+    return rows.join(bases, "part").withColumn("start", F.col("_base") + F.col("offset")).drop("_base", "offset", "part")
+
+
+def read_token_files(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
+    """The rows of token files with ``start``; without ``ids`` only metadata."""
+    rows = read_parts(spark, path)
+    return with_starts(rows if ids else rows.drop("ids"), spark, path)
 
 
 def with_checksum(df: DataFrame, ids: str = "ids", name: str = "ids_crc32") -> DataFrame:
