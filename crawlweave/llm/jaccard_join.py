@@ -285,15 +285,24 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame | None:
         if not new.isEmpty():
             labels = written(components(found), "labels")
         turn += 1
-    # pairs of groups between different components, by n-gram; then their members
-    low, high = per_label.select("tok", F.col("label").alias("la")), per_label.select("tok", F.col("label").alias("lb"))
-    label_pairs = low.join(high, "tok").where("la < lb")
+    # pairs of components, by n-gram, as far as the sizes and places of their groups allow; then their groups and members
+    after = F.coalesce(F.col("n") - F.col("own") - F.col("pos"), F.col("n"))
+    bounds = entries.groupBy("tok", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(after).alias("after"))
+    side = lambda x: bounds.select("tok", *[F.col(c).alias(c + x) for c in ("label", "low", "high", "after")])
+    possible = F.expr(
+        f"labela < labelb AND 100 * least(higha, highb) >= {percent} * greatest(lowa, lowb) "
+        f"AND {100 + percent} * least(aftera, afterb) >= {percent} * (lowa + lowb)"
+    )
+    label_pairs = side("a").alias("a").join(side("b").alias("b"), (F.col("a.tok") == F.col("b.tok")) & possible)
+    label_pairs = label_pairs.select(F.col("a.tok").alias("tok"), F.col("labela").alias("la"), F.col("labelb").alias("lb"))
     one = entries.select("tok", F.col("label").alias("la"), F.col("gkey").alias("ga"), F.col("n").alias("na"), (F.col("own") + F.col("pos")).alias("pa"))
     two = entries.select("tok", F.col("label").alias("lb"), F.col("gkey").alias("gb"), F.col("n").alias("nb"), (F.col("own") + F.col("pos")).alias("pb"))
     alike = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (
-        F.col("pa").isNull() | ((100 + percent) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= percent * (F.col("na") + F.col("nb")))
+        F.col("pa").isNull() | F.col("pb").isNull() | ((100 + percent) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= percent * (F.col("na") + F.col("nb")))
     )
-    group_pairs = label_pairs.join(one, ["tok", "la"]).join(two, ["tok", "lb"]).where(alike).select("ga", "la", "gb", "lb").distinct()
+    first = label_pairs.join(one, ["tok", "la"])
+    on = (first["tok"] == two["tok"]) & (first["lb"] == two["lb"]) & alike
+    group_pairs = first.join(two, on).select("ga", "la", "gb", first["lb"]).distinct()
     of = node.select("gkey", label.alias("label"), "sid")
     member_pairs = (
         group_pairs.join(of.select(F.col("gkey").alias("ga"), F.col("label").alias("la"), F.col("sid").alias("x")), ["ga", "la"])

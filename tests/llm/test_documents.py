@@ -134,10 +134,11 @@ def test_quality(spark, docs, texts, empty):
 
 def test_quality_tells_junk_from_prose(spark):
     rng = random.Random(5)
-    rows = [(i, " ".join(f"{rng.choice('aeiou')}{rng.randrange(50)}" for _ in range(80))) for i in range(200)]
-    rows += [(200 + i, " ".join(f"{rng.choice('aeiou')}{rng.randrange(50)}{rng.choice(['$$$', '###'])}" for _ in range(80))) for i in range(60)]
+    word = lambda: f"{rng.choice('aeiou')}{rng.randrange(12)}"
+    rows = [(i, " ".join(word() for _ in range(200))) for i in range(200)]
+    rows += [(200 + i, " ".join(word() + rng.choice(["$$$", "###"]) for _ in range(200))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    trusted = spark.range(0, 100).selectExpr("id AS doc_id")
+    trusted = spark.range(0, 150).selectExpr("id AS doc_id")
     kept = {r.doc_id for r in quality.with_quality(docs, trusted).where("kept").collect()}
     assert kept == set(range(200))
 
