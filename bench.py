@@ -26,6 +26,10 @@ QUERIES = [
     "nearest_vectors",
     "warc_responses",
     "extracted_fields",
+    "site_text_sections",
+    "crawl_depth",
+    "page_file_plan",
+    "streamed_crawl_state",
 ]
 
 

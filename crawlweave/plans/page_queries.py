@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from crawlweave.functions import errors as E, http, signing, urls
 from crawlweave.operators import filters, guards, joins, stats, text
 from crawlweave.plans.registry import query, view
+from crawlweave.session import table
 
 
 @query(
@@ -330,8 +331,7 @@ URL_VARIANTS = """
     FROM v""",
 )
 def normalized_urls(spark, sf):
-    view(spark, sf, "crawl_pages")
-    variants = spark.sql(URL_VARIANTS)
+    variants = spark.sql(f"WITH pages AS (SELECT * FROM {{raw}}) {URL_VARIANTS}", raw=table(spark, sf, "pages"))
     cleaned = urls.normalize_url(F.col("variant"), drop_params=("utm_source", "sid"))
     return variants.select("page_id", cleaned.alias("normalized"))
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from crawlweave.functions.errors import MONITORED_CODES
 
 TERMINAL = ("crawler_finished", "crawler_stopped", "crawler_cancelled")
-COUNTERS = "visited bigint, failed bigint, skipped bigint, extracted bigint, credits bigint, first_us bigint, last_us bigint, reason_us bigint, stop_reason string"
+COUNTERS = "visited bigint, failed bigint, skipped bigint, extracted bigint, credits bigint, first_us bigint, last_us bigint, reason_us bigint, stop_reason string, ended_us bigint, closed boolean"
 STATE_OUT = (
     "crawler_uuid string, salt int, urls_visited bigint, urls_extracted bigint, urls_failed bigint, urls_skipped bigint, "
     "api_credit_used bigint, start_us bigint, stop_us bigint, reason_us bigint, stop_reason string, is_finished boolean"
@@ -21,7 +21,11 @@ GUARD_OUT = "crawler_uuid string, stop_rank bigint, event_id bigint, recent_fail
 
 
 class CrawlStateProcessor(StatefulProcessor):
-    """Counters of one share of a crawl; cleared some time after the crawl's terminal event."""
+    """Counters of one share of a crawl.
+
+    Some time after the crawl's terminal event the share is closed: the set of URLs is dropped, the final counters and
+    the end mark stay, and rows that come later are ignored.
+    """
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
@@ -33,9 +37,10 @@ class CrawlStateProcessor(StatefulProcessor):
         self.seen = handle.getMapState("seen", "url string", "hit boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        empty = (0, 0, 0, 0, 0, None, None, None, None)
-        visited, failed, skipped, extracted, credits, first, last, reason_us, reason = self.totals.get() or empty
-        ended_us = None
+        empty = (0, 0, 0, 0, 0, None, None, None, None, None, False)
+        visited, failed, skipped, extracted, credits, first, last, reason_us, reason, ended_us, closed = self.totals.get() or empty
+        if closed:
+            return
         for everything in rows:
             ends = everything.loc[everything["event"].isin(TERMINAL), "ts_us"]
             if len(ends):
@@ -60,7 +65,7 @@ class CrawlStateProcessor(StatefulProcessor):
                 top = reasons.loc[reasons["ts_us"].idxmax()]
                 if reason_us is None or int(top["ts_us"]) >= reason_us:
                     reason_us, reason = int(top["ts_us"]), str(top["stop_reason"])
-        self.totals.update((visited, failed, skipped, extracted, credits, first, last, reason_us, reason))
+        self.totals.update((visited, failed, skipped, extracted, credits, first, last, reason_us, reason, ended_us, False))
         if ended_us is not None:
             self.handle.registerTimer(ended_us // 1000 + self.keep_ms)
         yield pd.DataFrame(
@@ -72,7 +77,7 @@ class CrawlStateProcessor(StatefulProcessor):
         )
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        self.totals.clear()
+        self.totals.update((*self.totals.get()[:-1], True))
         self.seen.clear()
         yield from ()
 
@@ -86,8 +91,8 @@ def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str =
     ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. The URLs
     of a crawl are dealt to ``shares`` by hash, so that one hot crawl is worked
     on by as many tasks; ``merge_shares`` adds the shares up. A terminal event
-    reaches every share, which is cleared once the watermark is ``keep_ms``
-    past it. Batch twin: ``operators.stats.crawl_state``.
+    reaches every share, which is closed once the watermark is ``keep_ms``
+    past it; events that come after that no longer count. Batch twin: ``operators.stats.crawl_state``.
     """
     own = F.pmod(F.xxhash64("url"), F.lit(shares)).cast("int")
     every = F.sequence(F.lit(0), F.lit(shares - 1))

@@ -17,7 +17,7 @@ def feed(spark, path, batches):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_a_finished_crawl_is_cleared_in_every_share(spark, tmp_path):
+def test_a_finished_crawl_keeps_its_totals_in_every_share(spark, tmp_path):
     at = lambda hours: T0 + dt.timedelta(hours=hours)
     first = [("c", "crawler_url_visited", f"u{i}", 1, at(0), None) for i in range(20)] + [("c", "crawler_finished", None, 0, at(0), "no_more_urls")]
     # a timer fires in the batch after the one that moved the watermark past it
@@ -29,9 +29,17 @@ def test_a_finished_crawl_is_cleared_in_every_share(spark, tmp_path):
     done = ST.merge_shares(updates.filter("batch_id = 0")).filter("crawler_uuid = 'c'").first()
     assert (done["urls_visited"], done["urls_extracted"], done["stop_reason"], done["is_finished"]) == (20, 20, "no_more_urls", True)
     assert updates.filter("crawler_uuid = 'c'").select("salt").distinct().count() == 3
-    # the state is gone, so counting starts again
-    last = ST.merge_shares(updates.filter("start_us > 1704100000000000")).filter("crawler_uuid = 'c'").first()
-    assert (last["urls_visited"], last["urls_extracted"]) == (20, 20)
+    # the share is closed: rows that come hours later neither start it anew nor count
+    last = ST.merge_shares(updates).filter("crawler_uuid = 'c'").first()
+    assert (last["urls_visited"], last["urls_extracted"], last["is_finished"]) == (20, 20, True)
+
+
+def test_the_end_of_a_crawl_is_remembered(spark, tmp_path):
+    first = [("c", "crawler_url_visited", "u", 1, T0, None), ("c", "crawler_finished", None, 0, T0, "page_limit")]
+    late = [("c", "crawler_url_visited", "v", 1, T0 + dt.timedelta(minutes=1), None)]
+    updates = drain(ST.crawl_state_stream(feed(spark, str(tmp_path / "in"), [first, late]), shares=1), "late", "update")
+    last = ST.merge_shares(updates).first()
+    assert (last["urls_visited"], last["stop_reason"], last["is_finished"]) == (2, "page_limit", True)
 
 
 def test_period_names():
