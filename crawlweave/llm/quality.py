@@ -141,7 +141,8 @@ def with_quality(
     own = unused_prefix(df)
     words, weights = own + "words", own + "weights"
     one = written(feature_weights(df, trusted, doc, text, features, prior), "feature-weights")
-    rows = with_counts(df.withColumn(words, words_of(text)).withColumn(weights, one.scalar()), text, words)
+    rows = with_counts(df.withColumn(words, words_of(text)), text, words)
+    rows = rows.withColumn(weights, one.scalar())  # last, as every step copies a row with all its columns
     of = lambda *parts: F.get(weights, feature(features, *parts))
     word, n = F.col(words), F.size(words)
     parts = F.zip_with(word, _next(word), lambda a, b: of(a) + F.when(b.isNotNull(), of(a, b)).otherwise(0.0))
