@@ -307,7 +307,9 @@ def read_archives(files: DataFrame, payload: bool = True, rows_at_once: int = 64
                     if held:
                         yield _batch(held)
 
-    return files.select("path").repartition(F.col("path")).mapInArrow(run, RECORD)
+    paths = files.select("path")
+    # a number of its own for the tasks: the list is short, and would be read by one task by its size
+    return paths.repartition(max(1, paths.count()), "path").mapInArrow(run, RECORD)
 
 
 _ARROW = {"begin": pa.int64(), "finish": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
