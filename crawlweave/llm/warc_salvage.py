@@ -244,6 +244,23 @@ def _plain(file: _File, at: int) -> tuple[dict[str, str], bytes, int]:
     return fields, block, at + n
 
 
+def _inner(file: _File, at: int) -> int:
+    """Where a whole record begins inside the head that begins here; else this place.
+
+    After damage, the rest of a broken head may run into the head of the next record.
+    """
+    head = file.read(at, min(4096, file.size - at))
+    end = _HEAD_END.search(head)
+    for found in _VERSION.finditer(head, 1, end.start() if end else len(head)):
+        try:
+            fields, _, _ = _plain(file, at + found.start())
+        except Damage:
+            continue
+        if {"warc-type", "warc-record-id"} <= fields.keys():
+            return at + found.start()
+    return at
+
+
 def salvage(path: str, source: pa.NativeFile) -> Iterator[dict]:
     """Rows of RECORD for the records of a file, and with a ``reason`` for the gaps between them."""
     file = _File(source)
@@ -260,6 +277,8 @@ def salvage(path: str, source: pa.NativeFile) -> Iterator[dict]:
                     rows.append(_row(path, at, stop, fields, block))
                     inside += n
             else:
+                if lost is not None:
+                    at = _inner(file, at)
                 fields, block, stop = _plain(file, at)
                 rows = [_row(path, at, stop, fields, block)]
         except Damage as error:
