@@ -148,7 +148,11 @@ def with_quality(
     parts = F.zip_with(word, _next(word), lambda a, b: of(a) + F.when(b.isNotNull(), of(a, b)).otherwise(0.0))
     mean = F.when(n == 0, F.lit(0.0)).otherwise(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x) / (2 * n - 1))
     scored = rows.withColumn("score", mean)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop(words, weights)
+    judged = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+    # out of a generator: a filter on these columns would else be moved below and compute every step again for each use
+    found = F.inline(F.array(F.struct(*added)))
+    return judged.select(*[F.col(f"`{c}`") for c in df.columns if c not in added], found)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
