@@ -6,8 +6,10 @@ has its share of the class's count. A word's probability is that of its class gi
 its class, so the model is a distribution over all training words, the end of the document, and one unknown word. The
 state runs through the windows of a document from its first word to its end.
 
-Counts come from all training documents and stay in a table that the documents are joined with; the network's weights
-are learned by truncated backpropagation on a bounded sample of excerpts.
+Counts come from all training documents and stay in a table that the documents are joined with; the documents meet them
+once and are written as symbols. The network begins with weights from a few excerpts, then every partition learns from
+all of its training documents by truncated backpropagation, and the weights are averaged by a tree after each pass. The
+number of words that the network tells apart grows with the square root of the vocabulary.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from crawlweave.llm.gru import F32, Adam, Gru, softmax
@@ -28,6 +31,9 @@ TOP_CLASSES = 32
 OCTAVES = 48
 SMOOTH = 0.1
 TEXT_BYTES = 12 << 20
+LEARN_TOKENS = 1 << 19
+FAN = 32
+SYMBOL = np.dtype("<u4")
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +80,22 @@ class ClassFactored:
         self.word_bias = np.zeros((max(1, self.tops), CLASS_WORDS), F32)
         self.word_bias.reshape(-1)[self.words :] = -30  # places of the last class without a word
 
+    @property
+    def values(self) -> list[np.ndarray]:
+        return [self.gru.inputs, self.gru.state, self.to_class, self.class_bias, self.to_word, self.word_bias]
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.values])
+
+    def set_weights(self, flat: np.ndarray) -> None:
+        for value in self.values:
+            value[...] = flat[: value.size].reshape(value.shape)
+            flat = flat[value.size :]
+
+    def groups(self, symbol: np.ndarray) -> np.ndarray:
+        """Class of each symbol."""
+        return np.where(symbol < self.words, symbol // CLASS_WORDS, symbol - self.words + self.tops)
+
     def symbols(self, h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(symbol, class, log of the share in the class) of tokens with their counts."""
         at = np.searchsorted(self.top, h)
@@ -87,8 +109,7 @@ class ClassFactored:
 
     def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], rounds: int = 2, batch: int = 96, width: int = 16, rate: float = 0.01) -> None:
         """Truncated backpropagation through windows of ``width`` tokens; a batch of texts keeps its state over them."""
-        values = [self.gru.inputs, self.gru.state, self.to_class, self.class_bias, self.to_word, self.word_bias]
-        optimizer = Adam(values, rate)
+        optimizer = Adam(self.values, rate)
         texts = sorted(texts, key=lambda t: -len(t[0]))
         for turn in range(rounds):
             for k in range(0, len(texts), batch):
@@ -104,6 +125,26 @@ class ClassFactored:
                 for t in range(0, longest, width):
                     h = self._learn(x[:, t : t + width], x[:, t + 1 : t + width + 1], y[:, t : t + width], h, optimizer)
 
+    def learn(self, symbol: np.ndarray, at: np.ndarray, optimizer: Adam, batch: int = 64, width: int = 32) -> None:
+        """Truncated backpropagation through whole texts; ``at`` are the n+1 offsets of the texts.
+
+        Texts of like length go side by side and keep their state from window to window; windows are wider where few are left.
+        """
+        order = np.argsort(-np.diff(at), kind="stable")
+        for k in range(0, len(order), batch):
+            begin, lengths = at[order[k : k + batch]], np.diff(at)[order[k : k + batch]]
+            h = np.zeros((len(begin), self.gru.hidden), F32)
+            t = 0
+            while t < lengths[0]:
+                n = int(np.searchsorted(-lengths, -t, "left"))  # texts with a token at place t
+                place = t + np.arange(min(max(width, batch * width // n), 8 * width, int(lengths[0]) - t))
+                live = place < lengths[:n, None]
+                target = np.where(live, symbol[np.minimum(begin[:n, None] + place, len(symbol) - 1)], self.start)
+                first = symbol[begin[:n] + t - 1] if t else np.full(n, self.start)
+                x = np.column_stack([first, target[:, :-1]])
+                h = self._learn(x, target, np.where(live, self.groups(target), -1), h[:n], optimizer)
+                t += len(place)
+
     def _learn(self, x: np.ndarray, target: np.ndarray, group: np.ndarray, h: np.ndarray, optimizer: Adam) -> np.ndarray:
         states, kept = self.gru.run(x, h)
         target, group = target.T.ravel(), group.T.ravel()
@@ -168,15 +209,23 @@ class ClassFactored:
         return out
 
 
-def _learned(train: DataFrame, counts: DataFrame, doc: str, text: str, excerpts: int, chars: int) -> ClassFactored:
-    """The model; its sample holds at most ``excerpts`` pieces of ``chars`` characters, picked by hash."""
+def told_apart(vocabulary: int) -> int:
+    """How many words the network tells apart: 1,024, and more with the square root of the number of different words."""
+    return CLASS_WORDS * max(TOP_CLASSES, int(np.ceil(np.sqrt(vocabulary) / 64)))
+
+
+def _begun(
+    train: DataFrame, counts: DataFrame, vocabulary: int, doc: str, text: str, excerpts: int, chars: int
+) -> ClassFactored:
+    """The model before it has seen all documents, with weights from ``excerpts`` pieces of ``chars`` characters, picked by hash."""
     end = int(END.view(np.int64))
-    top = counts.orderBy(F.desc("c"), "h").limit(CLASS_WORDS * TOP_CLASSES).select("h").collect()
+    spark = train.sparkSession
+    top = counts.orderBy(F.desc("c"), "h").limit(told_apart(vocabulary)).select("h").collect()
     top_hashes = np.array([r.h for r in top], np.int64)
     if end not in top_hashes and len(top_hashes):
         top_hashes[-1] = end  # the end of a text is always told apart
     octave = F.least(F.floor(F.log2("c")), F.lit(OCTAVES - 1)).cast("int")
-    rest = counts.where(~F.col("h").isin([int(x) for x in top_hashes])) if len(top_hashes) else counts
+    rest = counts.join(spark.createDataFrame(pa.table({"h": top_hashes})), "h", "left_anti") if len(top_hashes) else counts
     mass = np.zeros(OCTAVES + 1)
     for row in rest.groupBy(octave.alias("k")).agg(F.sum(F.col("c") + SMOOTH).alias("m")).collect():  # OCTAVES rows at most
         mass[row.k] = row.m
@@ -188,7 +237,6 @@ def _learned(train: DataFrame, counts: DataFrame, doc: str, text: str, excerpts:
     ).orderBy("o", "t").limit(excerpts).collect()
     sample = [(r.t, r.ended) for r in sample]
     h, at = tokens_of(pa.array([t for t, _ in sample], pa.string()))
-    spark = train.sparkSession
     needed = spark.createDataFrame(pa.table({"h": np.unique(h)})) if len(h) else spark.createDataFrame([], "h long")
     found = {r.h: r.c for r in needed.join(counts, "h").collect()}  # no more than the sample's words
     model = ClassFactored(top_hashes, mass)
@@ -204,22 +252,67 @@ def _learned(train: DataFrame, counts: DataFrame, doc: str, text: str, excerpts:
     return model
 
 
+def _merged(table: pa.Table) -> pa.Table:
+    """Means of weights, by the tokens that they were learned from."""
+    table = table.sort_by("part")
+    tokens = table["tokens"].to_numpy()
+    mean = sum(np.frombuffer(w.as_py(), F32) * (n / tokens.sum()) for w, n in zip(table["weights"], tokens))
+    return pa.table({"part": table["part"][:1], "tokens": [tokens.sum()], "weights": [mean.astype(F32).tobytes()]})
+
+
+def _learn_all(model: ClassFactored, train: DataFrame, rate: float) -> None:
+    """One pass over the symbols of all rows; each partition learns from its own, the weights are averaged by a tree."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        optimizer, total = Adam(model.values, rate), 0
+        held: list[np.ndarray] = []
+        size = 0
+
+        def learn() -> None:
+            model.learn(np.concatenate(held).astype(np.int64), np.cumsum([0, *map(len, held)]), optimizer)
+
+        for batch in rows:
+            for text in batch.column("symbols"):
+                held.append(np.frombuffer(text.as_buffer(), SYMBOL))
+                size += len(held[-1])
+                if size >= LEARN_TOKENS:
+                    learn()
+                    held, total, size = [], total + size, 0
+        if held:
+            learn()
+            total += size
+        if total:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "tokens": [total], "weights": [model.weights().tobytes()]})
+
+    schema = "part long, tokens long, weights binary"
+    parts = written(train.select("symbols").mapInArrow(run, schema), "weights")
+    n = parts.count()
+    while n > FAN:
+        n = -(-n // FAN)
+        parts = parts.groupBy((F.col("part") % n).alias("branch")).applyInArrow(_merged, schema)
+    rows = parts.collect()  # no more than FAN
+    if rows:
+        found = _merged(pa.table({c: [r[c] for r in rows] for c in ("part", "tokens", "weights")}))
+        model.set_weights(np.frombuffer(found["weights"][0].as_py(), F32))
+
+
 def with_scores(
-    df: DataFrame, doc: str = "doc_id", text: str = "text", folds: int = 10, excerpts: int = 1500, chars: int = 1600
+    df: DataFrame, doc: str = "doc_id", text: str = "text", folds: int = 10, excerpts: int = 1500, chars: int = 1600, passes: int = 1
 ) -> DataFrame:
     """One row for each row of ``df``: the id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     Learned from rows whose id's CRC-32 does not divide by ``folds`` (no id counts as empty text). Tokens are words with
     A-Z as a-z and one end; a null text has only the end. ``base_score`` is the log10 probability under single-token
     counts with 0.1 added. Texts meet the counts of their words in groups of about 12 MB of text, made by the hash of id
-    and text. Without training texts every token is unknown.
+    and text. ``excerpts`` pieces of ``chars`` characters give the weights that the ``passes`` over all training texts
+    begin with. Without training texts every token is unknown.
     """
     spark = df.sparkSession
-    slim = df.select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
-    train = slim.where(~held_out("_doc", folds))
+    slim = df.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).withColumn("_train", ~held_out("_doc", folds))
+    train = slim.where("_train")
     counts = written(token_counts(train, "_text"), "token-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    model = _learned(train, counts, "_doc", "_text", excerpts, chars)
+    model = _begun(train, counts, v, "_doc", "_text", excerpts, chars)
     size = slim.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     groups = max(shuffle_partitions(spark), -(-size // TEXT_BYTES))
     grouped = slim.withColumn("_group", F.pmod(F.xxhash64("_doc", "_text"), F.lit(groups)).cast("int"))
@@ -234,7 +327,8 @@ def with_scores(
     base = np.log10(n + SMOOTH * (v + 1))
     kind = df.schema[doc].dataType.simpleString()
 
-    def scored(texts: pa.Table, known: pa.Table) -> pa.Table:
+    def coded(texts: pa.Table, known: pa.Table) -> pa.Table:
+        texts = texts.sort_by([("_doc", "ascending"), ("_text", "ascending")])  # the same order of learning in each run
         h, at = tokens_of(texts["_text"])
         known_h, known_c = known["h"].to_numpy(), known["c"].to_numpy()
         order = np.argsort(known_h)
@@ -246,14 +340,31 @@ def with_scores(
             c = np.where(known_h[place] == h, known_c[place], 0)
         ends = np.cumsum(np.concatenate([[0.0], np.log10(c + SMOOTH) - base]))
         sure = np.concatenate([[0], np.cumsum(c > 0)])
-        symbol, group, share = model.symbols(h, c)
+        symbol, _, share = model.symbols(h, c)
+        symbol = symbol.astype(SYMBOL)
         return pa.table(
             {
-                "doc_id": texts["_doc"], "n_tokens": np.diff(at), "n_known": sure[at[1:]] - sure[at[:-1]],
-                "train_tokens": np.full(len(at) - 1, n), "base_score": ends[at[1:]] - ends[at[:-1]],
-                "score": model.score(symbol, group, share, at),
+                "doc_id": texts["_doc"], "train": texts["_train"], "n_tokens": np.diff(at), "n_known": sure[at[1:]] - sure[at[:-1]],
+                "base_score": ends[at[1:]] - ends[at[:-1]], "share": np.add.reduceat(share, at[:-1]) if len(h) else np.zeros(0),
+                "symbols": pa.array([symbol[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
             }
         )
 
+    schema = f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, share double, symbols binary"
+    texts = written(dealt.groupBy("_group").cogroup(found.groupBy("_group")).applyInArrow(coded, schema), "symbols")
+    for _ in range(passes):
+        _learn_all(model, texts.where("train"), 0.005)
+
+    def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in batches(rows, "symbols", SYMBOL.itemsize * LEARN_TOKENS):
+            parts = [np.frombuffer(x.as_buffer(), SYMBOL) for x in table["symbols"]]
+            at = np.cumsum([0, *map(len, parts)])
+            symbol = np.concatenate(parts).astype(np.int64)
+            # the shares are added to what the network gives
+            score = model.score(symbol, model.groups(symbol), np.zeros(len(symbol)), at) + table["share"].to_numpy() / np.log(10)
+            out = {c: table[c] for c in ("doc_id", "n_tokens", "n_known")}
+            out |= {"train_tokens": pa.array(np.full(len(parts), n)), "base_score": table["base_score"], "score": pa.array(score)}
+            yield from pa.table(out).to_batches()
+
     schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("_group").cogroup(found.groupBy("_group")).applyInArrow(scored, schema)
+    return texts.mapInArrow(scored, schema)

@@ -341,3 +341,25 @@ def test_kept_text_hash(plain, texts):
     rows = line_dedup.drop_shared_lines(plain).collect()
     want = {d: t for d, _, _, t in brute.line_dedup(list(enumerate(texts)))}
     assert all(hashlib.sha256((r.text or "").encode()).hexdigest() == hashlib.sha256(want[r.doc_id].encode()).hexdigest() for r in rows)
+
+
+def test_lm_learns_from_all_documents(spark):
+    """What no excerpt shows is learned from the documents themselves."""
+    rng = random.Random(5)
+    follow = {f"w{k}": f"w{(k * 7 + 3) % 40}" for k in range(40)}
+    rows = []
+    for i in range(300):
+        word, text = f"w{rng.randrange(40)}", ["start"]
+        for _ in range(200):
+            text.append(word)
+            word = follow[word]
+        rows.append((i, " ".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scored = [r for r in lm_score.with_scores(frame, excerpts=1, chars=4, passes=4).collect() if zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
+    assert len(scored) > 5
+    assert sum(r.score for r in scored) > 0.8 * sum(r.base_score for r in scored)
+
+
+def test_lm_words_grow_with_vocabulary():
+    assert lm_score.told_apart(1000) == 1024
+    assert 1024 < lm_score.told_apart(10**7) < lm_score.told_apart(10**8)
