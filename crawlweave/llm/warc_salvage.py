@@ -3,7 +3,9 @@
 Archives are gzip files with one member for each record, or plain files. The reader checks every record: the member's
 checksum, the version line, the length, the line breaks behind the block and the payload digest. Where a check fails it
 searches for the next member or version line whose record passes, goes on from there, and reports the bytes between as
-a gap. A file is one task's work, read in pieces, so an archive takes as much memory as its largest record.
+a gap. In a gzip file that search goes on inside the member, and of a broken member over what could be unpacked. A file
+is one task's work, read in pieces, so an archive takes as much memory as its largest record; a member of more than
+SPOOL bytes unpacked waits in a temporary file of the task.
 """
 
 from __future__ import annotations
@@ -11,9 +13,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,6 +28,8 @@ from crawlweave.session import fresh_dir
 from crawlweave.sources.files import resolve
 
 PIECE = 1 << 20
+PACKED_PIECE = 1 << 16
+SPOOL = 8 << 20
 LAST = b"\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MEMBER = b"\x1f\x8b\x08"
@@ -125,8 +131,8 @@ def write_archives(
 class _File:
     """Random access to a file through a window of bytes."""
 
-    def __init__(self, source: pa.NativeFile):
-        self.source, self.size = source, source.size()
+    def __init__(self, source: pa.NativeFile | BinaryIO, size: int):
+        self.source, self.size = source, size
         self.begin, self.held = 0, b""
 
     def read(self, at: int, n: int) -> bytes:
@@ -205,22 +211,27 @@ def _row(path: str, begin: int, finish: int, fields: dict[str, str], block: byte
     }
 
 
-def _member(file: _File, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at a position."""
+def _member(file: _File, at: int, out: BinaryIO) -> tuple[int, str | None]:
+    """Unpack the gzip member at a position into ``out``: (end, damage); what comes before the damage is in ``out``."""
     unpack = zlib.decompressobj(31)
-    parts, begin = [], at
+    begin = at
     while not unpack.eof:
-        piece = file.read(at, min(PIECE, file.size - at))
+        piece = file.read(at, min(PACKED_PIECE, file.size - at))
         if not piece:
-            raise Damage("member cut off")
+            return at, "member cut off"
+        before = unpack.copy() if at > begin else zlib.decompressobj(31)
         try:
-            parts.append(unpack.decompress(piece))
+            found = unpack.decompress(piece, PIECE)
         except zlib.error as error:
-            raise Damage(f"member broken: {error}") from None
-        at += len(piece) - len(unpack.unused_data)
-        if at == begin:
-            raise Damage("member empty")
-    return b"".join(parts), at
+            for k in range(len(piece)):  # up to the byte that breaks it
+                try:
+                    out.write(before.decompress(piece[k : k + 1]))
+                except zlib.error:
+                    return at + k, f"member broken: {error}"
+            return at + len(piece), f"member broken: {error}"
+        out.write(found)
+        at += len(piece) - len(unpack.unused_data) - len(unpack.unconsumed_tail)
+    return at, None
 
 
 def _plain(file: _File, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -240,6 +251,8 @@ def _plain(file: _File, at: int) -> tuple[dict[str, str], bytes, int]:
     need = end.end() + int(length) + len(LAST)
     if at + need > file.size:
         raise Damage("cut off")
+    if need > PIECE and file.read(at + need - len(LAST), len(LAST)) != LAST:
+        raise Damage("wrong length")  # before so much is read
     fields, block, n = parse_record(file.read(at, need), False)
     return fields, block, at + n
 
@@ -263,38 +276,55 @@ def _inner(file: _File, at: int) -> int:
 
 def salvage(path: str, source: pa.NativeFile) -> Iterator[dict]:
     """Rows of RECORD for the records of a file, and with a ``reason`` for the gaps between them."""
-    file = _File(source)
+    file = _File(source, source.size())
     packed = file.read(0, 3) == _MEMBER or file.find(re.compile(re.escape(_MEMBER)), 0) < file.find(_VERSION, 0)
-    mark = re.compile(re.escape(_MEMBER)) if packed else _VERSION
+    yield from _salvage_packed(path, file) if packed else _salvage_plain(path, file)
+
+
+def _salvage_plain(path: str, file: _File) -> Iterator[dict]:
     at, lost, why = 0, None, ""
     while at < file.size:
         try:
-            if packed:
-                data, stop = _member(file, at)
-                rows, inside = [], 0
-                while inside < len(data):
-                    fields, block, n = parse_record(data[inside:] if inside else data, False)
-                    rows.append(_row(path, at, stop, fields, block))
-                    inside += n
-            else:
-                if lost is not None:
-                    at = _inner(file, at)
-                fields, block, stop = _plain(file, at)
-                rows = [_row(path, at, stop, fields, block)]
+            if lost is not None:
+                at = _inner(file, at)
+            fields, block, stop = _plain(file, at)
+            row = _row(path, at, stop, fields, block)
         except Damage as error:
             if lost is None:
                 lost, why = at, str(error)
-            at = file.find(mark, at + 1)
+            at = file.find(_VERSION, at + 1)
             continue
         if lost is not None:
             yield _gap(path, lost, at, why)
             lost = None
-        yield from rows
+        yield row
         at = stop
     if lost is not None:
         yield _gap(path, lost, file.size, why)
 
 
+def _salvage_packed(path: str, file: _File) -> Iterator[dict]:
+    mark = re.compile(re.escape(_MEMBER))
+    at, lost, why = 0, None, ""
+    while at < file.size:
+        with tempfile.SpooledTemporaryFile(SPOOL) as content:
+            stop, damage = _member(file, at, content)
+            for row in _salvage_plain(path, _File(content, content.tell())):
+                if row["reason"]:
+                    if lost is None:
+                        lost, why = at, row["reason"]
+                    continue
+                if lost is not None:
+                    yield _gap(path, lost, at if lost < at else stop, why)
+                    lost = None
+                yield row | {"begin": at, "finish": stop}
+        if damage and (lost is None or lost == at):
+            lost, why = at, damage
+        at = file.find(mark, at + 1) if damage else stop
+    if lost is not None:
+        yield _gap(path, lost, file.size, why)
+
+
 def _gap(path: str, begin: int, finish: int, why: str) -> dict:
     return {"path": path, "begin": begin, "finish": finish, "reason": why}
 
@@ -303,7 +333,7 @@ def read_archives(files: DataFrame, payload: bool = True, rows_at_once: int = 64
     """Records and gaps of the archives whose paths are in ``files.path``; columns as in RECORD.
 
     Gaps have a ``reason`` and only ``path``, ``begin`` and ``finish`` beside it. Positions of a record of a gzip file
-    are those of its member. ``payload_digest`` is computed from the payload, for a revisit taken from its head, as is
+    are those of its member, also of a gap between two records of one member. ``payload_digest`` is computed from the payload, for a revisit taken from its head, as is
     its ``payload_bytes``. With ``payload`` false the payload is checked but not returned. A file that is empty has no
     rows; one that cannot be opened fails the job.
     """

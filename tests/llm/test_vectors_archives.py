@@ -84,6 +84,34 @@ def test_salvage(wrap):
     assert read(whole[:end] + whole[at[6] :]) == [*range(5), (at[5], end), *range(6, 12)]
 
 
+@pytest.mark.parametrize("filler", [0, 3_000_000])
+def test_salvage_inside_a_member(filler):
+    rng = np.random.default_rng(4)
+    bodies = [rng.integers(97, 123, 3000 + filler * (i == 1), dtype=np.uint8).tobytes() for i in range(40)]
+    records = [warc_salvage.record_bytes(i, f"http://x.example/{i}", b, None, "2000-01-01T00:00:00Z") for i, b in enumerate(bodies)]
+
+    def read(data):
+        rows = list(warc_salvage.salvage("f", pa.BufferReader(bytes(data))))
+        return [(r["begin"], r["finish"]) if r.get("reason") else int(r["record_id"][11:-1]) for r in rows]
+
+    bad = bytearray(records[20])
+    bad[-100] ^= 1
+    one, two = packed(b"".join([*records[:20], bytes(bad), *records[21:30]])), packed(b"".join(records[30:]))
+    whole = packed(b"".join(records))
+    assert read(whole) == list(range(40))
+    assert read(one + two) == [*range(20), (0, len(one)), *range(21, 40)]
+    for wrong in (b"WARC/9.9", b"Content-Length: 1\r\nX: "):
+        middle = records[20].replace(b"WARC/1.1", wrong) if wrong[:4] == b"WARC" else records[20].replace(b"Content-Length: 3", wrong)
+        assert 20 not in read(packed(b"".join([*records[:20], middle, *records[21:]])))[:20]
+        assert read(packed(b"".join([*records[:20], middle, *records[21:]])))[21:] == list(range(21, 40))
+    cut = read(whole[: len(whole) * 3 // 4] + two)
+    n = cut.index((0, len(whole) * 3 // 4))
+    assert n > (0 if filler else 25) and cut == [*range(n), (0, len(whole) * 3 // 4), *range(30, 40)]
+    crc = bytearray(whole)
+    crc[-6] ^= 255
+    assert read(bytes(crc) + two) == [*range(40), (0, len(whole)), *range(30, 40)]
+
+
 def test_archives_awkward(spark):
     rows = [(1, "http://a/\r\nX: 1", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""), (5, "u", "x" * 300_000), (None, "u", "<p>é</p>"), (2, None, "<p>é</p>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_type", F.lit("clash"))
