@@ -72,9 +72,11 @@ def nearest_in(forest: Forest, ids: np.ndarray, query_ids: np.ndarray, queries:
     out_q, out_v, out_s = [], [], []
     for own, q, places in zip(query_ids, queries, forest.candidates(queries, max(k + 1, int(share * TREES * len(ids))))):
         places = places[ids[places] != own]
-        rough = forest.vectors[places] @ q
-        if len(places) > 4 * k:
-            places = places[np.argpartition(-rough, 4 * k)[: 4 * k]]
+        if len(places) > k:  # all that may be among the best, also where many tie at the last place
+            found = forest.vectors[places]
+            rough = found @ q
+            error = 4 * len(q) * np.finfo(float).eps * np.linalg.norm(q) * np.sqrt(np.einsum("ij,ij->i", found, found).max())
+            places = places[rough >= np.partition(rough, -k)[-k] - error]
         scores = (forest.vectors[places] * q).sum(axis=1)  # the same sum for equal vectors, wherever they stand
         best = np.lexsort((ids[places], -scores))[:k]
         out_q.append(np.full(len(best), own))

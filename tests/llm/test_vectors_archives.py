@@ -39,6 +39,14 @@ def test_nearest_awkward(spark):
     assert hash_forest.nearest(frame, nothing).collect() == []
 
 
+def test_nearest_ties():
+    vectors = np.array([[1.0] + [float(i >> b & 1) for b in range(8)] for i in range(256)])
+    ids = np.random.default_rng(3).permutation(256)
+    forest = hash_forest.Forest(vectors, float(np.linalg.norm(vectors, axis=1).max()))
+    got = hash_forest.nearest_in(forest, ids, np.array([1000]), np.eye(9)[:1], 5, 1.0)
+    assert got["vec_id"].to_pylist() == [0, 1, 2, 3, 4]
+
+
 def test_nearest_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     table = rows.orderBy("vec_id").collect()
