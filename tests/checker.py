@@ -69,11 +69,12 @@ def compare(spark, con, name, query, sql, sf_dir):
 
 
 def main() -> None:
-    from crawlweave.plans import catalog
+    import __spark_entry__ as entry
     from crawlweave.session import local_session
 
     sf_dir = sys.argv[1]
-    names = sys.argv[2:] or list(catalog.QUERIES)
+    queries, oracles = entry.queries(), entry.oracle_sql()
+    names = sys.argv[2:] or list(queries)
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
@@ -81,10 +82,10 @@ def main() -> None:
     for name in names:
         start = time.time()
         try:
-            if name in catalog.ORACLES:
-                ok, message = compare(spark, con, name, catalog.QUERIES[name], catalog.ORACLES[name], sf_dir)
+            if name in oracles:
+                ok, message = compare(spark, con, name, queries[name], oracles[name], sf_dir)
             else:
-                ok, message = True, f"{catalog.QUERIES[name](spark, sf_dir).count()} rows, no SQL"
+                ok, message = True, f"{queries[name](spark, sf_dir).count()} rows, no SQL"
         except Exception as error:  # noqa: BLE001
             ok, message = False, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += not ok
