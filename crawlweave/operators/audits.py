@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crawlweave.functions import urls
-from crawlweave.session import checkpointed
+from crawlweave.session import fresh_dir, written
 
 
 def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
@@ -97,21 +100,102 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0) -> DataF
     """Least number of links from a seed to each URL, per crawl.
 
     ``links``: crawler_uuid, source_url, target_url. ``seeds``: crawler_uuid,
-    url. ``max_depth`` 0 goes on until a level finds nothing new. One job per
-    level; each frontier is checkpointed to the shared folder.
+    url. ``max_depth`` 0 goes on until a level finds nothing new. Edges and
+    reached URLs lie in buckets of (crawl, URL), so that a level shuffles only
+    what its frontier links to. One job per level.
     """
-    edges = checkpointed(
-        links.select("crawler_uuid", F.col("source_url").alias("url"), F.col("target_url").alias("next_url")).distinct()
-    )
-    frontier = checkpointed(seeds.select("crawler_uuid", "url").distinct())
-    reached = frontier.withColumn("depth", F.lit(0))
-    depth = 0
-    while depth != (max_depth or -1) and not frontier.isEmpty():
-        depth += 1
-        found = frontier.join(edges, ["crawler_uuid", "url"]).select("crawler_uuid", F.col("next_url").alias("url")).distinct()
-        frontier = checkpointed(found.join(reached, ["crawler_uuid", "url"], "left_anti"))
-        reached = reached.unionByName(frontier.withColumn("depth", F.lit(depth)))
-    return reached
+    spark = links.sparkSession
+    edges, reached = Buckets(spark, "links", ["crawler_uuid", "url"]), Buckets(spark, "reached", ["crawler_uuid", "url"])
+    try:
+        edges.append(links.select("crawler_uuid", F.col("source_url").alias("url"), F.col("target_url").alias("next_url")))
+        reached.append(seeds.select("crawler_uuid", "url").withColumn("depth", F.lit(0)))
+        depth = 0
+        while depth != (max_depth or -1) and not reached.rows().filter(F.col("depth") == depth).isEmpty():
+            frontier = reached.rows().filter(F.col("depth") == depth)
+            found = frontier.join(edges.rows(), ["crawler_uuid", "url"]).select("crawler_uuid", F.col("next_url").alias("url"))
+            depth += 1
+            known = reached.rows().select("crawler_uuid", "url")
+            reached.append(found.distinct().join(known, ["crawler_uuid", "url"], "left_anti").withColumn("depth", F.lit(depth)))
+        return reached.files()
+    finally:
+        edges.forget()
+        reached.forget()
+
+
+class Buckets:
+    """A scratch table in buckets of its keys; joins on these leave it where it is."""
+
+    def __init__(self, spark: SparkSession, name: str, keys: Sequence[str]):
+        self.spark, self.keys = spark, list(keys)
+        self.path = fresh_dir(spark, name)
+        self.table = f"{name}_{uuid.uuid4().hex}"
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def append(self, df: DataFrame) -> None:
+        placed = df.repartition(self.count, *self.keys).distinct()
+        placed.write.bucketBy(self.count, *self.keys).option("path", self.path).mode("append").saveAsTable(self.table)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def files(self) -> DataFrame:
+        """The rows, also after the table is forgotten."""
+        return self.spark.read.schema(self.rows().schema).parquet(self.path)
+
+    def forget(self) -> None:
+        """Drop the name; the files stay in the scratch folder."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def ends_of(step: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(closed, open) of steps (url, next) with one row for each URL, by pointer doubling.
+
+    ``closed``: url, end, hops of those that come to a URL without a step. A
+    chain of 2**k hops takes k rounds. The URLs of a chain have ends at all
+    smaller distances, so a round that closes none leaves only those that never
+    end: ``open``: url, end, hops, all of them the same number of hops further.
+    """
+    state = written(step.select("url", F.col("next").alias("end"), F.lit(1).cast("bigint").alias("hops")), "hops")
+    going = state.join(state.select(F.col("url").alias("end")), "end", "left_semi").select("url", "end", "hops")
+    closed = written(state.join(state.select(F.col("url").alias("end")), "end", "left_anti").select("url", "end", "hops"), "hops-closed")
+    going, new = written(going, "hops-open"), closed
+    while not (new.isEmpty() or going.isEmpty()):
+        known = closed.withColumn("done", F.lit(True)).unionByName(going.withColumn("done", F.lit(False)))
+        further = known.select(F.col("url").alias("end"), F.col("end").alias("_end"), F.col("hops").alias("_hops"), "done")
+        moved = going.join(further, "end").select("url", F.col("_end").alias("end"), (F.col("hops") + F.col("_hops")).alias("hops"), "done")
+        moved = written(moved, "hops-moved")
+        new = moved.filter("done").drop("done")
+        going, closed = moved.filter(~F.col("done")).drop("done"), closed.unionByName(new)
+    return closed, going
+
+
+def cycles_of(step: DataFrame, jumps: DataFrame) -> DataFrame:
+    """(url, size) of the URLs on cycles, where no chain ends.
+
+    ``jumps`` (url, end): where each URL is after some number of hops. What can
+    be reached by twice as many hops shrinks until only cycles are left; then
+    each cycle is named by its least URL, again by doubling.
+    """
+    image = written(jumps.select(F.col("end").alias("url")).distinct(), "images")
+    left = image.count()
+    while left:
+        twice = jumps.select("url", "end").join(jumps.select(F.col("url").alias("end"), F.col("end").alias("_end")), "end")
+        jumps = written(twice.select("url", F.col("_end").alias("end")), "jumps")
+        image = written(jumps.select(F.col("end").alias("url")).distinct(), "images")
+        before, left = left, image.count()
+        if left == before:
+            break
+    # least URL among the first 2**k of each cycle, until no round changes one
+    names = written(step.join(image, "url", "left_semi").select("url", F.col("next").alias("end"), F.col("url").alias("least")), "cycles")
+    changed = bool(left)
+    while changed:
+        ahead = names.select(F.col("url").alias("end"), F.col("end").alias("_end"), F.col("least").alias("_least"))
+        moved = names.join(ahead, "end").select("url", F.col("_end").alias("end"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("lower"))
+        moved = written(moved, "cycles")
+        changed = not moved.filter("lower").isEmpty()
+        names = moved.drop("lower")
+    sizes = names.groupBy("least").agg(F.count(F.lit(1)).alias("size"))
+    return names.join(sizes, "least").select("url", "size")
 
 
 def redirect_chains(hops: DataFrame, order: str | None = None) -> DataFrame:
@@ -119,27 +203,20 @@ def redirect_chains(hops: DataFrame, order: str | None = None) -> DataFrame:
 
     ``hops``: from_url, to_url. A URL that was seen to redirect to several
     targets keeps the one of its last row by ``order``, without it the smallest.
-    Chains are followed to their end, or to the first URL that they meet again;
-    only those still open take part in the next join. Every URL keeps one row.
+    A chain that loops ends at the first URL it meets again, its hops include
+    the way round. Every URL keeps one row. A chain of n hops takes log2(n) joins.
     """
     target = F.max_by("to_url", order) if order else F.min("to_url")
-    step = checkpointed(hops.groupBy(F.col("from_url").alias("end_url")).agg(target.alias("_next")))
-    chains = step.select(
-        F.col("end_url").alias("from_url"), F.col("_next").alias("end_url"), F.array("end_url").alias("seen"), F.lit(1).alias("hops")
-    )
-    finished = None
-    while True:
-        looped = F.array_contains("seen", F.col("end_url"))
-        followed = checkpointed(chains.join(step, "end_url", "left").withColumn("is_loop", looped))
-        closed = F.col("is_loop") | F.col("_next").isNull()
-        done = followed.filter(closed).select("from_url", "end_url", "hops", "is_loop")
-        finished = done if finished is None else finished.unionByName(done)
-        chains = followed.filter(~closed).select(
-            "from_url",
-            F.col("_next").alias("end_url"),
-            F.array_append("seen", F.col("end_url")).alias("seen"),
-            (F.col("hops") + 1).alias("hops"),
-        )
-        if chains.isEmpty():
-            break
-    return finished
+    step = written(hops.groupBy(F.col("from_url").alias("url")).agg(target.alias("next")).filter(F.col("url").isNotNull()), "redirects")
+    closed, endless = ends_of(step)
+    out = closed.select(F.col("url").alias("from_url"), F.col("end").alias("end_url"), F.col("hops").cast("int").alias("hops"), F.lit(False).alias("is_loop"))
+    if endless.isEmpty():
+        return out
+    looping = step.join(endless, "url", "left_semi")
+    round_trips = written(cycles_of(looping, endless), "cycle-sizes")
+    tails, _ = ends_of(looping.join(round_trips, "url", "left_anti"))  # chains that end where a cycle begins
+    entry = round_trips.select(F.col("url").alias("end_url"), "size")
+    into = tails.select(F.col("url").alias("from_url"), F.col("end").alias("end_url"), "hops").join(entry, "end_url")
+    around = entry.select(F.col("end_url").alias("from_url"), "end_url", F.lit(0).cast("bigint").alias("hops"), "size")
+    loops = into.unionByName(around).select("from_url", "end_url", (F.col("hops") + F.col("size")).cast("int").alias("hops"), F.lit(True).alias("is_loop"))
+    return out.unionByName(loops)

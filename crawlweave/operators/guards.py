@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.functions import errors as E
 from crawlweave.operators import ordering
-from crawlweave.session import checkpointed
-
+from crawlweave.session import checkpointed, written
 
 
 def failure_rate(
@@ -17,18 +16,18 @@ def failure_rate(
     n: int = 10,
     threshold: float = 0.7,
     codes: Sequence[str] = E.MONITORED_CODES,
-    bucket: Column | None = None,
     block_rows: int = ordering.BLOCK_ROWS,
+    slot_rows: int = ordering.SLOT_ROWS,
 ) -> DataFrame:
     """Failures among the last ``n`` scrapes of each attempt and whether the guard trips there.
 
     ``attempts``: crawler_uuid, ts, event_id, error_code. Only full windows of
-    ``n`` attempts count.
+    ``n`` attempts count. Neither a crawl nor a time span is ever one task.
     """
     slim = attempts.select(
         "crawler_uuid", "ts", "event_id", F.coalesce(F.col("error_code").isin(*codes), F.lit(False)).cast("int").alias("bad")
     )
-    ranked = ordering.running(slim, ["crawler_uuid"], ["ts", "event_id"], ordering.hour_of("ts") if bucket is None else bucket)
+    ranked = ordering.ranged(slim, ["crawler_uuid"], ["ts", "event_id"], slot_rows=slot_rows)
     blocks = ordering.in_blocks(ranked, before=n - 1, block_rows=block_rows)
     frame = Window.partitionBy("crawler_uuid", "_block").orderBy("rank").rowsBetween(-(n - 1), 0)
     return (
@@ -50,7 +49,7 @@ def first_stops(rates: DataFrame) -> DataFrame:
     )
 
 
-def apply_budgets(visits: DataFrame, limits: DataFrame, bucket: Column | None = None) -> DataFrame:
+def apply_budgets(visits: DataFrame, limits: DataFrame, slot_rows: int = ordering.SLOT_ROWS) -> DataFrame:
     """``state`` visited or skipped for each visit, with the reason.
 
     ``visits``: crawler_uuid, ts, event_id, api_credit. ``limits``:
@@ -58,17 +57,11 @@ def apply_budgets(visits: DataFrame, limits: DataFrame, bucket: Column | None =
     limit. A crawl stops before the first visit that finds a budget used up, and
     everything after it is skipped for the same reason.
     """
-    ranked = ordering.running(
-        visits,
-        ["crawler_uuid"],
-        ["ts", "event_id"],
-        ordering.hour_of("ts") if bucket is None else bucket,
-        sums={"credits_after": "api_credit"},
+    ranked = ordering.ranged(
+        visits, ["crawler_uuid"], ["ts", "event_id"], sums={"credits_after": "api_credit"}, first={"_start_ts": "ts"}, slot_rows=slot_rows
     )
-    begin = visits.groupBy("crawler_uuid").agg(F.min("ts").alias("start_ts"))
-    known = limits.join(begin, "crawler_uuid")
-    joined = ranked.join(known, "crawler_uuid", "left")
-    elapsed = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))) / 1e6
+    joined = ranked.join(limits, "crawler_uuid", "left")
+    elapsed = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_start_ts").cast("timestamp"))) / 1e6
 
     def used_up(limit: str, spent: Column) -> Column:
         return F.coalesce((F.col(limit) > 0) & (spent >= F.col(limit)), F.lit(False))
@@ -78,18 +71,19 @@ def apply_budgets(visits: DataFrame, limits: DataFrame, bucket: Column | None =
         .when(used_up("max_api_credit", F.col("credits_after") - F.col("api_credit")), "max_api_credit")
         .when(used_up("max_duration", elapsed), "max_duration")
     )
-    marked = joined.withColumn("hit", reason)
+    used = [c for c in limits.columns if c != "crawler_uuid"] + ["_start_ts"]
+    marked = written(joined.withColumn("_hit", reason).drop(*used), "visits-marked")
     stops = (
-        marked.filter(F.col("hit").isNotNull())
+        marked.filter(F.col("_hit").isNotNull())
         .groupBy("crawler_uuid")
-        .agg(F.min("rank").alias("stop_rank"), F.min_by("hit", "rank").alias("stop_reason"))
+        .agg(F.min("rank").alias("_stop_rank"), F.min_by("_hit", "rank").alias("_stop_reason"))
     )
-    skipped = F.coalesce(F.col("rank") >= F.col("stop_rank"), F.lit(False))
+    skipped = F.coalesce(F.col("rank") >= F.col("_stop_rank"), F.lit(False))
     return (
-        ranked.join(stops, "crawler_uuid", "left")
+        marked.join(stops, "crawler_uuid", "left")
         .withColumn("state", F.when(skipped, "skipped").otherwise("visited"))
-        .withColumn("reason", F.when(skipped, F.col("stop_reason")))
-        .drop("stop_rank", "stop_reason")
+        .withColumn("reason", F.when(skipped, F.col("_stop_reason")))
+        .drop("_stop_rank", "_stop_reason", "_hit")
     )
 
 
@@ -126,7 +120,9 @@ def url_list_page(entries: DataFrame, status: str | None = None, page: int = 1,
     return paginate(entries.filter(F.col("status") == (status or "visited")), ["url"], page, per_page)
 
 
-def throttle_report(attempts: DataFrame, bucket: Column | None = None, block_rows: int = ordering.BLOCK_ROWS) -> DataFrame:
+def throttle_report(
+    attempts: DataFrame, block_rows: int = ordering.BLOCK_ROWS, slot_rows: int = ordering.SLOT_ROWS
+) -> DataFrame:
     """Throttle pauses per crawl.
 
     ``gap`` is the time until the next attempt of the crawl; ``early_resumes``
@@ -135,7 +131,7 @@ def throttle_report(attempts: DataFrame, bucket: Column | None = None, block_row
     slim = attempts.select(
         "crawler_uuid", "ts", "event_id", F.coalesce(F.col("error_code").isin(*E.THROTTLE_CODES), F.lit(False)).alias("throttled")
     )
-    ranked = ordering.running(slim, ["crawler_uuid"], ["ts", "event_id"], ordering.hour_of("ts") if bucket is None else bucket)
+    ranked = ordering.ranged(slim, ["crawler_uuid"], ["ts", "event_id"], slot_rows=slot_rows)
     blocks = ordering.in_blocks(ranked, after=1, block_rows=block_rows)
     following = Window.partitionBy("crawler_uuid", "_block").orderBy("rank")
     gap = (F.unix_micros(F.lead("ts").over(following).cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))) / 1e6

@@ -129,7 +129,7 @@ def retry_stats(spark, sf):
        FROM gaps WHERE error_code IN ({THROTTLE}) GROUP BY crawler_uuid""",
 )
 def throttle_report(spark, sf):
-    out = guards.throttle_report(view(spark, sf, "crawl_log"), block_rows=16)
+    out = guards.throttle_report(view(spark, sf, "crawl_log"), block_rows=16, slot_rows=16)
     return out.withColumn("min_gap", F.round("min_gap", 6))
 
 
@@ -142,7 +142,7 @@ def throttle_report(spark, sf):
     + " SELECT crawler_uuid, event_id, rank, recent_failures, rank >= 10 AND recent_failures >= 7 AS stop FROM attempts",
 )
 def failure_rate(spark, sf):
-    return guards.failure_rate(view(spark, sf, "crawl_log"), block_rows=32).drop("ts")
+    return guards.failure_rate(view(spark, sf, "crawl_log"), block_rows=32, slot_rows=32).drop("ts")
 
 
 @query(

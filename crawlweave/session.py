@@ -48,6 +48,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the scratch folder; cuts lineage, and its size is known to the planner."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage."""
     scratch_root(df.sparkSession)
