@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlweave.functions import errors as E
-from crawlweave.operators import filters
+from crawlweave.operators import filters, ordering
 
 # fixed values: credits added per extracted page
 EXTRACTION_SURCHARGE = {"model": 5, "prompt": 10, "template": 1}
@@ -171,17 +171,16 @@ def trap_report(visits: DataFrame, traps: Mapping[str, tuple[str, int]], column:
 def timing_breakdown(entries: DataFrame) -> DataFrame:
     """Requests, average and median milliseconds per phase, ``total`` included.
 
-    ``entries``: time, timings (map). The average is exact; the median is taken
-    over counts per microsecond, so that it needs no unbounded buffer.
+    ``entries``: time, timings (map). Both are exact: the median is the mean of
+    the middle ones of all values, found by their ranks.
     """
     phases = F.map_concat(F.create_map(F.lit("total"), F.col("time")), F.coalesce("timings", F.create_map().cast("map<string,double>")))
     long_form = entries.select(F.explode(phases).alias("phase", "ms")).filter(F.col("ms") >= 0)
-    counted = long_form.groupBy("phase", F.round("ms", 3).alias("ms")).agg(F.count(F.lit(1)).alias("n"), F.sum("ms").alias("sum_ms"))
-    return counted.groupBy("phase").agg(
-        F.sum("n").alias("requests"),
-        (F.sum("sum_ms") / F.sum("n")).alias("avg_ms"),
-        F.percentile("ms", F.lit(0.5), F.col("n")).alias("median_ms"),
-    )
+    ranked = ordering.ranged(long_form, ["phase"], ["ms"])
+    totals = ranked.groupBy("phase").agg(F.max("rank").alias("requests"), F.avg("ms").alias("avg_ms"))
+    middle = (F.col("rank") >= F.col("requests") / 2) & (F.col("rank") <= F.col("requests") / 2 + 1)
+    both = ranked.join(totals, "phase").filter(middle).groupBy("phase")
+    return both.agg(F.first("requests").alias("requests"), F.first("avg_ms").alias("avg_ms"), F.avg("ms").alias("median_ms"))
 
 
 def geo_variation(pages: DataFrame) -> DataFrame:

@@ -42,6 +42,33 @@ def warc_record_types(spark, sf):
     return records.groupBy("record_type").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("url").alias("urls"))
 
 
+DAMAGED = "page_id % 10 IN (3, 6)"
+
+
+@query(
+    "rejected_warc_records",
+    f"""SELECT 'no version line' AS reason, CASE WHEN page_id % 2 = 0 THEN 'plain' ELSE 'gzip' END AS form, COUNT(*) AS places
+        FROM crawl_pages WHERE {DAMAGED} GROUP BY ALL""",
+)
+def rejected_warc_records(spark, sf):
+    path = fixtures.write_warc(spark, view(spark, sf, "crawl_pages"), F.expr(DAMAGED))
+    form = F.when(F.endswith("path", F.lit(".gz")), "gzip").otherwise("plain")
+    rejects = warc.rejected_warc_records(spark, path, range_bytes=1 << 20)
+    return rejects.groupBy("reason", form.alias("form")).agg(F.count(F.lit(1)).alias("places"))
+
+
+@query(
+    "warc_records_after_damage",
+    f"""SELECT url, record_type, md5(CASE record_type WHEN 'response' THEN {BODY} ELSE 'GET ' || url || ' HTTP/1.1' || repeat(chr(13) || chr(10), 2) END) AS digest
+        FROM crawl_pages, (VALUES ('response'), ('request')) AS t(record_type) WHERE NOT ({DAMAGED} AND record_type = 'response')""",
+)
+def warc_records_after_damage(spark, sf):
+    """All records but the damaged ones, with small ranges, so that most archives are read by several tasks."""
+    path = fixtures.write_warc(spark, view(spark, sf, "crawl_pages"), F.expr(DAMAGED))
+    records = warc.read_warc(spark, path, ["response", "request"], range_bytes=1 << 20)
+    return records.select("url", "record_type", F.md5("content").alias("digest"))
+
+
 @query(
     "warc_one_url",
     f"""SELECT url, status_code, md5({BODY}) AS digest, 'log-' || page_id AS log_id, country, CASE WHEN page_id % 11 <> 0 THEN duration END AS duration
@@ -66,16 +93,52 @@ def har_entries(spark, sf):
     )
 
 
-@query("har_logs", "SELECT DISTINCT '1.2' AS version, 'fixture' AS creator, 0 AS page_count FROM crawl_pages")
+HAR_ROWS = """SELECT url, CASE WHEN page_id % 13 = 0 THEN 0 ELSE status_code END AS status_code, content_type, md5(content) AS digest FROM crawl_pages"""
+
+
+def har_digests(entries):
+    return entries.select("url", "status_code", "content_type", F.md5("content").alias("digest"))
+
+
+@query("har_nested_entries", HAR_ROWS)
+def har_nested_entries(spark, sf):
+    """Entries inside the log object, as the standard form has them."""
+    return har_digests(har.read_har(spark, fixtures.write_har(spark, view(spark, sf, "crawl_pages"), nested=True)))
+
+
+@query("har_with_status", f"SELECT * FROM ({HAR_ROWS}) AS h WHERE status_code = 404")
+def har_with_status(spark, sf):
+    entries = har.read_har(spark, fixtures.write_har(spark, view(spark, sf, "crawl_pages")))
+    return har_digests(filters.filter_status(entries, 404))
+
+
+@query("har_of_content_type", f"SELECT * FROM ({HAR_ROWS}) AS h WHERE contains(lower(content_type), 'xml')")
+def har_of_content_type(spark, sf):
+    entries = har.read_har(spark, fixtures.write_har(spark, view(spark, sf, "crawl_pages")))
+    return har_digests(filters.filter_content_type(entries, "XML"))
+
+
+@query("har_one_url", f"SELECT * FROM ({HAR_ROWS}) AS h WHERE url = (SELECT MIN(url) FROM crawl_pages)")
+def har_one_url(spark, sf):
+    pages = view(spark, sf, "crawl_pages")
+    wanted = pages.agg(F.min("url")).first()[0]
+    return har_digests(filters.read_url(har.read_har(spark, fixtures.write_har(spark, pages)), wanted))
+
+
+@query(
+    "har_logs",
+    """SELECT '1.2' AS version, 'crawl-' || crawler_uuid AS creator, CAST(MAX(status_code) AS VARCHAR) AS creator_version, CAST(COUNT(*) AS INT) AS page_count
+       FROM crawl_pages GROUP BY crawler_uuid, FLOOR(page_id / 1000)""",
+)
 def har_logs(spark, sf):
-    logs = har.read_har_logs(spark, fixtures.write_har(spark, view(spark, sf, "crawl_pages")))
-    return logs.select("version", F.col("creator.name").alias("creator"), "page_count").distinct()
+    logs = har.read_har_logs(spark, fixtures.write_har_archives(spark, view(spark, sf, "crawl_pages")))
+    return logs.select("version", F.col("creator.name").alias("creator"), F.col("creator.version").alias("creator_version"), "page_count")
 
 
 @query(
     "timing_breakdown",
-    """, t AS (SELECT 'total' AS phase, ROUND(duration * 1000, 3) AS ms FROM crawl_pages UNION ALL SELECT 'wait', ROUND(duration * 600, 3) FROM crawl_pages
-               UNION ALL SELECT 'receive', ROUND(duration * 400, 3) FROM crawl_pages)
+    """, t AS (SELECT 'total' AS phase, duration * 1000 AS ms FROM crawl_pages UNION ALL SELECT 'wait', duration * 600 FROM crawl_pages
+               UNION ALL SELECT 'receive', duration * 400 FROM crawl_pages)
        SELECT phase, COUNT(*) AS requests, ROUND(AVG(ms), 4) AS avg_ms, ROUND(quantile_cont(ms, 0.5), 4) AS median_ms FROM t GROUP BY phase""",
 )
 def timing_breakdown(spark, sf):
@@ -106,7 +169,7 @@ def pages_as_parquet(spark, sf):
     path = fresh_dir(spark, "pages")
     tables.write_pages_parquet(tables.page_table(warc_records(spark, sf)), path)
     return spark.read.parquet(path).select(
-        "url", "record_id", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("at"), F.col("status_code").cast("int").alias("status_code"), "content_type",
+        "url", "record_id", F.date_format(F.to_utc_timestamp("date", F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("at"), F.col("status_code").cast("int").alias("status_code"), "content_type",
         "content_length", "log_id", "country", F.round(F.col("duration").cast("double"), 4).alias("duration"), F.col("retry_count").cast("int").alias("retry_count"),
     )
 

@@ -16,10 +16,10 @@ from crawlweave.sources import files
 CRLF = "\r\n"
 
 
-def warc_record(kind: str, block: Column, lines: list[Column]) -> Column:
+def warc_record(kind: str, block: Column, lines: list[Column], version: Column | str = "WARC/1.0") -> Column:
     head = F.concat_ws(
         CRLF,
-        F.lit("WARC/1.0"),
+        F.lit(version) if isinstance(version, str) else version,
         F.lit(f"WARC-Type: {kind}"),
         *lines,
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
@@ -27,8 +27,12 @@ def warc_record(kind: str, block: Column, lines: list[Column]) -> Column:
     return F.concat(head, F.lit(CRLF * 2), block)
 
 
-def warc_rows(pages: DataFrame) -> DataFrame:
-    """A response, a request and a conversion record per page; ``concat_ws`` leaves out null headers."""
+def warc_rows(pages: DataFrame, damaged: Column | None = None) -> DataFrame:
+    """A response, a request and a conversion record per page; ``concat_ws`` leaves out null headers.
+
+    The responses of ``damaged`` pages have a bad version line.
+    """
+    version = "WARC/1.0" if damaged is None else F.when(damaged, "WERC/1.0").otherwise("WARC/1.0")
     named = lambda name, value: F.concat(F.lit(f"{name}: "), value)
     page_id = F.col("page_id").cast("string")
     common = [named("WARC-Target-URI", F.col("url")), named("WARC-Date", F.lit("2024-05-06T07:08:09Z"))]
@@ -47,16 +51,16 @@ def warc_rows(pages: DataFrame) -> DataFrame:
     )
     request = F.concat(F.lit("GET "), F.col("url"), F.lit(" HTTP/1.1" + CRLF * 2))
     records = F.array(
-        warc_record("response", response, scrape), warc_record("request", request, common), warc_record("conversion", F.col("url"), common)
+        warc_record("response", response, scrape, version), warc_record("request", request, common), warc_record("conversion", F.col("url"), common)
     )
     return pages.select(F.explode(records).alias("value"))
 
 
-def write_warc(spark: SparkSession, pages: DataFrame) -> str:
-    """A folder of archives: half of the pages plain, half gzipped."""
+def write_warc(spark: SparkSession, pages: DataFrame, damaged: Column | None = None) -> str:
+    """A folder of archives, one of each kind for each partition of the pages: half of the pages plain, half gzipped."""
     path = fresh_dir(spark, "warc")
     for name, odd in (("none", 0), ("gzip", 1)):
-        part = warc_rows(pages.filter(F.col("page_id") % 2 == odd).repartition(2))
+        part = warc_rows(pages.filter(F.col("page_id") % 2 == odd), damaged)
         part.write.option("lineSep", CRLF * 2).option("compression", name).text(f"{path}/{name}")
     return path
 
@@ -64,8 +68,8 @@ def write_warc(spark: SparkSession, pages: DataFrame) -> str:
 HAR_LOG = '{"log": {"version": "1.2", "creator": {"name": "fixture", "version": "1"}, "pages": [], "entries": []}}'
 
 
-def har_entries(pages: DataFrame) -> DataFrame:
-    """One HAR entry per page as JSON text."""
+def har_entries(pages: DataFrame, *beside: Column) -> DataFrame:
+    """One HAR entry per page as JSON text, after the columns ``beside``."""
     header = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
     coded = F.col("page_id") % 3 == 0
     content = F.struct(
@@ -87,23 +91,48 @@ def har_entries(pages: DataFrame) -> DataFrame:
         F.struct(F.lit("GET").alias("method"), F.col("url"), F.array(header("Accept", F.lit("*/*"))).alias("headers")).alias("request"),
         response.alias("response"),
     )
-    return pages.select(F.to_json(entry).alias("value"))
+    return pages.select(*beside, F.to_json(entry).alias("value"))
 
 
-def write_har(spark: SparkSession, pages: DataFrame) -> str:
-    """Archives in the concatenated form: each file is the log object followed by its entries."""
+def write_har(spark: SparkSession, pages: DataFrame, nested: bool = False) -> str:
+    """An archive for each partition of the pages: the log object followed by its entries, or the entries inside the log."""
+    opening, closing = HAR_LOG[: HAR_LOG.index("]}}") - len('"entries": [')] + '"entries": [', "]}}"
 
     def with_log(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"value": [HAR_LOG]})
+        yield from batches
+
+    def in_log(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = opening
         for batch in batches:
-            yield batch
+            for value in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": [mark + value]})
+                mark = ","
+        yield pa.RecordBatch.from_pydict({"value": [closing if mark == "," else opening + closing]})
 
     path = fresh_dir(spark, "har")
-    entries = har_entries(pages.repartition(2)).mapInArrow(with_log, "value string")
+    entries = har_entries(pages).mapInArrow(in_log if nested else with_log, "value string")
     entries.write.option("compression", "gzip").text(path)
     return path
 
 
+def write_har_archives(spark: SparkSession, pages: DataFrame) -> str:
+    """An archive for each thousand pages of a crawl, whose log names the crawl and lists the pages."""
+    archive = F.concat_ws("-", "crawler_uuid", F.floor(F.col("page_id") / 1000).cast("string")).alias("archive")
+    listed = F.collect_list(F.struct(F.col("page_id").cast("string").alias("id"), F.col("url").alias("title")))
+    log = F.struct(
+        F.lit("1.2").alias("version"),
+        F.struct(F.concat(F.lit("crawl-"), F.first("crawler_uuid")).alias("name"), F.max("status_code").cast("string").alias("version")).alias("creator"),
+        listed.alias("pages"), F.array().cast("array<string>").alias("entries"),
+    )
+    logs = pages.groupBy(archive).agg(F.lit(-1).cast("bigint").alias("at"), F.to_json(F.struct(log.alias("log"))).alias("value"))
+    lines = har_entries(pages, archive, F.col("page_id").alias("at"))
+    path = fresh_dir(spark, "har-archives")
+    rows = logs.unionByName(lines).repartition("archive").sortWithinPartitions("archive", "at")
+    rows.select("archive", "value").write.partitionBy("archive").text(path)
+    return path
+
+
 def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     path = fresh_dir(spark, name)
     lines.write.text(path)

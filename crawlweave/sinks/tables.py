@@ -17,7 +17,7 @@ def page_table(records: DataFrame) -> DataFrame:
     """
     w, h = F.col("warc_headers"), F.col("headers")
     content_type = F.element_at(F.map_values(F.map_filter(h, lambda k, v: F.lower(k) == "content-type")), 1)
-    date = F.try_to_timestamp(F.regexp_replace(w["WARC-Date"], r"[TZ]", " "))
+    date = F.try_to_timestamp(w["WARC-Date"])  # in the zone it names
     return records.filter(F.col("record_type") == "response").select(
         "url",
         w["WARC-Record-ID"].alias("record_id"),
@@ -38,11 +38,11 @@ def write_pages_parquet(
     """ZSTD Parquet with a bloom filter on ``url``.
 
     The rebalance hint lets AQE split a partition value that holds most rows
-    and merge small ones. Rows are sorted by URL inside each file, so that row
+    and merge small ones. Dates are those of UTC. Rows are sorted by URL inside each file, so that row
     group statistics prune URL prefixes.
     """
     if "partition_date" in partition_by and "partition_date" not in pages.columns:
-        pages = pages.withColumn("partition_date", F.to_date("date"))
+        pages = pages.withColumn("partition_date", F.to_date(F.to_utc_timestamp("date", F.current_timezone())))
     laid_out = pages.hint("rebalance", *partition_by) if partition_by else pages.hint("rebalance")
     (
         laid_out.sortWithinPartitions(*partition_by, "url")

@@ -55,13 +55,15 @@ def pack(pieces: list[tuple], parallelism: int = 1) -> Iterator[list[tuple]]:
         yield group
 
 
-def open_stream(path: str, begin: int = 0) -> BinaryIO:
-    """Buffered stream of the bytes from ``begin`` on; gzip is recognised by its magic, all members are read."""
+def open_file(path: str) -> BinaryIO:
+    """Buffered file that can seek."""
+    filesystem, local = resolve(path)
+    return io.BufferedReader(Readable(filesystem.open_input_file(local)), 1 << 18)
+
+
+def open_stream(path: str) -> BinaryIO:
+    """Buffered stream; gzip is recognised by its magic, all members are read."""
     filesystem, local = resolve(path)
-    if begin:
-        stream = io.BufferedReader(Readable(filesystem.open_input_file(local)), 1 << 20)
-        stream.seek(begin)
-        return stream
     raw = io.BufferedReader(Readable(filesystem.open_input_stream(local, compression=None)), 1 << 20)
     if raw.peek(2)[:2] == b"\x1f\x8b":
         return io.BufferedReader(gzip.GzipFile(fileobj=raw, mode="rb"), 1 << 20)

@@ -18,7 +18,9 @@ from crawlweave.sources.payloads import parsed_once
 from crawlweave.sources.warc import FileGroup
 
 CHUNK = 1 << 20
-TOKENS = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]]|"', re.DOTALL)
+MARK = re.compile(rb'["{}\[\]]')
+IN_STRING = re.compile(rb'(?:[^"\\]++|\\.)*+', re.DOTALL)
+ENTRIES = b"entries"
 SCHEMA = "path string, entry_seq bigint, is_log boolean, raw string"
 ARROW_SCHEMA = pa.schema([("path", pa.string()), ("entry_seq", pa.int64()), ("is_log", pa.bool_()), ("raw", pa.string())])
 
@@ -27,52 +29,63 @@ def iter_objects(stream: BinaryIO) -> Iterator[tuple[bool, bytes]]:
     """(is_log, text) of the log object without its entries and of each entry.
 
     Accepts the log followed by entry objects with nothing between them, and
-    the standard nesting ``log.entries``. Only the object being read is held.
-    Reading stops at the first text that is not a JSON object.
+    the standard nesting ``log.entries``. Only the object being read is held, as
+    the pieces of the chunks it lies in; every byte is looked at once. Reading
+    stops at the first text that is not a JSON object.
     """
-    buffer, scan, start = b"", 0, 0  # buffer[start:] is kept, buffer[:scan] has been looked at
     stack: list[bytes] = []
-    log_parts: list[bytes] = []
-    key, first, in_entries = b"", True, False
-    while True:
-        token = TOKENS.search(buffer, scan)
-        if token is None or token.group() == b'"':
-            # a lone quote opens a string that goes on in the next chunk
-            scan = token.start() if token else len(buffer)
-            if not stack:
-                if buffer[start:scan].strip():
-                    return
-                start = scan
-            elif in_entries and len(stack) == 3:
-                start = scan
-            piece = stream.read(CHUNK)
-            if not piece:
+    log: list[bytes] = []  # the first object, without its entries
+    entry: list[bytes] = []
+    kept: list[bytes] | None = None  # what the bytes being read belong to
+    in_string = escaped = in_entries = False
+    first, key = True, b""
+    while chunk := stream.read(CHUNK):
+        at = start = 0
+        if escaped:  # the second byte of an escape
+            at, escaped = 1, False
+        while at < len(chunk):
+            if in_string:
+                end = IN_STRING.match(chunk, at).end()
+                if len(key) <= len(ENTRIES):
+                    key += chunk[at : min(end, at + len(ENTRIES) + 1)]
+                if end == len(chunk):
+                    break
+                escaped = chunk[end : end + 1] == b"\\"  # the last byte of the chunk
+                in_string, at = escaped, end + 1
+                continue
+            found = MARK.search(chunk, at)
+            if found is None:
+                break
+            place, at, mark = found.start(), found.end(), found.group()
+            if not stack and (mark != b"{" or chunk[start:place].strip()):
                 return
-            buffer, scan, start = buffer[start:] + piece, scan - start, 0
-            continue
-        scan, mark = token.end(), token.group()
-        if not stack and (mark != b"{" or buffer[start : token.start()].strip()):
+            if mark == b'"':
+                in_string, key = True, b""
+            elif mark in b"{[":
+                stack.append(mark)
+                if len(stack) == 1:
+                    start, kept = place, log if first else entry
+                elif in_entries and len(stack) == 4:
+                    start, kept = place, entry
+                elif first and not in_entries and key == ENTRIES and stack == [b"{", b"{", b"["]:
+                    log.append(chunk[start:at])
+                    in_entries, kept = True, None
+            else:
+                stack.pop()
+                if in_entries and len(stack) == 3:
+                    entry.append(chunk[start:at])
+                    yield False, b"".join(entry)
+                    entry, kept = [], None
+                elif in_entries and len(stack) == 2:
+                    in_entries, start, kept = False, place, log
+                elif not stack:
+                    kept.append(chunk[start:at])
+                    yield first, b"".join(kept)
+                    first, log, entry, kept, start = False, [], [], None, at
+        if kept is not None:
+            kept.append(chunk[start:])
+        elif not stack and chunk[start:].strip():
             return
-        if mark[:1] == b'"':
-            key = mark
-        elif mark in b"{[":
-            stack.append(mark)
-            if len(stack) == 1 or (in_entries and len(stack) == 4):
-                start = token.start()
-            elif first and key == b'"entries"' and stack == [b"{", b"{", b"["]:
-                in_entries = True
-                log_parts.append(buffer[start:scan])
-                start = scan
-        else:
-            stack.pop()
-            if in_entries and len(stack) == 3:
-                yield False, buffer[start:scan]
-                start = scan
-            elif in_entries and len(stack) == 2:
-                in_entries, start = False, token.start()
-            elif not stack:
-                yield first, b"".join(log_parts) + buffer[start:scan]
-                first, log_parts, start = False, [], scan
 
 
 class HarReader(DataSourceReader):
@@ -91,7 +104,7 @@ class HarReader(DataSourceReader):
                 for seq, (is_log, text) in enumerate(iter_objects(stream)):
                     try:
                         raw = text.decode("utf-8")
-                        json.loads(raw)
+                        json.loads(raw)  # only what is JSON up to here is read, which the native parser cannot tell
                     except ValueError:
                         break
                     rows.append((path, seq, is_log, raw))

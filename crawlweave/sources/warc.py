@@ -1,29 +1,26 @@
 """WARC archives as a Spark data source.
 
-A task streams an archive, or a byte range of a large uncompressed one; small
-archives are packed together. It holds one record at a time, and rows leave it
-as Arrow batches of bounded size.
+A task streams byte ranges of archives, small ones packed together. It holds one
+record at a time, and rows leave it as Arrow batches of bounded size.
 """
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Iterator, Sequence
-from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import parquet
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from crawlweave.schemas import WARC_RECORD
-from crawlweave.sources import files, warc_splits
+from crawlweave.session import fresh_dir
+from crawlweave.sources import files, warc_splits, warc_stream
 
 KEPT_TYPES = ("response", "request", "metadata", "warcinfo")
 BATCH_BYTES = 8 * 1024 * 1024
 BATCH_ROWS = 2000
-STATUS_LINE = re.compile(rb"HTTP/\d(?:\.\d)? (\d+)")
 MAPS = pa.map_(pa.string(), pa.string())
 ARROW_SCHEMA = pa.schema(
     [
@@ -35,75 +32,10 @@ ARROW_SCHEMA = pa.schema(
         ("content", pa.binary()),
         ("status_code", pa.int32()),
         ("warc_headers", MAPS),
+        ("reject", pa.string()),
     ]
 )
-
-
-def header_lines(lines: list[bytes]) -> dict[str, str]:
-    out = {}
-    for line in lines:
-        name, colon, value = line.partition(b":")
-        if colon:
-            out[name.decode("utf-8", "replace").strip()] = value.decode("utf-8", "replace").strip()
-    return out
-
-
-def split_http(block: bytes) -> tuple[int | None, dict[str, str], bytes]:
-    """Status, headers and body of a response block."""
-    head, blank, body = block.partition(b"\r\n\r\n")
-    if not blank:
-        head, _, body = block.partition(b"\n\n")
-    lines = head.split(b"\r\n" if b"\r\n" in head else b"\n")
-    status = STATUS_LINE.match(lines[0])
-    return int(status.group(1)) if status else None, header_lines(lines[1:]), body
-
-
-def skip(stream: BinaryIO, length: int) -> None:
-    while length > 0:
-        piece = stream.read(min(length, 1 << 20))
-        if not piece:
-            return
-        length -= len(piece)
-
-
-def iter_records(
-    stream: BinaryIO, types: frozenset[str], urls: frozenset[str] | None = None, at: int = 0, stop: int = 0
-) -> Iterator[tuple]:
-    """Records in file order as (position, type, url, headers, content, status, warc_headers).
-
-    The position counts decompressed bytes from the start of the file, where
-    the stream stands at ``at``; no record that starts at ``stop`` or later is
-    read, unless it is 0. Framing follows Content-Length, so a body may hold
-    anything. Reading ends at the first line that does not start a record.
-    Bodies of unwanted records are skipped.
-    """
-    while not stop or at < stop:
-        line = stream.readline()
-        if not line.startswith(b"WARC/"):
-            return
-        start, at, lines = at, at + len(line), []
-        while True:
-            line = stream.readline()
-            at += len(line)
-            line = line.rstrip(b"\r\n")
-            if not line:
-                break
-            lines.append(line)
-        named = header_lines(lines)
-        if not named:
-            return
-        kind, url = named.get("WARC-Type", ""), named.get("WARC-Target-URI", "")
-        length = int(named.get("Content-Length", 0))
-        if kind in types and (urls is None or url in urls):
-            block = stream.read(length)
-            if kind == "response":
-                status, headers, body = split_http(block)
-                yield start, kind, url, headers, body, status, named
-            else:
-                yield start, kind, url, {}, block, None, named
-        else:
-            skip(stream, length)
-        at += length + len(stream.readline()) + len(stream.readline())
+SOURCE_SCHEMA = StructType([*WARC_RECORD.fields, StructField("reject", StringType())])
 
 
 class FileGroup(InputPartition):
@@ -112,24 +44,31 @@ class FileGroup(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, pieces: list[tuple], types: frozenset[str], parallelism: int):
+    def __init__(self, pieces: str, types: frozenset[str], parallelism: int):
         self.pieces = pieces
         self.types = types
         self.parallelism = parallelism
         self.urls: frozenset[str] | None = None
 
     def partitions(self) -> Sequence[InputPartition]:
-        return [FileGroup(group) for group in files.pack(self.pieces, self.parallelism)]
+        """Packs of the settled pieces, one row for each range, as a file scan lists its splits."""
+        filesystem, local = files.resolve(self.pieces)
+        rows = parquet.read_table(local, filesystem=filesystem, columns=["path", "size", "begin", "stop"]).to_pylist()
+        pieces = sorted((r["path"], r["begin"], r["stop"], r["size"], r["stop"] - r["begin"]) for r in rows)
+        return [FileGroup(group) for group in files.pack(pieces, self.parallelism)]
 
     def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
-        for path, begin, stop, _ in partition.pieces:
-            with files.open_stream(path, begin) as stream:
-                found = iter_records(stream, self.types, self.urls, begin, stop)
-                for seq, kind, url, headers, content, status, named in found:
-                    rows.append((path, seq, kind, url, list(headers.items()), content, status, list(named.items())))
-                    held += len(content)
+        for path, begin, stop, size, _ in partition.pieces:
+            with files.open_file(path) as stream:
+                for found in warc_stream.records(warc_stream.source_of(stream, size), begin, stop, self.types, self.urls):
+                    if isinstance(found, warc_stream.Reject):
+                        rows.append((path, found.seq, None, None, None, None, None, None, found.reason))
+                    else:
+                        seq, kind, url, headers, content, status, named = found
+                        rows.append((path, seq, kind, url, list(headers.items()), content, status, list(named.items()), None))
+                        held += len(content)
                     if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
                         yield self._batch(rows)
                         rows, held = [], 0
@@ -163,36 +102,43 @@ class WarcSource(DataSource):
         return "warc"
 
     def schema(self) -> StructType:
-        return WARC_RECORD
+        return SOURCE_SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        types = self.options.get("recordTypes")
-        kept = frozenset(types.split(",") if types else KEPT_TYPES)
         pushdown = self.options.get("pushdown", "false") == "true"
         reader = FilteringWarcReader if pushdown else WarcReader
-        splits = self.options.get("splits")
-        pieces = json.loads(splits) if splits else [(p, 0, 0, n) for p, n in files.list_files(self.options["path"])]
-        return reader(pieces, kept, int(self.options.get("parallelism", 1)))
+        kept = frozenset(filter(None, self.options["recordTypes"].split(",")))
+        return reader(self.options["path"], kept, int(self.options.get("parallelism", 1)))
 
 
-def read_warc(
-    spark: SparkSession, path: str, record_types: Sequence[str] | None = None, split_bytes: int = warc_splits.SPLIT_BYTES
-) -> DataFrame:
-    """Records of all archives below ``path``, gzipped or plain.
-
-    Other record types than response, request, metadata and warcinfo are only
-    read when asked for by name. Uncompressed archives above ``split_bytes``
-    are read by several tasks. ``record_seq`` grows in file order.
-    """
+def _load(spark: SparkSession, path: str, types: Sequence[str], range_bytes: int) -> DataFrame:
     spark.dataSource.register(WarcSource)
+    settled = fresh_dir(spark, "warc-pieces")
+    warc_splits.pieces(spark, files.list_files(path), range_bytes).write.parquet(settled)
     reader = (
         spark.read.format("warc")
         .option("parallelism", spark.sparkContext.defaultParallelism)
         .option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+        .option("recordTypes", ",".join(types))
     )
-    listed = files.list_files(path)
-    if any(size > split_bytes for _, size in listed):
-        reader = reader.option("splits", json.dumps(warc_splits.plan(spark, listed, split_bytes)))
-    if record_types:
-        reader = reader.option("recordTypes", ",".join(record_types))
-    return reader.load(path)
+    return reader.load(settled)
+
+
+def read_warc(
+    spark: SparkSession, path: str, record_types: Sequence[str] | None = None, range_bytes: int = warc_splits.RANGE_BYTES
+) -> DataFrame:
+    """Records of all archives below ``path``, gzipped or plain.
+
+    Other record types than response, request, metadata and warcinfo are only
+    read when asked for by name. Archives above ``range_bytes`` are read by
+    several tasks, gzipped ones where a member begins with a record.
+    ``record_seq`` grows in file order. Reading goes on after damage, see
+    ``rejected_warc_records``.
+    """
+    return _load(spark, path, record_types or KEPT_TYPES, range_bytes).filter(F.col("reject").isNull()).drop("reject")
+
+
+def rejected_warc_records(spark: SparkSession, path: str, range_bytes: int = warc_splits.RANGE_BYTES) -> DataFrame:
+    """(path, record_seq, reason) of the places where no whole record could be read and reading went on behind them."""
+    rejected = _load(spark, path, (), range_bytes).filter(F.col("reject").isNotNull())
+    return rejected.select("path", "record_seq", F.col("reject").alias("reason"))

@@ -1,126 +1,74 @@
-"""Byte ranges of large uncompressed archives, so that several tasks can share one file.
+"""Byte ranges of archives, so that several tasks can share one file.
 
-Where a range's first record starts can only be guessed from its bytes, since
-a body may hold anything that looks like a record. So a Spark job looks at
-every range (the guess, and where the records from there lead to), and the
-guesses are then checked against each other from the start of the file. A
-wrong guess is looked at again from the right place. The result is exact.
+A range begins at the first record that starts in it. Which one that is can only
+be guessed from the bytes, since a body may hold anything that looks like a
+record. So a Spark job looks at every range (the guess, and where the records
+from there lead to), each range is compared with where the ranges before it
+lead, and those that guessed wrong are looked at again. The result is exact.
 """
 
 from __future__ import annotations
 
-import io
-import re
 from collections.abc import Iterator
-from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crawlweave.sources import files
+from crawlweave.session import written
+from crawlweave.sources import files, warc_stream
 
-SPLIT_BYTES = 256 * 1024 * 1024
-SCAN = 1 << 20
-CANDIDATE = re.compile(rb"\nWARC/\d")
-LOOKED = "path string, begin bigint, stop bigint, first bigint, next bigint, gzipped boolean"
-GONE = -1  # no record starts here
-
-
-def next_record(stream: BinaryIO, position: int) -> int:
-    """Where the record after the one at ``position`` starts; GONE when none starts at ``position``."""
-    stream.seek(position)
-    if not stream.readline().startswith(b"WARC/"):
-        return GONE
-    length, headers = 0, 0
-    while line := stream.readline().rstrip(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        headers += bool(colon)
-        if name.strip() == b"Content-Length":
-            length = int(value)
-    if not headers:
-        return GONE
-    stream.seek(stream.tell() + length)
-    stream.readline()
-    stream.readline()
-    return stream.tell()
-
-
-def guess_first(stream: BinaryIO, begin: int, stop: int) -> int:
-    """First place in the range that looks like a record."""
-    if begin == 0:
-        return 0
-    position = begin - 1
-    while position < stop:
-        stream.seek(position)
-        piece = stream.read(SCAN + 16)
-        for hit in CANDIDATE.finditer(piece):
-            start = position + hit.start() + 1
-            if start >= stop:
-                return GONE
-            if hit.start() < SCAN:
-                stream.seek(start)
-                head = stream.read(4096).split(b"\r\n\r\n", 1)[0]
-                if b"WARC-Type" in head:
-                    return start
-        if len(piece) < SCAN + 16:
-            return GONE
-        position += SCAN
-    return GONE
-
-
-def follow(stream: BinaryIO, first: int, stop: int) -> int:
-    """First record start at or after ``stop``; GONE when reading ends before."""
-    position = first
-    while position != GONE and position < stop:
-        position = next_record(stream, position)
-    return position
+RANGE_BYTES = 128 * 1024 * 1024
+LOOKED = "path string, size bigint, begin bigint, stop bigint, first bigint, next bigint"
 
 
 def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fill in ``next``, where the records from ``first`` lead to beyond the range, and ``first`` where it is null."""
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            filesystem, local = files.resolve(row["path"])
-            with filesystem.open_input_file(local) as raw, io.BufferedReader(files.Readable(raw), 1 << 16) as stream:
-                gzipped = stream.read(2) == b"\x1f\x8b"
+            with files.open_file(row["path"]) as stream:
+                source = warc_stream.source_of(stream, row["size"])
                 first = row["first"]
                 if first is None:
-                    first = GONE if gzipped else guess_first(stream, row["begin"], row["stop"])
-                out.append({**row, "first": first, "next": follow(stream, first, row["stop"]), "gzipped": gzipped})
+                    first = 0 if row["begin"] == 0 else source.guess(row["begin"], row["stop"])
+                following = None if first is None else warc_stream.follow(source, first, row["stop"])
+                out.append({**row, "first": first, "next": following})
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
 
 
-def examine(spark: SparkSession, ranges: list[tuple]) -> list:
-    rows = spark.createDataFrame([(p, b, s, f, None, None) for p, b, s, f in ranges], LOOKED)
-    tasks = min(len(ranges), 4 * spark.sparkContext.defaultParallelism)
-    return rows.repartition(tasks, "path", "begin").mapInArrow(look, LOOKED).collect()  # one row per range
-
-
-def plan(spark: SparkSession, listed: list[tuple[str, int]], split_bytes: int = SPLIT_BYTES) -> list[tuple[str, int, int, int]]:
-    """(path, begin, stop, bytes) to read; stop 0 is the end of the file. Every begin is the start of a record."""
-    whole = [(path, 0, 0, size) for path, size in listed if size <= split_bytes]
-    large = [(path, size) for path, size in listed if size > split_bytes]
-    if not large:
-        return whole
-    ranges = [(p, b, min(b + split_bytes, size), None) for p, size in large for b in range(0, size, split_bytes)]
-    seen: dict[str, list] = {}
-    for row in examine(spark, ranges):
-        seen.setdefault(row["path"], []).append(row)
-    out = list(whole)
-    for path, size in large:
-        rows = sorted(seen[path], key=lambda r: r["begin"])
-        if rows[0]["gzipped"]:
-            out.append((path, 0, 0, size))
-            continue
-        at = 0
-        for row in rows:
-            if at == GONE:
-                break
-            if at >= row["stop"]:
-                continue  # inside a record that is longer than the range
-            if row["first"] != at:
-                row = examine(spark, [(path, row["begin"], row["stop"], at)])[0]
-            out.append((path, at, row["stop"], row["stop"] - at))
-            at = row["next"]
-    return out
+def ranges(spark: SparkSession, listed: list[tuple[str, int]], range_bytes: int) -> DataFrame:
+    """(path, size, begin, stop) of all files; an archive of any size is cut in the same way."""
+    table = spark.createDataFrame(listed, "path string, size bigint")
+    begins = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))
+    cut = table.withColumn("begin", F.explode(begins))
+    return cut.withColumn("stop", F.least(F.col("begin") + range_bytes, "size"))
+
+
+def pieces(spark: SparkSession, listed: list[tuple[str, int]], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, size, begin, stop): every ``begin`` is the start of a record, and all records that start before ``stop`` belong
+    to the piece. A file of one range needs no look; the others are settled range by range, by jobs over those still wrong."""
+    cut = ranges(spark, listed, range_bytes)
+    single = cut.filter(F.col("size") <= range_bytes).select("path", "size", "begin", "stop")
+    many = [size for _, size in listed if size > range_bytes]
+    if not many:
+        return single
+    tasks = sum(-(-size // range_bytes) for size in many)
+    blank = F.lit(None).cast("bigint")
+    todo = cut.filter(F.col("size") > range_bytes).withColumn("first", blank).withColumn("next", blank).repartition(tasks, "path", "begin")
+    looked = written(todo.mapInArrow(look, LOOKED), "warc-ranges")
+    before = Window.partitionBy("path").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        led = looked.withColumn("entry", F.coalesce(F.max("next").over(before), F.lit(0)))
+        inside = F.col("entry") < F.col("stop")
+        wrong = F.when(inside, ~F.col("entry").eqNullSafe(F.col("first"))).otherwise(F.col("first").isNotNull())
+        led = written(led.withColumn("wrong", wrong), "warc-chains")
+        bad = led.filter("wrong")
+        count = bad.count()
+        if not count:
+            return single.unionByName(led.filter(inside).select("path", "size", F.col("entry").alias("begin"), "stop"))
+        # the first wrong range of a file has its true entry now, so every round settles at least one more
+        columns = ["path", "size", "begin", "stop", F.when(inside, F.col("entry")).alias("first"), blank.alias("next")]
+        again = bad.filter(inside).select(columns).repartition(count, "path", "begin").mapInArrow(look, LOOKED)
+        empty = bad.filter(~inside).select(columns)
+        looked = written(led.filter("NOT wrong").drop("entry", "wrong").unionByName(again).unionByName(empty), "warc-ranges")

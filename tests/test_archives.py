@@ -7,7 +7,7 @@ import json
 import pytest
 
 from crawlweave.operators.filters import responses
-from crawlweave.sources import files, har, warc, warc_splits
+from crawlweave.sources import files, har, warc, warc_splits, warc_stream
 
 
 def record(kind, url, block, **headers):
@@ -126,16 +126,78 @@ def test_har_objects_across_chunk_borders(monkeypatch, chunk):
 FAKE = b"x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: fake\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
 
 
-@pytest.mark.parametrize("split_bytes", [97, 400, 5000])
-def test_ranges_of_one_file_give_the_same_records(spark, tmp_path, split_bytes):
-    big = [record("response", f"https://e.example/{i}", PAGE + (FAKE * (i % 4) + b"-" * (i * 37 % 900))) for i in range(60)]
-    (tmp_path / "a.warc").write_bytes(b"".join(big))
-    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(b"".join(big[:9])))
-    (tmp_path / "c.warc").write_bytes(b"".join(big[:5]) + b"garbage\r\n" + b"".join(big[5:9]))
-    shape = lambda df: sorted((r["path"], r["record_seq"], r["url"], bytes(r["content"])) for r in df.collect())
+BIG = [record("response", f"https://e.example/{i}", PAGE + (FAKE * (i % 4) + b"-" * (i * 37 % 900))) for i in range(60)]
+
+
+def shape(df):
+    return sorted((r["path"], r["record_seq"], r["url"], bytes(r["content"])) for r in df.collect())
+
+
+@pytest.mark.parametrize("range_bytes", [97, 400, 5000])
+def test_ranges_of_one_file_give_the_same_records(spark, tmp_path, range_bytes):
+    (tmp_path / "a.warc").write_bytes(b"".join(BIG))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(b"".join(BIG[:9])))
+    (tmp_path / "c.warc").write_bytes(b"".join(BIG[:5]) + b"garbage\r\n" + b"".join(BIG[5:9]))
+    (tmp_path / "d.warc.gz").write_bytes(b"".join(map(gzip.compress, BIG)))
     whole = shape(warc.read_warc(spark, str(tmp_path)))
-    assert len(whole) == 60 + 9 + 5 and "fake" not in {u for _, _, u, _ in whole}
-    split = warc.read_warc(spark, str(tmp_path), split_bytes=split_bytes)
-    assert shape(split) == whole
-    plan = warc_splits.plan(spark, files.list_files(str(tmp_path)), split_bytes)
-    assert len([p for p in plan if p[0].endswith("a.warc")]) > 3
+    assert len(whole) == 60 + 9 + 9 + 60 and "fake" not in {u for _, _, u, _ in whole}
+    assert shape(warc.read_warc(spark, str(tmp_path), range_bytes=range_bytes)) == whole
+    plan = [tuple(r) for r in warc_splits.pieces(spark, files.list_files(str(tmp_path)), range_bytes).collect()]
+    assert all(len([p for p in plan if p[0].endswith(name)]) > 1 for name in ("a.warc", "d.warc.gz"))
+    assert len([p for p in plan if p[0].endswith("b.warc.gz")]) == 1  # one member cannot be shared
+    rejects = warc.rejected_warc_records(spark, str(tmp_path), range_bytes).collect()
+    assert [(r["path"].rsplit("/", 1)[-1], r["record_seq"], r["reason"]) for r in rejects] == [("c.warc", sum(map(len, BIG[:5])), "no version line")]
+
+
+def read_bytes(data, begin=0, stop=None):
+    source = warc_stream.source_of(io.BytesIO(data), len(data))
+    found = list(warc_stream.records(source, begin, len(data) if stop is None else stop, frozenset({"response"})))
+    urls = [f.url.rsplit("/", 1)[-1] for f in found if isinstance(f, warc_stream.Record)]
+    return urls, [f.reason for f in found if isinstance(f, warc_stream.Reject)]
+
+
+@pytest.mark.parametrize("chunk", [7, 64, 1 << 18])
+def test_reading_goes_on_after_damage(monkeypatch, chunk):
+    monkeypatch.setattr(warc_stream, "CHUNK", chunk)
+    ten = BIG[:10]
+    names = [str(i) for i in range(10)]
+    assert read_bytes(b"".join(ten)) == (names, [])
+    bad_length = ten[3].replace(b"Content-Length: ", b"Content-Length: x")
+    assert read_bytes(b"".join(ten[:3]) + bad_length + b"".join(ten[4:]))[0][:3] == names[:3]
+    assert read_bytes(b"".join([*ten[:3], b"WARC/1.0\r\n\r\n", *ten[3:]])) == (names, ["no headers"])
+    lost = b"".join(ten[:3]) + ten[3][5:] + b"".join(ten[4:])
+    assert read_bytes(lost)[0][-6:] == names[4:] and read_bytes(lost)[1][0] == "no version line"
+    assert read_bytes(b"") == ([], []) and read_bytes(b"\r\n\r\n") == ([], [])
+    assert read_bytes(b"\r\n".join(ten)) == (names, [])  # more line ends than there should be
+
+
+@pytest.mark.parametrize("chunk", [600, 1 << 18])
+def test_gzip_damage(monkeypatch, chunk):
+    monkeypatch.setattr(warc_stream, "CHUNK", chunk)
+    members = [gzip.compress(r) for r in BIG[:10]]
+    names = [str(i) for i in range(10)]
+    assert read_bytes(b"".join(members)) == (names, [])
+    broken = bytearray(members[4])
+    broken[-6] ^= 255  # the check sum
+    assert read_bytes(b"".join([*members[:4], bytes(broken), *members[5:]])) == (names[:4] + names[5:], ["broken member"])
+    torn = members[4][: len(members[4]) // 2]
+    assert read_bytes(b"".join([*members[:4], torn, *members[5:]])) == (names[:4] + names[5:], ["broken member"])
+    assert read_bytes(b"".join(members[:9]) + members[9][:60]) == (names[:9], ["broken member"])
+    inside = gzip.compress(BIG[0] + b"noise\r\n" * 3 + BIG[1]) + members[2]
+    assert read_bytes(inside) == (["0", "1", "2"], ["no version line"])
+    marks = b"\x1f\x8b\x08\x00" * 20_000  # what only looks like members
+    assert read_bytes(b"".join([members[0], marks, *members[1:]])) == (names, ["broken member"])
+    spanning = b"".join(BIG[:10])
+    parts = b"".join(gzip.compress(spanning[i : i + 333]) for i in range(0, len(spanning), 333))
+    assert read_bytes(parts) == (names, [])  # records that go on in the next member
+
+
+@pytest.mark.parametrize("mb", [8, 64])
+def test_one_long_string_is_read_in_linear_time(mb):
+    import time
+
+    text = '{"log": {"entries": []}}{"a": "' + 'x\\"y}{' * ((mb << 20) // 7) + '"}'
+    start = time.perf_counter()
+    found = list(har.iter_objects(io.BytesIO(text.encode())))
+    assert [is_log for is_log, _ in found] == [True, False] and len(found[1][1]) == len(text) - 24
+    assert time.perf_counter() - start < mb / 8
