@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlweave.functions import urls
-from crawlweave.session import fresh_dir, written
+from crawlweave.session import Buckets, written
 
 
 def robots_audit(visits: DataFrame, robots_rules: DataFrame) -> DataFrame:
@@ -107,8 +104,8 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0) -> DataF
     spark = links.sparkSession
     edges, reached = Buckets(spark, "links", ["crawler_uuid", "url"]), Buckets(spark, "reached", ["crawler_uuid", "url"])
     try:
-        edges.append(links.select("crawler_uuid", F.col("source_url").alias("url"), F.col("target_url").alias("next_url")))
-        reached.append(seeds.select("crawler_uuid", "url").withColumn("depth", F.lit(0)))
+        edges.append(links.select("crawler_uuid", F.col("source_url").alias("url"), F.col("target_url").alias("next_url")).distinct())
+        reached.append(seeds.select("crawler_uuid", "url").distinct().withColumn("depth", F.lit(0)))
         depth = 0
         while depth != (max_depth or -1) and not reached.rows().filter(F.col("depth") == depth).isEmpty():
             frontier = reached.rows().filter(F.col("depth") == depth)
@@ -122,31 +119,6 @@ def crawl_depth(links: DataFrame, seeds: DataFrame, max_depth: int = 0) -> DataF
         reached.forget()
 
 
-class Buckets:
-    """A scratch table in buckets of its keys; joins on these leave it where it is."""
-
-    def __init__(self, spark: SparkSession, name: str, keys: Sequence[str]):
-        self.spark, self.keys = spark, list(keys)
-        self.path = fresh_dir(spark, name)
-        self.table = f"{name}_{uuid.uuid4().hex}"
-        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def append(self, df: DataFrame) -> None:
-        placed = df.repartition(self.count, *self.keys).distinct()
-        placed.write.bucketBy(self.count, *self.keys).option("path", self.path).mode("append").saveAsTable(self.table)
-
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.table)
-
-    def files(self) -> DataFrame:
-        """The rows, also after the table is forgotten."""
-        return self.spark.read.schema(self.rows().schema).parquet(self.path)
-
-    def forget(self) -> None:
-        """Drop the name; the files stay in the scratch folder."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-
-
 def ends_of(step: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(closed, open) of steps (url, next) with one row for each URL, by pointer doubling.
 

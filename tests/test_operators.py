@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from crawlweave.functions import errors as E
 from crawlweave.operators import audits, extract, filters, guards, joins, monitoring, ordering, stats, text
+from crawlweave.session import Buckets
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -238,8 +239,8 @@ def test_depth(spark):
 
 def test_a_level_shuffles_no_edges(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    edges = audits.Buckets(spark, "links", ["crawler_uuid", "url"])
-    reached = audits.Buckets(spark, "reached", ["crawler_uuid", "url"])
+    edges = Buckets(spark, "links", ["crawler_uuid", "url"])
+    reached = Buckets(spark, "reached", ["crawler_uuid", "url"])
     try:
         edges.append(spark.range(1000).selectExpr("'c' AS crawler_uuid", "id AS url", "id * 2 AS next_url"))
         reached.append(spark.range(10).selectExpr("'c' AS crawler_uuid", "id AS url", "0 AS depth"))
