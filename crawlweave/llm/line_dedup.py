@@ -1,16 +1,16 @@
 """Removal of lines that many documents share, decided on hashes alone.
 
-Line hashes are dealt out by ranges of (hash, document), with the rows of a range sorted by hash, document and
-position. A line that very many documents hold therefore spreads over several ranges; each range passes on one row for
-each hash and document it has seen first, and these meet as counts. Back to the documents go compressed bitmaps of the
-lines to keep, no text.
+Texts are split and hashed once, into a table of hashes. Line hashes are dealt out by ranges of (hash, document), with
+the rows of a range sorted by hash, document and position. A line that very many documents hold therefore spreads over
+several ranges; each range passes on one row for each hash and document it has seen first, and these meet as counts.
+Back to the documents go compressed bitmaps of the lines to keep, no text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlweave.llm.shared import SPACES, unused_prefix
+from crawlweave.llm.shared import SPACES, unused_prefix, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,8 +44,9 @@ def line_keep_bitmaps(
         .where(F.char_length("_key") >= min_chars)
         .select("_doc", "_text", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"))
     )
+    rows = written(rows, "line-hashes")
     order = [F.col("_h1"), F.col("_h2"), F.col("_doc").desc()]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "_pos")
+    ranged = rows.drop("_text").repartitionByRange(*order).sortWithinPartitions(*order, "_pos")
     first = ranged.groupBy("_h1", "_h2", "_doc").agg(F.min("_pos").alias("_pos"))
     shared = (
         first.groupBy("_h1", "_h2")
@@ -53,7 +54,7 @@ def line_keep_bitmaps(
         .where(F.col("_n") >= min_docs)
         .drop("_n")
     )
-    dropped = ranged.join(shared, ["_h1", "_h2"]).where(F.col("_doc") != F.col("_keeper"))
+    dropped = rows.join(shared, ["_h1", "_h2"]).where(F.col("_doc") != F.col("_keeper"))
     bit = F.expr("shiftleft(1L, _pos % 64)")
     words = dropped.groupBy("_doc", "_text", F.expr("_pos div 64").cast("int").alias("_word")).agg(
         F.bitwise_not(F.bit_or(bit)).alias("_bits")
@@ -80,9 +81,8 @@ def drop_shared_lines(
     bitmaps = line_keep_bitmaps(df, doc, text, min_chars, min_docs).select(
         F.col("_doc").alias(own + "doc"), F.col("_text").alias(own + "text"), F.col("_keep").alias(keep)
     )
-    rows = df.withColumn(lines, lines_of(text))
     same = (F.col(doc) == F.col(own + "doc")) & (F.xxhash64(F.col(text)) == F.col(own + "text"))
-    joined = rows.join(bitmaps, same, "left")
+    joined = df.join(bitmaps, same, "left").withColumn(lines, lines_of(text))  # texts travel whole and are split behind the join
     kept = F.expr(f"filter({lines}, (x, i) -> coalesce(getbit({keep}[cast(i div 64 as int)], i % 64) = 1, true))")
     loses = F.col(keep).isNotNull()
     out = joined.withColumn(left, F.when(loses, kept))
