@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from crawlweave.llm.components import components
 from crawlweave.llm.shared import batches, list_array, mix, shuffle_partitions, texts_of, unused_prefix, word_hashes, word_spans, written
+from crawlweave.session import Buckets
 
 HOT_LIMIT = 1 << 16
 BUCKET_TOKENS = 2_000_000
@@ -111,7 +112,8 @@ def _unpack(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def document_sets(df: DataFrame, doc: str = "doc_id", text: str = "text", words: int = NGRAM) -> DataFrame:
-    """(doc_id, n, d1, d2) of each row, and rows without a document that carry each batch's frequent n-grams."""
+    """(doc_id, row, n, d1, d2) of each row, ``row`` a hash of its text, and rows without a document that carry each batch's
+    frequent n-grams."""
     kind = df.schema[doc].dataType.simpleString()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,21 +128,21 @@ def document_sets(df: DataFrame, doc: str = "doc_id", text: str = "text", words:
             nothing = pa.nulls(1)
             yield from pa.table(
                 {
-                    "doc_id": table["_doc"], "n": pa.array(n, pa.int64()), "d1": pa.array(d1), "d2": pa.array(d2),
+                    "doc_id": table["_doc"], "row": table["_row"], "n": pa.array(n, pa.int64()), "d1": pa.array(d1), "d2": pa.array(d2),
                     "toks": pa.nulls(len(n), pa.list_(pa.int64())), "times": pa.nulls(len(n), pa.list_(pa.int64())),
                 }
             ).to_batches()
             yield from pa.table(
                 {
-                    "doc_id": nothing.cast(table["_doc"].type), "n": nothing.cast(pa.int64()), "d1": nothing.cast(pa.int64()),
+                    "doc_id": nothing.cast(table["_doc"].type), "row": nothing.cast(pa.int64()), "n": nothing.cast(pa.int64()), "d1": nothing.cast(pa.int64()),
                     "d2": nothing.cast(pa.int64()),
                     "toks": pa.array([seen[often].astype(np.int64)], pa.list_(pa.int64())),
                     "times": pa.array([times[often].astype(np.int64)], pa.list_(pa.int64())),
                 }
             ).to_batches()
 
-    schema = f"doc_id {kind}, n long, d1 long, d2 long, toks array<long>, times array<long>"
-    return df.select(F.col(doc).alias("_doc"), F.col(text).alias("_text")).mapInArrow(run, schema)
+    schema = f"doc_id {kind}, row long, n long, d1 long, d2 long, toks array<long>, times array<long>"
+    return df.select(F.col(doc).alias("_doc"), F.xxhash64(text).alias("_row"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def _postings(df: DataFrame, text: str, words: int, buckets: int, hot: dict[int, int]) -> DataFrame:
@@ -223,7 +225,8 @@ def _gather_sets(table: pa.Table, percent: int) -> pa.Table:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets whose intersection is ``percent`` of their union; n-grams of one set cannot be in it."""
+    """Pairs (a, b) of sets whose intersection is ``percent`` of their union; n-grams of one set cannot be in it. ``sets`` lie
+    in buckets of ``sid``, so that pairs travel to the sets."""
     left = sets.select(F.col("sid").alias("a"), F.col("n").alias("_na"), F.col("shared").alias("_sa"))
     right = sets.select(F.col("sid").alias("b"), F.col("n").alias("_nb"), F.col("shared").alias("_sb"))
     both = F.size(F.array_intersect("_sa", "_sb"))
@@ -326,6 +329,12 @@ def near_duplicates(
     intersection is at least ``percent`` times their union; ``component_id`` is the smallest id that links lead to.
     Documents without words, and rows without an id, are linked with nothing. Other columns are not read.
     """
+    return classified(df, doc, text, words, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def classified(df: DataFrame, doc: str = "doc_id", text: str = "text", words: int = NGRAM, percent: int = 75) -> DataFrame:
+    """One row for each row of ``df``: ``doc_id``, ``row`` (hash of the text), ``n``, ``component`` (equal for rows that links
+    connect, whatever their ids; null for rows without words or an id) and ``component_id``."""
     spark = df.sparkSession
     rows = written(document_sets(df, doc, text, words), "document-sets")
     docs = rows.where(F.col("n").isNotNull()).drop("toks", "times")
@@ -344,21 +353,42 @@ def near_duplicates(
     gathered = counted.groupBy("bucket").applyInArrow(
         lambda t: _gather_sets(t, percent), "sid long, n int, prefix int, shared array<long>"
     )
-    linked = set_links(written(gathered, "candidate-sets"), percent)
+    buckets_of_sets = Buckets(spark, "candidate_sets", ["sid"])
+    try:
+        buckets_of_sets.append(gathered)
+        linked = set_links(buckets_of_sets.rows(), percent)
+    finally:
+        buckets_of_sets.forget()
     distinct = docs.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
+    own = F.struct("d1", "d2", "n")
+    nothing = F.lit(None).cast("long")
     if linked is None:
-        classes = distinct.withColumn("component_id", F.col("rep"))
+        named = distinct.withColumn("label", nothing)
     else:
         named = distinct.join(linked.select(F.col("node").alias("d1"), "label"), "d1", "left")
-        least = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("rep").alias("_least"))
-        classes = named.join(least, "label", "left").withColumn("component_id", F.coalesce("_least", "rep"))
-    return docs.join(classes.select("d1", "d2", "n", "component_id"), ["d1", "d2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    least = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("rep").alias("_least"))
+    classes = named.join(least, "label", "left").select(
+        "d1", "d2", "n", F.coalesce("_least", "rep").alias("component_id"),
+        F.when(F.col("label").isNull(), own).otherwise(F.struct(F.col("label").alias("d1"), nothing.alias("d2"), nothing.alias("n"))).alias("component"),
+    )
+    return docs.join(classes, ["d1", "d2", "n"], "left").select(
+        "doc_id", "row", "n", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(df: DataFrame, doc: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
-    """The rows whose document has the smallest id of its component; rows without an id stay."""
-    found = near_duplicates(df, doc, text, **options).where(F.col("doc_id") != F.col("component_id"))
-    gone = unused_prefix(df) + "gone"
-    return df.join(found.select(F.col("doc_id").alias(gone)), F.col(doc) == F.col(gone), "left_anti")
+    """One row of each component: that of the smallest id, among rows of one id that of the smallest text hash.
+
+    Decided for each id and text, so rows that share an id but not their text stand for themselves. Of rows equal in id
+    and text one stays, also where the text has no words. Rows without an id stay.
+    """
+    own = unused_prefix(df)
+    found = classified(df, doc, text, **options).where(F.col("doc_id").isNotNull())
+    linked = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.*")
+    kept = written(linked.unionByName(found.where(F.col("component").isNull()).select("doc_id", "row").distinct()), "kept-rows")
+    names = kept.select(F.col("doc_id").alias(own + "doc"), F.col("row").alias(own + "row"))
+    copies = Window.partitionBy(doc, own + "text").orderBy(F.lit(0))
+    rows = df.where(F.col(doc).isNotNull()).withColumn(own + "text", F.xxhash64(text))
+    rows = rows.withColumn(own + "copy", F.row_number().over(copies)).where(F.col(own + "copy") == 1)
+    same = (F.col(doc) == F.col(own + "doc")) & (F.col(own + "text") == F.col(own + "row"))
+    return rows.join(names, same, "left_semi").select(df.columns).unionByName(df.where(F.col(doc).isNull()))
