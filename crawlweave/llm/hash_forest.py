@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crawlweave.llm.shared import written
+from crawlweave.llm.shared import hash_share, written
 
 BLOCK = 8192
 QUERIES = 1024
@@ -150,7 +150,8 @@ def nearest(
     plan = []
     for dim, r in sizes.items():
         if dim in asked:
-            sample = kept.where(F.col("dim") == dim).orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
+            part = F.lit((SAMPLE + 6 * SAMPLE**0.5) / r.n)
+            sample = kept.where((F.col("dim") == dim) & hash_share(F.xxhash64("id"), part)).orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
             vectors = sample["v"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
             plan.append((dim, -(-r.n // BLOCK), -(-asked[dim] // QUERIES), float(r.norm), share_for(vectors, float(r.norm), k, recall)))
     plans = spark.createDataFrame(plan, "dim int, blocks int, groups int, norm double, share double")

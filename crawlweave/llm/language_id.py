@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.llm.gru import F32, Adam, Gru, softmax
-from crawlweave.llm.shared import batches, texts_of, unused_prefix
+from crawlweave.llm.shared import batches, hash_share, texts_of, unused_prefix
 
 UNKNOWN = "und"
 PAD = 256
@@ -98,21 +98,25 @@ def held_out(doc: str, folds: int) -> Column:
 
 
 def training_windows(
-    rows: DataFrame, text: str, label: str, doc: str, per_language: int, languages: int, width: int
+    rows: DataFrame, text: str, label: str, doc: str, per_language: int, most: int, width: int
 ) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, windows, labels) of a bounded sample: so many documents of each of the largest languages, by hash.
+    """(languages, windows, labels) of a bounded sample: so many documents of each language, by hash.
 
-    Each document gives a piece of up to 4 windows from a place that its hash picks.
+    All languages are learned; where there are very many, each gives fewer documents, so that all together give about
+    ``most``, but one at least. Each document gives a piece of up to 4 windows from a place that its hash picks.
     """
     known = rows.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    order = F.xxhash64(F.col(doc), F.col(text))
-    names = [r[0] for r in known.groupBy(label).count().orderBy(F.desc("count"), label).limit(languages).collect()]
-    ranked = known.withColumn("_n", F.row_number().over(Window.partitionBy(label).orderBy(order))).where(F.col("_n") <= per_language)
+    counts = known.groupBy(F.col(label).alias("l")).agg(F.count(F.lit(1)).alias("c"))
+    names = [r[0] for r in counts.select("l").collect()]
+    each = max(1, min(per_language, most // max(len(names), 1)))
     start = F.pmod(F.xxhash64(F.lit(1), doc), F.greatest(F.char_length(text) - 2 * width, F.lit(1))).cast("int") + 1
-    sample = ranked.where(F.col(label).isin(names)).select(F.substr(F.col(text), start, F.lit(4 * width)).alias("t"), F.col(label).alias("l"), order.alias("o"))
+    pieces = known.select(F.col(label).alias("l"), F.xxhash64(F.col(doc), F.col(text)).alias("o"), F.substr(F.col(text), start, F.lit(4 * width)).alias("t"))
+    # few more than wanted pass by their hash, so that short pieces of a bounded number are ranked
+    some = pieces.join(counts, "l").where(hash_share(F.col("o"), (each + 6 * each**0.5 + 12) / F.col("c"))).distinct()
+    sample = some.withColumn("_n", F.row_number().over(Window.partitionBy("l").orderBy("o", "t"))).where(F.col("_n") <= each)
     names.sort()
     windows, labels = [], []
-    for row in sorted(sample.collect(), key=lambda r: (r.l, r.o, r.t)):  # per_language x languages pieces at most
+    for row in sorted(sample.collect(), key=lambda r: (r.l, r.o, r.t)):
         data = row.t.encode()[: 4 * width]
         for k in range(0, len(data), width):
             piece = np.full(width, PAD, np.int16)
@@ -130,18 +134,18 @@ def with_language(
     label: str = "lang",
     folds: int = 5,
     per_language: int = 400,
-    languages: int = 64,
+    most: int = 25_600,
     predicted: str = "lang_pred",
     score: str = "score",
 ) -> DataFrame:
     """Add the predicted language and its probability.
 
     Learned from documents with a label whose id's CRC-32 does not divide by ``folds``: a sample of ``per_language`` of
-    each of the ``languages`` largest languages. A text that is null or has no letter is ``und`` with probability 0, and
+    each language, fewer where all together would be more than ``most``. A text that is null or has no letter is ``und`` with probability 0, and
     so is everything if there is nothing to learn from. Whole texts are read; the label is not. Columns of the added
     names are replaced, all others are kept.
     """
-    names, windows, labels = training_windows(df.select(doc, text, label).where(~held_out(doc, folds)), text, label, doc, per_language, languages, 96)
+    names, windows, labels = training_windows(df.select(doc, text, label).where(~held_out(doc, folds)), text, label, doc, per_language, most, 96)
     letters = unused_prefix(df) + "letters"
     marked = df.drop(predicted, score).withColumn(letters, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     if not names:

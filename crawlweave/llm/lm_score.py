@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from crawlweave.llm.gru import F32, Adam, Gru, softmax
 from crawlweave.llm.language_id import held_out
-from crawlweave.llm.shared import batches, shuffle_partitions, texts_of, word_hashes, word_spans, written
+from crawlweave.llm.shared import batches, hash_share, shuffle_partitions, texts_of, word_hashes, word_spans, written
 
 END = np.uint64(0x454E44)
 CLASS_WORDS = 32
@@ -234,8 +234,11 @@ def _begun(
     start = F.pmod(F.xxhash64(F.lit(4), doc), F.greatest(F.char_length(text) - chars // 2, F.lit(1))).cast("int") + 1
     sample = train.where(F.col(text).isNotNull()).select(
         F.substr(F.col(text), start, F.lit(chars)).alias("t"), order.alias("o"), (F.char_length(text) < start + chars).alias("ended")
-    ).orderBy("o", "t").limit(excerpts).collect()
-    sample = [(r.t, r.ended) for r in sample]
+    )
+    # equal rows give one excerpt; the hash lets about ``excerpts`` through, wherever they lie
+    total = max(train.where(F.col(text).isNotNull()).count(), 1)
+    chosen = sample.where(hash_share(F.col("o"), F.lit((excerpts + 6 * excerpts**0.5) / total))).distinct().collect()
+    sample = [(r.t, r.ended) for r in sorted(chosen, key=lambda r: (r.o, r.t))[:excerpts]]
     h, at = tokens_of(pa.array([t for t, _ in sample], pa.string()))
     needed = spark.createDataFrame(pa.table({"h": np.unique(h)})) if len(h) else spark.createDataFrame([], "h long")
     found = {r.h: r.c for r in needed.join(counts, "h").collect()}  # no more than the sample's words

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from crawlweave.session import fresh_dir
 
@@ -39,6 +39,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hash_share(order: Column, part: Column) -> Column:
+    """Whether a 64-bit hash lies in the lowest ``part`` of all values: a bounded sample without a sort of everything."""
+    return order <= part * float(1 << 64) - float(1 << 63)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
     x = (x ^ (x >> _U64(30))) * _MIX1
