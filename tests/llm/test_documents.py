@@ -73,6 +73,19 @@ def test_near_duplicates(spark, docs, texts, empty):
     assert {r.doc_id for r in kept.collect()} == {d for d, (_, c) in want.items() if d == c} | {None}
 
 
+def test_one_row_of_each_component(spark):
+    """Ids that stand for several texts, and rows that are there twice."""
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    near = lambda text: text + " more"
+    rows = [(1, a), (2, b), (2, near(a)), (5, near(b)), (5, near(b)), (7, c), (7, c), (8, ""), (8, ""), (8, None), (1, prose(rng, 30)), (None, a), (None, a)]
+    frame = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, row string").repartition(4)
+    kept = jaccard_join.one_of_each(frame)
+    assert kept.columns == frame.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == Counter([(1, a), (2, b), (7, c), (8, ""), (8, None), (1, rows[10][1]), (None, a), (None, a)])
+
+
 def test_near_duplicates_many_pairs(spark):
     """A large group of near copies, a passage in many documents, and chains of links, against all pairs."""
     rng = random.Random(8)
@@ -269,6 +282,19 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in blind.collect()} == {"und"}
 
 
+def test_many_languages(spark):
+    """More languages than any list of the largest would hold; with few rows each gives one."""
+    rng = random.Random(9)
+    alphabet = [chr(0x4E00 + i) for i in range(140)]
+    rows = [(i * 70 + k, "".join(rng.choice(alphabet[2 * k : 2 * k + 2]) for _ in range(40)), f"l{k:02d}") for i in range(12) for k in range(70)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, windows, labels = language_id.training_windows(frame, "text", "lang", "doc_id", 400, 25_600, 96)
+    assert len(names) == 70 and set(labels) == set(range(70)) and len(windows) >= len(rows)
+    names, _, labels = language_id.training_windows(frame, "text", "lang", "doc_id", 400, 70, 96)
+    assert set(labels) == set(range(70)) and len(labels) <= 2 * 70
+    assert {r.lang_pred for r in language_id.with_language(frame).collect()} <= set(names)
+
+
 def test_lm_scores(spark, docs, texts, empty):
     everything = [*enumerate(texts), (None, "a text without an id " * 3), (9, texts[9])]
     tokens = lambda t: [*brute.words((t or "").translate(brute.LOWER)), "<end>"]
