@@ -14,30 +14,50 @@ from crawlweave.sinks.reports import report_stream
 from crawlweave.streaming import events as EV, state as ST
 
 SECRET = "feed-secret"
-FILES = 4
+
+
+def files_of(spark) -> int:
+    """Files of a time slice, and of a micro-batch."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def in_time_order(rows: DataFrame, write, slices: int = 3) -> None:
     """Hand over consecutive time slices one after the other.
 
     A file source reads files by their age, so the feed arrives in time order,
-    one slice per micro-batch of ``FILES`` files.
+    one slice per micro-batch.
     """
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
     span = F.unix_micros("ts") - int(low.timestamp() * 1_000_000)
     width = max(int((high - low).total_seconds() * 1_000_000) // slices, 1)
     number = F.least(F.greatest(F.floor(span / width), F.lit(0)), F.lit(slices - 1))
     for i in range(slices):
-        write(rows.filter(number == i).repartition(FILES))
+        write(rows.filter(number == i).repartition(files_of(rows.sparkSession)))
+
+
+#: crawl of the row that ends a feed, years after its last row
+CLOSING = "closing"
 
 
-def log_stream(spark, sf, name: str) -> DataFrame:
-    """The request log as a stream of Parquet files in time order."""
+def log_stream(spark, sf, name: str, lifecycle: bool = False) -> DataFrame:
+    """The request log as a stream of Parquet files in time order; a closing row moves the watermark past everything.
+
+    With ``lifecycle``, a third of the crawls ends with a terminal event at its last row's time.
+    """
     path = fresh_dir(spark, name)
     log = view(spark, sf, "crawl_log").withColumn("ts", F.col("ts").cast("timestamp"))
+    if lifecycle:
+        last = log.filter(FINISHED).groupBy("crawler_uuid").agg(F.max("ts").alias("ts"))
+        log = log.unionByName(last.select("crawler_uuid", "ts", F.lit("crawler_finished").alias("event"), F.lit(0).cast("bigint").alias("api_credit")), allowMissingColumns=True)
     in_time_order(log, lambda part: part.write.mode("append").parquet(path))
+    closing = log.agg((F.max("ts") + F.expr("INTERVAL 10 YEARS")).alias("ts")).withColumn("crawler_uuid", F.lit(CLOSING))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in log.schema if f.name not in closing.columns]
+    closing.select("*", *missing).select(log.columns).write.mode("append").parquet(path)
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_of(spark)).parquet(path)
+
+
+FINISHED = "CAST(crawler_uuid AS INT) % 3 = 0"
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -63,16 +83,17 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 @query(
     "streamed_crawl_state",
-    """SELECT crawler_uuid, COUNT(CASE WHEN event = 'crawler_url_visited' THEN 1 END) AS urls_visited,
+    f"""SELECT crawler_uuid, COUNT(CASE WHEN event = 'crawler_url_visited' THEN 1 END) AS urls_visited,
               COUNT(DISTINCT CASE WHEN event <> 'crawler_url_failed' THEN url END) AS urls_extracted, COUNT(CASE WHEN event = 'crawler_url_failed' THEN 1 END) AS urls_failed,
               COUNT(CASE WHEN event = 'crawler_url_skipped' THEN 1 END) AS urls_skipped, CAST(SUM(api_credit) AS BIGINT) AS api_credit_used,
-              epoch_us(MIN(ts)) AS start_us, epoch_us(MAX(ts)) AS stop_us, MAX_BY(stop_reason, ts) FILTER (WHERE stop_reason IS NOT NULL) AS stop_reason
+              epoch_us(MIN(ts)) AS start_us, epoch_us(MAX(ts)) AS stop_us, MAX_BY(stop_reason, ts) FILTER (WHERE stop_reason IS NOT NULL) AS stop_reason,
+              {FINISHED} AS is_finished, urls_extracted - urls_skipped AS urls_to_crawl
        FROM crawl_log GROUP BY crawler_uuid""",
 )
 def streamed_crawl_state(spark, sf):
-    stream = ST.crawl_state_stream(log_stream(spark, sf, "log"), shares=2)
-    merged = ST.merge_shares(drain(stream, "crawl-state", "update"))
-    return merged.drop("is_finished", "urls_to_crawl")
+    """URLs are recognised over the whole feed, whose crawls go on for months."""
+    stream = ST.crawl_state_stream(log_stream(spark, sf, "log", lifecycle=True), delay="1000 days", shares=2)
+    return ST.merge_shares(drain(stream, "crawl-state")).filter(F.col("crawler_uuid") != CLOSING)
 
 
 @query(
@@ -90,15 +111,15 @@ def streamed_failure_guard(spark, sf):
 @query(
     "streamed_window_metrics",
     """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, proxy_pool, COUNT(*) AS requests, COUNT(CASE WHEN success THEN 1 END) AS successes,
-              CAST(SUM(api_credit) AS BIGINT) AS credits, ROUND(AVG(duration), 9) AS avg_duration
-       FROM crawl_log WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', MAX(ts)) - INTERVAL 10 MINUTE FROM crawl_log)
-       GROUP BY date_trunc('hour', ts), proxy_pool""",
+              COUNT(CASE WHEN NOT success THEN 1 END) AS failures, CAST(SUM(api_credit) AS BIGINT) AS credits, ROUND(AVG(duration), 9) AS avg_duration,
+              ROUND(quantile_cont(CAST(ROUND(duration * 1000) AS BIGINT), 0.95) / 1000, 6) AS p95_duration
+       FROM crawl_log GROUP BY date_trunc('hour', ts), proxy_pool""",
 )
 def streamed_window_metrics(spark, sf):
     out = drain(EV.windowed_metrics(log_stream(spark, sf, "log")), "windows")
     return out.select(
-        F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "proxy_pool", "requests", "successes", "credits",
-        F.round("avg_duration", 9).alias("avg_duration"),
+        F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "proxy_pool", "requests", "successes", "failures", "credits",
+        F.round("avg_duration", 9).alias("avg_duration"), F.round("p95_duration", 6).alias("p95_duration"),
     )
 
 
@@ -140,7 +161,7 @@ def envelope() -> Column:
     """SELECT event, CAST(event_id AS VARCHAR) AS action, CASE WHEN k % 10 = 3 THEN 'signature mismatch' END AS reject_reason FROM crawl_log WHERE k % 10 <> 5""",
 )
 def streamed_crawl_events(spark, sf):
-    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=["old-secret", SECRET], max_files=FILES)
+    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=["old-secret", SECRET], max_files=files_of(spark))
     unique = EV.dedupe_events(stream, "10 minutes")
     return drain(unique.select("event", "action", "reject_reason"), "events").drop("batch_id")
 
@@ -151,7 +172,7 @@ def streamed_crawl_events(spark, sf):
        WHERE event = 'crawler_url_visited' AND k % 10 NOT IN (3, 5) GROUP BY ALL""",
 )
 def streamed_visited_contents(spark, sf):
-    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=[SECRET], event_names=["crawler_url_visited"], max_files=FILES)
+    stream = EV.stream_crawl_events(spark, landing_folder(spark, sf), secrets=[SECRET], event_names=["crawler_url_visited"], max_files=files_of(spark))
     accepted = EV.dedupe_events(stream.filter(F.col("reject_reason").isNull()))
     rows = drain(EV.visited_contents(accepted), "contents")
     return rows.groupBy("crawler_uuid", "url", "format").agg(F.count(F.lit(1)).alias("n"))
@@ -165,8 +186,8 @@ def streamed_visited_contents(spark, sf):
 )
 def streamed_reports(spark, sf):
     path, checkpoint = fresh_dir(spark, "failures"), fresh_dir(spark, "reports-checkpoint")
-    view(spark, sf, "failures").withColumn("ts", F.col("ts").cast("timestamp")).repartition(4).write.parquet(path)
-    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    view(spark, sf, "failures").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_of(spark)).parquet(path)
     failed = filters.classify_errors(source).withColumns({"scrape_config": F.lit("cfg"), "log_url": F.lit("log")})
     out = fresh_dir(spark, "reports")
 

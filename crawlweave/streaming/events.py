@@ -97,22 +97,16 @@ def windowed_metrics(
     """Request metrics per window in append mode: a window is emitted once the watermark has passed it.
 
     ``log``: ts (timestamp), success, api_credit, duration and the keys. The
-    95th percentile is approximate here, since its sketch is what a window can
-    hold in bounded state; the batch operators compute it exactly.
+    state is a histogram, one row for each window, key and millisecond of
+    duration; a closed window's rows meet in a second aggregation. Batch twin:
+    ``operators.monitoring.monitoring_timeseries``, with the same metrics. A feed
+    that ends is closed by a row whose ``ts`` lies past the last window's end and
+    the delay; its own window stays open.
     """
     span = F.window("ts", window, slide) if slide else F.window("ts", window)
-    return (
-        log.withWatermark("ts", delay)
-        .groupBy(span.alias("w"), *keys)
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.count_if("success").alias("successes"),
-            F.sum("api_credit").alias("credits"),
-            F.avg("duration").alias("avg_duration"),
-            F.percentile_approx("duration", 0.95).alias("approx_p95_duration"),
-        )
-        .select(F.col("w.start").alias("bucket_start"), F.col("w.end").alias("bucket_end"), *keys, "requests", "successes", "credits", "avg_duration", "approx_p95_duration")
-    )
+    histogram = monitoring.pre_count(log.withWatermark("ts", delay), [span.alias("w"), *map(F.col, keys)])
+    closed = histogram.groupBy("w", *keys).agg(*monitoring.metric_columns())
+    return closed.select(F.col("w.start").alias("bucket_start"), F.col("w.end").alias("bucket_end"), *keys, *closed.columns[1 + len(keys) :])
 
 
 def period_window(period: str) -> str:

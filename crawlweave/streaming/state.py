@@ -17,14 +17,15 @@ STATE_OUT = (
     "crawler_uuid string, salt int, urls_visited bigint, urls_extracted bigint, urls_failed bigint, urls_skipped bigint, "
     "api_credit_used bigint, start_us bigint, stop_us bigint, reason_us bigint, stop_reason string, is_finished boolean"
 )
+COUNTED, NEW_URL, END = 0, 1, 2  # what a row of a share stands for
 GUARD_OUT = "crawler_uuid string, stop_rank bigint, event_id bigint, recent_failures bigint"
 
 
 class CrawlStateProcessor(StatefulProcessor):
-    """Counters of one share of a crawl.
+    """Counters of one share of a crawl; its URLs come without repetition.
 
-    Some time after the crawl's terminal event the share is closed: the set of URLs is dropped, the final counters and
-    the end mark stay, and rows that come later are ignored.
+    Some time after the crawl's terminal event the share is closed: the final counters and the end mark stay, and rows
+    that come later are ignored.
     """
 
     def __init__(self, keep_ms: int):
@@ -33,8 +34,6 @@ class CrawlStateProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", COUNTERS)
-        # one entry per distinct URL: lives in the state store on disk, not in the worker
-        self.seen = handle.getMapState("seen", "url string", "hit boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         empty = (0, 0, 0, 0, 0, None, None, None, None, None, False)
@@ -42,10 +41,12 @@ class CrawlStateProcessor(StatefulProcessor):
         if closed:
             return
         for everything in rows:
-            ends = everything.loc[everything["event"].isin(TERMINAL), "ts_us"]
+            kind = everything["kind"]
+            extracted += int((kind == NEW_URL).sum())
+            ends = everything.loc[kind == END, "ts_us"]
             if len(ends):
                 ended_us = max(int(ends.max()), ended_us or 0)
-            batch = everything[everything["counted"]]
+            batch = everything[kind == COUNTED]
             if batch.empty:
                 continue
             events = batch["event"]
@@ -53,10 +54,6 @@ class CrawlStateProcessor(StatefulProcessor):
             failed += int((events == "crawler_url_failed").sum())
             skipped += int((events == "crawler_url_skipped").sum())
             credits += int(batch["api_credit"].sum())
-            for url in batch.loc[(events != "crawler_url_failed") & batch["url"].notna(), "url"].unique():
-                if not self.seen.containsKey((url,)):
-                    self.seen.updateValue((url,), (True,))
-                    extracted += 1
             low, high = int(batch["ts_us"].min()), int(batch["ts_us"].max())
             first = low if first is None else min(first, low)
             last = high if last is None else max(last, high)
@@ -78,36 +75,36 @@ class CrawlStateProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self.totals.update((*self.totals.get()[:-1], True))
-        self.seen.clear()
         yield from ()
 
     def close(self) -> None:
         pass
 
 
-def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "10 minutes", shares: int = 16) -> DataFrame:
-    """Running URL counters per crawl and share of its URLs (update mode).
+def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "1 day", shares: int = 16) -> DataFrame:
+    """Running URL counters per crawl and share of its rows (append mode, newest row of a share last).
 
-    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. The URLs
-    of a crawl are dealt to ``shares`` by hash, so that one hot crawl is worked
-    on by as many tasks; ``merge_shares`` adds the shares up. A terminal event
-    reaches every share, which is closed once the watermark is ``keep_ms``
-    past it; events that come after that no longer count. Batch twin: ``operators.stats.crawl_state``.
+    ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. Which URLs
+    of a crawl are new is decided by Spark's own keyed state of (crawl, URL), one
+    row on disk for each, which is forgotten ``delay`` after the URL came first:
+    ``delay`` is the longest time over which a URL is recognised, and how late
+    rows may be. The rows of a crawl are dealt to ``shares``, so that one hot
+    crawl is worked on by as many tasks; ``merge_shares`` adds the shares up. A
+    terminal event reaches every share, which is closed once the watermark is
+    ``keep_ms`` past it. Batch twin: ``operators.stats.crawl_state``.
     """
     own = F.pmod(F.xxhash64("url"), F.lit(shares)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(shares - 1))
-    reached = F.when(F.col("event").isin(*TERMINAL), every).otherwise(F.array(own))
-    slim = (
-        events.withWatermark("ts", delay)
-        .select(
-            "crawler_uuid", "event", "url", "api_credit", "ts", F.unix_micros("ts").alias("ts_us"), "stop_reason",
-            own.alias("own"), F.explode(reached).alias("salt"),
-        )
-        .withColumn("counted", F.col("salt") == F.col("own"))
-        .drop("own")
-    )
-    return slim.groupBy("crawler_uuid", "salt").transformWithStateInPandas(
-        CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Update", timeMode="EventTime"
+    fields = ["crawler_uuid", "event", "url", "api_credit", "ts", F.unix_micros("ts").alias("ts_us"), "stop_reason"]
+    timed = events.withWatermark("ts", delay)
+    counted = timed.select(*fields, F.lit(COUNTED).alias("kind"), own.alias("salt"))
+    ended = timed.filter(F.col("event").isin(*TERMINAL)).select(
+        *fields, F.lit(END).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("salt")
+    )
+    with_url = timed.filter((F.col("event") != "crawler_url_failed") & F.col("url").isNotNull())
+    new = with_url.dropDuplicatesWithinWatermark(["crawler_uuid", "url"]).select(*fields, F.lit(NEW_URL).alias("kind"), own.alias("salt"))
+    rows = counted.unionByName(ended).unionByName(new).drop("url")
+    return rows.groupBy("crawler_uuid", "salt").transformWithStateInPandas(
+        CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Append", timeMode="EventTime"
     )
 
 
@@ -130,58 +127,72 @@ def merge_shares(updates: DataFrame, order: str = "batch_id") -> DataFrame:
 
 
 class FailureGuardProcessor(StatefulProcessor):
-    """Flags of the last n attempts of one crawl; speaks once, when the guard trips."""
+    """Flags of the last n attempts of one crawl; speaks once, when the guard trips.
+
+    Attempts wait in slots of ``slot_us`` until the watermark has passed their slot, and are then judged in the order of
+    time, however they came. Only one slot of a crawl is held at a time.
+    """
 
-    def __init__(self, n: int, threshold: float):
+    def __init__(self, n: int, threshold: float, slot_us: int):
         self.n = n
         self.threshold = threshold
+        self.slot_us = slot_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", "bad int")
-        self.progress = handle.getValueState("progress", "attempts bigint, stopped boolean")
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "slot bigint", "ts array<bigint>, id array<bigint>, bad array<int>")
+        self.recent = handle.getValueState("recent", "bad array<int>, attempts bigint, stopped boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        attempts, stopped = self.progress.get() or (0, False)
-        if stopped:
-            return
-        batch = pd.concat(list(rows)).sort_values(["ts_us", "event_id"])
-        flags = [r[0] for r in self.recent.get()]
-        known = len(flags)
-        series = pd.Series(flags + batch["bad"].tolist())
-        sums = series.rolling(self.n).sum().iloc[known:]
-        hits = (sums >= self.threshold * self.n).to_numpy().nonzero()[0]
-        if len(hits):
-            at = int(hits[0])
-            self.progress.update((attempts + at + 1, True))
-            self.recent.clear()
-            yield pd.DataFrame(
-                {
-                    "crawler_uuid": [key[0]], "stop_rank": [attempts + at + 1],
-                    "event_id": [int(batch["event_id"].iloc[at])], "recent_failures": [int(sums.iloc[at])],
-                }
-            )
-            return
-        self.recent.put([(int(f),) for f in series.tail(self.n - 1)])
-        self.progress.update((attempts + len(batch), False))
+        if not (self.recent.get() or (None, 0, False))[2]:
+            for frame in rows:
+                for slot, part in frame.groupby(frame["ts_us"] // self.slot_us):
+                    held = self.waiting.getValue((int(slot),)) if self.waiting.containsKey((int(slot),)) else ([], [], [])
+                    columns = [[*old, *part[name].tolist()] for old, name in zip(held, ("ts_us", "event_id", "bad"))]
+                    self.waiting.updateValue((int(slot),), tuple(columns))
+                    self.handle.registerTimer((int(slot) + 1) * self.slot_us // 1000)
+        yield from ()
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        flags, attempts, stopped = self.recent.get() or ([], 0, False)
+        due = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.slot_us
+        for slot in sorted(k[0] for k in self.waiting.keys() if k[0] < due):
+            if not stopped:
+                ordered = sorted(zip(*self.waiting.getValue((slot,))))
+                for _, event_id, bad in ordered:
+                    attempts += 1
+                    flags = [*flags[-(self.n - 1) :], bad] if self.n > 1 else [bad]
+                    if len(flags) == self.n and sum(flags) >= self.threshold * self.n:
+                        stopped = True
+                        yield pd.DataFrame(
+                            {"crawler_uuid": [key[0]], "stop_rank": [attempts], "event_id": [event_id], "recent_failures": [sum(flags)]}
+                        )
+                        break
+            self.waiting.removeKey((slot,))
+        self.recent.update(([int(f) for f in flags], attempts, stopped))
 
     def close(self) -> None:
         pass
 
 
 def failure_guard_stream(
-    attempts: DataFrame, n: int = 10, threshold: float = 0.7, codes: Sequence[str] = MONITORED_CODES
+    attempts: DataFrame,
+    n: int = 10,
+    threshold: float = 0.7,
+    codes: Sequence[str] = MONITORED_CODES,
+    delay: str = "10 minutes",
+    slot_seconds: int = 60,
 ) -> DataFrame:
     """One row per crawl at the attempt that trips the guard.
 
-    Attempts of a crawl must arrive in time order across micro-batches. Batch
-    twin: ``operators.guards.failure_rate`` with ``first_stops``.
+    Attempts may come in any order within ``delay``; each is judged once the
+    watermark has passed its slot of ``slot_seconds``, which bounds what is held
+    of a crawl. A feed that ends is closed by a row of a later time. Batch twin:
+    ``operators.guards.failure_rate`` with ``first_stops``.
     """
-    slim = attempts.select(
-        "crawler_uuid",
-        "event_id",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
-        F.coalesce(F.col("error_code").isin(*codes), F.lit(False)).cast("int").alias("bad"),
-    )
+    ts = F.col("ts").cast("timestamp")
+    bad = F.coalesce(F.col("error_code").isin(*codes), F.lit(False)).cast("int")
+    slim = attempts.withColumn("ts", ts).withWatermark("ts", delay).select("crawler_uuid", "event_id", "ts", F.unix_micros("ts").alias("ts_us"), bad.alias("bad"))
     return slim.groupBy("crawler_uuid").transformWithStateInPandas(
-        FailureGuardProcessor(n, threshold), outputStructType=GUARD_OUT, outputMode="Append", timeMode="None"
+        FailureGuardProcessor(n, threshold, slot_seconds * 1_000_000), outputStructType=GUARD_OUT, outputMode="Append", timeMode="EventTime"
     )

@@ -1,9 +1,12 @@
 """Streaming details beyond the registered queries."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
+from crawlweave.functions import errors as E
+from crawlweave.operators import guards
 from crawlweave.plans.stream_queries import drain
 from crawlweave.streaming import events as EV, state as ST
 
@@ -24,8 +27,8 @@ def test_a_finished_crawl_keeps_its_totals_in_every_share(spark, tmp_path):
     later = [("other", "crawler_url_visited", "x", 1, at(9), None)]
     filler = [("other", "crawler_url_visited", "y", 1, at(9.5), None)]
     again = [("c", "crawler_url_visited", f"u{i}", 1, at(10), None) for i in range(20)]
-    stream = ST.crawl_state_stream(feed(spark, str(tmp_path / "in"), [first, later, filler, again]), keep_ms=3_600_000, shares=3)
-    updates = drain(stream, "shares", "update").cache()
+    stream = ST.crawl_state_stream(feed(spark, str(tmp_path / "in"), [first, later, filler, again]), keep_ms=3_600_000, delay="10 minutes", shares=3)
+    updates = drain(stream, "shares").cache()
     done = ST.merge_shares(updates.filter("batch_id = 0")).filter("crawler_uuid = 'c'").first()
     assert (done["urls_visited"], done["urls_extracted"], done["stop_reason"], done["is_finished"]) == (20, 20, "no_more_urls", True)
     assert updates.filter("crawler_uuid = 'c'").select("salt").distinct().count() == 3
@@ -37,11 +40,32 @@ def test_a_finished_crawl_keeps_its_totals_in_every_share(spark, tmp_path):
 def test_the_end_of_a_crawl_is_remembered(spark, tmp_path):
     first = [("c", "crawler_url_visited", "u", 1, T0, None), ("c", "crawler_finished", None, 0, T0, "page_limit")]
     late = [("c", "crawler_url_visited", "v", 1, T0 + dt.timedelta(minutes=1), None)]
-    updates = drain(ST.crawl_state_stream(feed(spark, str(tmp_path / "in"), [first, late]), shares=1), "late", "update")
+    updates = drain(ST.crawl_state_stream(feed(spark, str(tmp_path / "in"), [first, late]), shares=1), "late")
     last = ST.merge_shares(updates).first()
     assert (last["urls_visited"], last["stop_reason"], last["is_finished"]) == (2, "page_limit", True)
 
 
+def test_attempts_out_of_order_within_the_watermark(spark, tmp_path):
+    """Shuffled inside each batch and across neighbouring ones: the guard stops where the batch twin does."""
+    rng = random.Random(11)
+    rows, at = [], T0
+    for i in range(900):
+        at += dt.timedelta(seconds=rng.choice([0, 5, 40]))
+        rows.append((f"c{rng.randrange(6)}", i, at, rng.choice([None, E.MONITORED_CODES[0]])))
+    schema = "crawler_uuid string, event_id bigint, ts timestamp, error_code string"
+    late = sorted(rows, key=lambda r: r[2] + dt.timedelta(seconds=rng.randrange(500)))  # up to 500 s late
+    batches = [late[i : i + 60] for i in range(0, 900, 60)] + [[("closing", 0, at + dt.timedelta(days=1), None)]]
+    path = str(tmp_path / "in")
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = drain(ST.failure_guard_stream(feed, threshold=0.8), "guard").drop("batch_id")
+    want = guards.first_stops(guards.failure_rate(spark.createDataFrame(rows, schema), threshold=0.8)).drop("ts")
+    names = ["crawler_uuid", "stop_rank", "event_id", "recent_failures"]
+    found = sorted(tuple(r) for r in got.select(names).collect())
+    assert found == sorted(tuple(r) for r in want.select(names).collect()) and len(found) >= 3
+
+
 def test_period_names():
     assert EV.period_window("last5m") == "300 seconds" and EV.period_window("last7d") == "604800 seconds"
 
