@@ -28,6 +28,7 @@ from crawlweave.session import Buckets
 HOT_LIMIT = 1 << 16
 BUCKET_TOKENS = 2_000_000
 NGRAM = 5
+REST = 4  # bytes of an n-gram beside its bucket
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PACKED = "bucket int, sets array<long>, ns array<int>, counts array<int>, toks binary, dfs binary"
 
@@ -169,24 +170,29 @@ def _postings(df: DataFrame, text: str, words: int, buckets: int, hot: dict[int,
             home = (grams % number).astype(np.uint16 if buckets < 65536 else np.int64)
             rare = ~often
             if rare.any():
-                toks = _bytes_of(grams[rare] // number, 5)
+                toks = _bytes_of(grams[rare] // number, REST)
                 yield from _pack(home[rare].astype(home.dtype), owner[rare], d1, n, toks, None).to_batches()
             if often.any():
                 back = -1 - (d1.view(np.uint64)[owner[often]] % number).astype(np.int64)
-                # the same identity as the index gives: the bucket and 40 bits of the rest
-                same = (grams[often] // number & np.uint64((1 << 40) - 1)) * number + grams[often] % number
-                yield from _pack(back, owner[often], d1, n, _bytes_of(same, 7), hot_dfs[at[often]]).to_batches()
+                # the same identity as the index gives: the bucket and 32 bits of the rest
+                same = (grams[often] // number & np.uint64((1 << 8 * REST) - 1)) * number + grams[often] % number
+                yield from _pack(back, owner[often], d1, n, _bytes_of(same, whole_width(buckets)), hot_dfs[at[often]]).to_batches()
 
     return df.select(F.col(text).alias("_text")).mapInArrow(run, _PACKED)
 
 
+def whole_width(buckets: int) -> int:
+    """Bytes of an n-gram's identity: its bucket and REST bytes."""
+    return REST + -(-(buckets - 1).bit_length() // 8)
+
+
 def _count_bucket(table: pa.Table, buckets: int) -> pa.Table:
     """Entries of n-grams that at least two sets have, by the bucket of their set."""
     bucket = table["bucket"][0].as_py()
     if bucket < 0:
         at = table.schema.get_field_index("bucket")
         return table.set_column(at, "bucket", pa.array(np.full(len(table), -1 - bucket), pa.int32()))
-    sets, ns, owner, toks = _unpack(table, 5)
+    sets, ns, owner, toks = _unpack(table, REST)
     key = np.unique((toks << np.uint64(24)) | owner.astype(np.uint64))
     toks, owner = key >> np.uint64(24), (key & np.uint64((1 << 24) - 1)).astype(np.int64)
     begin = np.flatnonzero(np.concatenate([[True], toks[1:] != toks[:-1]]))
@@ -199,12 +205,12 @@ def _count_bucket(table: pa.Table, buckets: int) -> pa.Table:
     order = np.argsort(owner, kind="stable")
     toks, owner, df = toks[order] * np.uint64(buckets) + np.uint64(bucket), owner[order], df[order]
     back = (sets.view(np.uint64)[owner] % np.uint64(buckets)).astype(np.int64)
-    return _pack(back, owner, sets, ns, _bytes_of(toks, 7), np.minimum(df, 65535).astype("<u2"))
+    return _pack(back, owner, sets, ns, _bytes_of(toks, whole_width(buckets)), np.minimum(df, 65535).astype("<u2"))
 
 
-def _gather_sets(table: pa.Table, percent: int) -> pa.Table:
+def _gather_sets(table: pa.Table, percent: int, width: int) -> pa.Table:
     """Sets that may have a partner: shared n-grams from rare to frequent, and how many of them the prefix holds."""
-    sets, ns, owner, toks = _unpack(table, 7)
+    sets, ns, owner, toks = _unpack(table, width)
     df = np.frombuffer(b"".join(table["dfs"].to_pylist()), "<u2")
     order = np.lexsort((toks, df, owner))
     toks, owner = toks[order], owner[order]
@@ -266,6 +272,8 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame | None:
             F.min("label").alias("_low"), F.max("label").alias("_high"),
         ).where("_low < _high").select("tok")
         entries = written(entries.join(mixed, "tok", "left_semi"), "entries")
+        if turn:  # n-grams whose sets are all connected stay so: the next turn looks at the others only
+            index = entries.select("gkey", "n", "own", "pos", "tok").distinct()
         per_label = entries.groupBy("tok", "label").agg(F.sum("size").alias("size"))
         left = per_label.groupBy("tok").agg((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))).alias("p"))
         pairs_left, rows = left.agg(F.coalesce(F.sum("p"), F.lit(0)), F.count(F.lit(1))).first()
@@ -351,7 +359,7 @@ def classified(df: DataFrame, doc: str = "doc_id", text: str = "text", words: in
     packed = _postings(df.where(F.col(doc).isNotNull()), text, words, buckets, hot)
     counted = packed.groupBy("bucket").applyInArrow(lambda t: _count_bucket(t, buckets), _PACKED)
     gathered = counted.groupBy("bucket").applyInArrow(
-        lambda t: _gather_sets(t, percent), "sid long, n int, prefix int, shared array<long>"
+        lambda t: _gather_sets(t, percent, whole_width(buckets)), "sid long, n int, prefix int, shared array<long>"
     )
     buckets_of_sets = Buckets(spark, "candidate_sets", ["sid"])
     try:
