@@ -25,6 +25,14 @@ BOILERPLATE: Rule = (
     r"<(?is:nav\b.*?</nav\s*>|header\b.*?</header\s*>|footer\b.*?</footer\s*>|aside\b.*?</aside\s*>|form\b.*?</form\s*>)",
     " ",
 )
+# words that name an element as something beside the content
+ASIDES = "ad|ads|advert|advertisement|banner|breadcrumbs?|cookie|menu|navbar|newsletter|pagination|promo|share|sidebar|social|sponsor(?:ed)?"
+BLOCK_START: Rule = (
+    r"(<(?i:article|blockquote|dd|div|dl|dt|figure|h[1-6]|li|main|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>)",
+    "\x01$1",
+)
+BLOCK_TAG = r"</?(?i:article|blockquote|body|dd|div|dl|dt|figure|h[1-6]|html|li|main|ol|p|pre|section|table|tbody|td|th|thead|tr|ul)\b[^>]*>"
+ANCHOR_TEXT = r"<[Aa]\b[^>]*>([^<]*)"
 ATTRIBUTES: list[Rule] = [
     (r"""\s(?i:on[a-z]+|style)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)""", ""),
 ]
@@ -142,8 +150,42 @@ def visible(html: Column, only_content: bool = False) -> Column:
 
 
 def clean_html(shown: Column) -> Column:
-    """Visible HTML without inline handlers and styles."""
-    return apply_rules(shown, ATTRIBUTES)
+    """Visible HTML without boilerplate, inline handlers and styles.
+
+    Navigation, headers, footers, asides and forms go whole. The rest is cut into blocks, each from one block tag to the
+    next; a block keeps only its tags where its element is named as something beside the content, or where more than
+    half of its text is link text.
+    """
+    marked = apply_rules(shown, [BOILERPLATE, *ATTRIBUTES, BLOCK_START])
+    return F.array_join(F.transform(F.split(marked, "\x01"), without_boilerplate), "")
+
+
+def without_boilerplate(block: Column) -> Column:
+    size = lambda c: F.length(apply_rules(c, [ANY_TAG, (r"\s+", "")]))
+    linked = size(F.array_join(F.regexp_extract_all(block, F.lit(ANCHOR_TEXT), 1), ""))
+    beside = F.rlike(block, F.lit(rf"""^<[^>]*\b(?i:class|id|role)\s*=\s*["'](?:[^"'>]*[\s_-])?(?i:{ASIDES})(?:[\s_-][^"'>]*)?["']"""))
+    dense = F.contains(block, F.lit("</a")) & (2 * linked > size(block))
+    return F.when(beside | dense, F.array_join(F.regexp_extract_all(block, F.lit(BLOCK_TAG), 0), "")).otherwise(block)
+
+
+def structured(html: Column, shown: Column) -> Column:
+    """JSON of a page: its metadata, headings with their levels, paragraphs, list items, links and images, in page order."""
+    every = lambda pattern, group: F.regexp_extract_all(shown, F.lit(pattern), group)
+    plain = lambda c: F.trim(apply_rules(decode_entities(apply_rules(c, [ANY_TAG])), [(r"\s+", " ")]))
+    some = lambda c: F.filter(F.transform(c, plain), lambda t: t != "")
+    heading = r"<(?i:h)([1-6])\b[^>]*>((?s:.*?))</(?i:h)[1-6]\s*>"
+    link = r"""<[Aa]\b[^>]*?\b(?i:href)\s*=\s*["']([^"']*)["'][^>]*>([^<]*)"""
+    return F.to_json(
+        F.struct(
+            page_metadata(html).alias("metadata"),
+            F.zip_with(every(heading, 1), every(heading, 2), lambda n, t: F.struct(n.cast("int").alias("level"), plain(t).alias("text"))).alias("headings"),
+            # a paragraph ends where the next block begins, as its end tag is often left out
+            some(every(r"<(?i:p)\b[^>]*>((?s:.*?))(?:</(?i:p|article|section|div|main|body)\s*>|\z|(?=<(?i:p|ul|ol|div|h[1-6]|table|footer)\b))", 1)).alias("paragraphs"),
+            some(every(r"<(?i:li)\b[^>]*>((?s:.*?))</(?i:li)\s*>", 1)).alias("items"),
+            F.zip_with(every(link, 1), every(link, 2), lambda u, t: F.struct(u.alias("url"), plain(t).alias("text"))).alias("links"),
+            every(r"""<(?i:img)\b[^>]*?\b(?i:src)\s*=\s*["']([^"']*)["']""", 1).alias("images"),
+        )
+    )
 
 
 def html_text(shown: Column) -> Column:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlweave.functions import errors as E, http, patterns, urls
+from crawlweave.functions.html import bind
 
 MAX_PATHS = 100
 MAX_DOMAINS = 250
@@ -374,6 +375,70 @@ def detect_blocked(pages: DataFrame, rules: Sequence[BlockRule], cost: int = 1)
     )
 
 
+def word_run(text: Column) -> Column:
+    """A-Z, a-z and 0-9 of a text as lower-case words with one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "))
+
+
+def block_conditions(rules: DataFrame) -> DataFrame:
+    """Conditions of block rules, one row for each way to meet one: rule_ord, vendor, n_conditions, condition, kind, key, literal.
+
+    ``rules``: rule_ord, vendor, statuses (array), headers (map of name to a text the value holds), body (words).
+    """
+    named = rules.select("rule_ord", "vendor", *[F.col(c) for c in ("statuses", "headers", "body")])
+    none = F.lit("")
+    status = named.select(
+        "rule_ord", "vendor", F.lit("status").alias("condition"), F.lit("status").alias("kind"), F.explode(F.col("statuses").cast("array<string>")).alias("key"), none.alias("literal")
+    )
+    headers = named.select("rule_ord", "vendor", F.explode("headers").alias("name", "literal")).select(
+        "rule_ord", "vendor", F.concat(F.lit("header "), F.lower("name")).alias("condition"), F.lit("header").alias("kind"), F.lower("name").alias("key"), "literal"
+    )
+    words = named.withColumn("key", word_run(F.col("body"))).filter("key <> ''")
+    body = words.select("rule_ord", "vendor", F.lit("body").alias("condition"), F.lit("body").alias("kind"), "key", none.alias("literal"))
+    every = status.unionByName(headers).unionByName(body)
+    counts = every.groupBy("rule_ord").agg(F.count_distinct("condition").cast("int").alias("n_conditions"))
+    return every.join(counts, "rule_ord")
+
+
+def detect_blocked_by(pages: DataFrame, rules: DataFrame, key: str = "page_id", cost: int = 1) -> DataFrame:
+    """``key``, ``valid_input``, ``blocked``, ``antibot`` and ``cost`` of pages under a table of rules; the first rule by
+    ``rule_ord`` whose conditions all hold wins.
+
+    A rule holds where the status is one of ``statuses``, each named header holds its text, and the words of
+    ``body`` follow each other in the content; what a rule leaves out is not asked, a rule that asks nothing never holds. ``pages``:
+    key, url, status_code, headers (map) and content. What a page shows (status, header names, runs of as many words as
+    the rules' bodies have) meets the conditions in a join, so there is no bound on the number of rules, and no body is
+    shuffled. Names of headers and words of bodies match in any case.
+    """
+    conditions = block_conditions(rules)
+    lengths = [r[0] for r in conditions.filter("kind = 'body'").select(F.size(F.split("key", " "))).distinct().collect()]  # a few numbers
+    words = F.split(word_run(F.coalesce("content", F.lit(""))), " ")
+    signal = lambda kind, name, value: F.struct(F.lit(kind).alias("kind"), name.alias("key"), value.alias("value"))
+    shown = [
+        F.array(signal("status", F.col("status_code").cast("string"), F.lit(""))),
+        F.transform(F.coalesce(F.map_entries("headers"), F.array()), lambda h: signal("header", F.lower(h["key"]), F.coalesce(h["value"], F.lit("")))),
+    ]
+
+
+    def runs(words: Column, n: int) -> Column:
+        places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    if lengths:
+        text_runs = bind(words, lambda w: F.array_distinct(F.flatten(F.array(*[runs(w, n) for n in sorted(lengths)]))))
+        shown.append(F.transform(text_runs, lambda t: signal("body", t, F.lit(""))))
+    valid = F.coalesce(F.col("url").isNotNull() & (F.col("url") != "") & F.col("status_code").between(100, 599), F.lit(False))
+    signals = pages.filter(valid).select(F.col(key).alias("_page"), F.explode(F.flatten(F.array(*shown))).alias("_s")).select("_page", "_s.*")
+    met = signals.join(conditions, ["kind", "key"]).filter(F.contains("value", "literal"))
+    whole = met.groupBy("_page", "rule_ord", "vendor", "n_conditions").agg(F.count_distinct("condition").alias("n")).filter("n = n_conditions")
+    first = whole.groupBy("_page").agg(F.min_by("vendor", "rule_ord").alias("antibot"))
+    judged = pages.select(key, valid.alias("valid_input")).join(first.withColumnRenamed("_page", key), key, "left")
+    return judged.select(
+        key, "valid_input", F.when(F.col("valid_input"), F.col("antibot").isNotNull()).alias("blocked"), "antibot",
+        F.when(F.col("valid_input"), F.lit(cost)).otherwise(F.lit(0)).alias("cost"),
+    )
+
+
 @dataclass(frozen=True)
 class ExtractionRule:
     """Ordered extraction rule; ``pattern`` is a path with ``*`` wildcards."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.functions import errors as E
 from crawlweave.operators import ordering
-from crawlweave.session import checkpointed, written
+from crawlweave.session import fresh_dir, written
 
 
 def failure_rate(
@@ -95,24 +95,45 @@ def assign_batches(
     return ranked.withColumn("batch", F.floor((F.col("rank") - 1) / size))
 
 
-def paginate(df: DataFrame, order: Sequence[str], page: int = 1, per_page: int = 100) -> DataFrame:
-    """One page of a list; pages start at 1.
+class RankedList:
+    """A list laid out once by ranges of its order, for any number of pages.
 
-    The rows are laid out by ranges of the order; row counts of the ranges say
-    which of them the page overlaps, and only those are numbered.
+    Each range is a folder of its own, and an index of one row for each range
+    says at which place it starts; a page reads the folders that it overlaps.
     """
+
+    def __init__(self, df: DataFrame, order: Sequence[str]):
+        self.order, self.columns = list(order), df.columns
+        path = fresh_dir(df.sparkSession, "ranked-list")
+        placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+        placed.write.partitionBy("_part").parquet(path)
+        self.rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+        counts = self.rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+        self.index = written(counts.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))), "ranked-index")
+
+    def page(self, page: int = 1, per_page: int = 100) -> DataFrame:
+        """Rows of one page; pages start at 1, a page past the end is empty."""
+        if page < 1 or not 1 <= per_page <= 1000:
+            raise ValueError("page starts at 1, per_page is 1 to 1000")
+        offset = (page - 1) * per_page
+        # every range holds a row at least, so a page overlaps per_page ranges at most
+        overlaps = (F.col("_start") < offset + per_page) & (F.col("_start") + F.col("_rows") > offset)
+        starts = {r["_part"]: r["_start"] for r in self.index.filter(overlaps).collect()}
+        if not starts:
+            return self.rows.filter(F.lit(False)).select(self.columns)
+        start = F.element_at(F.create_map(*[F.lit(x) for pair in starts.items() for x in pair]), F.col("_part"))
+        number = start + F.row_number().over(Window.partitionBy("_part").orderBy(*self.order))
+        chosen = self.rows.filter(F.col("_part").isin(*starts)).withColumn("_number", number)
+        chosen = chosen.filter((F.col("_number") > offset) & (F.col("_number") <= offset + per_page))
+        return chosen.orderBy(*self.order).select(self.columns)
+
+
+def paginate(df: DataFrame, order: Sequence[str], page: int = 1, per_page: int = 100) -> DataFrame:
+    """One page of a list; for several pages keep the ``RankedList``."""
     if page < 1 or not 1 <= per_page <= 1000:
         raise ValueError("page starts at 1, per_page is 1 to 1000")
-    offset = (page - 1) * per_page
-    # the layout must not change between the count and the read, hence the checkpoint
-    laid_out = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    counts = laid_out.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    overlapping = starts.filter((F.col("_start") < offset + per_page) & (F.col("_start") + F.col("_rows") > offset)).drop("_rows")
-    number = F.col("_start") + F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    chosen = laid_out.join(overlapping, "_part").withColumn("_number", number)
-    return chosen.filter((F.col("_number") > offset) & (F.col("_number") <= offset + per_page)).drop("_part", "_start", "_number").orderBy(*order)
+    return RankedList(df, order).page(page, per_page)
 
 
 def url_list_page(entries: DataFrame, status: str | None = None, page: int = 1, per_page: int = 100) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crawlweave.functions import html as H, http, urls
@@ -65,6 +65,8 @@ def convert_html(pages: DataFrame, formats: Sequence[str], options: Sequence[str
             made[name] = H.html_text(shown)
         elif name == "markdown":
             made[name] = H.markdown(shown, "no_images" in options, "no_links" in options)
+        elif name == "json":
+            made[name] = H.structured(page, shown)
         else:
             made[name] = F.to_json(H.page_metadata(page))
     others = [c for c in pages.columns if c != content]
@@ -181,34 +183,47 @@ def chunk_documents(documents: DataFrame, size: int = 1000, overlap: int = 200,
     return documents.filter(length > 0).select(*others, F.inline(pieces))
 
 
-def retrieve_top_k(vectors: DataFrame, queries: DataFrame, k: int = 4, block: int = 1024) -> DataFrame:
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    values = table[column].combine_chunks()
+    return values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(values), -1)
+
+
+def retrieve_top_k(vectors: DataFrame, queries: DataFrame, k: int = 4, block: int = 1024, vector_block: int = 4096) -> DataFrame:
     """The k nearest vectors to each query by cosine similarity; exact.
 
-    Queries travel in blocks of ``block``. A batch of vectors is scored against a
-    block as one matrix product, and only the k best of each query leave it.
+    Vectors and queries are packed into blocks, each pair of blocks is scored as
+    one matrix product, and only the k best of each query leave it. No row but a
+    pair of blocks ever carries both. Vectors of another dimension than a query's are not compared with it; a
+    vector without length, or one that holds nulls, has no score and comes last. Rows without a vector take no part.
     """
-    blocks = max(1, -(-queries.count() // block))
-    asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("_b"))
-    packed = asked.groupBy("_b").agg(F.collect_list(F.struct("query_id", "q")).alias("_q"))
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+
+    def packed(rows: DataFrame, row_id: str, number: str, per_block: int) -> tuple[DataFrame, int]:
+        rows = rows.filter(F.col("embedding").isNotNull()).select(F.size("embedding").alias("dim"), F.col(row_id), F.col("embedding").cast("array<double>").alias("v"))
+        parts = max(1, -(-rows.count() // per_block))
+        placed = rows.withColumn(number, F.pmod(F.xxhash64(row_id), F.lit(parts)).cast("int"))
+        return placed.groupBy("dim", number).agg(F.collect_list(F.struct(row_id, "v")).alias(f"{number}s")), parts
+
+    left, vector_parts = packed(vectors, "vec_id", "_vector", vector_block)
+    right, query_parts = packed(queries, "query_id", "_query", block)
+    pairs = left.withColumn("_query", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1)))).join(right, ["dim", "_query"])
     query_type = queries.schema["query_id"].dataType.simpleString()
     vec_type = vectors.schema["vec_id"].dataType.simpleString()
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, part in batch.groupby("_b"):
-                asked = part["_q"].iloc[0]
-                q = np.array([x["q"] for x in asked])
-                v = np.stack(part["v"].to_list())
+            for i in range(batch.num_rows):
+                held, asked = (pa.Table.from_batches([pa.RecordBatch.from_struct_array(batch.column(c)[i].values)]) for c in ("_vectors", "_querys"))
+                v, q = _matrix(held, "v"), _matrix(asked, "v")
                 length = np.linalg.norm(v, axis=1) * np.linalg.norm(q, axis=1)[:, None]
                 with np.errstate(invalid="ignore", divide="ignore"):
                     scores = np.where(length > 0, (q @ v.T) / length, np.nan)
-                ids = part["vec_id"].to_numpy()
-                for x, s in zip(asked, scores):
+                ids = held["vec_id"].to_numpy()
+                for query_id, s in zip(asked["query_id"], scores):
                     best = np.lexsort((ids, np.where(np.isnan(s), np.inf, -s)))[:k]
-                    yield pd.DataFrame({"query_id": [x["query_id"]] * len(best), "vec_id": ids[best], "score": s[best]})
+                    out = [pa.array([query_id.as_py()] * len(best), query_id.type), held["vec_id"].combine_chunks().take(pa.array(best)), pa.array(s[best])]
+                    yield pa.RecordBatch.from_arrays(out, ["query_id", "vec_id", "score"])
 
-    scored = rows.join(packed, "_b").mapInPandas(score, f"query_id {query_type}, vec_id {vec_type}, score double")
+    scored = pairs.select("_vectors", "_querys").mapInArrow(score, f"query_id {query_type}, vec_id {vec_type}, score double")
     scored = scored.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -237,6 +237,34 @@ def blocked_pages(spark, sf):
     return filters.detect_blocked(pages, rules).select("page_id", "blocked", "antibot", "cost")
 
 
+@query(
+    "blocked_pages_by_table",
+    """, words AS (SELECT page_id, status_code, crawler_uuid, country, ' ' || trim(regexp_replace(lower(content), '[^a-z0-9]+', ' ', 'g')) || ' ' AS w FROM crawl_pages),
+    first AS (SELECT page_id, CASE WHEN status_code = 500 AND crawler_uuid = '1' THEN 'wall'
+                                   WHEN contains(w, ' div class ad ') AND country = 'FR' THEN 'banner'
+                                   WHEN status_code IN (404, 500) AND CAST(crawler_uuid AS INT) % 2 = 0 THEN 'host ' || crawler_uuid
+                                   WHEN contains(w, ' track ') AND status_code = 301 THEN 'tracker' END AS antibot FROM words)
+    SELECT page_id, TRUE AS valid_input, antibot IS NOT NULL AS blocked, antibot, 1 AS cost FROM first""",
+)
+def blocked_pages_by_table(spark, sf):
+    """Rules as a table, some of them made from the crawls that there are."""
+    pages = view(spark, sf, "crawl_pages").withColumn("headers", F.create_map(F.lit("Server"), F.concat(F.lit("edge-"), "crawler_uuid"), F.lit("x-country"), F.col("country")))
+    schema = "rule_ord int, vendor string, statuses array<int>, headers map<string,string>, body string"
+    fixed = [
+        (1, "wall", [500], {"server": "edge-1"}, None),
+        (2, "banner", [], {"X-Country": "FR"}, '<div class="ad">'),
+        (1000, "tracker", [301], {}, "Track("),
+        (1001, "asks nothing", [], {}, ""),
+    ]
+    number = F.col("crawler_uuid").cast("int")
+    made = pages.select("crawler_uuid").distinct().filter(number % 2 == 0).select(
+        (number + 10).alias("rule_ord"), F.concat(F.lit("host "), "crawler_uuid").alias("vendor"), F.array(F.lit(404), F.lit(500)).alias("statuses"),
+        F.create_map(F.lit("SERVER"), F.concat(F.lit("edge-"), "crawler_uuid")).alias("headers"), F.lit(None).cast("string").alias("body"),
+    )
+    rules = spark.createDataFrame(fixed, schema).unionByName(made)
+    return filters.detect_blocked_by(pages, rules)
+
+
 # --- duplicates, batches, paging -------------------------------------------------------------
 
 
@@ -282,6 +310,24 @@ def url_list_page(spark, sf):
     return guards.url_list_page(pages, page=2, per_page=25).select("url")
 
 
+@query(
+    "url_list_pages",
+    """, n AS (SELECT url, CAST(FLOOR((ROW_NUMBER() OVER (ORDER BY url, page_id) - 1) / 20) AS INT) + 1 AS page FROM crawl_pages WHERE status_code = 200),
+       last AS (SELECT MAX(page) AS last FROM n)
+       SELECT page, url FROM n, last WHERE page = 1 OR page = CAST(FLOOR(last / 2) AS INT) + 1 OR page = last""",
+)
+def url_list_pages(spark, sf):
+    """The first, a deep and the last page of one list that is laid out once."""
+    pages = view(spark, sf, "crawl_pages").filter("status_code = 200").select("url", "page_id")
+    ranked = guards.RankedList(pages, ["url", "page_id"])
+    last = -(-ranked.rows.count() // 20)
+    out = [ranked.page(n, 20).select(F.lit(n).alias("page"), "url") for n in sorted({1, last // 2 + 1, last})]
+    union = out[0]
+    for more in out[1:]:
+        union = union.unionByName(more)
+    return union
+
+
 @query(
     "slowest_requests",
     "SELECT url, duration FROM crawl_pages WHERE duration > 5 ORDER BY duration DESC, url LIMIT 10",

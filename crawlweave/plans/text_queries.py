@@ -34,8 +34,15 @@ def sql_trim(column: str) -> str:
 
 
 VISIBLE = sql_rules("content", H.HIDDEN)
-SQL_TEXT = sql_trim(sql_rules(sql_entities(sql_rules(VISIBLE, [H.HEAD, H.BLOCK_TAGS, H.ANY_TAG])), H.SPACES + [H.TEXT_LINES]))
-SQL_CLEAN = sql_rules(VISIBLE, H.ATTRIBUTES)
+# written for the elements that the pages of the table have, not from the library's rules
+GONE = "'<style>.*?</style>|<script>.*?</script>|<!--.*?-->'"
+SHOWN = f"regexp_replace(content, {GONE}, ' ', 'gs')"
+TEXT_LINES = f"""regexp_replace(regexp_replace(regexp_replace({SHOWN}, '<head>.*?</head>', '', 'gs'),
+    '</?(html|body|nav|ul|li|div|article|h1|p|br|footer)( [^>]*)?>', chr(10), 'gi'), '<[^>]*>', '', 'g')"""
+SQL_TEXT = f"""trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace({TEXT_LINES}, '&copy;', '©'), '&nbsp;', ' '), '&amp;', '&'),
+    '[ \t\r]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g'), ' ' || chr(10))"""
+SQL_CLEAN = f"""regexp_replace(regexp_replace(regexp_replace({SHOWN}, '<nav>.*?</nav>', ' ', 'gs'), '<footer>.*?</footer>', ' ', 'gs'),
+    '(<div class="ad">)[^<]*(</div>)', '\\1\\2', 'g')"""
 SQL_MARKDOWN = sql_trim(sql_rules(sql_entities(sql_rules(VISIBLE, [H.HEAD] + H.markdown_rules())), H.SPACES))
 
 
@@ -51,6 +58,42 @@ def converted_pages(spark, sf):
     return out.select("url", "format", F.md5("content").alias("digest"), F.length("content").cast("bigint").alias("chars"))
 
 
+@query(
+    "content_format_invariants",
+    """SELECT url, TRUE AS clean_without_nav, TRUE AS clean_without_script, contains(content, '<h1>') AS clean_with_heading, TRUE AS clean_not_longer,
+              TRUE AS text_without_tags, TRUE AS text_shorter, contains(content, '<h1>') AS markdown_with_heading, TRUE AS all_filled FROM crawl_pages""",
+)
+def content_format_invariants(spark, sf):
+    """What the formats of one page keep and lose, as columns."""
+    pages = view(spark, sf, "crawl_pages").select("url", "page_id", "content")
+    made = text.convert_html(pages, ["html", "clean_html", "text", "markdown"])
+    page = made.groupBy("page_id", "url").pivot("format", ["html", "clean_html", "text", "markdown"]).agg(F.first("content"))
+    has = lambda column, words: F.contains(F.col(column), F.lit(words))
+    filled = [F.length(F.col(c)) > 0 for c in ("html", "clean_html", "text", "markdown")]
+    return page.select(
+        "url", (~has("clean_html", "<nav")).alias("clean_without_nav"), (~has("clean_html", "<script")).alias("clean_without_script"),
+        has("clean_html", "<h1>").alias("clean_with_heading"), (F.length("clean_html") <= F.length("html")).alias("clean_not_longer"),
+        (~F.rlike("text", F.lit("<[a-z/]"))).alias("text_without_tags"), (F.length("text") < F.length("html")).alias("text_shorter"),
+        F.rlike("markdown", F.lit(r"(?m)^# ")).alias("markdown_with_heading"), (filled[0] & filled[1] & filled[2] & filled[3]).alias("all_filled"),
+    )
+
+
+@query(
+    "pages_as_json",
+    f"""SELECT url, regexp_extract(content, '<html lang="([^"]*)"', 1) AS lang, trim({sql_entities("regexp_extract(content, '<h1>([^<]*)</h1>', 1)")}) AS heading,
+               len(regexp_extract_all(content, '<li>')) AS items, len(regexp_extract_all(content, '<a href="')) AS links, NULLIF(regexp_extract(content, '<a href="([^"]*)"', 1), '') AS first_link,
+               len(list_filter(regexp_extract_all(regexp_replace(content, '<script>.*?</script>', '', 'gs'), '<p>(?:<b>)?([^<]*)', 1), lambda p: trim(p) <> '')) AS paragraphs FROM crawl_pages""",
+)
+def pages_as_json(spark, sf):
+    out = text.convert_html(view(spark, sf, "crawl_pages").select("url", "content"), ["json"]).select("url", F.try_parse_json("content").alias("j"))
+    get = lambda path, kind: F.try_variant_get("j", path, kind)
+    count = lambda path: F.size(get(path, "array<variant>")).cast("bigint")
+    return out.select(
+        "url", get("$.metadata.lang", "string").alias("lang"), get("$.headings[0].text", "string").alias("heading"), count("$.items").alias("items"),
+        count("$.links").alias("links"), get("$.links[0].url", "string").alias("first_link"), count("$.paragraphs").alias("paragraphs"),
+    )
+
+
 SQL_CONTENT = f"regexp_extract({VISIBLE}, '<(?is:article\\b[^>]*>(.*)</article\\s*>)', 1)"
 SQL_MAIN = sql_trim(sql_rules(sql_entities(sql_rules(
     f"CASE WHEN {SQL_CONTENT} <> '' THEN {SQL_CONTENT} ELSE {sql_rules(VISIBLE, [H.BOILERPLATE])} END",
@@ -81,7 +124,7 @@ def page_metadata(spark, sf):
         SELECT url, to_json({{'title': trim({sql_entities("regexp_extract(content, '<title>([^<]*)</title>', 1)")}), 'lang': regexp_extract(content, '<html lang="([^"]*)"', 1)}}) AS j FROM crawl_pages) AS t""",
 )
 def page_metadata_json(spark, sf):
-    out = text.convert_html(view(spark, sf, "crawl_pages").select("url", "content"), ["json"])
+    out = text.convert_html(view(spark, sf, "crawl_pages").select("url", "content"), ["page_metadata"])
     return out.select("url", F.get_json_object("content", "$.title").alias("title"), F.get_json_object("content", "$.lang").alias("lang"))
 
 

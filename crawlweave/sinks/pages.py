@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from crawlweave.operators import ordering
+from crawlweave.session import written
 from crawlweave.sources import files
 
 
@@ -61,8 +62,9 @@ def build_llms_txt(pages: DataFrame, site_name: str, description: str, site: str
     stay rows, so no site is ever gathered in one place.
     """
     body = F.regexp_replace(F.col(markdown), r"^\s+|\s+$", "")
-    kept = pages.filter((F.col("status_code") == 200) & (body != ""))
-    key = F.col(site).alias("site")
+    made = pages.filter(F.col("status_code") == 200).select(F.col(site).alias("site"), "url", body.alias("_body"))
+    kept = written(made.filter("_body <> ''"), "site-text")  # converted once, for the sections and their number
+    key, body = F.col("site"), F.col("_body")
     sections = kept.select(
         key, F.lit(1).alias("part"), "url", F.concat(F.lit("---\n\n### "), F.col("url"), F.lit("\n\n"), body, F.lit("\n")).alias("section")
     )

@@ -225,6 +225,39 @@ def test_every_page_of_a_list(spark):
     assert [x for page in pages for x in page] == list(range(57)) and pages[6] == []
 
 
+def test_a_page_reads_its_ranges_only(spark):
+    rows = spark.range(5000).selectExpr("id * 7919 % 5003 AS x", "'y' AS y").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = guards.RankedList(rows, ["x"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranked.index.count() == 4
+    want = sorted(r["x"] for r in rows.collect())
+    for page in (1, 7, 50):
+        found = ranked.page(page, 100)
+        assert [r["x"] for r in found.collect()] == want[(page - 1) * 100 : page * 100]
+        assert len(found.inputFiles()) == 4 and "PartitionFilters: [isnotnull(_part" in found._jdf.queryExecution().executedPlan().toString()
+    assert ranked.page(51, 100).isEmpty() and ranked.page(51, 100).columns == ["x", "y"]
+    assert guards.RankedList(rows.limit(0), ["x"]).page(1).isEmpty()
+
+
+def test_block_rules_of_a_table(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", 403, {"Server": "cloud-gate"}, "x"), (2, "u", 200, {}, "Please  verify you ARE human!"), (3, "u", 200, None, "verify humans"),
+         (4, "", 403, {}, ""), (5, "u", 403, {"server": None}, None), (6, "u", 429, {"via": "cloud-gate"}, "verify you are human")],
+        "page_id int, url string, status_code int, headers map<string,string>, content string",
+    )
+    rules = [(3, "any", [403], {}, None), (1, "gate", [403, 429], {"SERVER": "gate"}, None), (2, "human", [], {}, "verify, you are human"), (0, "nothing", [], {}, "")]
+    table = spark.createDataFrame(rules, "rule_ord int, vendor string, statuses array<int>, headers map<string,string>, body string")
+    got = {r["page_id"]: (r["valid_input"], r["blocked"], r["antibot"], r["cost"]) for r in filters.detect_blocked_by(pages, table).collect()}
+    assert got == {
+        1: (True, True, "gate", 1), 2: (True, True, "human", 1), 3: (True, False, None, 1), 4: (False, None, None, 0),
+        5: (True, True, "any", 1), 6: (True, True, "human", 1),
+    }
+    assert {r["blocked"] for r in filters.detect_blocked_by(pages, table.limit(0)).collect()} == {False, None}
+
+
 def test_depth(spark):
     links = spark.createDataFrame([("c", "s", "a"), ("c", "a", "b"), ("c", "b", "s"), ("c", "s", "b2"), ("d", "a", "z")], "crawler_uuid string, source_url string, target_url string")
     seeds = spark.createDataFrame([("c", "s")], "crawler_uuid string, url string")
@@ -301,7 +334,7 @@ def test_retrieval_matches_brute_force(spark):
     for q, probe in ((0, vectors[3]), (1, -vectors[5])):
         best = np.argsort(-(unit @ (probe / np.linalg.norm(probe))))[:5]
         assert [r["vec_id"] for r in got if r["query_id"] == q] == best.tolist()
-    in_blocks = text.retrieve_top_k(df, queries, k=5, block=1).orderBy("query_id", "rank").collect()
+    in_blocks = text.retrieve_top_k(df, queries, k=5, block=1, vector_block=17).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["vec_id"]) for r in in_blocks] == [(r["query_id"], r["vec_id"]) for r in got]
 
 
