@@ -32,34 +32,64 @@ class Gru:
         new = np.tanh(x[:, 2 * n :] + gates[:, n:] * u[:, 2 * n :])
         return new + gates[:, :n] * (h - new)
 
-    def run(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+    def run(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
         """States (T, B, H) after each column of ``symbols`` (B, T), and what the gradient needs."""
-        n, states, kept = self.hidden, [], []
-        for t in range(symbols.shape[1]):
-            x, u = self.inputs[symbols[:, t]], h @ self.state
-            gates = sigmoid(x[:, : 2 * n] + u[:, : 2 * n])
-            new = np.tanh(x[:, 2 * n :] + gates[:, n:] * u[:, 2 * n :])
-            kept.append((h, gates, new, u[:, 2 * n :]))
-            h = new + gates[:, :n] * (h - new)
-            states.append(h)
-        return np.stack(states), kept
-
-    def gradient(self, symbols: np.ndarray, kept: list[tuple], d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.hidden
+        x = self.inputs[symbols.T]
+        steps, rows, _ = x.shape
+        states = np.empty((steps + 1, rows, n), F32)
+        un = np.empty((steps, rows, n), F32)
+        gates, new = x[:, :, : 2 * n], x[:, :, 2 * n :]
+        states[0] = h
+        for t in range(steps):
+            u = states[t] @ self.state
+            gate, now = gates[t], new[t]
+            gate += u[:, : 2 * n]
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            un[t] = u[:, 2 * n :]
+            now += gate[:, n:] * un[t]
+            np.tanh(now, out=now)
+            np.subtract(states[t], now, out=states[t + 1])
+            states[t + 1] *= gate[:, :n]
+            states[t + 1] += now
+        return states[1:], (states, gates, new, un)
+
+    def gradient(self, symbols: np.ndarray, kept: tuple[np.ndarray, ...], d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients of ``inputs`` and ``state`` from those of the states, back through time."""
         n = self.hidden
-        d_inputs, d_state = np.zeros_like(self.inputs), np.zeros_like(self.state)
-        d_h = np.zeros_like(d_states[0])
-        for t in range(len(kept) - 1, -1, -1):
-            h, gates, new, un = kept[t]
-            z, r = gates[:, :n], gates[:, n:]
+        states, gates, new, un = kept
+        steps, rows = new.shape[:2]
+        z, r = gates[:, :, :n], gates[:, :, n:]
+        # what does not depend on the gradient that comes back
+        slope_new = (1 - z) * (1 - new * new)
+        slope_z = (states[:-1] - new) * z * (1 - z)
+        slope_r = slope_new * un * r * (1 - r)
+        d_pre = np.empty((steps, rows, 3 * n), F32)
+        d_u = np.empty((steps, rows, 3 * n), F32)
+        d_h = np.zeros((rows, n), F32)
+        back = np.ascontiguousarray(self.state.T)
+        for t in range(steps - 1, -1, -1):
             d_h = d_h + d_states[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_pre = np.concatenate([d_h * (h - new) * z * (1 - z), d_new * un * r * (1 - r), d_new], axis=1)
-            d_u = d_pre.copy()
-            d_u[:, 2 * n :] *= r
-            np.add.at(d_inputs, symbols[:, t], d_pre)
-            d_state += h.T @ d_u
-            d_h = d_h * z + d_u @ self.state.T
+            here = d_u[t]
+            np.multiply(d_h, slope_z[t], out=here[:, :n])
+            np.multiply(d_h, slope_r[t], out=here[:, n : 2 * n])
+            np.multiply(d_h, slope_new[t], out=d_pre[t, :, 2 * n :])
+            np.multiply(d_pre[t, :, 2 * n :], r[t], out=here[:, 2 * n :])
+            d_h *= z[t]
+            d_h += here @ back
+        d_pre[:, :, : 2 * n] = d_u[:, :, : 2 * n]
+        d_state = states[:-1].reshape(-1, n).T @ d_u.reshape(-1, 3 * n)
+        # rows of one symbol are added up where they stand together
+        flat = symbols.T.ravel()
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+        d_inputs = np.zeros_like(self.inputs)
+        if len(begin):
+            d_inputs[flat[begin]] = np.add.reduceat(d_pre.reshape(-1, 3 * n)[order], begin, axis=0)
         return d_inputs, d_state
 
 

@@ -69,6 +69,7 @@ class ClassFactored:
         self.order = np.argsort(top)
         self.top = top[self.order]
         self.log_mass = np.log(np.maximum(mass, SMOOTH))
+        self.octaves = len(mass) - 1  # the class behind them is the unknown word
         self.tops = -(-len(top) // CLASS_WORDS)
         self.words = len(top)
         self.classes = self.tops + len(mass)
@@ -101,7 +102,7 @@ class ClassFactored:
         at = np.searchsorted(self.top, h)
         at[at == len(self.top)] = 0
         known = self.top[at] == h if len(self.top) else np.zeros(len(h), bool)
-        octave = np.where(c > 0, np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64), OCTAVES - 1), OCTAVES)
+        octave = np.where(c > 0, np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64), self.octaves - 1), self.octaves)
         rank = self.order[at] if len(self.top) else np.zeros(len(h), np.int64)
         symbol = np.where(known, rank, self.words + octave)
         group = np.where(known, rank // CLASS_WORDS, self.tops + octave)
@@ -125,12 +126,18 @@ class ClassFactored:
                 for t in range(0, longest, width):
                     h = self._learn(x[:, t : t + width], x[:, t + 1 : t + width + 1], y[:, t : t + width], h, optimizer)
 
-    def learn(self, symbol: np.ndarray, at: np.ndarray, optimizer: Adam, batch: int = 64, width: int = 32) -> None:
+    def learn(self, symbol: np.ndarray, at: np.ndarray, optimizer: Adam, batch: int = 384, width: int = 24, least: int = 64) -> None:
         """Truncated backpropagation through whole texts; ``at`` are the n+1 offsets of the texts.
 
-        Texts of like length go side by side and keep their state from window to window; windows are wider where few are left.
+        Texts of like length go side by side, ``batch`` of many and ``least`` of few, and keep their state from window to
+        window; windows are wider where few are left. Every second word that the training documents hold once stands for the unknown word, which else would
+        never be seen: as much of the text is unknown later as is new here.
         """
+        once = symbol == self.words  # the class of words with count 1
+        once[::2] = False
+        symbol = np.where(once, self.words + self.octaves, symbol)
         order = np.argsort(-np.diff(at), kind="stable")
+        batch = min(batch, max(least, len(order) // 4))
         for k in range(0, len(order), batch):
             begin, lengths = at[order[k : k + batch]], np.diff(at)[order[k : k + batch]]
             h = np.zeros((len(begin), self.gru.hidden), F32)
@@ -149,23 +156,30 @@ class ClassFactored:
         states, kept = self.gru.run(x, h)
         target, group = target.T.ravel(), group.T.ravel()
         flat = states.reshape(-1, states.shape[2])
-        live = np.flatnonzero(group >= 0)
+        # places in the order of their class, those without a token first
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(self.tops + 1))
+        live = order[cuts[0] if self.tops else np.searchsorted(group[order], 0) :]
         scale = F32(1 / max(1, len(live)))
-        p = softmax(flat[live] @ self.to_class + self.class_bias)
+        held = flat[live]
+        p = softmax(held @ self.to_class + self.class_bias)
         p[np.arange(len(live)), group[live]] -= 1
         p *= scale
-        d_flat = np.zeros_like(flat)
-        d_flat[live] = p @ self.to_class.T
-        d_class, d_class_bias = flat[live].T @ p, p.sum(0)
+        d_held = p @ self.to_class.T
+        d_class, d_class_bias = held.T @ p, p.sum(0)
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        for k in np.unique(group[live]):
-            if k < self.tops:
-                rows = live[group[live] == k]
-                q = softmax(flat[rows] @ self.to_word[k] + self.word_bias[k])
-                q[np.arange(len(rows)), target[rows] % CLASS_WORDS] -= 1
+        words = target[live] % CLASS_WORDS
+        cuts = cuts - cuts[0]
+        for k in range(self.tops):
+            a, b = cuts[k], cuts[k + 1]
+            if a < b:
+                q = softmax(held[a:b] @ self.to_word[k] + self.word_bias[k])
+                q[np.arange(b - a), words[a:b]] -= 1
                 q *= scale
-                d_word[k], d_word_bias[k] = flat[rows].T @ q, q.sum(0)
-                d_flat[rows] += q @ self.to_word[k].T
+                d_word[k], d_word_bias[k] = held[a:b].T @ q, q.sum(0)
+                d_held[a:b] += q @ self.to_word[k].T
+        d_flat = np.zeros_like(flat)
+        d_flat[live] = d_held
         d_inputs, d_state = self.gru.gradient(x, kept, d_flat.reshape(states.shape))
         optimizer.update([d_inputs, d_state, d_class, d_class_bias, d_word, d_word_bias])
         return states[-1]
@@ -229,7 +243,8 @@ def _begun(
     mass = np.zeros(OCTAVES + 1)
     for row in rest.groupBy(octave.alias("k")).agg(F.sum(F.col("c") + SMOOTH).alias("m")).collect():  # OCTAVES rows at most
         mass[row.k] = row.m
-    mass[OCTAVES] = SMOOTH
+    # no class beyond the largest count that is left, so that the class layer stays small
+    mass = np.append(mass[: max(1, np.flatnonzero(mass).max(initial=0) + 1)], SMOOTH)
     order = F.xxhash64(F.lit(3), doc, text)
     start = F.pmod(F.xxhash64(F.lit(4), doc), F.greatest(F.char_length(text) - chars // 2, F.lit(1))).cast("int") + 1
     sample = train.where(F.col(text).isNotNull()).select(
