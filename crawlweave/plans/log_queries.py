@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from crawlweave.functions import errors as E
@@ -296,6 +298,42 @@ def monitoring_metrics_last7d(spark, sf):
     return rounded(monitoring.monitoring_metrics(log, period="last7d", aggregation=["project"], now=now))
 
 
+@query(
+    "monitoring_metrics_between",
+    f"""SELECT product, CAST(NULL AS VARCHAR) AS project, target, 'target' AS level, {METRICS} FROM crawl_log
+        WHERE ts >= (SELECT MAX(ts) FROM crawl_log) - INTERVAL 30 DAY AND ts <= (SELECT MAX(ts) FROM crawl_log) - INTERVAL 10 DAY GROUP BY product, target""",
+)
+def monitoring_metrics_between(spark, sf):
+    """Bounds of the caller's own, which override the period."""
+    log = view(spark, sf, "crawl_log")
+    last = log.agg(F.max("ts")).first()[0]
+    bounds = {"start": last - dt.timedelta(days=30), "end": last - dt.timedelta(days=10)}
+    return rounded(monitoring.monitoring_metrics(log, aggregation=["target"], include_webhook=True, **bounds))
+
+
+@query(
+    "monitoring_metrics_last1h",
+    f"""SELECT product, CAST(NULL AS VARCHAR) AS project, CAST(NULL AS VARCHAR) AS target, 'account' AS level, {METRICS} FROM crawl_log
+        WHERE ts >= (SELECT MAX(ts) FROM crawl_log) - INTERVAL 1 HOUR AND NOT is_webhook GROUP BY product""",
+)
+def monitoring_metrics_last1h(spark, sf):
+    log = view(spark, sf, "crawl_log")
+    now = log.agg(F.max("ts")).first()[0]
+    return rounded(monitoring.monitoring_metrics(log, period="last1h", aggregation=["account"], now=now))
+
+
+@query(
+    "monitoring_timeseries_between",
+    f"""SELECT proxy_pool, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, {METRICS} FROM crawl_log
+        WHERE proxy_pool = 'residential' AND ts >= (SELECT MIN(ts) FROM crawl_log) + INTERVAL 1 DAY AND ts <= (SELECT MIN(ts) FROM crawl_log) + INTERVAL 3 DAY GROUP BY ALL""",
+)
+def monitoring_timeseries_between(spark, sf):
+    log = view(spark, sf, "crawl_log")
+    first = log.agg(F.min("ts")).first()[0]
+    out = monitoring.monitoring_timeseries(log, proxy_pool="residential", start=first + dt.timedelta(days=1), end=first + dt.timedelta(days=3))
+    return rounded(out).withColumn("bucket_start", F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 TARGET = """SELECT {key} AS target, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, {metrics}
             FROM crawl_log WHERE NOT is_webhook AND target LIKE '%.example.com' GROUP BY ALL"""
 

@@ -112,6 +112,20 @@ def links_in_scope(spark, sf):
     return scoped.select("source_url", "href", "scope", "follow")
 
 
+@query(
+    "page_links_in_scope",
+    PAGE_LINKS
+    + """, parts AS (SELECT source_url, position, target_url, regexp_extract(source_url, '^[a-z]+://([^/?#]*)', 1) AS h0, regexp_extract(target_url, '^[a-z]+://([^/?#]*)', 1) AS h1 FROM absolute_links)
+       SELECT source_url, position, target_url,
+              CASE WHEN h1 LIKE '%.example.com' THEN 'subdomain' WHEN h1 LIKE '%.example.net' THEN 'external' ELSE 'out' END AS scope, h0 LIKE '%.example.com' AS follow FROM parts""",
+)
+def page_links_in_scope(spark, sf):
+    """Scope of the links that the pages have."""
+    links = text.extract_links(view(spark, sf, "crawl_pages")).withColumnRenamed("href", "as_written").withColumn("href", F.col("target_url"))
+    scoped = filters.scope_links(links, "https://example.com/", follow_external_links=True, allowed_external_domains=["*.example.net"])
+    return scoped.select("source_url", "position", "target_url", "scope", "follow")
+
+
 @query(
     "page_result_flags",
     """SELECT page_id, status_code BETWEEN 200 AND 299 AS success, status_code >= 400 AS error,

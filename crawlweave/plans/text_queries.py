@@ -39,7 +39,7 @@ GONE = "'<style>.*?</style>|<script>.*?</script>|<!--.*?-->'"
 SHOWN = f"regexp_replace(content, {GONE}, ' ', 'gs')"
 TEXT_LINES = f"""regexp_replace(regexp_replace(regexp_replace({SHOWN}, '<head>.*?</head>', '', 'gs'),
     '</?(html|body|nav|ul|li|div|article|h1|p|br|footer)( [^>]*)?>', chr(10), 'gi'), '<[^>]*>', '', 'g')"""
-SQL_TEXT = f"""trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace({TEXT_LINES}, '&copy;', '©'), '&nbsp;', ' '), '&amp;', '&'),
+SQL_TEXT = f"""trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(replace({TEXT_LINES}, '&copy;', '©'), '&nbsp;', ' '), '&quot;', '"'), '&amp;', '&'),
     '[ \t\r]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '\n+', chr(10), 'g'), ' ' || chr(10))"""
 SQL_CLEAN = f"""regexp_replace(regexp_replace(regexp_replace({SHOWN}, '<nav>.*?</nav>', ' ', 'gs'), '<footer>.*?</footer>', ' ', 'gs'),
     '(<div class="ad">)[^<]*(</div>)', '\\1\\2', 'g')"""
@@ -139,15 +139,16 @@ def emails_in_documents(spark, sf):
 
 @query(
     "prices_in_text",
-    """SELECT event_id, 0 AS position, k + 0.25::DOUBLE AS amount, 'USD' AS currency FROM crawl_log
-       UNION ALL SELECT event_id, 1, 1200.5::DOUBLE, 'EUR' FROM crawl_log
-       UNION ALL SELECT event_id, 2, CAST(k AS DOUBLE), 'GBP' FROM crawl_log""",
+    """, found AS (SELECT doc_id, regexp_extract_all(text, '[+]1 [(]([0-9]{3})[)] ([0-9]{3})-', 1) AS a, regexp_extract_all(text, '[+]1 [(]([0-9]{3})[)] ([0-9]{3})-', 2) AS b FROM documents),
+       calls AS (SELECT doc_id, UNNEST(range(len(a))) AS i, UNNEST(a) AS a, UNNEST(b) AS b FROM found)
+       SELECT doc_id, CAST(2 * i AS INT) AS position, CAST('1' || a || '.5' AS DOUBLE) AS amount, 'EUR' AS currency FROM calls
+       UNION ALL SELECT doc_id, CAST(2 * i + 1 AS INT), CAST(b AS DOUBLE), 'USD' FROM calls""",
 )
 def prices_in_text(spark, sf):
-    number = F.col("k").cast("string")
-    line = F.concat(F.lit("Now only $"), number, F.lit(".25 or € 1,200.50, was £"), number, F.lit("! Save $$$"))
-    found = view(spark, sf, "crawl_log").select("event_id", F.posexplode(text.prices(line)).alias("position", "p"))
-    return found.select("event_id", "position", "p.amount", "p.currency")
+    """Prices in whole documents, whose phone numbers are turned into two prices each; other signs and numbers stay."""
+    priced = F.regexp_replace("text", r"[+]1 [(]([0-9]{3})[)] ([0-9]{3})-", r"€ 1,$1.5 or \$$2 ")
+    found = table(spark, sf, "documents").select("doc_id", F.posexplode(text.prices(priced)).alias("position", "p"))
+    return found.select("doc_id", "position", "p.amount", "p.currency")
 
 
 @query(
@@ -168,17 +169,19 @@ def formatted_links(spark, sf):
 
 @query(
     "formatted_dates",
-    """SELECT event_id, strftime(ts, '%d-%m-%Y') AS day, CAST(k AS DOUBLE) AS number, 'EUR' AS picked FROM crawl_log""",
+    """SELECT event_id, strftime(ts, '%d-%m-%Y') AS day, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS number,
+              regexp_extract(props, '([0-9]+)', 1) AS picked, upper(event_type) AS kind FROM events""",
 )
 def formatted_dates(spark, sf):
-    log = view(spark, sf, "crawl_log")
+    """Formatters and casts over the columns of the events, which hold times, JSON and words."""
     day = text.apply_formatters(F.array(F.date_format("ts", "yyyy-MM-dd")), [{"name": "datetime", "args": {"format": "%d-%m-%Y"}}])
-    number = text.cast_values(F.array(F.col("k").cast("string")), "float")
-    picked = text.apply_formatters(
-        F.array(F.lit('<b>{"amount": 1, "currency": "eur"}</b>')),
-        [{"name": "remove_html"}, {"name": "pick", "args": {"key": "currency"}}, {"name": "uppercase"}],
+    picked = text.apply_formatters(F.array("props"), [{"name": "pick", "args": {"key": "k"}}])
+    tagged = F.array(F.concat(F.lit("<b>"), "event_type", F.lit("</b>")))
+    kind = text.apply_formatters(tagged, [{"name": "remove_html"}, {"name": "uppercase"}])
+    number = text.cast_values(picked, "float")
+    return table(spark, sf, "events").select(
+        "event_id", day[0].alias("day"), number[0].alias("number"), picked[0].alias("picked"), kind[0].alias("kind")
     )
-    return log.select("event_id", day[0].alias("day"), number[0].alias("number"), picked[0].alias("picked"))
 
 
 @query(
