@@ -111,8 +111,9 @@ def training_windows(
     each = max(1, min(per_language, most // max(len(names), 1)))
     start = F.pmod(F.xxhash64(F.lit(1), doc), F.greatest(F.char_length(text) - 2 * width, F.lit(1))).cast("int") + 1
     pieces = known.select(F.col(label).alias("l"), F.xxhash64(F.col(doc), F.col(text)).alias("o"), F.substr(F.col(text), start, F.lit(4 * width)).alias("t"))
-    # few more than wanted pass by their hash, so that short pieces of a bounded number are ranked
-    some = pieces.join(counts, "l").where(hash_share(F.col("o"), (each + 6 * each**0.5 + 12) / F.col("c"))).distinct()
+    # few more than wanted pass by their hash before the shuffle, so that a bounded number of short pieces is ranked; the
+    # counts are one row for each language that the model has
+    some = pieces.join(F.broadcast(counts), "l").where(hash_share(F.col("o"), (each + 6 * each**0.5 + 12) / F.col("c"))).distinct()
     sample = some.withColumn("_n", F.row_number().over(Window.partitionBy("l").orderBy("o", "t"))).where(F.col("_n") <= each)
     names.sort()
     windows, labels = [], []
