@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlweave.llm import bpe, jaccard_join, line_dedup, mixing, quality
 from crawlweave.llm.queries import TOKENIZER
-from crawlweave.llm.shared import written
+from crawlweave.llm.shared import unused_prefix, written
 from crawlweave.session import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -38,8 +38,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids, little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, TOKENIZER)
+    """The documents with their token ids, little-endian unsigned 32-bit integers, and whether these decode to the text."""
+    decoded = unused_prefix(docs) + "decoded"
+    coded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER, text=decoded)
+    return coded.withColumn("round_trip", F.col(decoded) == F.coalesce("text", F.lit(""))).drop(decoded)
 
 
 STAGES: list[tuple[str, Stage]] = [
