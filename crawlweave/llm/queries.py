@@ -100,6 +100,23 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_jaccard_join"] = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    places AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM texts WHERE len(w) > 0),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS s FROM places),
+    sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    pairs AS (
+        SELECT a, b FROM shared JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+        WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+    links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+    reach AS (SELECT doc_id, doc_id AS label FROM sizes UNION SELECT l.b, r.label FROM reach AS r JOIN links AS l ON l.a = r.doc_id WHERE r.label < l.b)
+    SELECT t.doc_id, COALESCE(MAX(z.n), 0) AS n_shingles, COALESCE(MIN(r.label), t.doc_id) AS component_id
+    FROM texts AS t LEFT JOIN sizes AS z ON z.doc_id = t.doc_id LEFT JOIN reach AS r ON r.doc_id = t.doc_id GROUP BY t.doc_id"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -121,6 +138,16 @@ def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op3_warc_salvage"] = """
+    WITH payloads AS (SELECT page_id, COALESCE(html, '') AS html FROM pages),
+    digests AS (SELECT *, CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits, MIN(page_id) OVER (PARTITION BY html) AS first FROM payloads)
+    SELECT page_id, strlen(html) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+               CAST(1 + list_sum(list_transform(range(5), lambda k: CAST(substr(bits, CAST(5 * i + k + 1 AS BIGINT), 1) AS INT) << CAST(4 - k AS INT))) AS BIGINT)]), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM digests"""
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -166,6 +166,7 @@ def test_pipeline(spark):
         if number < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == columns
         sizes.append(docs.count())
+    assert docs.where("NOT round_trip OR round_trip IS NULL").isEmpty()
     assert 0 < sizes[2] <= sizes[1] == sizes[0] < 200 and sizes[3] == sizes[4]
     assert corpus_pipeline.run(spark, SF_DIR).count() == sizes[4]
     nothing = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
