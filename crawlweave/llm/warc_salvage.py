@@ -93,11 +93,11 @@ def write_archives(
     rows = df.select(
         F.col(key).cast("long").alias("_key"), F.col(uri).alias("_uri"), F.coalesce(F.col(body).cast("binary"), F.lit(b"")).alias("_body")
     ).withColumn("_digest", F.sha1("_body"))
-    firsts = (
-        rows.where((F.octet_length("_body") >= least_bytes) & F.col("_key").isNotNull())
-        .groupBy("_digest").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    )
-    marked = rows.join(firsts, "_digest", "left").withColumn("_first", F.when(F.col("_key") != F.col("_first"), F.col("_first")))
+    # keys alone are compared by digest, as a third of all bodies may be equal; bodies travel by their key
+    keys = written(rows.where((F.octet_length("_body") >= least_bytes) & F.col("_key").isNotNull()).select("_key", "_digest"), "archive-keys")
+    firsts = keys.groupBy("_digest").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    again = keys.join(firsts, "_digest").where("_key <> _first").distinct()
+    marked = rows.join(again, ["_key", "_digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, local = resolve(folder)
@@ -211,24 +211,41 @@ def _row(path: str, begin: int, finish: int, fields: dict[str, str], block: byte
     }
 
 
+def _before_break(unpack: zlib._Decompress, piece: bytes) -> tuple[list[bytes], int]:
+    """What the bytes of a piece give before the one that breaks the stream, and its place, found by halving."""
+    found, low, high = [], 0, len(piece)
+    while high - low > 1:
+        trial, middle = unpack.copy(), (low + high) // 2
+        try:
+            part = trial.decompress(piece[low:middle])
+        except zlib.error:
+            high = middle
+        else:
+            found.append(part)
+            unpack, low = trial, middle
+    return found, low
+
+
 def _member(file: _File, at: int, out: BinaryIO) -> tuple[int, str | None]:
-    """Unpack the gzip member at a position into ``out``: (end, damage); what comes before the damage is in ``out``."""
+    """Unpack the gzip member at a position into ``out``: (end, damage); what comes before the damage is in ``out``.
+
+    The first piece is short, so that what only looks like a member costs little.
+    """
     unpack = zlib.decompressobj(31)
-    begin = at
+    begin, size = at, 1024
     while not unpack.eof:
-        piece = file.read(at, min(PACKED_PIECE, file.size - at))
+        piece = file.read(at, min(size, file.size - at))
+        size = min(PACKED_PIECE, 8 * size)
         if not piece:
             return at, "member cut off"
         before = unpack.copy() if at > begin else zlib.decompressobj(31)
         try:
             found = unpack.decompress(piece, PIECE)
         except zlib.error as error:
-            for k in range(len(piece)):  # up to the byte that breaks it
-                try:
-                    out.write(before.decompress(piece[k : k + 1]))
-                except zlib.error:
-                    return at + k, f"member broken: {error}"
-            return at + len(piece), f"member broken: {error}"
+            parts, good = _before_break(before, piece)
+            for part in parts:
+                out.write(part)
+            return at + good, f"member broken: {error}"
         out.write(found)
         at += len(piece) - len(unpack.unused_data) - len(unpack.unconsumed_tail)
     return at, None
@@ -254,6 +271,8 @@ def _plain(file: _File, at: int) -> tuple[dict[str, str], bytes, int]:
     if need > PIECE and file.read(at + need - len(LAST), len(LAST)) != LAST:
         raise Damage("wrong length")  # before so much is read
     fields, block, n = parse_record(file.read(at, need), False)
+    if not {"warc-type", "warc-record-id"} <= fields.keys():
+        raise Damage("no type or record id")
     return fields, block, at + n
 
 

@@ -155,6 +155,34 @@ def test_query_runs(spark, name):
         assert rows == n if name != "op2_hash_forest" else rows > 0
 
 
+def salvaged(data):
+    return list(warc_salvage.salvage("x", pa.BufferReader(data)))
+
+
+def test_false_members_and_damaged_types():
+    """Thousands of bytes that only look like members, and a record whose type line is broken."""
+    import time
+
+    records = [warc_salvage.record_bytes(i, f"https://e.example/{i}", b"payload %d" % i, None, "2000-01-01T00:00:00Z") for i in range(4)]
+    members = [zlib_member(r) for r in records]
+    false = b"\x1f\x8b\x08\x00" * 4000 + b"\x1f\x8b\x08\x00junk\x00\x03\xff" * 500
+    start = time.perf_counter()
+    rows = salvaged(members[0] + false + b"".join(members[1:]))
+    assert time.perf_counter() - start < 20
+    assert [r["record_id"] for r in rows if not r["reason"]] == [f"<urn:x-row:{i}>" for i in range(4)]
+    assert [(r["begin"], r["finish"]) for r in rows if r["reason"]] == [(len(members[0]), len(members[0]) + len(false))]
+    broken = records[1].replace(b"WARC-Type", b"WARC-Tipe")
+    for data in (records[0] + broken + records[2], zlib_member(records[0] + broken + records[2])):
+        rows = salvaged(data)
+        assert [r["record_id"] for r in rows if not r["reason"]] == ["<urn:x-row:0>", "<urn:x-row:2>"]
+        assert len([r for r in rows if r["reason"]]) == 1
+
+
+def zlib_member(data):
+    pack = zlib.compressobj(4, zlib.DEFLATED, 31)
+    return pack.compress(data) + pack.flush()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
