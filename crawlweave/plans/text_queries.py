@@ -10,7 +10,7 @@ from crawlweave.functions import html as H, urls
 from crawlweave.operators import extract, text
 from crawlweave.plans.page_queries import PAGE_LINKS
 from crawlweave.plans.registry import query, view
-from crawlweave.session import table
+from crawlweave.session import fresh_dir, table
 from crawlweave.sinks import pages as page_sinks
 
 literal = lambda s: "'" + s.replace("'", "''") + "'"
@@ -222,6 +222,25 @@ def page_file_plan(spark, sf):
     return page_sinks.plan_page_files(pages, keys=("page_id",)).select("page_id", "file_name", "collision_rank")
 
 
+@query(
+    "page_files_written",
+    """, n AS (SELECT page_id, content, url, regexp_extract(url, '([^/]*)$', 1) AS last, CASE WHEN page_id % 7 = 0 THEN '.xml' ELSE '.html' END AS ext FROM crawl_pages),
+       f AS (SELECT page_id, content, CASE WHEN last = '' THEN regexp_replace(replace(regexp_replace(url, '^https?://', ''), '/', '-'), '-$', '') || ext
+                                  WHEN contains(last, ext) THEN last ELSE last || ext END AS file_name FROM n),
+       r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY file_name ORDER BY page_id) AS rank FROM f)
+       SELECT CASE WHEN rank = 1 THEN file_name ELSE regexp_extract(file_name, '^(.*?)([.][^.]*)?$', 1) || '-' || rank || regexp_extract(file_name, '([.][^.]*)$', 1) END AS file_name,
+              md5(content) AS digest, strlen(content) AS bytes FROM r""",
+)
+def page_files_written(spark, sf):
+    """Pages saved as files and read back: names, with ranks where several pages take one, and bytes."""
+    planned = page_sinks.plan_page_files(view(spark, sf, "crawl_pages").select("page_id", "url", "content_type", "content"), keys=("page_id",))
+    path = fresh_dir(spark, "page-files")
+    page_sinks.write_page_files(planned, path)
+    back = spark.read.format("binaryFile").load(path)
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    return back.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"), F.md5("content").alias("digest"), F.col("length").alias("bytes"))
+
+
 SITE = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
 
 
@@ -240,6 +259,33 @@ def site_text_sections(spark, sf):
     return page_sinks.build_llms_txt(made, "Site", "All pages").select("site", "part", "url", F.md5("section").alias("digest"))
 
 
+@query(
+    "llms_txt_written",
+    f""", m AS (SELECT {SITE} AS site, url, {SQL_MARKDOWN} AS md FROM crawl_pages WHERE status_code = 200),
+    k AS (SELECT site, '---' || chr(10) || chr(10) || '### ' || url || chr(10) || chr(10) || md || chr(10) AS section FROM m WHERE md <> ''),
+    l AS (SELECT site, UNNEST(string_split(section, chr(10))) AS line FROM k)
+    SELECT site, COUNT(*) + 8 + 7 AS lines, COUNT(CASE WHEN line LIKE '### http%' THEN 1 END) AS pages, CAST(SUM(length(line)) AS BIGINT) AS chars,
+           '# Site' AS first_line, 'Site: ' || site AS last_words FROM l GROUP BY site""",
+)
+def llms_txt_written(spark, sf):
+    """One text for each site, written and read back in the order of its part files."""
+    pages = view(spark, sf, "crawl_pages").select("url", "status_code", "content")
+    made = text.convert_html(pages, ["markdown"]).withColumn("site", F.regexp_extract("url", urls.ORIGIN, 1))
+    path = fresh_dir(spark, "llms-txt")
+    page_sinks.write_llms_txt(page_sinks.build_llms_txt(made, "Site", "All pages"), path)
+    lines = spark.read.text(path).select("site", "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    place = F.struct("file", "block", "at")
+    own = F.contains("value", F.lit("Text of the pages of ")) | F.col("value").isin("# Site", "> All pages", "## Pages", "## Summary") | F.startswith("value", F.lit("Pages in this file: "))
+    own = own | (F.col("value") == F.concat(F.lit("Site: "), "site"))
+    # the footer's rule is the last of its kind
+    sizes = lines.groupBy("site").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.rlike("value", F.lit("^### http"))).alias("pages"),
+        (F.sum(F.when(own, 0).otherwise(F.length("value"))) - 3).cast("bigint").alias("chars"),
+        F.min_by("value", place).alias("first_line"), F.max_by("value", F.when(F.col("value") != "", place)).alias("last_words"),
+    )
+    return sizes
+
+
 TEMPLATE = {
     "source": "html",
     "selectors": [

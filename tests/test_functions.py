@@ -121,7 +121,19 @@ def test_text(one):
 
 def test_clean_html(one):
     clean = one(H.clean_html(H.visible(F.col("h"))), h=PAGE)
-    assert not re.search(r"(?i)<script|<style|<!--|onload|style=", clean) and '<a href="/n">' in clean
+    assert not re.search(r"(?i)<script|<style|<!--|onload|style=", clean) and "<h2>Head <b>bold</b></h2>" in clean and "<li>first" in clean
+    assert "/n" not in clean and "second" not in clean  # navigation, and a block of nothing but links
+    assert clean.count("<li>") == PAGE.count("<li>") and clean.count("</ul>") == 1  # whose tags stay
+
+
+def test_clean_html_drops_what_stands_beside(one):
+    page = (
+        '<div class="top ad-slot"><p>Buy this</p></div><div class="advice">Good advice</div><div id="cookie">We bake</div><p>See <a href="/x">one</a> of many things here</p>'
+        '<p><a href="/y">Only links</a> | <a href="/z">and more links</a></p><p>A sentence without any link.</p><aside>Elsewhere</aside>'
+    )
+    clean = one(H.clean_html(F.col("h")), h=page)
+    assert "Good advice" in clean and "of many things" in clean and "without any link" in clean
+    assert not any(words in clean for words in ("We bake", "Only links", "more links", "Elsewhere"))
 
 
 def test_markdown(one):
