@@ -272,8 +272,6 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame | None:
             F.min("label").alias("_low"), F.max("label").alias("_high"),
         ).where("_low < _high").select("tok")
         entries = written(entries.join(mixed, "tok", "left_semi"), "entries")
-        if turn:  # n-grams whose sets are all connected stay so: the next turn looks at the others only
-            index = entries.select("gkey", "n", "own", "pos", "tok").distinct()
         per_label = entries.groupBy("tok", "label").agg(F.sum("size").alias("size"))
         left = per_label.groupBy("tok").agg((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))).alias("p"))
         pairs_left, rows = left.agg(F.coalesce(F.sum("p"), F.lit(0)), F.count(F.lit(1))).first()
@@ -295,6 +293,12 @@ def set_links(sets: DataFrame, percent: int) -> DataFrame | None:
         found = new if found is None else found.unionByName(new)
         if not new.isEmpty():
             labels = written(components(found), "labels")
+        # the next turn looks at n-grams of unconnected sets, but for those whose only two sets have just been compared
+        left = entries.select("gkey", "n", "own", "pos", "tok")
+        if not turn:
+            compared = banded.groupBy("tok").agg(F.count(F.lit(1)).alias("k"), F.min("band").alias("low"), F.max("band").alias("high"))
+            left = left.join(compared.where("k = 2 AND low = high").select("tok"), "tok", "left_anti")
+        index = written(left.distinct(), "prefix-index")
         turn += 1
     # pairs of components, by n-gram, as far as the sizes and places of their groups allow; then their groups and members
     after = F.coalesce(F.col("n") - F.col("own") - F.col("pos"), F.col("n"))
