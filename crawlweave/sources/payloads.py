@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from crawlweave import schemas as S
 from crawlweave.functions import http
 
+# fixed values: events at the start and end of a crawl
 LIFECYCLE = ("crawler_started", "crawler_stopped", "crawler_cancelled", "crawler_finished")
 
 
