@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,6 +20,9 @@ STATE_OUT = (
 )
 COUNTED, NEW_URL, END = 0, 1, 2  # what a row of a share stands for
 GUARD_OUT = "crawler_uuid string, stop_rank bigint, event_id bigint, recent_failures bigint"
+# an attempt that waits; crawl: place in its bundle, named: the id is not null
+ATTEMPT = np.dtype([("crawl", "<i4"), ("ts", "<i8"), ("named", "?"), ("id", "<i8"), ("bad", "i1")])
+HELD_ROWS = 65_536  # waiting attempts of a bundle in one state value, about 1.5 MB
 
 
 class CrawlStateProcessor(StatefulProcessor):
@@ -127,49 +131,141 @@ def merge_shares(updates: DataFrame, order: str = "batch_id") -> DataFrame:
 
 
 class FailureGuardProcessor(StatefulProcessor):
-    """Flags of the last n attempts of one crawl; speaks once, when the guard trips.
+    """Flags of the last n attempts of each crawl of a bundle; speaks once for a crawl, when its guard trips.
 
-    Attempts wait in slots of ``slot_us`` until the watermark has passed their slot, and are then judged in the order of
-    time, however they came. Only one slot of a crawl is held at a time.
+    Attempts wait until the watermark has passed their slot of ``slot_us``, and are then judged in the order of time,
+    however they came. While at most ``held_rows`` wait in a bundle, they lie packed in one value beside the tallies of
+    its crawls, so that a batch costs a bundle the same few state calls whatever its crawls and attempts. More are kept
+    by slot, and only one slot is held at a time.
     """
 
-    def __init__(self, n: int, threshold: float, slot_us: int):
+    def __init__(self, n: int, threshold: float, slot_us: int, held_rows: int = HELD_ROWS):
         self.n = n
         self.threshold = threshold
         self.slot_us = slot_us
+        self.held_rows = held_rows
+        # flags: those of the last attempts, newest first
+        self.tally = np.dtype([("attempts", "<i8"), ("stopped", "?"), ("flags", "i1", (max(n - 1, 1),))])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "slot bigint", "ts array<bigint>, id array<bigint>, bad array<int>")
-        self.recent = handle.getValueState("recent", "bad array<int>, attempts bigint, stopped boolean")
+        self.recent = handle.getValueState("recent", "crawls array<string>, tallies binary, held binary, by_slot boolean, timer_ms bigint")
+        self.waiting = handle.getMapState("waiting", "slot bigint", "held binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        if not (self.recent.get() or (None, 0, False))[2]:
-            for frame in rows:
-                for slot, part in frame.groupby(frame["ts_us"] // self.slot_us):
-                    held = self.waiting.getValue((int(slot),)) if self.waiting.containsKey((int(slot),)) else ([], [], [])
-                    columns = [[*old, *part[name].tolist()] for old, name in zip(held, ("ts_us", "event_id", "bad"))]
-                    self.waiting.updateValue((int(slot),), tuple(columns))
-                    self.handle.registerTimer((int(slot) + 1) * self.slot_us // 1000)
-        yield from ()
+        crawls, tallies, held, by_slot, timer_ms = self.load()
+        stops, held = self.judged(crawls, tallies, held, timerValues.getCurrentWatermarkInMs())
+        index = {crawl: i for i, crawl in enumerate(crawls)}
+        parts, waiting, first = [held], len(held), None
+        for frame in rows:
+            part = np.empty(len(frame), ATTEMPT)
+            part["crawl"] = [index.setdefault(crawl, len(index)) for crawl in frame["crawler_uuid"]]
+            part["ts"], part["named"], part["id"], part["bad"] = (frame[c].to_numpy() for c in ("ts_us", "named", "event_id", "bad"))
+            known = part["crawl"] < len(tallies)
+            part = part[~(known & tallies["stopped"][np.where(known, part["crawl"], 0)])] if len(tallies) else part
+            if not len(part):
+                continue
+            first = int(part["ts"].min()) if first is None else min(first, int(part["ts"].min()))
+            parts, waiting = [*parts, part], waiting + len(part)
+            if by_slot or waiting > self.held_rows:
+                self.lay_out(np.concatenate(parts))
+                by_slot, parts, waiting = True, [held[:0]], 0
+        tallies = np.concatenate([tallies, np.zeros(len(index) - len(tallies), self.tally)])
+        held = np.concatenate(parts)
+        if not by_slot:
+            due_ms = self.due_ms(int(held["ts"].min()) // self.slot_us) if len(held) else None
+        else:
+            firsts = [ms for ms in (timer_ms, None if first is None else self.due_ms(first // self.slot_us)) if ms is not None]
+            due_ms = min(firsts, default=None)
+        if timer_ms != due_ms:
+            if timer_ms is not None:
+                self.handle.deleteTimer(timer_ms)
+            if due_ms is not None:
+                self.handle.registerTimer(due_ms)
+        self.store(list(index), tallies, held, by_slot, due_ms)
+        yield from stops
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        flags, attempts, stopped = self.recent.get() or ([], 0, False)
-        due = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.slot_us
-        for slot in sorted(k[0] for k in self.waiting.keys() if k[0] < due):
-            if not stopped:
-                ordered = sorted(zip(*self.waiting.getValue((slot,))))
-                for _, event_id, bad in ordered:
-                    attempts += 1
-                    flags = [*flags[-(self.n - 1) :], bad] if self.n > 1 else [bad]
-                    if len(flags) == self.n and sum(flags) >= self.threshold * self.n:
-                        stopped = True
-                        yield pd.DataFrame(
-                            {"crawler_uuid": [key[0]], "stop_rank": [attempts], "event_id": [event_id], "recent_failures": [sum(flags)]}
-                        )
-                        break
-            self.waiting.removeKey((slot,))
-        self.recent.update(([int(f) for f in flags], attempts, stopped))
+        crawls, tallies, held, by_slot, timer_ms = self.load()
+        if timer_ms != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        watermark, next_ms = timerValues.getCurrentWatermarkInMs(), None
+        stops, held = self.judged(crawls, tallies, held, watermark)
+        if by_slot:
+            for slot in sorted(k[0] for k in self.waiting.keys()):
+                if self.due_ms(slot) > watermark:
+                    next_ms = self.due_ms(slot)
+                    break
+                more, _ = self.judged(crawls, tallies, np.frombuffer(self.waiting.getValue((slot,))[0], ATTEMPT), watermark)
+                stops += more
+                self.waiting.removeKey((slot,))
+            by_slot = next_ms is not None
+        elif len(held):
+            next_ms = self.due_ms(int(held["ts"].min()) // self.slot_us)
+        if next_ms is not None:
+            self.handle.registerTimer(next_ms)
+        self.store(crawls, tallies, held, by_slot, next_ms)
+        yield from stops
+
+    def judged(self, crawls: list[str | None], tallies: np.ndarray, held: np.ndarray, watermark_ms: int) -> tuple[list[pd.DataFrame], np.ndarray]:
+        """Count the attempts whose slot the watermark has passed; the crawls that stop at one, and what goes on waiting."""
+        due = self.due_ms(held["ts"] // self.slot_us) <= watermark_ms
+        now, rest = held[due], held[~due]
+        now = np.sort(now[~tallies["stopped"][now["crawl"]]], order=["crawl", "ts", "named", "id", "bad"])
+        if not len(now):
+            return [], rest
+        # the flags of each crawl, oldest first, ahead of its attempts
+        found = np.unique(now["crawl"])
+        before = np.minimum(tallies["attempts"][found], self.n - 1)
+        old = np.arange(max(self.n - 1, 1))[::-1] < before[:, None]
+        order = np.argsort(np.concatenate([np.repeat(found, before), now["crawl"]]), kind="stable")
+        crawl = np.concatenate([np.repeat(found, before), now["crawl"]])[order]
+        bad = np.concatenate([tallies["flags"][found][:, ::-1][old], now["bad"]])[order]
+        start = np.searchsorted(crawl, found)
+        end = np.append(start[1:], len(crawl))
+        place = np.arange(len(crawl)) - np.repeat(start, end - start)
+        sums = np.concatenate([[0], np.cumsum(bad, dtype="i8")])
+        at = np.arange(len(crawl)) + 1
+        recent = sums[at] - sums[at - np.minimum(place + 1, self.n)]
+        hits = np.flatnonzero((place + 1 >= self.n) & (recent >= self.threshold * self.n))
+        _, one = np.unique(crawl[hits], return_index=True)
+        hits = hits[one]
+        which = np.searchsorted(found, crawl[hits])
+        ranks = tallies["attempts"][crawl[hits]] + place[hits] - before[which] + 1
+        for back in range(self.n - 1):
+            has = end - 1 - back >= start
+            tallies["flags"][found[has], back] = bad[(end - 1 - back)[has]]
+        tallies["attempts"][found] += end - start - before
+        if not len(hits):
+            return [], rest
+        tallies["stopped"][crawl[hits]] = True
+        tripped = now[order[hits] - before.sum()]
+        stops = pd.DataFrame(
+            {
+                "crawler_uuid": [crawls[c] for c in crawl[hits]], "stop_rank": ranks,
+                "event_id": pd.array(tripped["id"], dtype="Int64"), "recent_failures": recent[hits],
+            }
+        )
+        stops.loc[~tripped["named"], "event_id"] = pd.NA
+        return [stops], rest[~tallies["stopped"][rest["crawl"]]]
+
+    def lay_out(self, held: np.ndarray) -> None:
+        """Add attempts to the slots they belong to."""
+        held = held[np.argsort(held["ts"], kind="stable")]
+        for part in np.split(held, np.flatnonzero(np.diff(held["ts"] // self.slot_us)) + 1):
+            slot = (int(part["ts"][0]) // self.slot_us,)
+            before = bytes(self.waiting.getValue(slot)[0]) if self.waiting.containsKey(slot) else b""
+            self.waiting.updateValue(slot, (before + part.tobytes(),))
+
+    def load(self) -> tuple[list[str | None], np.ndarray, np.ndarray, bool, int | None]:
+        crawls, tallies, held, by_slot, timer_ms = self.recent.get() or ([], b"", b"", False, None)
+        return list(crawls), np.frombuffer(tallies, self.tally).copy(), np.frombuffer(held, ATTEMPT), by_slot, timer_ms
+
+    def store(self, crawls: list[str | None], tallies: np.ndarray, held: np.ndarray, by_slot: bool, timer_ms: int | None) -> None:
+        self.recent.update((crawls, tallies.tobytes(), held.tobytes(), by_slot, timer_ms))
+
+    def due_ms(self, slot: Any) -> Any:
+        return (slot + 1) * self.slot_us // 1000
 
     def close(self) -> None:
         pass
@@ -182,17 +278,24 @@ def failure_guard_stream(
     codes: Sequence[str] = MONITORED_CODES,
     delay: str = "10 minutes",
     slot_seconds: int = 60,
+    bundles: int = 4_096,
 ) -> DataFrame:
     """One row per crawl at the attempt that trips the guard.
 
     Attempts may come in any order within ``delay``; each is judged once the
-    watermark has passed its slot of ``slot_seconds``, which bounds what is held
-    of a crawl. A feed that ends is closed by a row of a later time. Batch twin:
+    watermark has passed its slot of ``slot_seconds``. Crawls are dealt to
+    ``bundles`` by hash, whose state is read and written once for a batch; what
+    is held of a bundle is its waiting attempts if they are few, else one slot.
+    A feed that ends is closed by a row of a later time. Batch twin:
     ``operators.guards.failure_rate`` with ``first_stops``.
     """
     ts = F.col("ts").cast("timestamp")
     bad = F.coalesce(F.col("error_code").isin(*codes), F.lit(False)).cast("int")
-    slim = attempts.withColumn("ts", ts).withWatermark("ts", delay).select("crawler_uuid", "event_id", "ts", F.unix_micros("ts").alias("ts_us"), bad.alias("bad"))
-    return slim.groupBy("crawler_uuid").transformWithStateInPandas(
+    timed = attempts.withColumn("ts", ts).filter(F.col("ts").isNotNull()).withWatermark("ts", delay)
+    slim = timed.select(
+        F.pmod(F.xxhash64("crawler_uuid"), F.lit(bundles)).alias("bundle"), F.col("crawler_uuid").cast("string").alias("crawler_uuid"), "ts",
+        F.unix_micros("ts").alias("ts_us"), F.col("event_id").isNotNull().alias("named"), F.coalesce("event_id", F.lit(0)).cast("bigint").alias("event_id"), bad.alias("bad"),
+    )
+    return slim.groupBy("bundle").transformWithStateInPandas(
         FailureGuardProcessor(n, threshold, slot_seconds * 1_000_000), outputStructType=GUARD_OUT, outputMode="Append", timeMode="EventTime"
     )

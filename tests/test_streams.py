@@ -1,8 +1,12 @@
 """Streaming details beyond the registered queries."""
 
+import collections
 import datetime as dt
 import random
+import types
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from crawlweave.functions import errors as E
@@ -66,6 +70,79 @@ def test_attempts_out_of_order_within_the_watermark(spark, tmp_path):
     assert found == sorted(tuple(r) for r in want.select(names).collect()) and len(found) >= 3
 
 
+class Store:
+    """State of one key in memory; counts the calls."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, collections.defaultdict(dict), set()
+
+    def state(self, name):
+        values = self.values[name]
+
+        def counted(do):
+            def call(*args):
+                self.calls += 1
+                return do(*args)
+
+            return call
+
+        ways = {
+            "get": lambda: values.get(None), "update": lambda v: values.__setitem__(None, v), "keys": lambda: iter(list(values)), "clear": values.clear,
+            "containsKey": values.__contains__, "getValue": values.__getitem__, "updateValue": values.__setitem__, "removeKey": lambda k: values.pop(k),
+        }
+        return types.SimpleNamespace(**{k: counted(v) for k, v in ways.items()})
+
+    def getValueState(self, name, schema):
+        return self.state(name)
+
+    def getMapState(self, name, key, value):
+        return self.state(name)
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.calls += 1
+        self.timers.discard(ms)
+
+    def run(self, processor, key, frames, watermark):
+        now = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        out = list(processor.handleInputRows(key, iter(frames), now)) if frames else []
+        for ms in sorted(t for t in self.timers if t <= watermark):
+            out += processor.handleExpiredTimer(key, now, types.SimpleNamespace(getExpiryTimeInMs=lambda: ms))
+            self.timers.discard(ms)
+        return [tuple(None if pd.isna(v) else v for v in row) for frame in out for row in frame.itertuples(index=False)]
+
+
+@pytest.mark.parametrize("held_rows", [100_000, 50, 0])
+def test_crawls_of_a_bundle_share_state_calls(held_rows):
+    """Every batch moves the watermark to the middle of its minutes; each attempt is in a slot of its own for its crawl."""
+    rng = random.Random(5)
+    rows = [(f"c{rng.randrange(30)}" if rng.random() < 0.95 else None, rng.randrange(3000) * 60_000_000, i if rng.random() < 0.9 else None, int(rng.random() < 0.4)) for i in range(3000)]
+    want = {}
+    for crawl in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == crawl), key=lambda r: (r[1], r[2] is not None, r[2] or 0, r[3]))
+        for i in range(9, len(mine)):
+            if (bad := sum(r[3] for r in mine[i - 9 : i + 1])) >= 7:
+                want[crawl] = (crawl, i + 1, mine[i][2], bad)
+                break
+    assert len(want) >= 15
+    store, processor, got = Store(), ST.FailureGuardProcessor(10, 0.7, 60_000_000, held_rows), []
+    processor.init(store)
+    names, watermark = ["crawler_uuid", "ts_us", "event_id", "bad"], 0
+    for low in range(0, 3000, 1000):
+        batch = [r for r in rows if low <= r[1] // 60_000_000 < low + 1000]
+        rng.shuffle(batch)
+        frame = pd.DataFrame(batch, columns=names).assign(named=lambda f: f["event_id"].notna(), event_id=lambda f: f["event_id"].fillna(0).astype("int64"))
+        got += store.run(processor, (0,), [frame[:400], frame[400:]], watermark)
+        watermark = (low + 500) * 60_000
+        got += store.run(processor, (0,), [], watermark)
+    got += store.run(processor, (0,), [], 10**12)
+    assert sorted(got, key=str) == sorted(want.values(), key=str)
+    assert not store.timers and (held_rows < 100_000 or store.calls < 40)
+
+
 def test_period_names():
     assert EV.period_window("last5m") == "300 seconds" and EV.period_window("last7d") == "604800 seconds"
 
