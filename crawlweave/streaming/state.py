@@ -13,7 +13,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from crawlweave.functions.errors import MONITORED_CODES
 
 TERMINAL = ("crawler_finished", "crawler_stopped", "crawler_cancelled")
-COUNTERS = "visited bigint, failed bigint, skipped bigint, extracted bigint, credits bigint, first_us bigint, last_us bigint, reason_us bigint, stop_reason string, ended_us bigint, closed boolean"
+COUNTS = ("visited", "failed", "skipped", "extracted", "credits")
+# counters of one share of a crawl, times as -1 where there is none; close_ms: when the share is closed after the end
+COUNTERS = np.dtype([*((name, "<i8") for name in (*COUNTS, "first_us", "last_us", "reason_us", "close_ms")), ("closed", "?")])
+NONE_YET = np.array([(0, 0, 0, 0, 0, -1, -1, -1, -1, False)], COUNTERS)
 STATE_OUT = (
     "crawler_uuid string, salt int, urls_visited bigint, urls_extracted bigint, urls_failed bigint, urls_skipped bigint, "
     "api_credit_used bigint, start_us bigint, stop_us bigint, reason_us bigint, stop_reason string, is_finished boolean"
@@ -26,10 +29,10 @@ HELD_ROWS = 65_536  # waiting attempts of a bundle in one state value, about 1.5
 
 
 class CrawlStateProcessor(StatefulProcessor):
-    """Counters of one share of a crawl; its URLs come without repetition.
+    """Counters of one share of each crawl of a bundle; its URLs come without repetition.
 
     Some time after the crawl's terminal event the share is closed: the final counters and the end mark stay, and rows
-    that come later are ignored.
+    that come later are ignored. The counters of a bundle are one value, read and written once for a batch.
     """
 
     def __init__(self, keep_ms: int):
@@ -37,55 +40,81 @@ class CrawlStateProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState("totals", COUNTERS)
+        self.totals = handle.getValueState("totals", "crawls array<string>, counters binary, reasons array<string>, timer_ms bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        empty = (0, 0, 0, 0, 0, None, None, None, None, None, False)
-        visited, failed, skipped, extracted, credits, first, last, reason_us, reason, ended_us, closed = self.totals.get() or empty
-        if closed:
-            return
-        for everything in rows:
-            kind = everything["kind"]
-            extracted += int((kind == NEW_URL).sum())
-            ends = everything.loc[kind == END, "ts_us"]
-            if len(ends):
-                ended_us = max(int(ends.max()), ended_us or 0)
-            batch = everything[kind == COUNTED]
-            if batch.empty:
-                continue
-            events = batch["event"]
-            visited += int((events == "crawler_url_visited").sum())
-            failed += int((events == "crawler_url_failed").sum())
-            skipped += int((events == "crawler_url_skipped").sum())
-            credits += int(batch["api_credit"].sum())
-            low, high = int(batch["ts_us"].min()), int(batch["ts_us"].max())
-            first = low if first is None else min(first, low)
-            last = high if last is None else max(last, high)
-            reasons = batch[batch["stop_reason"].notna()]
-            if len(reasons):
-                top = reasons.loc[reasons["ts_us"].idxmax()]
-                if reason_us is None or int(top["ts_us"]) >= reason_us:
-                    reason_us, reason = int(top["ts_us"]), str(top["stop_reason"])
-        self.totals.update((visited, failed, skipped, extracted, credits, first, last, reason_us, reason, ended_us, False))
-        if ended_us is not None:
-            self.handle.registerTimer(ended_us // 1000 + self.keep_ms)
-        yield pd.DataFrame(
-            {
-                "crawler_uuid": [key[0]], "salt": [key[1]], "urls_visited": [visited], "urls_extracted": [extracted],
-                "urls_failed": [failed], "urls_skipped": [skipped], "api_credit_used": [credits], "start_us": [first],
-                "stop_us": [last], "reason_us": [reason_us], "stop_reason": [reason], "is_finished": [ended_us is not None],
-            }
-        )
+        crawls, counters, reasons, timer_ms = self.load()
+        index = {crawl: i for i, crawl in enumerate(crawls)}
+        touched, ends = set(), {}
+        for frame in rows:
+            crawl = np.array([index.setdefault(c, len(index)) for c in frame["crawler_uuid"]])
+            grown = len(index) - len(counters)
+            counters, reasons = np.concatenate([counters, np.repeat(NONE_YET, grown)]), reasons + [None] * grown
+            opened = ~counters["closed"][crawl]
+            crawl, frame = crawl[opened], frame[opened]
+            touched.update(crawl.tolist())
+            kind, timed = frame["kind"].to_numpy(), frame["ts_us"].notna().to_numpy()
+            np.add.at(counters["extracted"], crawl[kind == NEW_URL], 1)
+            end = (kind == END) & timed
+            for c, us in zip(crawl[end].tolist(), frame["ts_us"][end]):
+                ends[c] = max(int(us), ends.get(c, 0))
+            batch, crawl, timed = frame[kind == COUNTED], crawl[kind == COUNTED], timed[kind == COUNTED]
+            for name in ("visited", "failed", "skipped"):
+                np.add.at(counters[name], crawl[(batch["event"] == f"crawler_url_{name}").to_numpy()], 1)
+            np.add.at(counters["credits"], crawl, batch["api_credit"].fillna(0).to_numpy("i8"))
+            batch, crawl = batch[timed].assign(crawl=crawl[timed]), crawl[timed]
+            ts = batch["ts_us"].to_numpy("i8")
+            np.maximum.at(counters["last_us"], crawl, ts)
+            counters["first_us"][crawl[counters["first_us"][crawl] == -1]] = np.iinfo("i8").max
+            np.minimum.at(counters["first_us"], crawl, ts)
+            named = batch[batch["stop_reason"].notna()]
+            for at in named.groupby("crawl")["ts_us"].idxmax():
+                c, us = int(named.at[at, "crawl"]), int(named.at[at, "ts_us"])
+                if us >= counters["reason_us"][c]:
+                    counters["reason_us"][c], reasons[c] = us, str(named.at[at, "stop_reason"])
+        for c, us in ends.items():
+            if counters["close_ms"][c] == -1:
+                counters["close_ms"][c] = us // 1000 + self.keep_ms
+        self.store(list(index), counters, reasons, timer_ms)
+        if touched:
+            at = np.array(sorted(touched))
+            now, names = counters[at], list(index)
+            time = lambda name: pd.Series(now[name], dtype="Int64").mask(now[name] == -1)
+            yield pd.DataFrame(
+                {
+                    "crawler_uuid": pd.Series([names[i] for i in at], dtype="object"), "salt": key[1], "urls_visited": now["visited"],
+                    "urls_extracted": now["extracted"], "urls_failed": now["failed"], "urls_skipped": now["skipped"],
+                    "api_credit_used": now["credits"], "start_us": time("first_us"), "stop_us": time("last_us"), "reason_us": time("reason_us"),
+                    "stop_reason": pd.Series([reasons[i] for i in at], dtype="object"), "is_finished": now["close_ms"] != -1,
+                }
+            )
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        self.totals.update((*self.totals.get()[:-1], True))
+        crawls, counters, reasons, _ = self.load()
+        counters["closed"] |= (counters["close_ms"] != -1) & (counters["close_ms"] <= timerValues.getCurrentWatermarkInMs())
+        self.store(crawls, counters, reasons, None)
         yield from ()
 
+    def load(self) -> tuple[list[str | None], np.ndarray, list[str | None], int | None]:
+        crawls, counters, reasons, timer_ms = self.totals.get() or ([], b"", [], None)
+        return list(crawls), np.frombuffer(counters, COUNTERS).copy(), list(reasons), timer_ms
+
+    def store(self, crawls: list[str | None], counters: np.ndarray, reasons: list[str | None], timer_ms: int | None) -> None:
+        """Keep the counters; the one timer of the bundle is that of the share to be closed next."""
+        ahead = counters["close_ms"][(counters["close_ms"] != -1) & ~counters["closed"]]
+        next_ms = int(ahead.min()) if len(ahead) else None
+        if next_ms != timer_ms:
+            if timer_ms is not None:
+                self.handle.deleteTimer(timer_ms)
+            if next_ms is not None:
+                self.handle.registerTimer(next_ms)
+        self.totals.update((crawls, counters.tobytes(), reasons, next_ms))
+
     def close(self) -> None:
         pass
 
 
-def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "1 day", shares: int = 16) -> DataFrame:
+def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str = "1 day", shares: int = 16, bundles: int = 1_024) -> DataFrame:
     """Running URL counters per crawl and share of its rows (append mode, newest row of a share last).
 
     ``events``: crawler_uuid, event, url, api_credit, ts, stop_reason. Which URLs
@@ -93,7 +122,8 @@ def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str =
     row on disk for each, which is forgotten ``delay`` after the URL came first:
     ``delay`` is the longest time over which a URL is recognised, and how late
     rows may be. The rows of a crawl are dealt to ``shares``, so that one hot
-    crawl is worked on by as many tasks; ``merge_shares`` adds the shares up. A
+    crawl is worked on by as many tasks; ``merge_shares`` adds the shares up.
+    Crawls are dealt to ``bundles`` by hash, whose counters are one value. A
     terminal event reaches every share, which is closed once the watermark is
     ``keep_ms`` past it. Batch twin: ``operators.stats.crawl_state``.
     """
@@ -107,7 +137,8 @@ def crawl_state_stream(events: DataFrame, keep_ms: int = 3_600_000, delay: str =
     with_url = timed.filter((F.col("event") != "crawler_url_failed") & F.col("url").isNotNull())
     new = with_url.dropDuplicatesWithinWatermark(["crawler_uuid", "url"]).select(*fields, F.lit(NEW_URL).alias("kind"), own.alias("salt"))
     rows = counted.unionByName(ended).unionByName(new).drop("url")
-    return rows.groupBy("crawler_uuid", "salt").transformWithStateInPandas(
+    bundle = F.pmod(F.xxhash64("crawler_uuid"), F.lit(bundles)).alias("bundle")
+    return rows.select(bundle, "*").groupBy("bundle", "salt").transformWithStateInPandas(
         CrawlStateProcessor(keep_ms), outputStructType=STATE_OUT, outputMode="Append", timeMode="EventTime"
     )
 

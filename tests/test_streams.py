@@ -115,6 +115,33 @@ class Store:
         return [tuple(None if pd.isna(v) else v for v in row) for frame in out for row in frame.itertuples(index=False)]
 
 
+def test_counters_of_a_bundle_are_one_value():
+    """As one crawl at a time would be counted; state calls do not grow with the crawls."""
+    rng = random.Random(7)
+    columns = ["crawler_uuid", "event", "api_credit", "ts_us", "stop_reason", "kind"]
+    events = ["crawler_url_visited", "crawler_url_failed", "crawler_url_skipped", "crawler_url_discovered"]
+    batches = []
+    for low in (0, 5_000):
+        rows = [(f"c{rng.randrange(200)}", rng.choice(events), rng.randrange(9), t * 1_000_000, rng.choice([None, f"r{t}"]), rng.choice([ST.COUNTED, ST.NEW_URL])) for t in rng.sample(range(low, low + 5_000), 3_000)]
+        batches.append(pd.DataFrame([*rows, ("c7", "crawler_finished", 0, (low + 2_000) * 1_000_000, None, ST.END)], columns=columns))
+    store, processor = Store(), ST.CrawlStateProcessor(keep_ms=1_000)
+    processor.init(store)
+    first = store.run(processor, (3, 1), [batches[0][:1000], batches[0][1000:]], 1_000_000)
+    assert len(first) == 200 and store.timers == {2_001_000}
+    last = {r[0]: r for r in first} | {r[0]: r for r in store.run(processor, (3, 1), [batches[1]], 3_000_000)}
+    assert not store.timers and store.calls < 12
+    rows = pd.concat(batches, ignore_index=True)
+    for crawl, mine in rows.groupby("crawler_uuid"):
+        counted = mine[mine["kind"] == ST.COUNTED]
+        named = counted[counted["stop_reason"].notna()].sort_values("ts_us")
+        want = [crawl, 1, *((counted["event"] == e).sum() for e in events[:1]), (mine["kind"] == ST.NEW_URL).sum(), *((counted["event"] == e).sum() for e in events[1:3])]
+        want += [counted["api_credit"].sum(), counted["ts_us"].min(), counted["ts_us"].max(), named["ts_us"].iloc[-1], named["stop_reason"].iloc[-1], crawl == "c7"]
+        assert list(last[crawl]) == want
+    # c7 is closed, the others are not
+    again = store.run(processor, (3, 1), [batches[1][batches[1]["crawler_uuid"].isin(["c7", "c8"])]], 3_000_000)
+    assert [r[0] for r in again] == ["c8"]
+
+
 @pytest.mark.parametrize("held_rows", [100_000, 50, 0])
 def test_crawls_of_a_bundle_share_state_calls(held_rows):
     """Every batch moves the watermark to the middle of its minutes; each attempt is in a slot of its own for its crawl."""
