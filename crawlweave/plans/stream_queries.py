@@ -126,6 +126,17 @@ def streamed_window_metrics(spark, sf):
 def landing_folder(spark, sf) -> str:
     """Deliveries of the event envelopes: every fourth is sent twice, some are pings, some have a wrong signature."""
     log = view(spark, sf, "crawl_log").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = fresh_dir(spark, "landing")
+    # rows are dealt out as they are in the log; envelopes, many times as wide, are made where they are written
+    in_time_order(log, lambda part: part.select(*LANDED).transform(delivery_lines).write.mode("append").text(path))
+    return path
+
+
+#: columns of the log that an envelope is made of
+LANDED = ("event_id", "k", "ts", "event", "crawler_uuid", "project", "env", "url", "country", "error_code", "stop_reason")
+
+
+def delivery_lines(log: DataFrame) -> DataFrame:
     bodies = log.select("event_id", "k", "ts", "event", envelope().alias("body"))
     inner, outer = signing.pads(SECRET)
     digest = signing.hmac_hex(F.col("body").cast("binary"), F.lit(inner), F.lit(outer))
@@ -142,9 +153,7 @@ def landing_folder(spark, sf) -> str:
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("received_at"),
         )
     )
-    path = fresh_dir(spark, "landing")
-    in_time_order(copies, lambda part: part.select(line.alias("value")).write.mode("append").text(path))
-    return path
+    return copies.select(line.alias("value"))
 
 
 def envelope() -> Column:

@@ -9,8 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from crawlweave.functions import errors as E
+from crawlweave.functions import errors as E, signing
 from crawlweave.operators import guards
+from crawlweave.plans import stream_queries as SQ
 from crawlweave.plans.stream_queries import drain
 from crawlweave.streaming import events as EV, state as ST
 
@@ -182,3 +183,24 @@ def test_deliveries_route_by_header(spark):
     rows = EV.accept(EV.deliveries(lines), event_names=["crawler_started"]).select("resource_type", "reject_reason").collect()
     assert [tuple(r) for r in rows] == [("crawler", "missing event")]
     assert EV.accept(EV.deliveries(lines), resource_type="scrape").filter(F.lit(True)).count() == 0
+
+
+def test_envelopes_are_made_after_the_log_is_dealt_out(spark, tmp_path, monkeypatch):
+    events = [(i, T0 + dt.timedelta(minutes=i), i % 5, ["view", "click", "error"][i % 3], 1.0, f'{{"k": {i % 30}}}') for i in range(60)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(0, "https://a.example/us", "")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    dealt, in_time_order = [], SQ.in_time_order
+    monkeypatch.setattr(SQ, "in_time_order", lambda rows, write: (dealt.append(rows.columns), in_time_order(rows, write)))
+    lines = spark.read.text(SQ.landing_folder(spark, str(tmp_path)))
+    assert lines.count() == 60 + 15 and EV.deliveries(lines).filter("raw IS NOT NULL").select("raw").distinct().count() == 60
+    assert "event_id" in dealt[0] and not {"body", "signature"} & set(dealt[0])
+
+
+def test_no_digest_without_a_signature(spark):
+    body = F.when(F.col("signature").isNull(), F.raise_error("digest of an unsigned body")).otherwise(F.lit("x"))
+    inner, outer = signing.pads("s")
+    right = signing.hmac_hex(F.lit(b"x"), F.lit(inner), F.lit(outer))
+    rows = spark.createDataFrame([(1, None), (2, "wrong"), (3, "right")], "id int, signature string")
+    signed = rows.withColumn("signature", F.when(F.col("signature") == "right", right).otherwise(F.col("signature"))).withColumn("raw", body)
+    found = signing.verify_signature(signed, ["s"]).select("id", "verified").collect()
+    assert [tuple(r) for r in found] == [(1, False), (2, False), (3, True)]
