@@ -82,15 +82,92 @@ class Gru:
             d_h += here @ back
         d_pre[:, :, : 2 * n] = d_u[:, :, : 2 * n]
         d_state = states[:-1].reshape(-1, n).T @ d_u.reshape(-1, 3 * n)
-        # rows of one symbol are added up where they stand together
+        return self._by_symbol(symbols, d_pre.reshape(-1, 3 * n)), d_state
+
+    def _by_symbol(self, symbols: np.ndarray, d_pre: np.ndarray) -> np.ndarray:
+        """Gradient of ``inputs``: rows of one symbol are added up where they stand together."""
         flat = symbols.T.ravel()
+        if len(self.inputs) <= 1 << 16:
+            flat = flat.astype(np.uint16)  # sorted by radix
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         begin = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
         d_inputs = np.zeros_like(self.inputs)
         if len(begin):
-            d_inputs[flat[begin]] = np.add.reduceat(d_pre.reshape(-1, 3 * n)[order], begin, axis=0)
-        return d_inputs, d_state
+            d_inputs[flat[begin]] = np.add.reduceat(d_pre[order], begin, axis=0)
+        return d_inputs
+
+
+class ColumnGru(Gru):
+    """The same layer with texts as columns: states are (H, B), so each gate of a step is one block of memory."""
+
+    def column_step(self, symbols: np.ndarray, h: np.ndarray) -> np.ndarray:
+        n = self.hidden
+        x, u = self.inputs[symbols].T.copy(), self.state.T @ h
+        gates, new = x[: 2 * n], x[2 * n :]
+        gates += u[: 2 * n]
+        self._sigmoid(gates)
+        new += np.multiply(gates[n:], u[2 * n :], out=u[2 * n :])
+        np.tanh(new, out=new)
+        out = np.subtract(h, new, out=u[:n])
+        out *= gates[:n]
+        out += new
+        return out
+
+    @staticmethod
+    def _sigmoid(x: np.ndarray) -> None:
+        np.negative(x, out=x)
+        np.exp(x, out=x)
+        x += 1
+        np.reciprocal(x, out=x)
+
+    def run(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """States (T, H, B) after each column of ``symbols`` (B, T), and what the gradient needs."""
+        n = self.hidden
+        x = np.ascontiguousarray(self.inputs[symbols.T].transpose(0, 2, 1))
+        steps, _, rows = x.shape
+        states = np.empty((steps + 1, n, rows), F32)
+        u = np.empty((steps, 3 * n, rows), F32)
+        gates, new = x[:, : 2 * n], x[:, 2 * n :]
+        states[0] = h
+        ahead = np.ascontiguousarray(self.state.T)
+        part = np.empty((n, rows), F32)
+        for t in range(steps):
+            add = np.matmul(ahead, states[t], out=u[t])
+            gate, now = gates[t], new[t]
+            gate += add[: 2 * n]
+            self._sigmoid(gate)
+            now += np.multiply(gate[n:], add[2 * n :], out=part)
+            np.tanh(now, out=now)
+            out = np.subtract(states[t], now, out=states[t + 1])
+            out *= gate[:n]
+            out += now
+        return states[1:], (states, gates, new, u[:, 2 * n :])
+
+    def gradient(self, symbols: np.ndarray, kept: tuple[np.ndarray, ...], d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.hidden
+        states, gates, new, un = kept
+        steps, _, rows = new.shape
+        z, r = gates[:, :n], gates[:, n:]
+        slope_new = (1 - z) * (1 - new * new)
+        slope_z = (states[:-1] - new) * z * (1 - z)
+        slope_r = slope_new * un * r * (1 - r)
+        d_new = np.empty((steps, n, rows), F32)
+        d_u = np.empty((steps, 3 * n, rows), F32)
+        d_h, part = np.zeros((n, rows), F32), np.empty((n, rows), F32)
+        for t in range(steps - 1, -1, -1):
+            d_h += d_states[t]
+            here = d_u[t]
+            np.multiply(d_h, slope_z[t], out=here[:n])
+            np.multiply(d_h, slope_r[t], out=here[n : 2 * n])
+            np.multiply(d_h, slope_new[t], out=d_new[t])
+            np.multiply(d_new[t], r[t], out=here[2 * n :])
+            d_h *= z[t]
+            d_h += np.matmul(self.state, here, out=part)
+        d_state = np.matmul(states[:-1], d_u.transpose(0, 2, 1)).sum(0)
+        d_u[:, 2 * n :] = d_new
+        d_pre = np.ascontiguousarray(d_u.transpose(0, 2, 1)).reshape(-1, 3 * n)
+        return self._by_symbol(symbols, d_pre), d_state
 
 
 class Adam:

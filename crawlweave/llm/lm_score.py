@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from crawlweave.llm.gru import F32, Adam, Gru, softmax
+from crawlweave.llm.gru import F32, Adam, ColumnGru
 from crawlweave.llm.language_id import held_out
 from crawlweave.llm.shared import batches, hash_share, shuffle_partitions, texts_of, word_hashes, word_spans, written
 
@@ -32,6 +32,8 @@ OCTAVES = 48
 SMOOTH = 0.1
 TEXT_BYTES = 12 << 20
 LEARN_TOKENS = 1 << 19
+SCORE_TOKENS = 1 << 21  # long texts leave few columns at their end, so many texts go side by side
+PLACES = 1 << 14  # tokens whose classes are worked out at once
 FAN = 32
 SYMBOL = np.dtype("<u4")
 
@@ -73,7 +75,7 @@ class ClassFactored:
         self.tops = -(-len(top) // CLASS_WORDS)
         self.words = len(top)
         self.classes = self.tops + len(mass)
-        self.gru = Gru(self.words + len(mass) + 1, hidden, rng)  # the last symbol stands before the first word
+        self.gru = ColumnGru(self.words + len(mass) + 1, hidden, rng)  # the last symbol stands before the first word
         self.start = self.words + len(mass)
         self.to_class = rng.normal(0, 0.1, (hidden, self.classes)).astype(F32)
         self.class_bias = np.zeros(self.classes, F32)
@@ -121,7 +123,7 @@ class ClassFactored:
                 for i, (symbol, group) in enumerate(part):
                     x[i, 1 : len(symbol) + 1] = symbol
                     y[i, : len(group)] = group
-                h = np.zeros((len(part), self.gru.hidden), F32)
+                h = np.zeros((self.gru.hidden, len(part)), F32)
                 optimizer.rate = rate * (1 if turn < rounds - 1 else 0.3)
                 for t in range(0, longest, width):
                     h = self._learn(x[:, t : t + width], x[:, t + 1 : t + width + 1], y[:, t : t + width], h, optimizer)
@@ -140,7 +142,7 @@ class ClassFactored:
         batch = min(batch, max(least, len(order) // 4))
         for k in range(0, len(order), batch):
             begin, lengths = at[order[k : k + batch]], np.diff(at)[order[k : k + batch]]
-            h = np.zeros((len(begin), self.gru.hidden), F32)
+            h = np.zeros((self.gru.hidden, len(begin)), F32)
             t = 0
             while t < lengths[0]:
                 n = int(np.searchsorted(-lengths, -t, "left"))  # texts with a token at place t
@@ -149,79 +151,102 @@ class ClassFactored:
                 target = np.where(live, symbol[np.minimum(begin[:n, None] + place, len(symbol) - 1)], self.start)
                 first = symbol[begin[:n] + t - 1] if t else np.full(n, self.start)
                 x = np.column_stack([first, target[:, :-1]])
-                h = self._learn(x, target, np.where(live, self.groups(target), -1), h[:n], optimizer)
+                h = self._learn(x, target, np.where(live, self.groups(target), -1), h[:, :n], optimizer)
                 t += len(place)
 
     def _learn(self, x: np.ndarray, target: np.ndarray, group: np.ndarray, h: np.ndarray, optimizer: Adam) -> np.ndarray:
         states, kept = self.gru.run(x, h)
         target, group = target.T.ravel(), group.T.ravel()
-        flat = states.reshape(-1, states.shape[2])
+        steps, hidden, rows = states.shape
         # places in the order of their class, those without a token first
         order = np.argsort(group.astype(np.int16), kind="stable")
         cuts = np.searchsorted(group[order], np.arange(self.tops + 1))
         live = order[cuts[0] if self.tops else np.searchsorted(group[order], 0) :]
         scale = F32(1 / max(1, len(live)))
-        held = flat[live]
-        p = softmax(held @ self.to_class + self.class_bias)
-        p[np.arange(len(live)), group[live]] -= 1
-        p *= scale
-        d_held = p @ self.to_class.T
-        d_class, d_class_bias = held.T @ p, p.sum(0)
+        held = states.transpose(0, 2, 1).reshape(-1, hidden)[live].T.copy()
+        p = self._softmax(self.to_class.T @ held + self.class_bias[:, None], scale)
+        p[group[live], np.arange(len(live))] -= scale
+        d_held = self.to_class @ p
+        d_class, d_class_bias = held @ p.T, p.sum(1)
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
         words = target[live] % CLASS_WORDS
         cuts = cuts - cuts[0]
         for k in range(self.tops):
             a, b = cuts[k], cuts[k + 1]
             if a < b:
-                q = softmax(held[a:b] @ self.to_word[k] + self.word_bias[k])
-                q[np.arange(b - a), words[a:b]] -= 1
-                q *= scale
-                d_word[k], d_word_bias[k] = held[a:b].T @ q, q.sum(0)
-                d_held[a:b] += q @ self.to_word[k].T
-        d_flat = np.zeros_like(flat)
-        d_flat[live] = d_held
-        d_inputs, d_state = self.gru.gradient(x, kept, d_flat.reshape(states.shape))
+                own = np.ascontiguousarray(held[:, a:b])
+                q = self._softmax(self.to_word[k].T @ own + self.word_bias[k][:, None], scale)
+                q[words[a:b], np.arange(b - a)] -= scale
+                d_word[k], d_word_bias[k] = own @ q.T, q.sum(1)
+                d_held[:, a:b] += self.to_word[k] @ q
+        d_flat = np.zeros((steps * rows, hidden), F32)
+        d_flat[live] = d_held.T
+        d_states = np.ascontiguousarray(d_flat.reshape(steps, rows, hidden).transpose(0, 2, 1))
+        d_inputs, d_state = self.gru.gradient(x, kept, d_states)
         optimizer.update([d_inputs, d_state, d_class, d_class_bias, d_word, d_word_bias])
         return states[-1]
 
-    def score(self, symbol: np.ndarray, group: np.ndarray, share: np.ndarray, at: np.ndarray, width: int = 32) -> np.ndarray:
-        """log10 probability of each text; ``at`` are the n+1 offsets of the texts in the token arrays."""
+    @staticmethod
+    def _softmax(x: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        """Shares of each column of ``x``, which is overwritten, times ``scale``."""
+        x -= x.max(axis=0)
+        np.exp(x, out=x)
+        x *= scale / x.sum(axis=0)
+        return x
+
+    def score(self, symbol: np.ndarray, group: np.ndarray, share: np.ndarray, at: np.ndarray, width: int = 256) -> np.ndarray:
+        """log10 probability of each text; ``at`` are the n+1 offsets of the texts in the token arrays.
+
+        Classes are worked out for ``width`` steps at once, or as many as hold PLACES tokens.
+        """
         lengths = np.diff(at)
         order = np.argsort(-lengths, kind="stable")
         sorted_lengths, begin = lengths[order], at[:-1][order]
         total = np.add.reduceat(np.append(share, 0.0), at[:-1]) if len(lengths) else np.zeros(0)
-        h = np.zeros((len(order), self.gru.hidden), F32)
+        longest = int(sorted_lengths[0]) if len(order) else 0
+        live = np.searchsorted(-sorted_lengths, -np.arange(longest), "left")  # texts with a token at each place
+        h = np.zeros((self.gru.hidden, len(order)), F32)
         last = np.full(len(order), self.start)
-        for t in range(0, int(sorted_lengths[0]) if len(order) else 0, width):
-            states, places, rows = [], [], []
-            for s in range(t, min(t + width, int(sorted_lengths[0]))):
-                n = int(np.searchsorted(-sorted_lengths, -s, "left"))  # texts with a token at place s
-                h = self.gru.step(last[:n], h[:n])
-                now = begin[:n] + s
-                last = symbol[now]
-                states.append(h)
-                places.append(now)
-                rows.append(order[:n])
-            logp = self._log_probabilities(np.concatenate(states), group[np.concatenate(places)], symbol[np.concatenate(places)])
-            total += np.bincount(np.concatenate(rows), logp, minlength=len(total))
+        states, places, rows, size = [], [], [], 0
+        for s, n in enumerate(live.tolist()):
+            h = self.gru.column_step(last[:n], h[:, :n])
+            now = begin[:n] + s
+            last = symbol[now]
+            states.append(h)
+            places.append(now)
+            rows.append(order[:n])
+            size += n
+            if size >= PLACES or len(states) == width or s == longest - 1:
+                now = np.concatenate(places)
+                logp = self._log_probabilities(np.concatenate(states, axis=1), group[now], symbol[now])
+                total += np.bincount(np.concatenate(rows), logp, minlength=len(total))
+                states, places, rows, size = [], [], [], 0
         return total / np.log(10)
 
     def _log_probabilities(self, states: np.ndarray, group: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        logits = states @ self.to_class + self.class_bias
-        own = logits[np.arange(len(group)), group].astype(float)
-        high = logits.max(axis=1)
-        out = own - high - np.log(np.exp(logits - high[:, None]).sum(axis=1))
         order = np.argsort(group.astype(np.int16), kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.tops + 1))
+        group, symbol = group[order], symbol[order]
+        held = states.T[order].T.copy()
+        logp = self._log_shares(self.to_class.T @ held + self.class_bias[:, None], group)
+        cuts = np.searchsorted(group, np.arange(self.tops + 1))
         for k in range(self.tops):
-            rows = order[cuts[k] : cuts[k + 1]]
-            if len(rows):
-                word = states[rows] @ self.to_word[k] + self.word_bias[k]
-                high = word.max(axis=1)
-                own = word[np.arange(len(rows)), symbol[rows] % CLASS_WORDS]
-                out[rows] += own - high - np.log(np.exp(word - high[:, None]).sum(axis=1))
+            a, b = cuts[k], cuts[k + 1]
+            if a < b:
+                own = np.ascontiguousarray(held[:, a:b])
+                logp[a:b] += self._log_shares(self.to_word[k].T @ own + self.word_bias[k][:, None], symbol[a:b] % CLASS_WORDS)
+        out = np.empty_like(logp)
+        out[order] = logp
         return out
 
+    @staticmethod
+    def _log_shares(x: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Log of the share that one row has of each column of exp(``x``); ``x`` is overwritten."""
+        own = x[row, np.arange(len(row))].astype(float)
+        high = x.max(axis=0)
+        x -= high
+        np.exp(x, out=x)
+        return own - high - np.log(x.sum(axis=0))
+
 
 def told_apart(vocabulary: int) -> int:
     """How many words the network tells apart: 1,024, and more with the square root of the number of different words."""
@@ -287,7 +312,7 @@ def _learn_all(model: ClassFactored, train: DataFrame, rate: float) -> None:
         size = 0
 
         def learn() -> None:
-            model.learn(np.concatenate(held).astype(np.int64), np.cumsum([0, *map(len, held)]), optimizer)
+            model.learn(np.concatenate(held).astype(np.int32), np.cumsum([0, *map(len, held)]), optimizer)
 
         for batch in rows:
             for text in batch.column("symbols"):
@@ -374,10 +399,10 @@ def with_scores(
         _learn_all(model, texts.where("train"), 0.005)
 
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(rows, "symbols", SYMBOL.itemsize * LEARN_TOKENS):
+        for table in batches(rows, "symbols", SYMBOL.itemsize * SCORE_TOKENS):
             parts = [np.frombuffer(x.as_buffer(), SYMBOL) for x in table["symbols"]]
             at = np.cumsum([0, *map(len, parts)])
-            symbol = np.concatenate(parts).astype(np.int64)
+            symbol = np.concatenate(parts).astype(np.int32)
             # the shares are added to what the network gives
             score = model.score(symbol, model.groups(symbol), np.zeros(len(symbol)), at) + table["share"].to_numpy() / np.log(10)
             out = {c: table[c] for c in ("doc_id", "n_tokens", "n_known")}

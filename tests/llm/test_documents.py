@@ -356,6 +356,37 @@ def test_recurrent_gradients(monkeypatch):
             assert gradient[at] == pytest.approx((up - down) / 2e-6, abs=1e-6)
 
 
+def test_recurrent_columns():
+    """Texts as columns give the states and gradients of texts as rows."""
+    from crawlweave.llm import gru
+
+    layers = [kind(70, 5, np.random.default_rng(4)) for kind in (gru.Gru, gru.ColumnGru)]
+    rng = np.random.default_rng(1)
+    x, h = rng.integers(0, 70, (9, 6)), rng.normal(size=(9, 5)).astype(np.float32)
+    w = rng.normal(size=(6, 9, 5)).astype(np.float32)
+    (states, kept), (columns, column_kept) = layers[0].run(x, h), layers[1].run(x, h.T)
+    assert columns.transpose(0, 2, 1) == pytest.approx(states, abs=1e-5)
+    assert layers[1].column_step(x[:, 0], h.T).T == pytest.approx(states[0], abs=1e-5)
+    for a, b in zip(layers[0].gradient(x, kept, w), layers[1].gradient(x, column_kept, w.transpose(0, 2, 1))):
+        assert b == pytest.approx(a, abs=1e-4)
+
+
+def test_lm_scores_texts_side_by_side(monkeypatch):
+    """Classes are worked out for many tokens at once, and no more than a step beyond PLACES, however long a text is."""
+    model = lm_score.ClassFactored(np.arange(40), np.full(3, 5.0))
+    rng = np.random.default_rng(6)
+    lengths = [900, *rng.integers(1, 60, 200)]
+    symbol = rng.integers(0, 42, sum(lengths)).astype(np.int32)
+    at = np.cumsum([0, *lengths])
+    monkeypatch.setattr(lm_score, "PLACES", 1000)
+    sizes, plain = [], model._log_probabilities
+    monkeypatch.setattr(model, "_log_probabilities", lambda states, *rest: sizes.append(states.shape[1]) or plain(states, *rest))
+    together = model.score(symbol, model.groups(symbol), np.zeros(len(symbol)), at)
+    assert max(sizes) < 1000 + len(lengths) and len(sizes) < 15 and sum(sizes) == len(symbol)
+    alone = [model.score(symbol[a:b], model.groups(symbol[a:b]), np.zeros(b - a), np.array([0, b - a]))[0] for a, b in zip(at[:-1], at[1:])]
+    assert together == pytest.approx(alone, rel=1e-5)
+
+
 def test_checksums_of_plain_ids(spark):
     rows = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "doc_id long, ids array<int>")
     want = {1: zlib.crc32(np.array([1, 2], "<u4").tobytes()), 2: 0, 3: 0}
