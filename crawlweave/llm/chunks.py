@@ -36,19 +36,20 @@ class PieceCache:
     def _parts(self, text: str) -> list[tuple[bool, list[str]]]:
         return [(False, self.split(text))] if "  " in text else [(True, text.split(" "))]
 
+    def _cut(self, text: str) -> list:
+        """Lists of pieces as ``_parts`` gives them, and between them the ids of special strings."""
+        parts: list = []
+        rest = text
+        while marks := [(rest.find(s), s) for s in self.special if s in rest]:
+            at, mark = min(marks)
+            parts += self._parts(rest[:at])
+            parts.append(self.special[mark].to_bytes(4, "little"))
+            rest = rest[at + len(mark) :]
+        return parts + self._parts(rest)
+
     def texts(self, texts: list[str]) -> list[bytes]:
         """ids of each text."""
-        cut: list[list] = []
-        for text in texts:
-            parts: list = []
-            rest = text
-            while marks := [(rest.find(s), s) for s in self.special if s in rest]:
-                at, mark = min(marks)
-                parts += self._parts(rest[:at])
-                parts.append(self.special[mark].to_bytes(4, "little"))
-                rest = rest[at + len(mark) :]
-            parts += self._parts(rest)
-            cut.append(parts)
+        cut = [self._cut(text) for text in texts]
         tails: set[str] = set()
         heads: set[str] = set()
         done: list[list] = []  # of each text its parts: ids, pieces, whether the pieces but the first follow a blank
@@ -85,3 +86,49 @@ class PieceCache:
                     ids[:] = [table[p] if x is None else x for p, x in zip(pieces, ids)]
             out.append(b"".join(row[0][0] if len(row) == 1 else [x for ids, _, _ in row for x in ids]))
         return out
+
+
+class Memo(dict):
+    """Values that are worked out where they are first asked for."""
+
+    def __init__(self, work: Callable[[str], bytes]):
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.work(key)
+        return value
+
+    def forget(self, limit: int) -> None:
+        """Drop the newest beyond ``limit``."""
+        for _ in range(len(self) - limit):
+            self.popitem()
+
+
+class PieceMemo(PieceCache):
+    """The same with encoders of one piece, that behind a blank or as it is, called while the texts are gone through once."""
+
+    def __init__(
+        self, tail: Callable[[str], bytes], head: Callable[[str], bytes], split: Callable[[str], list[str]], special: dict[str, int], limit: int = 100_000
+    ):
+        super().__init__(lambda pieces: [*map(head, pieces)], split, special, limit)
+        self.known, self.heads = Memo(tail), Memo(head)
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        out = []
+        tail, head = self.known.__getitem__, self.heads.__getitem__
+        for text in texts:
+            ids: list[bytes] = []
+            for part in self._cut(text):
+                if isinstance(part, bytes):
+                    ids.append(part)
+                    continue
+                spaced, pieces = part
+                if spaced:
+                    first, *pieces = pieces
+                    ids.append(head(first))
+                ids += map(tail if spaced else head, pieces)
+            out.append(b"".join(ids))
+        self.heads.forget(self.limit // 4)
+        self.known.forget(self.limit)
+        return out

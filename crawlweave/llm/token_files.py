@@ -19,52 +19,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from crawlweave.llm.bpe import PRE_TOKENS, byte_letters
-from crawlweave.llm.chunks import PieceCache
+from crawlweave.llm.chunks import Memo, PieceMemo
 from crawlweave.llm.shared import batches, list_array
 
 
+#: visible marks that are neither letters nor digits, nor begin a contraction: behind letters they are one pre-token
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 @lru_cache(maxsize=2)
-def _loaded(path: str) -> PieceCache:
+def _loaded(path: str) -> PieceMemo:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
     letters = dict(enumerate(byte_letters()))
+    blank = letters[32]
     tokenize = tokenizer.model.tokenize  # of one pre-token, quicker than a call of the whole tokenizer
+    id_bytes = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values()) + 1)]
+    pre_tokens = regex.compile(PRE_TOKENS).findall
+
+    def of_letters(word: str, lead: str = "") -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(letters)
+        return b"".join([id_bytes[t.id] for t in tokenize(lead + word)])
+
+    def of_pre_token(word: str) -> bytes:
+        return b"".join([id_bytes[t.id] for t in tokenize(word.encode().decode("latin-1").translate(letters))])
+
+    small = Memo(of_pre_token)  # marks and line ends, and words that stand beside them
+
+    def of_word(piece: str, lead: str = "") -> bytes | None:
+        """Letters and marks behind them; anything else is left to the pattern."""
+        word = piece.rstrip(MARKS)
+        if word is piece:
+            return of_letters(piece, lead) if piece.isalpha() else None
+        return of_letters(word, lead) + small[piece[len(word) :]] if word.isalpha() else None
+
+    def encode(piece: str, lead: str, text: str) -> bytes:
+        ids = of_word(piece, lead)
+        if ids is not None:
+            return ids
+        small.forget(100_000)
+        before, end, after = piece.partition("\n")
+        if end and after:  # the end of a line between two words is a pre-token
+            ids, more = of_word(before, lead), of_word(after)
+            if ids is not None and more is not None:
+                return ids + small["\n"] + more
+        return b"".join([small[x] for x in pre_tokens(text)])
+
+    def tail(piece: str) -> bytes:
+        return encode(piece, blank, " " + piece)
+
+    def head(piece: str) -> bytes:
+        return of_word(piece[1:], blank) or b"".join([small[x] for x in pre_tokens(piece)]) if piece[:1] == " " else encode(piece, "", piece)
 
-    def of_word(word: str) -> bytes:
-        found = tokenize(word.encode().decode("latin-1").translate(letters))
-        return b"".join([t.id.to_bytes(4, "little") for t in found])
-
-    def encode(pieces: list[str]) -> list[bytes]:
-        words: dict[str, bytes] = {}
-        out: list[bytes] = []
-        other: list[int] = []
-        for piece in pieces:
-            body = piece[1:] if piece[:1] == " " else piece
-            word = piece
-            if not body.isalpha():
-                word = piece[:-1]
-                if body[-1:] not in (",", ".") or not body[:-1].isalpha():
-                    other.append(len(out))
-                    out.append(b"")
-                    continue
-            ids = words.get(word)
-            if ids is None:
-                ids = words[word] = of_word(word)
-            out.append(ids if word is piece else ids + of_mark[piece[-1]])
-        for k in range(0, len(other), 20_000):
-            part = other[k : k + 20_000]
-            for i, x in zip(part, tokenizer.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
-                out[i] = np.array(x.ids, "<u4").tobytes()
-        return out
-
-    of_mark = {mark: of_word(mark) for mark in ",."}
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return PieceCache(encode, regex.compile(PRE_TOKENS).findall, special, limit=250_000)
+    return PieceMemo(tail, head, pre_tokens, special, limit=600_000)
 
 
 def write_token_files(

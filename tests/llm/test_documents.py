@@ -387,6 +387,32 @@ def test_lm_scores_texts_side_by_side(monkeypatch):
     assert together == pytest.approx(alone, rel=1e-5)
 
 
+def test_piece_memo_is_the_library():
+    """Each piece is worked out in one go over the texts; ids are the library's, also where the memory is full."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    coder = token_files._loaded.__wrapped__(TOKENIZER)
+    coder.limit = 50
+    rng = random.Random(8)
+    parts = [*"abXYZ,.!#%_-'\n\n\r\t  19é²½ß—«ºʰ中\u0301\u00a0\u2009😀\x1c\x85", "'s", "'ll", "<|endoftext|>", "word ", "end.\nNew "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 20))) for _ in range(5000)]
+    for part in (texts[:2500], texts[2500:]):
+        want = [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(part, add_special_tokens=False)]
+        assert coder.texts(part) == want
+        assert len(coder.known) <= 50 and len(coder.heads) <= 12
+
+
+def test_pieces_of_words_need_no_pattern(monkeypatch):
+    """Words, marks behind them and single line ends between them never reach the pre-token pattern."""
+    coder = token_files._loaded.__wrapped__(TOKENIZER)
+    text = "Words, and more words% with (no) digits.\nNext line's end?"
+    pieces = [p for p in text.split(" ") if p[0] != "(" and "'" not in p]
+    asked = []
+    monkeypatch.setattr(token_files.Memo, "forget", lambda memo, limit: asked.append(limit))
+    for p in pieces:
+        coder.known.work(p)
+    assert len(asked) == 1  # only the line end takes the longer way
+
+
 def test_checksums_of_plain_ids(spark):
     rows = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "doc_id long, ids array<int>")
     want = {1: zlib.crc32(np.array([1, 2], "<u4").tobytes()), 2: 0, 3: 0}
