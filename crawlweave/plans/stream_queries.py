@@ -128,10 +128,12 @@ def landing_folder(spark, sf) -> str:
     log = view(spark, sf, "crawl_log").withColumn("ts", F.col("ts").cast("timestamp"))
     path = fresh_dir(spark, "landing")
     # rows are dealt out as they are in the log; envelopes, many times as wide, are made where they are written
-    in_time_order(log, lambda part: part.select(*LANDED).transform(delivery_lines).write.mode("append").text(path))
+    in_time_order(log, lambda part: part.select(*LANDED).transform(delivery_lines).write.mode("append").option("compression", PACKED).text(path))
     return path
 
 
+#: a landing file is read as a whole by one task; packed it is about a sixth as long, for hardly any time
+PACKED = "lz4"
 #: columns of the log that an envelope is made of
 LANDED = ("event_id", "k", "ts", "event", "crawler_uuid", "project", "env", "url", "country", "error_code", "stop_reason")
 

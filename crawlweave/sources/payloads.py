@@ -158,10 +158,12 @@ def missing_fields(e: Column) -> Column:
             need(p["links"]["scrape"], "links.scrape"),
         ],
     }
-    reason = F.lit("unknown event")
+    # each field is looked at in one place: a copy for each kind of event would make a method too long for the JIT compiler
+    own = F.lit(None).cast("string")
     for names, fields in specific.items():
-        first = F.coalesce(*base, *fields)
-        reason = F.when(event.isin(*names), F.when(first.isNotNull(), F.concat(F.lit("missing "), first))).otherwise(reason)
+        own = F.when(event.isin(*names), F.coalesce(*fields)).otherwise(own)
+    known = event.isin(*[name for names in specific for name in names])
+    reason = F.when(known, F.concat(F.lit("missing "), F.coalesce(*base, own))).otherwise("unknown event")
     return F.when(e.isNull() | event.isNull(), "missing event").when(p.isNull(), "missing payload").otherwise(reason)
 
 

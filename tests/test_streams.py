@@ -2,17 +2,22 @@
 
 import collections
 import datetime as dt
+import json
+import os
 import random
 import types
+import urllib.parse
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from crawlweave import schemas as S
 from crawlweave.functions import errors as E, signing
 from crawlweave.operators import guards
 from crawlweave.plans import stream_queries as SQ
 from crawlweave.plans.stream_queries import drain
+from crawlweave.sources import payloads
 from crawlweave.streaming import events as EV, state as ST
 
 T0 = dt.datetime(2024, 1, 1)
@@ -204,3 +209,36 @@ def test_no_digest_without_a_signature(spark):
     signed = rows.withColumn("signature", F.when(F.col("signature") == "right", right).otherwise(F.col("signature"))).withColumn("raw", body)
     found = signing.verify_signature(signed, ["s"]).select("id", "verified").collect()
     assert [tuple(r) for r in found] == [(1, False), (2, False), (3, True)]
+
+
+def test_landing_files_are_packed(spark, tmp_path):
+    # a plain landing folder is written and read at six times the length
+    events = [(i, T0 + dt.timedelta(minutes=i), i % 5, ["view", "click", "error"][i % 3], 1.0, f'{{"k": {i % 30}}}') for i in range(600)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(0, "https://a.example/us", "")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    lines = spark.read.text(SQ.landing_folder(spark, str(tmp_path)))
+    stored = sum(os.path.getsize(urllib.parse.urlparse(f).path) for f in lines.inputFiles())
+    read = lines.agg(F.count("value"), F.sum(F.octet_length("value"))).first()
+    assert read[0] == 600 + 150 and 3 * stored < read[1]
+
+
+def test_missing_fields_looks_at_each_field_once(spark):
+    assert str(payloads.missing_fields(F.col("e"))).count("state.urls_visited") == 1
+    state = {c: 1 for c in S.REQUIRED_STATE}
+    base = {"crawler_uuid": "c", "project": "p", "env": "e", "action": "a", "state": state}
+    cases = [
+        ({"event": "crawler_finished", "payload": base | {"seed_url": "u", "links": {"status": "s"}}}, None),
+        ({"event": "crawler_finished", "payload": base | {"seed_url": "u"}}, "missing links.status"),
+        ({"event": "crawler_url_visited", "payload": base | {"url": "u", "scrape": {"status_code": 200}}}, "missing scrape.country"),
+        ({"event": "crawler_url_skipped", "payload": base | {"env": None}}, "missing env"),
+        ({"event": "crawler_url_skipped", "payload": base}, "missing urls"),
+        ({"event": "crawler_url_skipped", "payload": base | {"urls": {"u": "r"}, "state": state | {"duration": None}}}, "missing state.duration"),
+        ({"event": "crawler_url_discovered", "payload": base | {"origin": "o", "discovered_urls": []}}, None),
+        ({"event": "crawler_url_failed", "payload": base | {"url": "u", "error": "x"}}, "missing scrape_config"),
+        ({"event": "other", "payload": {}}, "unknown event"),
+        ({"payload": base}, "missing event"),
+        ({"event": "other"}, "missing payload"),
+    ]
+    rows = spark.createDataFrame([(i, json.dumps(e)) for i, (e, _) in enumerate(cases)], "i int, raw string")
+    found = {r.i: r.reject_reason for r in payloads.parse_events(rows).select("i", "reject_reason").collect()}
+    assert found == {i: reason for i, (_, reason) in enumerate(cases)}
