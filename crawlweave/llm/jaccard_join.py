@@ -9,7 +9,9 @@ their members are verified on the whole sets.
 Pairs matter only for what they connect. Sets are first compared with one central set of each n-gram; the rest of the
 pairs is made only between sets that are not yet connected, so a large group of near copies never meets pair by pair.
 
-The index travels packed: one row for each batch of documents and bucket of n-grams. N-grams of more than 1/65,536 of
+The index travels packed: one row for each batch of documents and bucket of n-grams. With many buckets a set has hardly
+more than one n-gram in each, so what stands beside an entry counts: a set is named there by its digest and one byte,
+and its size is sent once, to the bucket of the set. N-grams of more than 1/65,536 of
 all entries, of which there can be no more than 65,536, stay in their batch instead of meeting in one bucket.
 """
 
@@ -26,11 +28,11 @@ from crawlweave.llm.shared import batches, list_array, mix, shuffle_partitions,
 from crawlweave.session import Buckets
 
 HOT_LIMIT = 1 << 16
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 4_000_000
 NGRAM = 5
 REST = 4  # bytes of an n-gram beside its bucket
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_PACKED = "bucket int, sets array<long>, ns array<int>, counts array<int>, toks binary, dfs binary"
+_PACKED = "bucket int, sets array<long>, ns array<int>, counts binary, toks binary, dfs binary"
 
 
 def ngram_sets(column: pa.Array, words: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -73,43 +75,66 @@ def _bytes_of(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _values_of(blobs: list[bytes], width: int) -> np.ndarray:
+    if width == 4:
+        return np.frombuffer(b"".join(blobs), "<u4")
     flat = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, width)
     out = np.zeros((len(flat), 8), np.uint8)
     out[:, :width] = flat
     return out.view("<u8").ravel()
 
 
-def _pack(bucket: np.ndarray, owner: np.ndarray, sets: np.ndarray, ns: np.ndarray, toks: np.ndarray, dfs: np.ndarray | None) -> pa.Table:
+def _slices(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes of each run of ``values``; ``at`` has the n+1 offsets of the runs."""
+    return pa.array([values[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
+
+
+def _pack(bucket: np.ndarray, owner: np.ndarray, sets: np.ndarray, toks: np.ndarray, dfs: np.ndarray | None) -> pa.Table:
     """One row for each bucket; entries are (owner, token, df) with owners ascending inside a bucket."""
     order = np.argsort(bucket, kind="stable")
     bucket, owner, toks = bucket[order], owner[order], toks[order]
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    ends = np.append(cut[1:], len(bucket))
     new = np.ones(len(bucket), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])
     at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(bucket)))
+    many = np.flatnonzero(np.diff(np.append(at, len(bucket))) > 255)
+    if len(many):  # a count is one byte: a set with more entries in the bucket is named again
+        ends = np.append(at, len(bucket))[many + 1]
+        at = np.sort(np.concatenate([at, *(np.arange(a + 255, b, 255) for a, b in zip(at[many], ends))]))
+    counts = np.diff(np.append(at, len(bucket))).astype(np.uint8)
     lists = np.append(np.searchsorted(at, cut), len(at))
-    dfs = None if dfs is None else dfs[order]
-    flat = toks.tobytes()
-    width = toks.shape[1]
+    rows = np.append(cut, len(bucket))
     return pa.table(
         {
             "bucket": pa.array(bucket[cut], pa.int32()),
             "sets": list_array(sets[owner[at]], lists, pa.int64()),
-            "ns": list_array(ns[owner[at]], lists, pa.int32()),
-            "counts": list_array(counts, lists, pa.int32()),
-            "toks": pa.array([flat[a * width : b * width] for a, b in zip(cut, ends)], pa.binary()),
-            "dfs": pa.array([None if dfs is None else dfs[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
+            "ns": pa.nulls(len(cut), pa.list_(pa.int32())),
+            "counts": _slices(counts, lists),
+            "toks": _slices(toks, rows),
+            "dfs": pa.nulls(len(cut), pa.binary()) if dfs is None else _slices(dfs[order], rows),
+        }
+    )
+
+
+def _pack_sizes(bucket: np.ndarray, sets: np.ndarray, ns: np.ndarray) -> pa.Table:
+    """One row for each bucket with its sets and their sizes, without entries."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    rows = np.append(cut, len(bucket))
+    nothing = pa.array([b""] * len(cut), pa.binary())
+    return pa.table(
+        {
+            "bucket": pa.array(bucket[cut], pa.int32()), "sets": list_array(sets[order], rows, pa.int64()), "ns": list_array(ns[order], rows, pa.int32()),
+            "counts": _slices(np.zeros(len(bucket), np.uint8), rows), "toks": nothing, "dfs": nothing,
         }
     )
 
 
-def _unpack(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(unique sets, their sizes, owner of each entry as index into them, token of each entry)."""
-    flat = lambda name: table[name].combine_chunks().flatten().to_numpy()
-    sets, index, owner = np.unique(flat("sets"), return_index=True, return_inverse=True)
-    return sets, flat("ns")[index], np.repeat(owner, flat("counts")), _values_of(table["toks"].to_pylist(), width)
+def _unpack(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unique sets, owner of each entry as index into them, token of each entry)."""
+    sets, owner = np.unique(table["sets"].combine_chunks().flatten().to_numpy(), return_inverse=True)
+    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint8)
+    return sets, np.repeat(owner.astype(np.uint32), counts), _values_of(table["toks"].to_pylist(), width)
 
 
 def document_sets(df: DataFrame, doc: str = "doc_id", text: str = "text", words: int = NGRAM) -> DataFrame:
@@ -147,7 +172,8 @@ def document_sets(df: DataFrame, doc: str = "doc_id", text: str = "text", words:
 
 
 def _postings(df: DataFrame, text: str, words: int, buckets: int, hot: dict[int, int]) -> DataFrame:
-    """Packed entries: n-grams by their bucket; frequent ones under -1 - (bucket of their set), with their count."""
+    """Packed entries: n-grams by their bucket; frequent ones under -1 - (bucket of their set), with their count, as the sizes of
+    all sets."""
     hot_toks = np.array(sorted(hot), np.uint64)
     hot_dfs = np.array([min(hot[int(t)], 65535) for t in hot_toks], "<u2")
     number = np.uint64(buckets)
@@ -164,6 +190,8 @@ def _postings(df: DataFrame, text: str, words: int, buckets: int, hot: dict[int,
             owner, grams = owner[keep], grams[keep]
             if not len(grams):
                 continue
+            named = np.flatnonzero(once & (n > 0))
+            yield from _pack_sizes(-1 - (d1[named].view(np.uint64) % number).astype(np.int64), d1[named], n[named]).to_batches()
             at = np.searchsorted(hot_toks, grams)
             at[at == len(hot_toks)] = 0
             often = hot_toks[at] == grams if len(hot_toks) else np.zeros(len(grams), bool)
@@ -171,12 +199,12 @@ def _postings(df: DataFrame, text: str, words: int, buckets: int, hot: dict[int,
             rare = ~often
             if rare.any():
                 toks = _bytes_of(grams[rare] // number, REST)
-                yield from _pack(home[rare].astype(home.dtype), owner[rare], d1, n, toks, None).to_batches()
+                yield from _pack(home[rare].astype(home.dtype), owner[rare], d1, toks, None).to_batches()
             if often.any():
                 back = -1 - (d1.view(np.uint64)[owner[often]] % number).astype(np.int64)
                 # the same identity as the index gives: the bucket and 32 bits of the rest
                 same = (grams[often] // number & np.uint64((1 << 8 * REST) - 1)) * number + grams[often] % number
-                yield from _pack(back, owner[often], d1, n, _bytes_of(same, whole_width(buckets)), hot_dfs[at[often]]).to_batches()
+                yield from _pack(back, owner[often], d1, _bytes_of(same, whole_width(buckets)), hot_dfs[at[often]]).to_batches()
 
     return df.select(F.col(text).alias("_text")).mapInArrow(run, _PACKED)
 
@@ -192,25 +220,34 @@ def _count_bucket(table: pa.Table, buckets: int) -> pa.Table:
     if bucket < 0:
         at = table.schema.get_field_index("bucket")
         return table.set_column(at, "bucket", pa.array(np.full(len(table), -1 - bucket), pa.int32()))
-    sets, ns, owner, toks = _unpack(table, REST)
-    key = np.unique((toks << np.uint64(24)) | owner.astype(np.uint64))
-    toks, owner = key >> np.uint64(24), (key & np.uint64((1 << 24) - 1)).astype(np.int64)
+    sets, owner, toks = _unpack(table, REST)
+    key = toks.astype(np.uint64)
+    key <<= np.uint64(24)
+    key |= owner
+    del owner, toks
+    key.sort()
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    toks = (key >> np.uint64(24)).astype(np.uint32)
     begin = np.flatnonzero(np.concatenate([[True], toks[1:] != toks[:-1]]))
     df = np.diff(np.append(begin, len(toks)))
-    df = np.repeat(df, df)
+    df = np.repeat(np.minimum(df, 65535).astype("<u2"), df)
     keep = df > 1
     if not keep.any():
         return table.slice(0, 0)
-    toks, owner, df = toks[keep], owner[keep], df[keep]
+    key, df = key[keep], df[keep]
+    toks, owner = key >> np.uint64(24), (key & np.uint64((1 << 24) - 1)).astype(np.int64)
     order = np.argsort(owner, kind="stable")
     toks, owner, df = toks[order] * np.uint64(buckets) + np.uint64(bucket), owner[order], df[order]
     back = (sets.view(np.uint64)[owner] % np.uint64(buckets)).astype(np.int64)
-    return _pack(back, owner, sets, ns, _bytes_of(toks, whole_width(buckets)), np.minimum(df, 65535).astype("<u2"))
+    return _pack(back, owner, sets, _bytes_of(toks, whole_width(buckets)), df)
 
 
 def _gather_sets(table: pa.Table, percent: int, width: int) -> pa.Table:
     """Sets that may have a partner: shared n-grams from rare to frequent, and how many of them the prefix holds."""
-    sets, ns, owner, toks = _unpack(table, width)
+    sets, owner, toks = _unpack(table, width)
+    sized = table.filter(table["ns"].is_valid())  # every set is in one of these rows at least
+    flat = lambda name: sized[name].combine_chunks().flatten().to_numpy()
+    ns = flat("ns")[np.unique(flat("sets"), return_index=True)[1]]
     df = np.frombuffer(b"".join(table["dfs"].to_pylist()), "<u2")
     order = np.lexsort((toks, df, owner))
     toks, owner = toks[order], owner[order]

@@ -446,3 +446,28 @@ def test_lm_learns_from_all_documents(spark):
 def test_lm_words_grow_with_vocabulary():
     assert lm_score.told_apart(1000) == 1024
     assert 1024 < lm_score.told_apart(10**7) < lm_score.told_apart(10**8)
+
+
+def test_jaccard_index_names_a_set_in_few_bytes(spark):
+    # with more buckets than n-grams of a document, what stands beside an entry decides the size of the index
+    buckets, rng = 256, random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(64))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    packed = jaccard_join._postings(docs, "text", 5, buckets, {}).toArrow()
+    entries = 300 * 60
+    named = sum(len(s) for b, s in zip(packed["bucket"].to_pylist(), packed["sets"].to_pylist()) if b >= 0)
+    assert entries / 2 < named <= entries
+    assert sum(packed[c].combine_chunks().flatten().nbytes for c in ("sets", "ns")) + sum(len(c) for c in packed["counts"].to_pylist()) <= 9 * named + 13 * 300
+
+
+def test_jaccard_sets_with_many_grams_in_a_bucket(spark):
+    grams = np.arange(1000, dtype=np.uint64)
+    owner = np.repeat(np.arange(3), [700, 1, 299])
+    packed = jaccard_join._pack(np.zeros(1000, np.int64), owner, np.array([5, -7, 9], np.int64), jaccard_join._bytes_of(grams, 4), None)
+    sets, index, toks = jaccard_join._unpack(packed, 4)
+    assert sets[index].tolist() == np.repeat([5, -7, 9], [700, 1, 299]).tolist() and toks.tolist() == grams.tolist()
+    long = [f"w{i}" for i in range(9000)]
+    texts = [" ".join(long), " ".join(long[:8000]), " ".join(long[:5000]), " ".join(long[3000:] + ["x"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs).collect()}
+    assert found == {0: (8996, 0), 1: (7996, 0), 2: (4996, 2), 3: (5997, 3)}
